@@ -1,0 +1,34 @@
+"""Connected components by alternating large-star and small-star rounds on DataFrames."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tagloom.llm.common import staged
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+    """(node, root) for every node that an edge between two different nodes touches; root is its component's smallest node.
+
+    Nodes are longs. Loops and repeated edges are ignored; an edge with a null end is dropped; no edges give no rows.
+    Every round is written to the shared folder. A hub's rows are joined to one minimum, which adaptive execution can
+    split, and the minima are pre-aggregated, so no task needs a whole component.
+    """
+    pairs = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+    now = staged(pairs.distinct(), "edges")
+    seal = None
+    for _ in range(max_rounds):
+        found = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if found == seal or not found[0]:
+            break
+        seal = found
+        both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        now = staged(small.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "stars")
+    else:
+        raise RuntimeError(f"components: no fixed point after {max_rounds} rounds")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
