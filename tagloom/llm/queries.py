@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import host_rules, mixing, packing, simhash
-from tagloom.llm.common import table
+from tagloom.llm import chat, crf, cws, host_rules, html, mixing, packing, simhash, toxicity, warc
+from tagloom.llm.common import crc_mod, table
 from tagloom.llm.sql import HOST_RULES
 
 
@@ -26,25 +26,71 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.join(F.broadcast(few), F.col("source").eqNullSafe(F.col("of"))).select("doc_id", "size", "source_size", "target", "taken", "passes")
 
 
+def op2_cws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.with_next(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint("fp").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.piece_table(table(spark, sf_dir, "documents"), tokenizer_file())
     return packing.pack(pieces).withColumnRenamed("id", "doc_id")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Learnt from labelled documents whose crc32(doc_id) mod 5 isn't 0; a bounded sample of them (see labelled_sample)."""
+    texts, labels = toxicity.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", lambda i: F.crc32(i.cast("string").cast("binary")) % 5 != 0)
+    return toxicity.fit(texts, labels)
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> crf.Model:
+    """Learnt from labelled documents whose crc32(doc_id) mod 3 isn't 1; a bounded sample of them."""
+    texts, labels = toxicity.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", lambda i: F.crc32(i.cast("string").cast("binary")) % 3 != 1, most=3000, most_chars=10_000_000)
+    return crf.fit(texts, labels)
+
+
+def _scored(found: DataFrame, by: int, rest: int) -> DataFrame:
+    return found.select(F.col("id").alias("doc_id"), (crc_mod("id", by) == rest).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir)), 5, 0)
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("host", "host_rate")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op10_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(crf.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir)), 3, 1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_cws": op2_cws,
     "op3_simhash": op3_simhash,
+    "op4_html": op4_html,
+    "op5_chat": op5_chat,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_host_rules": op8_host_rules,
+    "op9_warc": op9_warc,
+    "op10_crf": op10_crf,
 }
 
 ORACLES: dict[str, str] = {"op8_host_rules": HOST_RULES}
