@@ -9,6 +9,7 @@ leaves; best-fit packings are the first incumbents. Pieces then find their place
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -22,26 +23,64 @@ from tagloom.llm.common import mapper, staged
 Pattern = tuple[tuple[int, int], ...]  # (size, pieces), sizes descending
 
 
-class WordIds(dict):
-    """The ids of a word, as little-endian unsigned 32-bit bytes. A BPE over words drops the white space between them, so a text's ids are its words' ids in a row."""
+class WordIds:
+    """A tokenizer's ids of a text, as little-endian unsigned 32-bit bytes, word by word.
 
-    def __init__(self, tokenizer_json: str, most: int = 400_000):
+    For tokenizers that drop white space and cut words by a pattern before they merge: a text's ids are those of its
+    words in a row, and a word's are those of its parts. Words and parts are kept up to `most` each, then begun anew.
+    """
+
+    def __init__(self, tokenizer_json: str, most: int = 500_000):
+        import regex
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer, self.most = Tokenizer.from_str(tokenizer_json), most
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        told = json.loads(tokenizer_json)
+        cut = (told.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+        if cut.get("type") != "Split" or not cut.get("invert") or cut.get("behavior") != "Removed":
+            raise ValueError("the tokenizer doesn't cut words by a pattern")
+        self.pattern = regex.compile(cut["pattern"]["Regex"])
+        self.special = [t["content"] for t in told.get("added_tokens", [])]
+
+    def _ids(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 2000):
+            some = parts[at : at + 2000]
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, of = np.array(e.ids, dtype="<u4"), np.array([-1 if w is None else w for w in e.word_ids])
+            if len(of) and of[-1] == len(some) - 1 and (np.diff(of) >= 0).all() and len(np.unique(of)) == len(some):
+                edges = np.searchsorted(of, np.arange(len(some) + 1))
+                self.parts.update((p, ids[i:j].tobytes()) for p, i, j in zip(some, edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+            else:
+                for p in some:
+                    self.parts[p] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, words: list[bytes]) -> None:
+        cut: list[tuple[bytes, list[str]]] = []
+        normal = self.tokenizer.normalizer.normalize_str
+        for w in words:
+            text = w.decode("utf-8", "replace")
+            if "<" in text and any(x in text for x in self.special):
+                self.words[w] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            else:
+                cut.append((w, self.pattern.findall(text.lower() if text.isascii() else normal(text))))
+        if len(self.parts) > self.most:
+            self.parts.clear()
+        self._ids(list({p for _, ps in cut for p in ps if p not in self.parts}))
+        part = self.parts.__getitem__
+        self.words.update((w, b"".join(map(part, ps))) for w, ps in cut)
 
     def encode(self, text: str | None) -> bytes:
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        if missing := list(set(words).difference(self)):
-            if len(self) + len(missing) > self.most:
-                self.clear()
-                missing = list(set(words))
-            for at in range(0, len(missing), 10_000):
-                some = missing[at : at + 10_000]
-                for w, e in zip(some, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False), strict=True):
-                    self[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        raw = [(t or "").encode("utf-8", "replace").split() for t in texts]
+        if len(self.words) > self.most:
+            self.words.clear()
+        self._learn(list({w for words in raw for w in words if w not in self.words}))
+        ids = self.words.__getitem__
+        return [b"".join(map(ids, words)) for words in raw]
 
 
 def piece_table(docs: DataFrame, tokenizer_json: str, limit: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -55,8 +94,8 @@ def piece_table(docs: DataFrame, tokenizer_json: str, limit: int = 2048, end_id:
         if not held:
             held.append(WordIds(given.value))
         cols: dict[str, list] = {x.name: [] for x in out}
-        for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids = held[0].encode(text) + last
+        for doc, found in zip(batch.column("id").to_pylist(), held[0].encode_all(batch.column("text").to_pylist()), strict=True):
+            ids = found + last
             for k, at in enumerate(range(0, len(ids), 4 * limit)):
                 piece = ids[at : at + 4 * limit]
                 for name, value in zip(cols, (doc, k, at // 4, len(piece) // 4, zlib.crc32(piece)), strict=True):
