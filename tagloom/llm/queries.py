@@ -32,7 +32,7 @@ def op2_cws(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint("fp").alias("fingerprint"), F.col("component").alias("component_id"))
+    return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint("w0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: 64-bit fingerprints, linked exactly by tiled numpy exclusive-or and bit counts.
+"""SimHash near-duplicates: fingerprints of 64 bits or more, linked by tiled numpy exclusive-or and bit counts.
 
 Fingerprints within a radius r agree in one of r + 1 blocks of bits, so tiles are laid per block value: every pair
 within the radius meets in a tile, and the comparison in tiles is exact. In a tile rows are sorted by population count
@@ -20,16 +20,17 @@ from tagloom.llm.common import mapper, shuffle_partitions, staged, u64
 from tagloom.llm.components import connected_components
 
 
-def simhash64(text: str | None, shingle_words: int = 3, seed: int = 42) -> int:
-    """The signed 64-bit fingerprint of a text.
+def simhash(text: str | None, shingle_words: int = 3, seed: int = 42, longs: int = 1) -> np.ndarray:
+    """The fingerprint of a text as `longs` signed 64-bit numbers.
 
     A-Z are lower-cased; words are runs of non-white-space (ASCII); shingles count as often as they occur; fewer words
-    than a shingle make one shingle; null, empty and blank texts give 0. A bit is 1 if set in over half the hashes.
+    than a shingle make one shingle; null, empty and blank texts give zeros. A bit is 1 if set in over half the hashes.
+    The first number is of the shingles' XXH64; each further one is of those hashes, mixed again.
     """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     n = len(words)
     if n == 0:
-        return 0
+        return np.zeros(longs, np.int64)
     joined = b" ".join(words)
     if n <= shingle_words:
         h = np.array([xxhash.xxh64_intdigest(joined, seed)], dtype=np.uint64)
@@ -38,30 +39,45 @@ def simhash64(text: str | None, shingle_words: int = 3, seed: int = 42) -> int:
         ends = np.cumsum(sizes + 1) - 1
         digest = xxhash.xxh64_intdigest
         h = np.array([digest(joined[i:j], seed) for i, j in zip((ends - sizes)[: n - shingle_words + 1].tolist(), ends[shingle_words - 1 :].tolist(), strict=True)], dtype=np.uint64)
-    counts = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(h), 65536):
-        counts += np.unpackbits(h[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    bits = np.packbits(2 * counts > len(h), bitorder="little")
-    return int(bits.view(np.int64)[0])
+    out = []
+    for k in range(longs):
+        if k:
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        counts = np.zeros(64, dtype=np.int64)
+        for at in range(0, len(h), 65536):
+            counts += np.unpackbits(h[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+        out.append(np.packbits(2 * counts > len(h), bitorder="little").view(np.int64)[0])
+    return np.array(out, np.int64)
+
+
+def simhash64(text: str | None, shingle_words: int = 3, seed: int = 42) -> int:
+    return int(simhash(text, shingle_words, seed)[0])
+
 
+def names_of(longs: int) -> list[str]:
+    return [f"w{k}" for k in range(longs)]
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
-    """(id, fp long), one row per row of docs."""
-    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, longs: int = 1) -> DataFrame:
+    """(id, w0, w1, ...): the fingerprint's numbers, one row per row of docs."""
+    names = names_of(longs)
+    schema = pa.schema([("id", pa.int64()), *[(w, pa.int64()) for w in names]])
 
     def make(batch: pa.RecordBatch) -> dict:
-        return {"id": batch.column("id"), "fp": [simhash64(t, shingle_words) for t in batch.column("text").to_pylist()]}
+        found = np.array([simhash(t, shingle_words, longs=longs) for t in batch.column("text").to_pylist()]).reshape(-1, longs)
+        return {"id": batch.column("id")} | {w: found[:, k] for k, w in enumerate(names)}
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(mapper(schema, "text", make), "id long, fp long")
+    return rows.mapInArrow(mapper(schema, "text", make), ", ".join(f"{x} long" for x in schema.names))
 
 
 def _forest(x: np.ndarray, left: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest, as index pairs, of the links in x; if left, only those between x[:left] and x[left:]."""
+    """A spanning forest, as index pairs, of the links between the rows of x; if left, only those between x[:left] and x[left:]; both are sorted by population count."""
     n = len(x)
     label = np.arange(n)
     tops, ends = [], []
-    pop = np.bitwise_count(x).astype(np.int64)
+    pop = np.bitwise_count(x).sum(axis=1, dtype=np.int64)
     lo, hi = (left, n) if left else (0, n)
     for i in range(left or n):
         start = lo if left else i + 1
@@ -69,7 +85,7 @@ def _forest(x: np.ndarray, left: int, radius: int) -> tuple[np.ndarray, np.ndarr
         b = start + np.searchsorted(pop[start:hi], pop[i] + radius, "right")
         if a >= b:
             continue
-        near = a + np.flatnonzero(np.bitwise_count(x[a:b] ^ x[i]) <= radius)
+        near = a + np.flatnonzero(np.bitwise_count(x[a:b] ^ x[i]).sum(axis=1, dtype=np.int32) <= radius)
         if len(near) == 0:
             continue
         names, first = np.unique(label[near], return_index=True)
@@ -85,69 +101,86 @@ def _forest(x: np.ndarray, left: int, radius: int) -> tuple[np.ndarray, np.ndarr
 SMALL_TILE = 16
 
 
-def tile_links(key: np.ndarray, side: np.ndarray, two: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (as fingerprints) of whole tiles: rows are sorted by (key, side, population count); two: the tile is a pair of cuts."""
+def tile_links(key: np.ndarray, side: np.ndarray, two: np.ndarray, x: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (as row numbers) of whole tiles: rows are sorted by (key, side, population count); two: the tile is a pair of cuts."""
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sizes = np.diff(np.r_[starts, len(key)])
     tile = np.repeat(np.arange(len(starts)), sizes)
     small = (sizes <= SMALL_TILE) & ~two[starts]
-    a, b = [], []
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     rows = np.flatnonzero(small[tile])
-    sub, of = fp[rows], tile[rows]
+    sub, of = x[rows], tile[rows]
     for shift in range(1, SMALL_TILE):
         if len(sub) <= shift:
             break
         same = np.flatnonzero(of[shift:] == of[:-shift])
         if len(same) == 0:
             break
-        near = same[np.bitwise_count(sub[same] ^ sub[same + shift]) <= radius]
-        a.append(sub[near])
-        b.append(sub[near + shift])
+        near = same[np.bitwise_count(sub[same] ^ sub[same + shift]).sum(axis=1, dtype=np.int32) <= radius]
+        a.append(rows[near])
+        b.append(rows[near + shift])
     for t in np.flatnonzero(~small):
         s, e = starts[t], starts[t] + sizes[t]
         left = int((side[s:e] == 0).sum()) if two[s] else 0
         if two[s] and left in (0, e - s):
             continue
-        i, j = _forest(fp[s:e], left, radius)
-        a.append(fp[s:e][i])
-        b.append(fp[s:e][j])
-    return (np.concatenate(a), np.concatenate(b)) if a else (fp[:0], fp[:0])
-
-
-def links(distinct: DataFrame, radius: int = 3, tile_rows: int = 2048) -> DataFrame:
-    """(a, b): links between the distinct fingerprints in column fp that connect whatever is within the radius."""
-    blocks = radius + 1
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    key = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft("fp", 64 - edges[i + 1]), 64 - edges[i + 1] + edges[i]).alias("value")) for i in range(blocks)])
-    rows = distinct.select("fp", F.explode(key).alias("k")).select("fp", "k.block", "k.value")
-    sizes = rows.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        i, j = _forest(x[s:e], left, radius)
+        a.append(s + i)
+        b.append(s + j)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def blocks_of(longs: int, radius: int, bits: int | None) -> list[tuple[int, int, int]]:
+    """(number, first bit, width) of the blocks whose values lay out the tiles.
+
+    bits None: radius + 1 blocks over all of one number, which no pair within the radius can miss. Else blocks of `bits`
+    bits, as many as go into each number: a pair with distance d of 64 * longs bits misses all k of them with a
+    probability of about (1 - (1 - d / (64 * longs)) ** bits) ** k.
+    """
+    if bits is None:
+        if longs != 1:
+            raise ValueError("give `bits` for fingerprints of several numbers")
+        edges = [64 * i // (radius + 1) for i in range(radius + 2)]
+        return [(0, edges[i], edges[i + 1] - edges[i]) for i in range(radius + 1)]
+    return [(w, bits * k, bits) for w in range(longs) for k in range(64 // bits)]
+
+
+def links(distinct: DataFrame, radius: int = 3, tile_rows: int = 2048, longs: int = 1, bits: int | None = None) -> DataFrame:
+    """(a, b): links between the nodes of distinct (node, w0, ...) that connect whatever is within the radius and shares a block."""
+    names = names_of(longs)
+    laid = blocks_of(longs, radius, bits)
+    key = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft(names[w], 64 - at - wide), 64 - wide).alias("value")) for i, (w, at, wide) in enumerate(laid)])
+    rows = distinct.select("node", *names, F.explode(key).alias("k")).select("node", *names, "k.block", "k.value")
+    sizes = distinct.select(F.explode(key).alias("k")).groupBy("k.block", "k.value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     cuts = F.ceil(F.col("n") / tile_rows).cast("int")
-    cut = rows.join(sizes, ["block", "value"]).withColumn("cuts", cuts).withColumn("cut", F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int"))
+    cut = rows.join(sizes, ["block", "value"]).withColumn("cuts", cuts).withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     tiles = paired.select(
         F.xxhash64("block", "value", F.least("cut", "other"), F.greatest("cut", "other")).alias("tile"),
         (F.col("cut") > F.col("other")).cast("int").alias("side"),
         (F.col("cut") != F.col("other")).alias("two"),
-        "fp",
+        "node",
+        *names,
     )
-    dealt = tiles.repartition(shuffle_partitions(distinct.sparkSession), "tile").sortWithinPartitions("tile", "side", F.bit_count("fp"))
+    count = sum((F.bit_count(w) for w in names[1:]), F.bit_count(names[0]))
+    dealt = tiles.repartition(shuffle_partitions(distinct.sparkSession), "tile").sortWithinPartitions("tile", "side", count)
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = [np.array([], np.int64), np.array([], np.int64), np.array([], bool), np.array([], np.int64)]
+        kept = [np.array([], t) for t in (np.int64, np.int64, bool, *[np.int64] * (longs + 1))]
         for batch in _then_none(batches):
             if batch is not None:
                 kept = [np.concatenate([k, batch.column(i).to_numpy(zero_copy_only=False)]) for i, k in enumerate(kept)]
                 if len(kept[0]) == 0:
                     continue
-                whole = int(np.searchsorted(kept[0], kept[0][-1], "left"))  # the last tile may go on in the next batch
+                whole = int(np.flatnonzero(kept[0] == kept[0][-1])[0])  # the last tile may go on in the next batch
             else:
                 whole = len(kept[0])
             if whole:
-                a, b = tile_links(kept[0][:whole], kept[1][:whole], kept[2][:whole], u64(kept[3][:whole]), radius)
+                i, j = tile_links(*(k[:whole] for k in kept[:3]), np.stack([u64(k[:whole]) for k in kept[4:]], axis=1), radius)
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(kept[3][i]), pa.array(kept[3][j])], schema=out)
                 kept = [k[whole:] for k in kept]
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], schema=out)
 
     return dealt.mapInArrow(compare, "a long, b long")
 
@@ -157,20 +190,22 @@ def _then_none(items: Iterator) -> Iterator:
     yield None
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, shingle_words: int = 3, tile_rows: int = 2048) -> DataFrame:
-    """(id, fp long, component): the smallest id that chains of links reach from each row.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, shingle_words: int = 3, tile_rows: int = 2048, longs: int = 1, bits: int | None = None) -> DataFrame:
+    """(id, w0, ..., component): the smallest id that chains of links reach from each row.
 
-    Null texts count as empty, and those share fingerprint 0. Rows with a null id keep their fingerprint, link like
-    any other and never name a component that has another id. Repeated rows stay. Further columns aren't read.
+    Null texts count as empty, and those share the fingerprint of zeros. Rows with a null id keep their fingerprint, link
+    like any other and never name a component that has another id. Repeated rows stay. Further columns aren't read.
     An empty table gives no rows.
     """
-    prints = staged(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
-    distinct = staged(prints.groupBy("fp").agg(F.min("id").alias("lead")), "distinct")
-    roots = connected_components(links(distinct, radius, tile_rows))
-    linked = staged(roots.join(distinct, F.col("node") == F.col("fp")).select("fp", "root", "lead"), "linked")
+    names = names_of(longs)
+    prints = staged(fingerprints(docs, id_col, text_col, shingle_words, longs), "simhash")
+    node = F.col("w0") if longs == 1 else F.xxhash64(*names)
+    distinct = staged(prints.groupBy(*names).agg(F.min("id").alias("lead")).withColumn("node", node), "distinct")
+    roots = connected_components(links(distinct, radius, tile_rows, longs, bits)).withColumnRenamed("node", "n")
+    linked = staged(roots.join(distinct, F.col("n") == F.col("node")).select("node", "root", "lead"), "linked")
     leads = linked.groupBy("root").agg(F.min("lead").alias("component"))
-    of = distinct.join(linked.join(leads, "root").select("fp", "component"), "fp", "left").select("fp", F.coalesce("component", "lead").alias("component"))
-    return prints.join(of, "fp").select("id", "fp", "component")
+    of = distinct.join(linked.join(leads, "root").select("node", "component"), "node", "left").select(*names, F.coalesce("component", "lead").alias("component"))
+    return prints.join(of, names).select("id", *names, "component")
 
 
 def hex_fingerprint(column: str):
