@@ -202,7 +202,7 @@ def completions(counts: dict[int, int], sizes: list[int], limit: int, most_waste
     """
     first = sizes[0]
     found: list[tuple[int, list[int]]] = []
-    steps = [20_000]
+    steps = [500]
 
     def grow(i: int, left: int, chosen: list[int]) -> None:
         steps[0] -= 1
@@ -225,7 +225,7 @@ def completions(counts: dict[int, int], sizes: list[int], limit: int, most_waste
     return list(out)[:width]
 
 
-def pack_counts(counts: dict[int, int], limit: int, max_nodes: int = 2000) -> list[tuple[Pattern, int]]:
+def pack_counts(counts: dict[int, int], limit: int, max_nodes: int = 1500) -> list[tuple[Pattern, int]]:
     """(pattern, copies) that hold every piece once. Optimal if the incumbent meets the waste bound or the search ends within max_nodes; else the best packing found."""
     counts = {s: n for s, n in counts.items() if n}
     if not counts:
@@ -251,7 +251,7 @@ def pack_counts(counts: dict[int, int], limit: int, max_nodes: int = 2000) -> li
         if nodes[0] < 0:
             return True
         allowed = (used - 1) * limit - total - waste
-        if allowed < 0 or bins + waste_bound(left, limit) >= used:
+        if allowed < 0 or bins + -(-sum(s * n for s, n in left.items()) // limit) >= used:
             return False
         sizes = sorted(left, reverse=True)
         options = dict.fromkeys([p for p in (_greedy(left, sizes, limit), _best_fit(left, sizes, limit)) if limit - sum(s * n for s, n in p) <= allowed] + completions(left, sizes, limit, allowed))
@@ -289,7 +289,7 @@ def place_table(packing: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:
     return dict(zip(("size", "rank", "base", "each", "offset"), np.array(rows, dtype=np.int64).reshape(-1, 5).T, strict=True))
 
 
-def pack(pieces: DataFrame, limit: int = 2048, shards: int = 256, max_nodes: int = 2000) -> DataFrame:
+def pack(pieces: DataFrame, limit: int = 2048, shards: int = 256, max_nodes: int = 1500) -> DataFrame:
     """pieces (columns id, piece, length, ...) with sequence_id and offset.
 
     Every row gets a place, repeated rows too; a row with a null or non-positive length, or one over the limit, is an
