@@ -50,20 +50,26 @@ class Sampler:
         self.index: dict[str, int] = {}
         self.base, self.r, self.beta = (np.empty((most, samples), np.float32) for _ in range(3))
 
-    def _draw(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        h = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
-        x = h[:, None] + self.offsets
-        x ^= x >> np.uint64(30)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(27)
-        x *= np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        r = _R[x & np.uint64(0xFFFF)]
-        beta = ((x >> np.uint64(32)).astype(np.float32)) * np.float32(2**-32)
-        base = _LN_C[(x >> np.uint64(16)) & np.uint64(0xFFFF)]
-        base += r * beta
-        base -= r
-        return base, r, beta
+    def _draw(self, words: list[str], at: int, step: int = 256) -> None:
+        """Fill the tables' rows from `at` on; in steps whose intermediate arrays stay in the processor's cache."""
+        digest = xxhash.xxh64_intdigest
+        h = np.array([digest(w.encode("utf-8", "surrogatepass")) for w in words], dtype=np.uint64)
+        whole, spare = (np.empty((step, self.samples), np.uint64) for _ in range(2))
+        for i in range(0, len(words), step):
+            n = min(step, len(words) - i)
+            x, y = whole[:n], spare[:n]
+            np.add(h[i : i + n, None], self.offsets, out=x)
+            for shift, factor in ((30, np.uint64(0xBF58476D1CE4E5B9)), (27, np.uint64(0x94D049BB133111EB)), (31, None)):
+                np.right_shift(x, np.uint64(shift), out=y)
+                np.bitwise_xor(x, y, out=x)
+                if factor is not None:
+                    np.multiply(x, factor, out=x)
+            low = x.view("<u2").reshape(n, self.samples, 4)
+            base, r, beta = (part[at + i : at + i + n] for part in (self.base, self.r, self.beta))
+            r[...] = _R[low[:, :, 0]]
+            base[...] = _LN_C[low[:, :, 1]]
+            np.multiply(x.view("<u4").reshape(n, self.samples, 2)[:, :, 1], np.float32(2**-32), out=beta, casting="unsafe")
+            base += r * (beta - np.float32(1))
 
     def rows(self, words: list[str]) -> np.ndarray:
         new = [w for w in words if w not in self.index]
@@ -71,7 +77,7 @@ class Sampler:
             self.index, new = {}, words
         if new:
             at = len(self.index)
-            self.base[at : at + len(new)], self.r[at : at + len(new)], self.beta[at : at + len(new)] = self._draw(new)
+            self._draw(new, at)
             self.index.update(zip(new, range(at, at + len(new)), strict=True))
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
