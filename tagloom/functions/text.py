@@ -248,19 +248,28 @@ def cross_drawing_tokens(text: Column, own: Column) -> Column:
     return F.filter(found, lambda t: (F.substring_index(t, "-", 1) == F.substring_index(own, "-", 1)) & (t != own))
 
 
+def numbered(prefix: str, n: Column, digits: int) -> Column:
+    """prefix and n with leading zeros to at least `digits` digits (lpad alone would cut longer ones)."""
+    text = n.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(text) >= digits, text).otherwise(F.lpad(text, digits, "0")))
+
+
 def truthy(*columns: Column) -> Column:
     """The first that is neither null, empty nor zero."""
     return F.coalesce(*[F.nullif(c.cast("string"), F.lit("")) for c in columns])
 
 
-@F.pandas_udf("double")
-def fuzzy_ratio(a, b):
-    """Ratcliff and Obershelp's ratio, which no built-in gives."""
+def _ratios(a, b):
     import difflib
 
     import pandas as pd
 
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
+    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+def fuzzy_ratio(a: Column, b: Column) -> Column:
+    """Ratcliff and Obershelp's ratio, which no built-in gives."""
+    return F.pandas_udf(_ratios, "double", F.PandasUDFType.SCALAR)(a, b)
 
 
 def parse_lenient(text: str | None) -> str | None:
@@ -279,17 +288,16 @@ def parse_lenient(text: str | None) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
-def repair_json(text):
+def _repaired(text):
     import pandas as pd
 
-    return pd.Series([parse_lenient(t) for t in text])
+    return pd.Series([parse_lenient(t) for t in text], dtype="object")
 
 
 def lenient_json(text: Column) -> Column:
     """Valid JSON stays as it is, read natively; the rest goes through the repairs."""
     plain = F.regexp_replace(F.trim(text), r"^```[a-zA-Z]*\s*|\s*```$", "")
-    return F.when(F.try_parse_json(plain).isNotNull(), plain).otherwise(repair_json(text))
+    return F.when(F.try_parse_json(plain).isNotNull(), plain).otherwise(F.pandas_udf(_repaired, "string", F.PandasUDFType.SCALAR)(text))
 
 
 # Measured variable by first letter, function by following letters.

@@ -130,10 +130,10 @@ def propagate(seeds: DataFrame, edges: DataFrame, by: list[str] = DK, max_rounds
 
 def control_loops(edges: DataFrame, tags: DataFrame, most: int = 15, by: list[str] = DK) -> DataFrame:
     """(by, loop_id, size, controllers, member_ids): components of signal edges named by size; those over `most` members are clusters, CLUSTER-nn."""
-    from tagloom.functions.text import loop_role
+    from tagloom.functions.text import loop_role, numbered
 
     of = components(edges, by).join(tags, [*by, "node"], "left").withColumn("role", loop_role(F.col("tag")))
     loops = of.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("size"), F.array_sort(F.collect_list(F.when(F.col("role") == "controller", F.col("tag")))).alias("controllers"), F.array_sort(F.collect_list("node")).alias("member_ids"))
     kind = F.when(F.col("size") > most, "CLUSTER").otherwise("CL")
     n = F.row_number().over(Window.partitionBy(*by, kind).orderBy(F.desc("size"), "root")) - 1
-    return loops.select(*by, F.concat(kind, F.lit("-"), F.lpad(n.cast("string"), 2, "0")).alias("loop_id"), "size", "controllers", "member_ids")
+    return loops.select(*by, F.concat(kind, numbered("-", n, 2)).alias("loop_id"), "size", "controllers", "member_ids")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions import geometry as g
+from tagloom.functions.text import numbered
 from tagloom.operators.graph import ancestors, component_of
 from tagloom.operators.spatial import grid_join
 
@@ -38,12 +39,12 @@ def pipelines(segments: DataFrame, tol: float = 25, by: list[str] = DK) -> tuple
     spots = touch.groupBy(*by, "gx", "gy").agg(F.array_distinct(F.concat(F.collect_set("a"), F.collect_set("b"))).alias("ids"), F.max("inner").alias("inner"))
     junctions = spots.where((F.size("ids") >= 3) | F.col("inner")).withColumn("degree", F.size("ids"))
     n = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("degree"), "gx", "gy")) - 1
-    named = junctions.select(*by, F.concat(F.lit("JN-"), F.lpad(n.cast("string"), 4, "0")).alias("junction"), (F.col("gx") * int(tol)).alias("x"), (F.col("gy") * int(tol)).alias("y"), "degree", F.when(F.col("degree") >= 4, "CROSS").otherwise("TEE").alias("kind"))
+    named = junctions.select(*by, numbered("JN-", n, 4).alias("junction"), (F.col("gx") * int(tol)).alias("x"), (F.col("gy") * int(tol)).alias("y"), "degree", F.when(F.col("degree") >= 4, "CROSS").otherwise("TEE").alias("kind"))
     free = touch.join(junctions.select(*by, "gx", "gy"), [*by, "gx", "gy"], "left_anti").select(*by, "a", "b")
     of = component_of(segments.select(*by, "id"), free, "id", by)
     sizes = of.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "root")) - 1
-    names = sizes.select(*by, "root", F.concat(F.lit("PL-"), F.lpad(rank.cast("string"), 4, "0")).alias("pipeline"))
+    names = sizes.select(*by, "root", numbered("PL-", rank, 4).alias("pipeline"))
     return of.join(names, [*by, "root"]).select(*by, "id", "pipeline"), named
 
 

@@ -402,7 +402,7 @@ def _customer_supplier(spark, d):
 @query(f"""WITH RECURSIVE e0 AS ({_CS}), e AS (SELECT drawing_id, a, b FROM e0 UNION ALL SELECT drawing_id, b, a FROM e0),
 r AS (SELECT drawing_id, a AS node, a AS root FROM e UNION SELECT r.drawing_id, e.b, r.root FROM r JOIN e ON r.drawing_id = e.drawing_id AND r.node = e.a),
 m AS (SELECT drawing_id, node, min(root) AS root FROM r GROUP BY 1, 2), z AS (SELECT drawing_id, root, count(*) AS size, array_to_string(list_sort(list(node)), ',') AS members FROM m GROUP BY 1, 2),
-k AS (SELECT *, CASE WHEN size > 15 THEN 'CLUSTER' ELSE 'CL' END AS kind FROM z) SELECT drawing_id, kind || '-' || lpad(CAST(row_number() OVER (PARTITION BY drawing_id, kind ORDER BY size DESC, root) - 1 AS VARCHAR), greatest(2, length(CAST(row_number() OVER (PARTITION BY drawing_id, kind ORDER BY size DESC, root) - 1 AS VARCHAR))), '0') AS loop_id, size, members FROM k""")
+k AS (SELECT *, CASE WHEN size > 15 THEN 'CLUSTER' ELSE 'CL' END AS kind FROM z) SELECT drawing_id, kind || '-' || lpad(CAST(row_number() OVER (PARTITION BY drawing_id, kind ORDER BY size DESC, root) - 1 AS VARCHAR), CAST(greatest(2, length(CAST(row_number() OVER (PARTITION BY drawing_id, kind ORDER BY size DESC, root) - 1 AS VARCHAR))) AS INTEGER), '0') AS loop_id, size, members FROM k""")
 def control_loops(spark, d):
     e = _customer_supplier(spark, d)
     tags = e.select("drawing_id", F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("tag", F.col("node"))
@@ -479,7 +479,7 @@ def text_block(spark, d):
     return n.groupBy("drawing_id", "head").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: F.concat(F.lit("- "), x.cast("string"))), "\n").alias("body"))
 
 
-@query("SELECT count(*) AS calls, coalesce(sum(length(text)), 0) AS tokens FROM (SELECT DISTINCT text FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE doc_id % 2 = 0))")
+@query("SELECT count(*) AS calls, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS tokens FROM (SELECT DISTINCT text FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE doc_id % 2 = 0))")
 def cache_worklist(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     cache = docs.where("doc_id % 2 = 0").select(F.sha2(F.concat_ws("\x1f", F.coalesce("text", F.lit(""))), 256).alias("key")).distinct().withColumn("answer", F.lit("yes"))
