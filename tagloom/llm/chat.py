@@ -176,8 +176,8 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
                 for c, k, m, togo, last in zip(*(b.column(x).to_pylist() for x in ("conv", "chunk", "m", "togo", "last")), strict=True):
                     if not begun or c != conv_now:
                         begun, conv_now, state = True, c, 0
-                    yield c, k, state, togo, last
-                    state = min(range(4), key=lambda t: (m[4 * state + t] + togo[t], t))
+                    begin, state = state, min(range(4), key=lambda t: (m[4 * state + t] + togo[t], t))
+                    yield c, k, begin, [0 if t == state else FAR for t in range(4)], last  # ties: the chunk must end where the next begins
 
         yield from grouped(go(), ends)
 

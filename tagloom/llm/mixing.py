@@ -13,6 +13,7 @@ import heapq
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,20 +105,37 @@ def min_cost_flow(supply: Sequence[int], arcs: Sequence[tuple[int, int]], capaci
     return out
 
 
+CHOICES = 48
+
+
+def nearest_sum(sizes: list[int], want: int) -> list[bool]:
+    """A choice of sizes whose sum is as near to `want` as any (the lower of two), by dynamic programming over the sums that can be reached, as bits of one number."""
+    reach = [1]
+    top = (1 << (2 * max(want, 0) + 1)) - 1  # beyond that nothing is nearer than no size at all
+    for n in sizes:
+        reach.append((reach[-1] | reach[-1] << n) & top)
+    low = (reach[-1] & ((1 << (max(want, 0) + 1)) - 1)).bit_length() - 1
+    above = reach[-1] >> (want + 1) if want >= 0 else 0
+    high = want + 1 + ((above & -above).bit_length() - 1) if above else None
+    left = high if high is not None and high - want < want - low else low
+    out = [False] * len(sizes)
+    for i in range(len(sizes) - 1, -1, -1):
+        if not reach[i] >> left & 1:
+            out[i] = True
+            left -= sizes[i]
+    return out
+
+
 def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket's documents in seeded order, those that fit what is left; a last one over it if that comes nearer."""
-    pdf = pdf.sort_values(["h", "id", "size"], kind="stable", ignore_index=True)
-    left = int(pdf["need"].iloc[0])
-    extra, spare, nearest = [], None, None
-    for i, n in enumerate(pdf["size"].tolist()):
-        extra.append(int(n <= left))
-        if n <= left:
-            left -= n
-        elif nearest is None or n < nearest:
-            spare, nearest = i, n
-    if spare is not None and abs(nearest - left) < left:
-        extra[spare] = 1
-    return pd.DataFrame({"row": pdf["row"], "extra": pd.Series(extra, dtype="int32")})
+    """Of one bucket's documents the first in seeded order, as far as they fit; of the CHOICES around the place where they end, those whose sum comes nearest to the need."""
+    pdf = pdf.sort_values(["h", "id", "size", "row"], kind="stable", ignore_index=True)
+    size = pdf["size"].to_numpy(dtype=np.int64)
+    need = int(pdf["need"].iloc[0])
+    end = int(np.searchsorted(np.cumsum(size), need, "right"))
+    a = max(0, min(end - CHOICES // 2, len(size) - CHOICES))
+    inside = np.arange(len(size)) < a
+    inside[a : a + CHOICES] = nearest_sum(size[a : a + CHOICES].tolist(), need - int(size[:a].sum()))
+    return pd.DataFrame({"row": pdf["row"], "extra": inside.astype("int32")})
 
 
 BUCKET_ROWS = 512
