@@ -10,6 +10,7 @@ leaves; best-fit packings are the first incumbents. Pieces then find their place
 from __future__ import annotations
 
 import json
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -41,7 +42,10 @@ class WordIds:
         cut = (told.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
         if cut.get("type") != "Split" or not cut.get("invert") or cut.get("behavior") != "Removed":
             raise ValueError("the tokenizer doesn't cut words by a pattern")
-        self.pattern = regex.compile(cut["pattern"]["Regex"])
+        normal = [n["type"] for n in (told.get("normalizer") or {}).get("normalizers", [])]
+        if normal != ["NFC", "Replace", "Lowercase"]:
+            raise ValueError(f"the tokenizer normalises otherwise: {normal}")
+        self.lines = regex.compile("\\n|" + cut["pattern"]["Regex"])
         self.special = [t["content"] for t in told.get("added_tokens", [])]
 
     def _ids(self, parts: list[str]) -> None:
@@ -57,19 +61,26 @@ class WordIds:
                     self.parts[p] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
-        cut: list[tuple[bytes, list[str]]] = []
-        normal = self.tokenizer.normalizer.normalize_str
+        """All at once: the words, a line each, are normalised and cut together."""
+        plain: list[bytes] = []
+        texts: list[str] = []
         for w in words:
             text = w.decode("utf-8", "replace")
             if "<" in text and any(x in text for x in self.special):
                 self.words[w] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
             else:
-                cut.append((w, self.pattern.findall(text.lower() if text.isascii() else normal(text))))
+                plain.append(w)
+                # up to U+024F lower-casing knows no context, so Python's is the tokenizer's
+                texts.append(text.lower() if text.isascii() else unicodedata.normalize("NFC", text).lower() if max(text) < "\u0250" else self.tokenizer.normalizer.normalize_str(text))
+        flat = self.lines.findall("\n".join(texts) + "\n" * bool(texts))
         if len(self.parts) > self.most:
             self.parts.clear()
-        self._ids(list({p for _, ps in cut for p in ps if p not in self.parts}))
-        part = self.parts.__getitem__
-        self.words.update((w, b"".join(map(part, ps))) for w, ps in cut)
+        self._ids([p for p in set(flat) if p != "\n" and p not in self.parts])
+        parts, known, at, begun = self.parts, self.words, 0, 0
+        for i, p in enumerate(flat):
+            if p == "\n":
+                known[plain[at]] = parts[flat[begun]] if i == begun + 1 else b"".join([parts[q] for q in flat[begun:i]])
+                at, begun = at + 1, i + 1
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all([text])[0]
