@@ -514,3 +514,85 @@ def hub_edges(spark, d):
 def cross_refs(spark, d):
     found = t.cross_drawing_tokens(F.coalesce(F.col("text"), F.lit("")), F.lit("4224-XX-0-00"))
     return table(spark, d, "documents").select("doc_id", F.size(found).alias("n"))
+
+
+@query(f"""{B}, m AS (SELECT id, drawing_id AS patch, tag FROM boxes WHERE id % 3 = 0), o AS (SELECT id AS ord, drawing_id AS patch, lower(tag) || CASE WHEN id % 2 = 0 THEN '' ELSE 'x' END AS text FROM boxes WHERE id % 7 = 1),
+p AS (SELECT m.id, o.text, o.ord, upper(m.tag) AS a, upper(o.text) AS b FROM m JOIN o ON m.patch = o.patch), s AS (SELECT *, CASE WHEN a = b THEN 1.0 ELSE len(list_filter(range(1, least(length(a), length(b)) + 1), lambda i: a[i] = b[i])) / greatest(length(a), length(b), 1) END AS score FROM p)
+SELECT id, arg_max(text, (CASE WHEN a = b THEN 1 ELSE 0 END, score, -ord)) AS ocr_text, round(max(score), 6) AS score FROM s WHERE a = b OR score >= 0.7 GROUP BY id""")
+def ocr_reconcile(spark, d):
+    b = boxes(spark, d).withColumn("patch_id", F.col("drawing_id"))
+    model = b.where("id % 3 = 0").select("patch_id", "id", F.col("tag").alias("tag_text"))
+    words = b.where("id % 7 = 1").select("patch_id", F.col("id").alias("ord"), F.concat(F.lower("tag"), F.when(F.col("id") % 2 == 0, "").otherwise("x")).alias("text"))
+    return lookup.reconcile(model, words)
+
+
+_BARE = "regexp_replace({}, '^[A-Z]+-', '')"
+
+
+@query(f"""{C}, k AS (SELECT DISTINCT upper(tag) AS m FROM cand WHERE drawing_id >= 20 AND tag <> ''), a AS (SELECT DISTINCT tag, upper(tag) AS u FROM cand WHERE drawing_id < 20 AND tag <> ''),
+h AS (SELECT a.tag, k.m, 0 AS r FROM a JOIN k ON a.u = k.m UNION ALL SELECT a.tag, k.m, 1 FROM a JOIN k ON {_BARE.format('a.u')} = {_BARE.format('k.m')} UNION ALL SELECT a.tag, k.m, 2 FROM a JOIN k ON length({_BARE.format('a.u')}) >= 3 AND suffix(k.m, {_BARE.format('a.u')}))
+SELECT a.tag, arg_min(m, (r, m)) AS match FROM a LEFT JOIN h ON a.tag = h.tag GROUP BY a.tag""")
+def tolerant_match(spark, d):
+    c = candidates(spark, d).where("tag <> ''")
+    return lookup.tolerant_match(c.where("drawing_id < 20"), c.where("drawing_id >= 20"))
+
+
+@query(f"{C}, b AS (SELECT drawing_id, id, CASE WHEN floor(id / 40) % 2 = 0 THEN 'V-' ELSE '' END || 'X' || CAST(id % 7 AS VARCHAR) AS tag FROM cand) SELECT a.drawing_id, a.id, min(t.id) AS into_id FROM b a JOIN b t ON a.drawing_id = t.drawing_id AND t.tag = 'V-' || a.tag WHERE NOT starts_with(a.tag, 'V-') GROUP BY 1, 2")
+def prefix_twins(spark, d):
+    tag = F.concat(F.when(F.floor(F.col("id") / 40) % 2 == 0, "V-").otherwise(""), F.lit("X"), (F.col("id") % 7).cast("string"))
+    return lookup.prefix_twins(candidates(spark, d).withColumn("tag", tag)).withColumnRenamed("into", "into_id")
+
+
+@query("SELECT round(avg(CASE WHEN o_custkey IS NULL THEN 0 ELSE 1 END), 6) AS matched, avg(CASE WHEN o_custkey IS NULL THEN 0 ELSE 1 END) < 0.5 AS stale FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) o ON c_custkey = o_custkey")
+def enrichment_staleness(spark, d):
+    links = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    return lookup.enrich(table(spark, d, "customer"), links, ["c_custkey"])[1]
+
+
+@query(f"""{C} SELECT id, CASE WHEN regexp_replace(upper(tag), '^[V-]+', '') LIKE 'F%' THEN 'flow' WHEN regexp_replace(upper(tag), '^[V-]+', '') LIKE 'P%' THEN 'pressure' WHEN regexp_replace(upper(tag), '^[V-]+', '') LIKE 'T%' THEN 'temperature' WHEN regexp_replace(upper(tag), '^[V-]+', '') LIKE 'L%' THEN 'level' ELSE 'other' END AS family,
+CASE WHEN regexp_matches(upper(trim(tag)), '^(LT|GT)(-|$)') THEN 'COUNT_ONLY' ELSE 'FULL_EXTRACTION' END AS mode, round(CASE WHEN isolated THEN 0.8 WHEN in_registry THEN 0.7 - least(det * 100 / 300, 0.3) ELSE 0.3 END, 3) AS assoc FROM cand""")
+def families_and_modes(spark, d):
+    a = s.association_confidence(F.lit(None).cast("double"), F.when(F.col("in_registry") & ~F.col("isolated"), F.col("det") * 100), F.when(F.col("isolated"), F.lit(True)))
+    return candidates(spark, d).select("id", t.instrument_family(F.col("tag")).alias("family"), s.project_mode(F.col("tag")).alias("mode"), a.alias("assoc"))
+
+
+@query("""WITH a AS (SELECT o_orderkey AS row_label, o_orderstatus AS s, o_orderpriority AS p FROM orders) SELECT row_label, CASE WHEN row_label % 3 <> 0 THEN s END AS s, CASE WHEN row_label % 2 = 0 THEN 'right' WHEN row_label % 3 <> 0 THEN p END AS p FROM a WHERE row_label % 3 <> 0 OR row_label % 2 = 0""")
+def merge_table_halves(spark, d):
+    o = table(spark, d, "orders").withColumnRenamed("o_orderkey", "row_label")
+    left = o.where("row_label % 3 <> 0").select("row_label", F.create_map(F.lit("s"), F.col("o_orderstatus"), F.lit("p"), F.col("o_orderpriority")).alias("cells"))
+    right = o.where("row_label % 2 = 0").select("row_label", F.create_map(F.lit("p"), F.lit("right")).alias("cells"))
+    return shaping.merge_halves(left, right).select("row_label", F.col("cells")["s"].alias("s"), F.col("cells")["p"].alias("p"))
+
+
+@query("""WITH RECURSIVE v AS (SELECT l_suppkey AS k, CAST(l_linenumber * 40 + l_partkey % 37 AS BIGINT) AS v FROM lineitem), f AS (SELECT k, min(v) AS v FROM v GROUP BY k), r AS (SELECT k, v FROM f UNION ALL SELECT r.k, (SELECT min(v.v) FROM v WHERE v.k = r.k AND v.v - r.v > 9) FROM r WHERE EXISTS (SELECT 1 FROM v WHERE v.k = r.k AND v.v - r.v > 9))
+SELECT k, array_to_string(list_sort(list(v)), ',') AS kept FROM r GROUP BY k""")
+def spaced_lines(spark, d):
+    v = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), (F.col("l_linenumber") * 40 + F.col("l_partkey") % 37).cast("int").alias("v"))
+    return v.groupBy("k").agg(F.array_join(shaping.spaced_values(F.collect_set("v"), 9), ",").alias("kept"))
+
+
+@query(f"{S}, g AS (SELECT drawing_id, id % 5 AS pipeline, sqrt(CAST((sx1 - sx0) ** 2 + (sy1 - sy0) ** 2 AS DOUBLE)) AS l, * EXCLUDE (drawing_id) FROM seg) SELECT drawing_id, pipeline, count(*) AS segments, round(sum(l), 3) AS length, min(sx0) AS x1, min(sy0) AS y1, max(sx1) AS x2, max(sy1) AS y2 FROM g GROUP BY 1, 2")
+def line_geometry(spark, d):
+    g_ = segments(spark, d).withColumn("pipeline", F.col("id") % 5).withColumn("length", F.sqrt(F.pow(F.col("seg.x1") - F.col("seg.x0"), 2) + F.pow(F.col("seg.y1") - F.col("seg.y0"), 2)))
+    return hierarchy.line_geometry(g_).select("drawing_id", "pipeline", "segments", "length", "box.x1", "box.y1", "box.x2", "box.y2")
+
+
+@query(f"""{S}, e AS (SELECT drawing_id, id, id % 40 AS line, sx0 AS x, sy0 AS y FROM seg UNION ALL SELECT drawing_id, id, id % 40, sx1, sy1 FROM seg),
+p AS (SELECT a.drawing_id, a.line AS p, b.line AS q, sqrt(CAST((a.x - b.x) ** 2 + (a.y - b.y) ** 2 AS DOUBLE)) AS d FROM e a JOIN e b ON a.drawing_id = b.drawing_id AND a.line < b.line) SELECT drawing_id, p, q, round(min(d), 3) AS distance FROM p WHERE d > 100 AND d <= 300 GROUP BY 1, 2, 3""")
+def endpoint_pairs(spark, d):
+    e = hierarchy.ends_of(segments(spark, d)).withColumn("line", F.col("id") % 40)
+    return spatial.endpoint_pairs(e, 100, 300)
+
+
+@query("WITH a AS (SELECT event_id AS id, [100 * (event_id % 11), 50, 100 * (event_id % 11) + 400, 450] AS b FROM events) SELECT id, CAST(floor(b[2] * 9934 / 1000.0) AS INTEGER) AS x1, CAST(floor(b[1] * 7017 / 1000.0) AS INTEGER) AS y1, CAST(least(9934, floor(b[4] * 9934 / 1000.0)) AS INTEGER) AS x2, CAST(least(7017, floor(b[3] * 7017 / 1000.0)) AS INTEGER) AS y2 FROM a")
+def model_boxes(spark, d):
+    b = F.array((100 * (F.col("event_id") % 11)).cast("int"), F.lit(50), (100 * (F.col("event_id") % 11) + 400).cast("int"), F.lit(450))
+    return table(spark, d, "events").withColumn("b", g.decode_model_box(b, F.lit(9934), F.lit(7017))).select(F.col("event_id").alias("id"), "b.x1", "b.y1", "b.x2", "b.y2")
+
+
+@query(f"{B}, r AS (SELECT drawing_id, 1000 AS a, 1000 AS b, 5000 AS c FROM boxes GROUP BY drawing_id) SELECT boxes.drawing_id, id FROM boxes JOIN r ON boxes.drawing_id = r.drawing_id WHERE (x1 + x2) / 2.0 >= a AND (x1 + x2) / 2.0 < c AND (y1 + y2) / 2.0 >= b AND (y1 + y2) / 2.0 < c AND (x1 + x2) / 2.0 - a + (y1 + y2) / 2.0 - b < 4000")
+def points_in_regions(spark, d):
+    pts = F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((1000, 1000), (5000, 1000), (1000, 5000))])
+    b = boxes(spark, d)
+    regions = b.select("drawing_id").distinct().withColumn("polygon", pts).withColumn("box", g.polygon_box(pts))
+    return spatial.in_regions(b, regions).select("drawing_id", "id")
