@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import mapper
-from tagloom.llm.toxicity import logistic
+from tagloom.llm.toxicity import logistic, prior_weights
 
 CHUNK = 1 << 20
 #: Classes of bytes: 0 white space, 1 letters (with all of UTF-8 beyond ASCII), 2 capitals, 3 digits, 4 exclamation marks, 5 bars, 6 symbols, 7 other marks.
@@ -169,8 +169,8 @@ class Model:
         return _sigmoid(self.calibration[0] + self.calibration[1] * np.log(q / (1 - q)))
 
 
-def fit(texts: list[str | None], labels: list[int], rounds: int = 120, rate: float = 0.1, ridge: float = 1e-3) -> Model:
-    """Adam on the mean log-likelihood of the chains; without both labels, the share of label 1 (0.5 without labels)."""
+def fit(texts: list[str | None], labels: list[int], prior: float | None = None, rounds: int = 120, rate: float = 0.1, ridge: float = 1e-3) -> Model:
+    """Adam on the mean log-likelihood of the chains; prior: the share of label 1 where the texts come from. Without both labels, the share of label 1 (0.5 without labels)."""
     x, size, count = line_figures(texts)
     wide = 3 * FIGURES
     model = Model(np.zeros(wide), np.ones(wide), np.zeros(wide), 0.0, np.zeros((2, 2)), 0.0, np.array([0.0, 0.0]))
@@ -209,7 +209,7 @@ def fit(texts: list[str | None], labels: list[int], rounds: int = 120, rate: flo
         theta += rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
     model.weights, model.bias, model.start, model.move = theta[:wide].copy(), float(theta[wide]), float(theta[wide + 1]), theta[wide + 2 :].reshape(2, 2).copy()
     q = np.clip(model.quality(texts), 1e-4, 1 - 1e-4)
-    model.calibration = logistic(np.log(q / (1 - q))[:, None], y)
+    model.calibration = logistic(np.log(q / (1 - q))[:, None], y, prior_weights(y, prior))
     return model
 
 

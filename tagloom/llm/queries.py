@@ -50,14 +50,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Learnt from labelled documents whose crc32(doc_id) mod 5 isn't 0; a bounded sample of them (see labelled_sample)."""
-    texts, labels = toxicity.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", lambda i: F.crc32(i.cast("string").cast("binary")) % 5 != 0)
-    return toxicity.fit(texts, labels)
+    sample = toxicity.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", lambda i: F.crc32(i.cast("string").cast("binary")) % 5 != 0)
+    return toxicity.fit(*sample)
 
 
 def quality_model(spark: SparkSession, sf_dir: str) -> crf.Model:
     """Learnt from labelled documents whose crc32(doc_id) mod 3 isn't 1; a bounded sample of them."""
-    texts, labels = toxicity.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", lambda i: F.crc32(i.cast("string").cast("binary")) % 3 != 1, most=3000, most_chars=10_000_000)
-    return crf.fit(texts, labels)
+    sample = toxicity.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", lambda i: F.crc32(i.cast("string").cast("binary")) % 3 != 1, most=3000, most_chars=10_000_000)
+    return crf.fit(*sample)
 
 
 def _scored(found: DataFrame, by: int, rest: int) -> DataFrame:

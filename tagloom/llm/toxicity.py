@@ -61,15 +61,19 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+FEATURES = 11
+
+
 def features(text: str | None, compressors: list[zstandard.ZstdCompressor]) -> list[float]:
-    """What the toxic dictionary saves over a text's windows: the most, the next, sums over thresholds, in all and by window."""
+    """What the toxic dictionary saves over a text's windows: the most, the next, sums over thresholds and shares of windows, and the windows' number."""
     ordinary, toxic = compressors
     parts = windows(lower(text))
     saved = np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in parts], dtype=np.float64)
     n = len(saved)
     top = np.sort(saved)[::-1][:2]
-    over = [np.maximum(saved - t, 0).sum() for t in (1, 3)]
-    return [top[0], top[1] if n > 1 else 0.0, over[0] / n, over[1] / n, over[0] / n**0.5, over[1] / n**0.5, np.log(n), float(np.count_nonzero(saved >= 4)) / n]
+    over = [np.maximum(saved - t, 0).sum() for t in (0, 1, 3)]
+    at = [np.count_nonzero(saved >= t) for t in (1, 2, 4)]
+    return [top[0], top[1] if n > 1 else 0.0, *[x / n**0.5 for x in over], *[x / n for x in over[:2]], *[x / n for x in at], np.log(n)]
 
 
 def _rolled(raw: bytes, n: int) -> np.ndarray:
@@ -128,22 +132,34 @@ def segments(toxic: list[bytes], ordinary: list[bytes], most: int = 64, sizes: t
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Newton's method on a ridge-penalised logistic loss; the first weight is the constant."""
+def prior_weights(y: np.ndarray, prior: float | None, care: float = 1.0) -> np.ndarray:
+    """Weights that give label 1 the share `prior` that it has where the sample was drawn, times `care`; all 1 without a prior."""
+    share = y.mean()
+    if prior is None or not 0 < prior < 1:
+        return np.where(y == 1, care, 1.0)
+    return np.where(y == 1, care * prior / share, (1 - prior) / (1 - share))
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
+    """Newton's method on a weighted, ridge-penalised logistic loss; the first coefficient is the constant."""
     a = np.c_[np.ones(len(x)), x]
     w = np.zeros(a.shape[1])
     penalty = np.r_[1e-6, np.full(a.shape[1] - 1, ridge)]
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty), a.T @ (p - y) + penalty * w)
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + np.diag(penalty), a.T @ (weight * (p - y)) + penalty * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def fit(texts: list[str | None], labels: list[int], dictionary_bytes: int = 8192) -> Model:
-    """A model of the given texts. Without both labels it scores every text as the share of label 1 (0.5 without labels)."""
+#: A toxic document that slips through weighs as much as this many ordinary ones that are taken for toxic.
+CARE = 2.0
+
+
+def fit(texts: list[str | None], labels: list[int], prior: float | None = None, dictionary_bytes: int = 8192) -> Model:
+    """A model of the given texts; prior: the share of label 1 where they come from, if the sample's is another. Without both labels it scores every text as the share of label 1 (0.5 without labels)."""
     raw = [lower(t) for t in texts]
     y = np.array(labels, dtype=float)
     toxic = list(dict.fromkeys(b for b, v in zip(raw, y, strict=True) if v == 1 and b))
@@ -157,22 +173,23 @@ def fit(texts: list[str | None], labels: list[int], dictionary_bytes: int = 8192
         common = b" ".join(some)[-dictionary_bytes:]
     marks = segments(toxic, ordinary) if toxic and ordinary else []
     common = common.rjust(16, b" ")
-    model = Model(common, b"\n".join(reversed(marks)) + b"\n" + common, np.zeros(8), np.ones(8), np.zeros(9))
+    model = Model(common, b"\n".join(reversed(marks)) + b"\n" + common, np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1))
     if not len(y) or y.min() == y.max():
         model.weights[0] = 0.0 if not len(y) else 5.0 * (2 * y[0] - 1)
         return model
     pair = model.compressors()
     x = np.array([features(t, pair) for t in texts])
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
-    model.weights = logistic((x - model.mean) / model.scale, y)
+    model.weights = logistic((x - model.mean) / model.scale, y, prior_weights(y, prior, CARE))
     return model
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: int = 6000, most_chars: int = 24_000_000, id_col: str = "doc_id", text_col: str = "text", share: float = 0.5) -> tuple[list, list]:
-    """Up to `most` labelled texts and about `most_chars` code points, for training: rows for which `use` holds, in the order
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: int = 6000, most_chars: int = 24_000_000, id_col: str = "doc_id", text_col: str = "text", share: float = 0.5) -> tuple[list, list, float | None]:
+    """(texts, labels, share of label 1 among all labelled rows): up to `most` labelled texts and about `most_chars` code points, for training: rows for which `use` holds, in the order
     of a hash of their id; up to `share` of them have label 1. Rows with a null label are left out; of repeated ids each counts."""
     marked = labels.where(F.col(label).isin(0, 1)).select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y")).distinct()
     few = marked.where(use(F.col("id"))).withColumn("h", F.xxhash64("id", F.lit(11)))
+    prior = few.agg(F.avg("y")).first()[0]
     ones, zeros = (few.where(F.col("y") == v).orderBy("h", "id").limit(n) for v, n in ((1, int(most * share)), (0, most - int(most * share))))
     chosen = ones.unionAll(zeros).collect()  # at most `most` ids
     ids = docs.sparkSession.createDataFrame([(r["id"], r["y"], r["h"]) for r in chosen], "id long, y int, h long")
@@ -187,7 +204,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: i
         fit_ids.append(r["id"])
     got = rows.where(F.col("id").isin(fit_ids[:2000])) if len(fit_ids) <= 2000 else rows.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in fit_ids], "id long")), "id")
     found = sorted(got.select("h", "id", "y", "text").collect(), key=lambda r: (r["h"], r["id"], r["text"] or ""))
-    return [r["text"] for r in found], [r["y"] for r in found]
+    return [r["text"] for r in found], [r["y"] for r in found], prior
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,7 +216,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def make(batch: pa.RecordBatch) -> dict:
         if not held:
             held.extend(given.value.compressors())
-        x = np.array([features(t, held) for t in batch.column("text").to_pylist()]).reshape(-1, 8)
+        x = np.array([features(t, held) for t in batch.column("text").to_pylist()]).reshape(-1, FEATURES)
         return {"id": batch.column("id"), "score": given.value.probability(x)}
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
