@@ -14,6 +14,11 @@ DASHES = "—–―−"
 QUOTES = "“”‘’\"'"
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with value evaluated once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def fold_dashes(text: Column) -> Column:
     return F.translate(text, DASHES, "----")
 
@@ -116,14 +121,17 @@ def is_piping_node(kind: Column, text: Column) -> Column:
 def tag_format(text: Column) -> Column:
     """struct(pass, rule, message) of the format check."""
     t = F.translate(F.trim(F.coalesce(text, F.lit(""))), DASHES + "“”’", "----\"\"'")
-    name = rules.first_match(t, rules.TAG_FORMATS)
-    message = (
-        F.when(t == "", "Empty or null tag text")
-        .when(name.isNotNull(), F.concat(F.lit("Matches ISA pattern: "), name))
-        .when(t.rlike(rules.BASIC_FORMAT), "Matches basic prefix-number format")
-        .otherwise(F.concat(F.lit("Does not match ISA-5.1 format: '"), t, F.lit("'")))
-    )
-    return F.struct(message.startswith("Matches").alias("pass"), F.lit("TAG_FORMAT").alias("rule"), message.alias("message"))
+
+    def told(x: Column) -> Column:
+        message = (
+            F.when(x["t"] == "", "Empty or null tag text")
+            .when(x["name"].isNotNull(), F.concat(F.lit("Matches ISA pattern: "), x["name"]))
+            .when(x["t"].rlike(rules.BASIC_FORMAT), "Matches basic prefix-number format")
+            .otherwise(F.concat(F.lit("Does not match ISA-5.1 format: '"), x["t"], F.lit("'")))
+        )
+        return let(message, lambda m: F.struct(m.startswith("Matches").alias("pass"), F.lit("TAG_FORMAT").alias("rule"), m.alias("message")))
+
+    return let(t, lambda x: let(F.struct(x.alias("t"), rules.first_match(x, rules.TAG_FORMATS).alias("name")), told))
 
 
 def discipline(canonical: Column, category: Column) -> Column:

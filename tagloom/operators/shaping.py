@@ -79,13 +79,18 @@ def business_checks(tag: Column, symbol: Column, category: Column) -> Column:
 
 def roll_up(checks: Column) -> Column:
     """struct(status, reason): FAIL with the first three failures, WARN if the register is silent, else PASS."""
-    failed = F.filter(checks, lambda c: ~c["pass"])
-    silent = F.filter(checks, lambda c: c["pass"].isNull() & (c["rule"] == "REGISTRY"))
 
     def told(a: Column, n: int) -> Column:
         return F.array_join(F.transform(F.slice(a, 1, n), lambda c: c["message"]), " | ")
 
-    return F.struct(F.when(F.size(failed) > 0, "FAIL").when(F.size(silent) > 0, "WARN").otherwise("PASS").alias("status"), F.when(F.size(failed) > 0, told(failed, 3)).when(F.size(silent) > 0, told(silent, 2)).otherwise("All validation checks passed").alias("reason"))
+    def split(c: Column) -> Column:
+        return F.struct(F.filter(c, lambda x: ~x["pass"]).alias("failed"), F.filter(c, lambda x: x["pass"].isNull() & (x["rule"] == "REGISTRY")).alias("silent"))
+
+    def status(x: Column) -> Column:
+        fail, warn = F.size(x["failed"]) > 0, F.size(x["silent"]) > 0
+        return F.struct(F.when(fail, "FAIL").when(warn, "WARN").otherwise("PASS").alias("status"), F.when(fail, told(x["failed"], 3)).when(warn, told(x["silent"], 2)).otherwise("All validation checks passed").alias("reason"))
+
+    return t.let(checks, lambda c: t.let(split(c), status))
 
 
 def remarks(parts: list[Column]) -> Column:
