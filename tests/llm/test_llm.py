@@ -561,3 +561,15 @@ def test_pipeline(spark):
             assert docs.select("text").distinct().count() == docs.count() < before.count()
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert packed.where("piece = 0").count() == docs.count()
+
+
+def test_pipeline_odd(spark, odd):
+    import corpus_pipeline
+
+    one, two = corpus_pipeline.STAGES[2][1], corpus_pipeline.STAGES[3][1]
+    kept = one(spark, odd, SF)
+    assert kept.columns == odd.columns
+    ids = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect())
+    assert ids == [(False, 1), (False, 3), (False, 6), (False, 7), (False, 8), (True, 0)]
+    taken = two(spark, kept, SF)
+    assert taken.columns == odd.columns and taken.count() > 0
