@@ -36,17 +36,22 @@ NEAR = {"shingle_words": 5, "longs": 6, "radius": 64, "bits": 12}
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates; repeated rows of that id stay one."""
+    """The document with the smallest id of each group of near-duplicates. Of repeated rows (one id, one text) one stays; a row without an id is never dropped for another."""
     found = simhash.near_duplicates(docs, **NEAR)
     lost = found.where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(lost, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
+    kept = docs.join(lost, "doc_id", "left_anti")
+    again = found.where("id IS NOT NULL").groupBy(F.col("id").alias("doc_id")).agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1").select("doc_id")
+    if not again.isEmpty():  # whole rows are only compared where ids repeat
+        kept = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+    return kept.select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, each as often as it takes them."""
+    """The documents that the mix takes, each as often as it takes them; of rows with one id, as often as any of them."""
     chosen, _ = mixing.mix(docs)
-    times = chosen.where("passes > 0").select(F.col("id").alias("doc_id"), "passes")
-    return docs.join(times, "doc_id").select(*docs.columns, F.explode(F.sequence(F.lit(1), "passes")).alias("__pass")).select(docs.columns)
+    times = chosen.groupBy(F.col("id").alias("__id")).agg(F.max("passes").alias("__times")).where("__times > 0")
+    taken = docs.join(times, F.col("doc_id").eqNullSafe(F.col("__id")))
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), "__times")).alias("__pass")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
