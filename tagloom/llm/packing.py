@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import unicodedata
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -214,22 +215,31 @@ def completions(counts: dict[int, int], sizes: list[int], limit: int, most_waste
     first = sizes[0]
     found: list[tuple[int, list[int]]] = []
     steps = [500]
+    minus = [-s for s in sizes]  # ascending, for bisection
+    free = [counts[s] for s in sizes]
+    free[0] -= 1
+
+    def fitting(i: int, left: int) -> int:
+        """The first index from i on of a size that is left and fits."""
+        j = max(i, bisect_left(minus, -left))
+        while j < len(sizes) and not free[j]:
+            j += 1
+        return j
 
     def grow(i: int, left: int, chosen: list[int]) -> None:
         steps[0] -= 1
         if steps[0] < 0 or len(found) >= 8 * width:
             return
-        fits = next((s for s in sizes[i:] if s <= left and counts[s] - (s == first) - chosen.count(s) > 0), None)
-        if fits is None:
-            if left <= most_waste and not any(counts[t] - (t == first) - chosen.count(t) > 0 for c in set(chosen) for t in sizes if c < t <= c + left):
+        j = fitting(i, left)
+        if j == len(sizes):
+            if left <= most_waste and not any(sizes[k] > c for c in set(chosen) if (k := fitting(0, c + left)) < len(sizes)):
                 found.append((left, list(chosen)))
             return
-        for j in range(i, len(sizes)):
-            s = sizes[j]
-            if s <= left and counts[s] - (s == first) - chosen.count(s) > 0:
-                grow(j, left - s, [*chosen, s])
-                if steps[0] < 0:
-                    return
+        while j < len(sizes) and steps[0] >= 0:
+            free[j] -= 1
+            grow(j, left - sizes[j], [*chosen, sizes[j]])
+            free[j] += 1
+            j = fitting(j + 1, left)
 
     grow(0, limit - first, [])
     out = dict.fromkeys(_pattern([first, *c]) for _, c in sorted(found, key=lambda x: (x[0], [-s for s in x[1]])))
