@@ -140,7 +140,7 @@ def routing_summary(routed: DataFrame, by: list[str] | None = None) -> DataFrame
         share("AUTO_ACCEPT").alias("accept_rate"),
         share("HUMAN_REVIEW").alias("review_rate"),
         *[F.count_if(F.col("priority") == p).alias(f"p{p}") for p in (1, 2, 3, 4)],
-        F.round(F.avg(kept), 4).alias("avg_confidence"),
+        F.round(F.avg(kept), 6).alias("avg_confidence"),
         F.min(kept).alias("min_confidence"),
         F.max(kept).alias("max_confidence"),
     )

@@ -169,7 +169,7 @@ def confidence_route(spark, d):
 @query(f"""{SCORED} SELECT drawing_id, count(*) AS total, count(*) FILTER (route = 'AUTO_ACCEPT') AS accepted, count(*) FILTER (route = 'HUMAN_REVIEW') AS review, count(*) FILTER (route = 'AUTO_REJECT') AS rejected,
 round(100.0 * count(*) FILTER (route = 'AUTO_ACCEPT') / count(*), 1) AS accept_rate, round(100.0 * count(*) FILTER (route = 'HUMAN_REVIEW') / count(*), 1) AS review_rate,
 count(*) FILTER (priority = 1) AS p1, count(*) FILTER (priority = 2) AS p2, count(*) FILTER (priority = 3) AS p3, count(*) FILTER (priority = 4) AS p4,
-round(avg(c_final) FILTER (route <> 'AUTO_REJECT'), 4) AS avg_confidence, min(c_final) FILTER (route <> 'AUTO_REJECT') AS min_confidence, max(c_final) FILTER (route <> 'AUTO_REJECT') AS max_confidence
+round(avg(c_final) FILTER (route <> 'AUTO_REJECT'), 6) AS avg_confidence, min(c_final) FILTER (route <> 'AUTO_REJECT') AS min_confidence, max(c_final) FILTER (route <> 'AUTO_REJECT') AS max_confidence
 FROM ranked GROUP BY drawing_id""")
 def routing_summary(spark, d):
     return shaping.routing_summary(_scored(candidates(spark, d)), ["drawing_id"])
