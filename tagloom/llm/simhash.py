@@ -77,6 +77,7 @@ def _forest(x: np.ndarray, left: int, radius: int) -> tuple[np.ndarray, np.ndarr
     n = len(x)
     label = np.arange(n)
     tops, ends = [], []
+    parts = n
     pop = np.bitwise_count(x).sum(axis=1, dtype=np.int64)
     lo, hi = (left, n) if left else (0, n)
     for i in range(left or n):
@@ -95,6 +96,9 @@ def _forest(x: np.ndarray, left: int, radius: int) -> tuple[np.ndarray, np.ndarr
         tops += [i] * int(other.sum())
         ends += near[first[other]].tolist()
         label[np.isin(label, names[other])] = label[i]
+        parts -= int(other.sum())
+        if parts == 1:  # all rows hang together; further links add nothing
+            break
     return np.array(tops, dtype=np.int64), np.array(ends, dtype=np.int64)
 
 
