@@ -72,8 +72,8 @@ def host_rates(measured: DataFrame) -> DataFrame:
     m = F.col("K") / F.col("D")
     v = F.col("S") / F.col("D") - m * m - m * (1 - m) * F.col("H") / F.col("D")
     strength = F.when(v > 0, F.least(F.lit(10_000.0), F.greatest(F.lit(1.0), m * (1 - m) / v - 1))).otherwise(F.lit(10_000.0))
-    prior = pool.select(m.alias("m"), strength.alias("k"))  # one row
-    return by.crossJoin(F.broadcast(prior)).select("host", "docs", "failed", ((F.col("failed") + F.col("m") * F.col("k")) / (F.col("docs") + F.col("k"))).alias("rate"))
+    prior = pool.select(F.lit(0).alias("all"), m.alias("m"), strength.alias("k"))  # one row
+    return by.withColumn("all", F.lit(0)).join(F.broadcast(prior), "all").select("host", "docs", "failed", ((F.col("failed") + F.col("m") * F.col("k")) / (F.col("docs") + F.col("k"))).alias("rate"))
 
 
 def judge(docs: DataFrame, max_rate: float = 0.5, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
