@@ -91,8 +91,12 @@ def segments(toxic: list[bytes], ordinary: list[bytes], most: int = 64, sizes: t
     n1, n0 = len(toxic), len(ordinary)
     grams: list[tuple[float, bytes]] = []
     for n in sizes:
-        found, c1 = np.unique(np.concatenate([np.unique(_rolled(b, n)) for b in toxic]), return_counts=True)
-        found, c1 = found[c1 >= least_docs], c1[c1 >= least_docs].astype(float)
+        every = np.concatenate([np.unique(_rolled(b, n)) for b in toxic])
+        every.sort()  # in place: the driver's memory is small
+        start = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.zeros(0, np.int64)
+        count = np.diff(np.r_[start, len(every)])
+        found, c1 = every[start[count >= least_docs]], count[count >= least_docs].astype(float)
+        del every, start, count
         c0 = np.zeros(len(found))
         for b in ordinary:
             own = np.unique(_rolled(b, n))
