@@ -29,15 +29,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _kept(docs, crf.score(docs, quality_model(spark, sf_dir)), F.col("score") >= 0.5)
 
 
-#: 384-bit fingerprints of five-word shingles: a cosine of 0.889, which is a Jaccard similarity of 0.8 of two equally large
-#: sets, is an angle of 0.151 half-turns and so 58 differing bits on average, give or take 7. Pairs at 0.8 share one of the
-#: 30 blocks of 12 bits all but surely (1 - (1 - 0.849 ** 12) ** 30 = 0.99). Unrelated texts differ in 192 bits.
-NEAR = {"shingle_words": 5, "longs": 6, "radius": 64, "bits": 12}
+#: A Jaccard similarity of 0.8 on sets of five-word shingles, decided exactly. 512-bit fingerprints give the candidates: 0.8
+#: of two equally large sets is a cosine of 0.889, an angle of 0.151 half-turns and so 78 differing bits on average, give or
+#: take 8; the radius is three deviations above. Pairs at 0.8 share one of the 40 blocks of 12 bits all but surely
+#: (1 - (1 - 0.849 ** 12) ** 40 = 0.998).
+NEAR = {"least": 0.8, "shingle_words": 5, "longs": 8, "radius": 104, "bits": 12}
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates. Of repeated rows (one id, one text) one stays; a row without an id is never dropped for another."""
-    found = simhash.near_duplicates(docs, **NEAR)
+    found = simhash.near_copies(docs, **NEAR)
     lost = found.where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id")).distinct()
     kept = docs.join(lost, "doc_id", "left_anti")
     again = found.where("id IS NOT NULL").groupBy(F.col("id").alias("doc_id")).agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1").select("doc_id")

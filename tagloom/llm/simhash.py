@@ -4,11 +4,14 @@ Fingerprints within a radius r agree in one of r + 1 blocks of bits, so tiles ar
 within the radius meets in a tile, and the comparison in tiles is exact. In a tile rows are sorted by population count
 and compared only with rows whose counts are within the radius. Tiles over `tile_rows` are cut by a hash of the
 fingerprint, and each pair of cuts is a task of its own. A tile returns a spanning forest of its links, not all pairs.
+
+`near_copies` takes wide fingerprints for candidates only: each is confirmed by the exact similarity of the shingle sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -20,17 +23,12 @@ from tagloom.llm.common import mapper, shuffle_partitions, staged, u64
 from tagloom.llm.components import connected_components
 
 
-def simhash(text: str | None, shingle_words: int = 3, seed: int = 42, longs: int = 1) -> np.ndarray:
-    """The fingerprint of a text as `longs` signed 64-bit numbers.
-
-    A-Z are lower-cased; words are runs of non-white-space (ASCII); shingles count as often as they occur; fewer words
-    than a shingle make one shingle; null, empty and blank texts give zeros. A bit is 1 if set in over half the hashes.
-    The first number is of the shingles' XXH64; each further one is of those hashes, mixed again.
-    """
+def shingle_hashes(text: str | None, shingle_words: int = 3, seed: int = 42) -> np.ndarray:
+    """XXH64 of each shingle of a text, as often as it occurs."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     n = len(words)
     if n == 0:
-        return np.zeros(longs, np.int64)
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if n <= shingle_words:
         h = np.array([xxhash.xxh64_intdigest(joined, seed)], dtype=np.uint64)
@@ -39,6 +37,13 @@ def simhash(text: str | None, shingle_words: int = 3, seed: int = 42, longs: int
         ends = np.cumsum(sizes + 1) - 1
         digest = xxhash.xxh64_intdigest
         h = np.array([digest(joined[i:j], seed) for i, j in zip((ends - sizes)[: n - shingle_words + 1].tolist(), ends[shingle_words - 1 :].tolist(), strict=True)], dtype=np.uint64)
+    return h
+
+
+def folded(h: np.ndarray, longs: int = 1) -> np.ndarray:
+    """The fingerprint, as `longs` signed numbers, of shingles with these hashes."""
+    if len(h) == 0:
+        return np.zeros(longs, np.int64)
     out = []
     for k in range(longs):
         if k:
@@ -51,6 +56,16 @@ def simhash(text: str | None, shingle_words: int = 3, seed: int = 42, longs: int
     return np.array(out, np.int64)
 
 
+def simhash(text: str | None, shingle_words: int = 3, seed: int = 42, longs: int = 1) -> np.ndarray:
+    """The fingerprint of a text as `longs` signed 64-bit numbers.
+
+    A-Z are lower-cased; words are runs of non-white-space (ASCII); shingles count as often as they occur; fewer words
+    than a shingle make one shingle; null, empty and blank texts give zeros. A bit is 1 if set in over half the hashes.
+    The first number is of the shingles' XXH64; each further one is of those hashes, mixed again.
+    """
+    return folded(shingle_hashes(text, shingle_words, seed), longs)
+
+
 def simhash64(text: str | None, shingle_words: int = 3, seed: int = 42) -> int:
     return int(simhash(text, shingle_words, seed)[0])
 
@@ -212,5 +227,146 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(of, names).select("id", *names, "component")
 
 
+def shingle_set(text: str | None, shingle_words: int) -> set[bytes]:
+    """The distinct shingles themselves, by the rules of `simhash`."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return {b" ".join(words[i : i + shingle_words]) for i in range(max(1, len(words) - shingle_words + 1))} if words else set()
+
+
+def _set_name(h: np.ndarray) -> int:
+    """A signed 64-bit name of a sorted set of hashes; different sets share one with a probability of 2 ** -64."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())).view(np.int64))
+
+
+def tile_pairs(tile: np.ndarray, side: np.ndarray, two: np.ndarray, n: np.ndarray, part: np.ndarray, x: np.ndarray, radius: int, least: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (as row numbers) of whole tiles within the radius, of different parts, whose sizes n allow a similarity of `least`; rows are sorted by (tile, n)."""
+    if len(tile) == 0:
+        return
+    starts = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
+    mixed = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
+    i = np.flatnonzero(np.repeat(mixed, np.diff(np.r_[starts, len(tile)])))
+    shift = 1
+    while len(i):
+        i = i[i + shift < len(tile)]
+        j = i + shift
+        i = i[(tile[j] == tile[i]) & (least.denominator * n[i] >= least.numerator * n[j])]  # sizes ascend: once out of reach, always
+        a = i[(part[i] != part[i + shift]) & (~two[i] | (side[i] != side[i + shift]))]
+        a = a[np.bitwise_count(x[a] ^ x[a + shift]).sum(axis=1, dtype=np.int32) <= radius]
+        if len(a):
+            yield a, a + shift
+        shift += 1
+
+
+def candidates(nodes: DataFrame, radius: int, longs: int, bits: int, least: Fraction, tile_rows: int = 2048) -> DataFrame:
+    """(a, b): all pairs of nodes (node, part, n, w0, ...) of different parts that share a block, are within the radius and have sizes n that allow `least`; a pair may repeat."""
+    names = names_of(longs)
+    key = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft(names[w], 64 - at - wide), 64 - wide).alias("value")) for i, (w, at, wide) in enumerate(blocks_of(longs, radius, bits))])
+    # at most one row for each value of each block, however many nodes there are
+    big = nodes.select(F.explode(key).alias("k")).groupBy("k.block", "k.value").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > tile_rows)
+    rows = nodes.select("node", "part", "n", *names, F.explode(key).alias("k")).select("node", "part", "n", *names, "k.block", "k.value")
+    cut = rows.join(F.broadcast(big), ["block", "value"], "left").withColumn("cuts", F.ceil(F.coalesce("rows", F.lit(1)) / tile_rows).cast("int"))
+    cut = cut.withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    tiles = cut.select(
+        F.xxhash64("block", "value", F.least("cut", "other"), F.greatest("cut", "other")).alias("tile"),
+        (F.col("cut") > F.col("other")).cast("int").alias("side"),
+        (F.col("cut") != F.col("other")).alias("two"),
+        "node",
+        "part",
+        "n",
+        *names,
+    )
+    dealt = tiles.repartition(shuffle_partitions(nodes.sparkSession), "tile").sortWithinPartitions("tile", "n")
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.array([], t) for t in (np.int64, np.int64, bool, *[np.int64] * (longs + 3))]
+        for batch in _then_none(batches):
+            if batch is not None:
+                kept = [np.concatenate([k, batch.column(i).to_numpy(zero_copy_only=False)]) for i, k in enumerate(kept)]
+                if len(kept[0]) == 0:
+                    continue
+                whole = int(np.flatnonzero(kept[0] == kept[0][-1])[0])  # the last tile may go on in the next batch
+            else:
+                whole = len(kept[0])
+            if whole:
+                tile, side, two, node, part, n, *words = (k[:whole] for k in kept)
+                for i, j in tile_pairs(tile, side, two, n, part, np.stack([u64(w) for w in words], axis=1), radius, least):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], schema=out)
+                kept = [k[whole:] for k in kept]
+
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+#: Stands for a null id in joins.
+NO_ID = -(1 << 63)
+
+
+def confirmed(rows: DataFrame, distinct: DataFrame, pairs: DataFrame, shingle_words: int, least: Fraction) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a Jaccard similarity of at least `least`, compared shingle by shingle; rows: (id, text); distinct: (node, lead)."""
+    pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
+    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+    leads = distinct.join(ends, "node", "left_semi").select(F.coalesce("lead", F.lit(NO_ID)).alias("key")).distinct()
+    named = pa.schema([("node", pa.int64()), ("text", pa.string())])
+
+    def name(batch: pa.RecordBatch) -> dict:
+        return {"node": [_set_name(np.unique(shingle_hashes(t, shingle_words))) for t in batch.column("text").to_pylist()], "text": batch.column("text")}
+
+    wanted = rows.withColumn("key", F.coalesce("id", F.lit(NO_ID))).join(leads, "key", "left_semi").select("text")
+    texts = staged(wanted.mapInArrow(mapper(named, "text", name), "node long, text string").join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(batch: pa.RecordBatch) -> dict:
+        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+        left, right = batch.column("left"), batch.column("right")
+        got: dict[str, list] = {"a": [], "b": []}
+        last: list = [None, None, None, None]  # a, its set, b, its set
+        for k, (i, j) in enumerate(zip(a, b, strict=True)):
+            if last[0] != i:
+                last[:2] = i, shingle_set(left[k].as_py(), shingle_words)
+            if last[2] != j:
+                last[2:] = j, shingle_set(right[k].as_py(), shingle_words)
+            common = len(last[1] & last[3])
+            if least.denominator * common >= least.numerator * (len(last[1]) + len(last[3]) - common):
+                got["a"].append(i)
+                got["b"].append(j)
+        return got
+
+    return staged(both.select("a", "b", "left", "right").mapInArrow(mapper(out, "left", compare), "a long, b long"), "links")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, shingle_words: int = 5, longs: int = 8, radius: int = 104, bits: int = 12, tile_rows: int = 2048) -> DataFrame:
+    """(id, component): the smallest id that chains of pairs with a Jaccard similarity of at least `least` reach from each row.
+
+    Similarity is that of the sets of shingles. Texts with equal sets are one node. Fingerprints of the sets give
+    candidates, and the texts confirm each: no pair below `least` links. Two rounds keep large families of copies from
+    making all their pairs: the first takes a forest of the closest candidates, the second all candidates between what
+    the first has left apart. Null texts count as empty, and empty texts are copies of each other. Ids as in
+    `near_duplicates`.
+    """
+    names = names_of(longs)
+    exact = Fraction(least).limit_denominator(1000)
+    schema = pa.schema([("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), *[(w, pa.int64()) for w in names]])
+
+    def make(batch: pa.RecordBatch) -> dict:
+        sets = [np.unique(shingle_hashes(t, shingle_words)) for t in batch.column("text").to_pylist()]
+        found = np.array([folded(h, longs) for h in sets]).reshape(-1, longs)
+        return {"id": batch.column("id"), "node": [_set_name(h) for h in sets], "n": [len(h) for h in sets]} | {w: found[:, k] for k, w in enumerate(names)}
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    prints = staged(rows.mapInArrow(mapper(schema, "text", make), ", ".join(f"{x} long" for x in schema.names)), "simhash")
+    distinct = staged(prints.groupBy("node").agg(F.min("id").alias("lead"), F.first("n").alias("n"), *[F.first(w).alias(w) for w in names]), "distinct")
+    close = links(distinct.select("node", "w0", "w1"), 12, tile_rows, 2, bits)
+    sure = confirmed(rows, distinct, close, shingle_words, exact)
+    parts = connected_components(sure).withColumnRenamed("root", "part")
+    nodes = distinct.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    rest = confirmed(rows, distinct, candidates(nodes, radius, longs, bits, exact, tile_rows), shingle_words, exact)
+    roots = connected_components(sure.unionAll(rest))
+    linked = staged(roots.join(distinct, "node").select("node", "root", "lead"), "linked")
+    leads = linked.groupBy("root").agg(F.min("lead").alias("component"))
+    of = distinct.join(linked.join(leads, "root").select("node", "component"), "node", "left").select("node", F.coalesce("component", "lead").alias("component"))
+    return prints.select("id", "node").join(of, "node").select("id", "component")
+
+
 def hex_fingerprint(column: str):
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))

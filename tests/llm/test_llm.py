@@ -233,6 +233,52 @@ def test_simhash_wide_catches_near_copies(spark):
     assert sum(r.component != r.id for r in got) >= 57
 
 
+def similarity(a, b, k=5):
+    x, y = ({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("tile_rows", [2048, 5])
+def test_near_copies_are_confirmed(spark, tile_rows):
+    """Pairs from 0.7 to 0.9 against brute force: none below 0.8 links, nearly all others do."""
+    rng = random.Random(11)
+    rows, true, false = [], set(), 0
+    for k in range(400 if tile_rows > 5 else 40):
+        size = rng.choice([60, 200, 400])
+        a = [f"v{rng.randrange(9000)}" for _ in range(size)]
+        b = list(a)
+        at = rng.randrange(size // 2)
+        share = rng.uniform(0.7, 0.9)
+        for i in range(at, at + max(1, round(size * (1 - share) / (1 + share)) - 4)):
+            b[i] = f"x{rng.randrange(9000)}"
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+        if similarity(rows[-2][1], rows[-1][1]) >= 0.8:
+            true.add(2 * k + 1)
+        else:
+            false += 1
+    got = {r.id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), tile_rows=tile_rows).collect()}
+    linked = {i for i, c in got.items() if i != c}
+    assert len(got) == len(rows) and true and false and linked <= true and all(got[i] == i - 1 for i in linked)
+    print(f"recall {len(linked)} of {len(true)}, {false} pairs below 0.8")
+    assert len(linked) >= 0.98 * len(true)
+
+
+def test_near_copies_family_and_odd(spark, odd, none):
+    rng = random.Random(5)
+    base = [f"v{i}" for i in range(200)]
+    rows = [(1000, " ".join(base * 3))]  # a repeated text has nearly the same set
+    for k in range(60):
+        w = list(base)
+        w[rng.randrange(200)] = f"x{k}"
+        rows.append((k, " ".join(w)))
+    got = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component for r in got} == {0} and len(got) == 61
+    got = simhash.near_copies(odd).collect()
+    assert len(got) == len(ODD) and [r.component for r in got if r.id in (1, 2, None)] == [1] * 4
+    assert {r.component for r in got if r.id in (3, 4, 5)} == {3}
+    assert simhash.near_copies(none).count() == 0
+
+
 def test_simhash_odd(odd, none):
     got = simhash.near_duplicates(odd).collect()
     assert len(got) == len(ODD) and {r.component for r in got if r.id in (1, 2, None) and r.w0} == {1}
