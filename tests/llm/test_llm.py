@@ -329,6 +329,15 @@ def test_html_without_article(spark, none):
     assert html.extract(df.limit(0)).count() == 0
 
 
+def test_html_repeats_count_over_the_whole_host(spark):
+    """Each passage lies on just two pages of the host; the size of the shards must not matter."""
+    pages = [(i, f"http://h.example/{i}", f"<div>Passage {i // 2} that only two pages of this host have in common {i // 2}</div><p>Page {i} has its own words {i} {i * 7} {i * 13}</p>") for i in range(40)]
+    df = spark.createDataFrame(pages, "page_id int, url string, html string")
+    for shard_pages in (2000, 4):
+        got = {r.id: r.text for r in html.extract(df, shard_pages=shard_pages).collect()}
+        assert got == {i: f"Page {i} has its own words {i} {i * 7} {i * 13}" for i in range(40)}
+
+
 def test_suffix_array():
     rng = np.random.default_rng(4)
     for _ in range(20):
