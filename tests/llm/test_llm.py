@@ -338,6 +338,19 @@ def test_html_repeats_count_over_the_whole_host(spark):
         assert got == {i: f"Page {i} has its own words {i} {i * 7} {i * 13}" for i in range(40)}
 
 
+def test_html_copies_keep_their_text(spark):
+    """Copies of an unmarked page, equal or nearly, keep what only they share; what other pages share goes, on each host by itself."""
+    rng = random.Random(3)
+    legal = "This site uses things that we must tell you about at some length here"
+    own = [[f"w{rng.randrange(10**6)}" for _ in range(200)] for _ in range(3)]
+    near = [*own[0][:100], "edited", *own[0][101:]]
+    texts = [own[0], own[0], near, own[1], own[2]]
+    pages = [(i, f"http://h.example/{i}", f"<div>{legal}</div><p>{' '.join(t[:100])}</p><p>{' '.join(t[100:])}</p>") for i, t in enumerate(texts)]
+    pages += [(10 + i, f"http://copies.example/{i}", f"<p>{' '.join(own[0])}</p>") for i in range(3)]
+    got = {r.id: r.text for r in html.extract(spark.createDataFrame(pages, "page_id int, url string, html string")).collect()}
+    assert got == {i: " ".join(t[:100]) + "\n" + " ".join(t[100:]) for i, t in enumerate(texts)} | {10 + i: " ".join(own[0]) for i in range(3)}
+
+
 def test_suffix_array():
     rng = np.random.default_rng(4)
     for _ in range(20):
