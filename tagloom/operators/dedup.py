@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import defaultdict
+from math import floor, isfinite
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,24 +99,56 @@ def stitch(rows: DataFrame, dy: float = 30, gap: float = 120, by: str = "drawing
         return a + b[n:] if n else None
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        live = [dict(r, parts=1) for r in pdf.sort_values("id").to_dict("records")]
-        again = True
-        while again:
-            again = False
-            for i, a in enumerate(live):
-                for j, b in enumerate(live):
-                    if i == j or abs((a["y1"] + a["y2"]) - (b["y1"] + b["y2"])) / 2 > dy or not -gap <= b["x1"] - a["x2"] <= gap:
-                        continue
-                    made = join_up(a["tag"], b["tag"])
-                    if made and len(made) > max(len(a["tag"]), len(b["tag"])):
-                        a.update(tag=made, x1=min(a["x1"], b["x1"]), x2=max(a["x2"], b["x2"]), y1=min(a["y1"], b["y1"]), y2=max(a["y2"], b["y2"]), parts=a["parts"] + b["parts"], id=min(a["id"], b["id"]))
-                        del live[j]
-                        again = True
-                        break
-                if again:
-                    break
+        live: dict[int, dict] = {k: dict(r, parts=1) for k, r in enumerate(pdf.sort_values("id").to_dict("records"))}
+        # rows by the cells of their left and right ends: what fits a row's other end lies in the cells around it
+        lefts: dict[tuple, set[int]] = defaultdict(set)
+        rights: dict[tuple, set[int]] = defaultdict(set)
+
+        def cell(r: dict, x: str) -> tuple[int, int]:
+            return floor((r["y1"] + r["y2"]) / 2 / tall), floor(r[x] / wide)
+
+        def near(cells: dict[tuple, set[int]], at: tuple[int, int]) -> list[int]:
+            return sorted(k for v in (-1, 0, 1) for u in (-1, 0, 1) for k in cells.get((at[0] + v, at[1] + u), ()))
+
+        def put(k: int) -> None:
+            lefts[cell(live[k], "x1")].add(k)
+            rights[cell(live[k], "x2")].add(k)
+
+        def take(k: int) -> None:
+            lefts[cell(live[k], "x1")].discard(k)
+            rights[cell(live[k], "x2")].discard(k)
+
+        def merge(i: int, j: int) -> bool:
+            a, b = live[i], live[j]
+            if i == j or abs((a["y1"] + a["y2"]) - (b["y1"] + b["y2"])) / 2 > dy or not -gap <= b["x1"] - a["x2"] <= gap:
+                return False
+            made = join_up(a["tag"], b["tag"])
+            if not made or len(made) <= max(len(a["tag"]), len(b["tag"])):
+                return False
+            take(i)
+            take(j)
+            a.update(tag=made, x1=min(a["x1"], b["x1"]), x2=max(a["x2"], b["x2"]), y1=min(a["y1"], b["y1"]), y2=max(a["y2"], b["y2"]), parts=a["parts"] + b["parts"], id=min(a["id"], b["id"]))
+            del live[j]
+            put(i)
+            return True
+
+        placed = [k for k, r in live.items() if all(isfinite(r[c]) for c in ("x1", "y1", "x2", "y2"))]  # others fit none
+        for k in placed:
+            put(k)
+        at = 0
+        while at < len(placed):
+            i = placed[at]
+            if i not in live or not any(merge(i, j) for j in near(lefts, cell(live[i], "x2"))):
+                at += 1
+                continue
+            # of the rows before i, none fitted another but for what i has become; those after it are tried anew
+            while (first := next((h for h in near(rights, cell(live[i], "x1")) if h < i and merge(h, i)), None)) is not None:
+                i = first
+            at = bisect_left(placed, i)
+        live = list(live.values())
         return pd.DataFrame([{by: r[by], "id": r["id"], "tag": r["tag"], "parts": r["parts"]} for r in live], columns=[by, "id", "tag", "parts"])
 
+    tall, wide = max(dy, 1e-6) * 1.001, max(gap, 1e-6) * 1.001
     flat = rows.select(by, "id", "tag", *[F.col("box")[c].cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")])
     return flat.groupBy(by).applyInPandas(one, f"{by} {dict(rows.dtypes)[by]}, id {dict(rows.dtypes)['id']}, tag string, parts int")
 
@@ -122,12 +158,18 @@ def leader_clusters(rows: DataFrame, radius: float, by: str = "drawing_id") -> D
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
-        heads: list[tuple[float, float]] = []
-        out = []
+        heads: dict[tuple, list[tuple]] = defaultdict(list)  # by cells of a radius's width
+        out, n, wide = [], 0, max(radius, 1e-6) * 1.001
         for x, y in zip(pdf["cx"], pdf["cy"], strict=True):
-            k = next((k for k, (hx, hy) in enumerate(heads) if ((x - hx) ** 2 + (y - hy) ** 2) ** 0.5 < radius), len(heads))
-            if k == len(heads):
-                heads.append((x, y))
+            if not (isfinite(x) and isfinite(y)):
+                out.append(n)
+                n += 1
+                continue
+            u, v = floor(x / wide), floor(y / wide)
+            k = min((k for i in (-1, 0, 1) for j in (-1, 0, 1) for k, hx, hy in heads.get((u + i, v + j), ()) if ((x - hx) ** 2 + (y - hy) ** 2) ** 0.5 < radius), default=n)
+            if k == n:
+                heads[u, v].append((k, x, y))
+                n += 1
             out.append(k)
         return pdf[[by, "id"]].assign(cluster=out)
 

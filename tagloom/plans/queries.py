@@ -357,13 +357,13 @@ def tile_duplicates(spark, d):
 
 @query()
 def line_stitch(spark, d):
-    b = boxes(spark, d).where("tag IN ('T-1', 'T-2')").withColumn("tag", F.concat(F.lit("2IN-GV-V"), F.substring(F.col("id").cast("string"), -3, 3), F.lit("-1150")))
+    b = boxes(spark, d).withColumn("tag", F.concat(F.lit("2IN-GV-V"), F.substring(F.col("id").cast("string"), -3, 3), F.lit("-1150")))
     return dedup.stitch(b)
 
 
 @query()
 def greedy_clusters(spark, d):
-    b = boxes(spark, d).where("tag = 'T-3'")
+    b = boxes(spark, d)
     a = dedup.leader_clusters(b, 800).withColumnRenamed("cluster", "leader")
     return a.join(dedup.running_clusters(b, 800).withColumnRenamed("cluster", "running"), ["drawing_id", "id"])
 

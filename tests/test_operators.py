@@ -74,6 +74,75 @@ def test_duplicate_clusters(spark):
     assert got == {1: (1, "PRIMARY", None), 2: (2, "PRIMARY", None), 3: (1, "DISCARDED", 1), 4: (4, "PRIMARY", None), 5: (4, "DISCARDED", 4), 6: (6, "PRIMARY", None)}
 
 
+def plain_stitch(rows, dy=30, gap=120):
+    """The first pair that fits, in order of id, is joined; then all pairs are tried anew."""
+
+    def made(a, b):
+        if b[1] in a[1] or a[1] in b[1]:
+            return max(a[1], b[1], key=len)
+        n = next((n for n in range(min(len(a[1]), len(b[1])), 3, -1) if a[1][-n:] == b[1][:n]), 0)
+        return a[1] + b[1][n:] if n else ""
+
+    live = [[i, tag, x1, y1, x2, y2, 1] for i, tag, x1, y1, x2, y2 in sorted(rows)]
+    while True:
+        fit = next(((i, j) for i, a in enumerate(live) for j, b in enumerate(live) if i != j and abs((a[3] + a[5]) - (b[3] + b[5])) / 2 <= dy and -gap <= b[2] - a[4] <= gap and len(made(a, b)) > max(len(a[1]), len(b[1]))), None)
+        if fit is None:
+            return {r[0]: (r[1], r[6]) for r in live}
+        a, b = live[fit[0]], live[fit[1]]
+        a[:] = [min(a[0], b[0]), made(a, b), min(a[2], b[2]), min(a[3], b[3]), max(a[4], b[4]), max(a[5], b[5]), a[6] + b[6]]
+        del live[fit[1]]
+
+
+def plain_leaders(points, radius):
+    heads, out = [], {}
+    for i, x, y in sorted(points):
+        k = next((k for k, (u, v) in enumerate(heads) if ((x - u) ** 2 + (y - v) ** 2) ** 0.5 < radius), len(heads))
+        heads += [(x, y)] if k == len(heads) else []
+        out[i] = k
+    return out
+
+
+def plain_running(points, radius):
+    out, k, own = {}, -1, []
+    for x, i, y in sorted((x, i, y) for i, x, y in points):
+        if own and ((x - sum(p[0] for p in own) / len(own)) ** 2 + (y - sum(p[1] for p in own) / len(own)) ** 2) ** 0.5 <= radius:
+            own.append((x, y))
+        else:
+            k, own = k + 1, [(x, y)]
+        out[i] = k
+    return out
+
+
+def test_stitch_and_clusters_against_plain_python(spark):
+    rng = random.Random(7)
+    rows = []
+    for d in range(12):
+        for i in range(70):
+            x, y, at = rng.randrange(0, 900), rng.randrange(-60, 60), rng.randrange(0, 12)
+            rows.append((d, i, "ABABCABCABCDABCDEABCDEF"[at : at + rng.randrange(5, 9)], x, y, x + rng.randrange(10, 200), y + rng.randrange(5, 40)))
+    df = spark.createDataFrame(rows, "drawing_id int, id long, tag string, x1 int, y1 int, x2 int, y2 int").select("drawing_id", "id", "tag", F.struct("x1", "y1", "x2", "y2").alias("box"))
+    stitched, leaders, running = ({}, {}, {})
+    for r in dedup.stitch(df).collect():
+        stitched.setdefault(r.drawing_id, {})[r.id] = (r.tag, r.parts)
+    for f, into in ((dedup.leader_clusters, leaders), (dedup.running_clusters, running)):
+        for r in f(df, 60).collect():
+            into.setdefault(r.drawing_id, {})[r.id] = r.cluster
+    for d in range(12):
+        own = [r[1:] for r in rows if r[0] == d]
+        assert stitched[d] == plain_stitch(own) and len(stitched[d]) < 60
+        points = [(i, (x1 + x2) / 2, (y1 + y2) / 2) for i, _, x1, y1, x2, y2 in own]
+        assert leaders[d] == plain_leaders(points, 60)
+        assert running[d] == plain_running(points, 60)
+
+
+def test_stitch_and_clusters_read_every_box(spark):
+    from tagloom.plans import queries
+
+    n = queries.boxes(spark, "/root/testdata/sf0.001").count()
+    assert queries.QUERIES["greedy_clusters"](spark, "/root/testdata/sf0.001").count() == n
+    assert queries.QUERIES["line_stitch"](spark, "/root/testdata/sf0.001").agg(F.sum("parts")).first()[0] == n
+
+
 def test_stitch(spark):
     rows = [(0, 1, "2IN-GV-V273-11", 0, 100), (0, 2, "GV-V273-11502X", 150, 260), (0, 3, "10IN-ETH-V1-C03B", 2000, 2200)]
     df = spark.createDataFrame([(d, i, tag, a, 0, b, 20) for d, i, tag, a, b in rows], "drawing_id int, id int, tag string, x1 int, y1 int, x2 int, y2 int").withColumn("box", g.box())
