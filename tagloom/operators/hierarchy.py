@@ -23,9 +23,24 @@ def ends_of(segments: DataFrame, by: list[str] = DK) -> DataFrame:
     return e.select(*by, "id", "p.end", F.struct(F.col("p.x").alias("x1"), F.col("p.y").alias("y1"), F.col("p.x").alias("x2"), F.col("p.y").alias("y2")).alias("box"))
 
 
-def pipelines(segments: DataFrame, tol: float = 25, by: list[str] = DK) -> tuple[DataFrame, DataFrame]:
+def bridges(ends: DataFrame, gap: float, equipment: DataFrame | None = None, by: list[str] = DK) -> DataFrame:
+    """(by, a, b): segments with ends (id, end, box) up to gap apart, unless a quarter point of the way lies in a box of equipment (box)."""
+    l, r = F.col("l")["box"], F.col("r")["box"]
+    dx, dy = r["x1"] - l["x1"], r["y1"] - l["y1"]
+    near = grid_join(ends, ends, gap, by=by).where((F.col("l")["id"] < F.col("r")["id"]) & (F.sqrt(dx * dx + dy * dy) <= gap))
+    pairs = near.select(*by, F.col("l")["id"].alias("a"), F.col("r")["id"].alias("b"), F.col("l")["end"].alias("ea"), F.col("r")["end"].alias("eb"), l["x1"].alias("x"), l["y1"].alias("y"), dx.alias("dx"), dy.alias("dy"))
+    if equipment is not None:
+        px, py = F.col("x") + F.col("dx") * F.col("f"), F.col("y") + F.col("dy") * F.col("f")
+        ways = pairs.withColumn("f", F.explode(F.array(*[F.lit(f) for f in (0.25, 0.5, 0.75)]))).select(*by, "a", "b", "ea", "eb", F.struct(px.alias("x1"), py.alias("y1"), px.alias("x2"), py.alias("y2")).alias("box"))
+        crossed = grid_join(ways, equipment.select(*by, "box"), 0, by=by).select(*by, "l.a", "l.b", "l.ea", "l.eb").distinct()
+        pairs = pairs.join(crossed, [*by, "a", "b", "ea", "eb"], "left_anti")
+    return pairs.select(*by, "a", "b")
+
+
+def pipelines(segments: DataFrame, tol: float = 25, by: list[str] = DK, gap: float = 100, equipment: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(lines, junctions) of segments (id, seg, box). A grid point where three or more segments end, or an end meets another's
-    interior, is a junction; ends that touch elsewhere join their segments into a pipeline.
+    interior, is a junction; ends that touch elsewhere join their segments into a pipeline, and so do ends off junctions that
+    are up to gap apart, unless equipment (box) lies between.
 
     lines: (by, id, pipeline), pipelines named PL-nnnn by size; junctions: (by, junction, x, y, degree, kind)."""
     ends = ends_of(segments, by)
@@ -40,8 +55,10 @@ def pipelines(segments: DataFrame, tol: float = 25, by: list[str] = DK) -> tuple
     junctions = spots.where((F.size("ids") >= 3) | F.col("inner")).withColumn("degree", F.size("ids"))
     n = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("degree"), "gx", "gy")) - 1
     named = junctions.select(*by, numbered("JN-", n, 4).alias("junction"), (F.col("gx") * int(tol)).alias("x"), (F.col("gy") * int(tol)).alias("y"), "degree", F.when(F.col("degree") >= 4, "CROSS").otherwise("TEE").alias("kind"))
+    x0, y0 = F.col("box")["x1"], F.col("box")["y1"]
     free = touch.join(junctions.select(*by, "gx", "gy"), [*by, "gx", "gy"], "left_anti").select(*by, "a", "b")
-    of = component_of(segments.select(*by, "id"), free, "id", by)
+    loose = ends.withColumn("gx", g.snap(x0, int(tol))).withColumn("gy", g.snap(y0, int(tol))).join(junctions.select(*by, "gx", "gy"), [*by, "gx", "gy"], "left_anti").select(*by, "id", "end", "box")
+    of = component_of(segments.select(*by, "id"), free.unionAll(bridges(loose, gap, equipment, by)), "id", by)
     sizes = of.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "root")) - 1
     names = sizes.select(*by, "root", numbered("PL-", rank, 4).alias("pipeline"))

@@ -74,6 +74,24 @@ def test_duplicate_clusters(spark):
     assert got == {1: (1, "PRIMARY", None), 2: (2, "PRIMARY", None), 3: (1, "DISCARDED", 1), 4: (4, "PRIMARY", None), 5: (4, "DISCARDED", 4), 6: (6, "PRIMARY", None)}
 
 
+def test_pipelines_bridge_gaps(spark):
+    """Gaps up to 100 are bridged, longer ones and those across equipment aren't; ends at a junction stay apart."""
+    flat = [(1, 0, 0, 400, 0), (2, 480, 0, 900, 0), (3, 1010, 0, 1500, 0), (4, 0, 2000, 400, 2000), (5, 490, 2000, 900, 2000), (6, 0, 4000, 400, 4000), (7, 400, 4000, 800, 4000), (8, 400, 4000, 400, 4500), (9, 400, 4580, 400, 4900)]
+    df = spark.createDataFrame([(0, i, *map(float, c)) for i, *c in flat], "drawing_id int, id long, x0 double, y0 double, x1 double, y1 double")
+    box = F.struct(F.least("x0", "x1").alias("x1"), F.least("y0", "y1").alias("y1"), F.greatest("x0", "x1").alias("x2"), F.greatest("y0", "y1").alias("y2"))
+    seg = df.select("drawing_id", "id", F.struct("x0", "y0", "x1", "y1").alias("seg"), box.alias("box"))
+    equipment = spark.createDataFrame([(0, (430.0, 1980.0, 460.0, 2020.0))], "drawing_id int, box struct<x1: double, y1: double, x2: double, y2: double>")
+
+    def groups(**more):
+        found = {}
+        for r in hierarchy.pipelines(seg, **more)[0].collect():
+            found.setdefault(r.pipeline, set()).add(r.id)
+        return sorted(map(sorted, found.values()))
+
+    assert groups(equipment=equipment) == [[1, 2], [3], [4], [5], [6], [7], [8, 9]]
+    assert groups() == [[1, 2], [3], [4, 5], [6], [7], [8, 9]]
+
+
 def plain_stitch(rows, dy=30, gap=120):
     """The first pair that fits, in order of id, is joined; then all pairs are tried anew."""
 
