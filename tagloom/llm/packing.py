@@ -247,7 +247,7 @@ def completions(counts: dict[int, int], sizes: list[int], limit: int, most_waste
 
 
 def pack_counts(counts: dict[int, int], limit: int, max_nodes: int = 1500) -> list[tuple[Pattern, int]]:
-    """(pattern, copies) that hold every piece once. Optimal if the incumbent meets the waste bound or the search ends within max_nodes; else the best packing found."""
+    """(pattern, copies) that hold every piece once. Optimal if the incumbent meets the waste bound; else the best packing found: fillings are enumerated with cuts (see `completions`) and a pattern is applied as often as it can be."""
     counts = {s: n for s, n in counts.items() if n}
     if not counts:
         return []
