@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +125,12 @@ class Sampler:
         return out
 
 
+@lru_cache(maxsize=1)
+def sampler_of(samples: int) -> Sampler:
+    """One in a Python worker: the words that it has drawn for outlive the task, as workers are reused."""
+    return Sampler(samples)
+
+
 def to_hex(signature: np.ndarray) -> str:
     return signature.astype(">u2").tobytes().hex()
 
@@ -141,12 +148,9 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES) -> DataFrame:
     """(id, fingerprint hex) for each row; null texts count as empty, which have the fingerprint of zeros; equal texts have equal ones."""
     out = pa.schema([("id", pa.int64()), ("fingerprint", pa.string())])
-    held: list[Sampler] = []
 
     def make(batch: pa.RecordBatch) -> dict:
-        if not held:
-            held.append(Sampler(samples))
-        return {"id": batch.column("id"), "fingerprint": [to_hex(s) for s in held[0].signatures(batch.column("text").to_pylist())]}
+        return {"id": batch.column("id"), "fingerprint": [to_hex(s) for s in sampler_of(samples).signatures(batch.column("text").to_pylist())]}
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(mapper(out, "text", make), "id long, fingerprint string")
@@ -196,7 +200,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     out = pa.schema([("id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(samples)
+        sampler = sampler_of(samples)
         waiting: list[tuple[int, str]] = []  # rows of one id whose next id isn't here yet
         before = None
         mark: np.ndarray | None = None  # signatures of the waiting rows

@@ -14,6 +14,7 @@ import unicodedata
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -95,18 +96,25 @@ class WordIds:
         return [b"".join(map(ids, words)) for words in raw]
 
 
+@lru_cache(maxsize=2)
+def _encoder(tokenizer_json: str) -> WordIds:
+    """One for each tokenizer in a Python worker: the words that it has learnt outlive the task, as workers are reused."""
+    return WordIds(tokenizer_json)
+
+
+def encode_texts(tokenizer_json: str, texts: list[str | None]) -> list[bytes]:
+    return _encoder(tokenizer_json).encode_all(texts)
+
+
 def piece_table(docs: DataFrame, tokenizer_json: str, limit: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids_crc32) of every document's pieces; null texts count as empty and have the end id alone."""
     given = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
     out = pa.schema([("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
     last = np.array([end_id], dtype="<u4").tobytes()
-    held: list[WordIds] = []
 
     def make(batch: pa.RecordBatch) -> dict:
-        if not held:
-            held.append(WordIds(given.value))
         cols: dict[str, list] = {x.name: [] for x in out}
-        for doc, found in zip(batch.column("id").to_pylist(), held[0].encode_all(batch.column("text").to_pylist()), strict=True):
+        for doc, found in zip(batch.column("id").to_pylist(), encode_texts(given.value, batch.column("text").to_pylist()), strict=True):
             ids = found + last
             for k, at in enumerate(range(0, len(ids), 4 * limit)):
                 piece = ids[at : at + 4 * limit]
