@@ -9,19 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or, where it is unset, the context's checkpoint folder, made if need be."""
+    """spark.checkpoint.dir, or the context's checkpoint folder. Where both are unset, a temporary folder in local mode (as in tests) and an error on a cluster, whose machines share no local folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='tagloom-')}")
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
-def staged(df: DataFrame, label: str = "t") -> DataFrame:
-    """df written as Parquet and read back; the lineage ends there. The folder goes when the application ends."""
-    spark = df.sparkSession
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder, removed when the application ends."""
     path = f"{shared_dir(spark)}/tagloom/{label}-{uuid.uuid4().hex}"
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
+def staged(df: DataFrame, label: str = "t") -> DataFrame:
+    """df written as Parquet and read back; the lineage ends there, and lost executors take nothing with them."""
+    path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
