@@ -10,7 +10,7 @@ leaves; best-fit packings are the first incumbents. Pieces then find their place
 from __future__ import annotations
 
 import json
-import unicodedata
+import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -48,12 +48,18 @@ class WordIds:
         if normal != ["NFC", "Replace", "Lowercase"]:
             raise ValueError(f"the tokenizer normalises otherwise: {normal}")
         self.lines = regex.compile("\\n|" + cut["pattern"]["Regex"])
-        self.special = [t["content"] for t in told.get("added_tokens", [])]
+        if any("<" not in t["content"] for t in told.get("added_tokens", [])):
+            raise ValueError("a special token has no <")
+        # parts are normalised and cut already: their white space is all that is left to cut by
+        rest = [p for p in told["pre_tokenizer"]["pretokenizers"][1:]]
+        self.plain = Tokenizer.from_str(json.dumps(told | {"normalizer": None, "post_processor": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *rest]}}))
+        # words with these bytes are left to the tokenizer: "<" may begin a special token, from U+0240 on NFC, context and Unicode's version may matter
+        self.odd = re.compile(rb"[<\xc9-\xff]").search
 
     def _ids(self, parts: list[str]) -> None:
         for at in range(0, len(parts), 2000):
             some = parts[at : at + 2000]
-            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            e = self.plain.encode(" ".join(some), add_special_tokens=False)
             ids, of = np.array(e.ids, dtype="<u4"), np.array([-1 if w is None else w for w in e.word_ids])
             if len(of) and of[-1] == len(some) - 1 and (np.diff(of) >= 0).all() and len(np.unique(of)) == len(some):
                 edges = np.searchsorted(of, np.arange(len(some) + 1))
@@ -63,18 +69,15 @@ class WordIds:
                     self.parts[p] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
-        """All at once: the words, a line each, are normalised and cut together."""
-        plain: list[bytes] = []
-        texts: list[str] = []
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            if "<" in text and any(x in text for x in self.special):
-                self.words[w] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-            else:
-                plain.append(w)
-                # up to U+024F lower-casing knows no context, so Python's is the tokenizer's
-                texts.append(text.lower() if text.isascii() else unicodedata.normalize("NFC", text).lower() if max(text) < "\u0250" else self.tokenizer.normalizer.normalize_str(text))
-        flat = self.lines.findall("\n".join(texts) + "\n" * bool(texts))
+        """All at once: the words, a line each, are lower-cased and cut together."""
+        odd = list(filter(self.odd, words))
+        for at in range(0, len(odd), 2000):
+            some = odd[at : at + 2000]
+            found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
+            self.words.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(some, found, strict=True))
+        plain = list(set(words).difference(odd)) if odd else words
+        lines = b"\n".join(plain).decode().lower() + "\n" * bool(plain)
+        flat = self.lines.findall(lines)
         if len(self.parts) > self.most:
             self.parts.clear()
         self._ids([p for p in set(flat) if p != "\n" and p not in self.parts])
@@ -91,7 +94,7 @@ class WordIds:
         raw = [(t or "").encode("utf-8", "replace").split() for t in texts]
         if len(self.words) > self.most:
             self.words.clear()
-        self._learn(list({w for words in raw for w in words if w not in self.words}))
+        self._learn(list(set().union(*raw).difference(self.words)))
         ids = self.words.__getitem__
         return [b"".join(map(ids, words)) for words in raw]
 
