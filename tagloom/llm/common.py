@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -12,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.staging import new_folder, staged  # noqa: F401
+
 #: A word: a run of anything but the six ASCII white-space characters. Java regex.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -21,40 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where it is unset, one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        current = spark.sparkContext.getCheckpointDir()
-        if not current:
-            spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='tagloom-')}")
-            current = spark.sparkContext.getCheckpointDir()
-        found = current
-    return found.rstrip("/")
-
-
-def new_folder(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder, removed when the application ends."""
-    path = f"{shared_dir(spark)}/tagloom/{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return path
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = new_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -88,6 +54,22 @@ def mapper(out: pa.Schema, column: str, f: Callable[[pa.RecordBatch], dict[str,
     return run
 
 
+def appended(df: DataFrame, text_col: str, name: str, f: Callable[[list], Iterable[float]]) -> DataFrame:
+    """df with a double column `name` (one of that name, whatever the case, is replaced): f of the texts, a slice at a time. Other columns pass through as they are."""
+    names = [c for c in df.columns if c.lower() != name.lower()]
+    source = fresh(df, "__text")
+    rows = df.select(*names, F.col(text_col).cast("string").alias(source))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in small_batches(whole, source):
+                if b.num_rows:
+                    made = pa.array(np.asarray(f(b.column(source).to_pylist()), dtype=np.float64))
+                    yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], made], names=[*names, name])
+
+    return rows.mapInArrow(run, rows.select(*names).schema.add(name, "double"))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't use (whatever the case)."""
     used = {c.lower() for c in df.columns}

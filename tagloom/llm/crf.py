@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import mapper
+from tagloom.llm.common import appended, mapper
 from tagloom.llm.toxicity import logistic, prior_weights
 
 CHUNK = 1 << 20
@@ -170,7 +170,7 @@ class Model:
 
 
 def fit(texts: list[str | None], labels: list[int], prior: float | None = None, rounds: int = 120, rate: float = 0.1, ridge: float = 1e-3) -> Model:
-    """Adam on the mean log-likelihood of the chains; prior: the share of label 1 where the texts come from. Without both labels, the share of label 1 (0.5 without labels)."""
+    """Adam on the mean log-likelihood of the chains; prior: the share of label 1 where the texts come from. With one label only, every text scores 0.993 (all 1) or 0.007 (all 0); without labels 0.5."""
     x, size, count = line_figures(texts)
     wide = 3 * FIGURES
     model = Model(np.zeros(wide), np.ones(wide), np.zeros(wide), 0.0, np.zeros((2, 2)), 0.0, np.array([0.0, 0.0]))
@@ -213,8 +213,14 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
     return model
 
 
+def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
+    """docs with the probability of label 1 of each row's whole text as a further column `name`. Null texts count as empty; repeated rows and rows without an id stay; an empty table gives no rows; a column of that name is replaced."""
+    given = docs.sparkSession.sparkContext.broadcast(model)
+    return appended(docs, text_col, name, lambda texts: given.value.probability(texts))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) for each row: the probability of label 1, from the whole text. Null texts count as empty; repeated rows stay; an empty table gives no rows."""
+    """(id, score) for each row; see `with_score`."""
     out = pa.schema([("id", pa.int64()), ("score", pa.float64())])
     given = docs.sparkSession.sparkContext.broadcast(model)
 

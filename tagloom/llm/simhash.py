@@ -1,26 +1,28 @@
 """SimHash near-duplicates: fingerprints of 64 bits or more, linked by tiled numpy exclusive-or and bit counts.
 
 Fingerprints within a radius r agree in one of r + 1 blocks of bits, so tiles are laid per block value: every pair
-within the radius meets in a tile, and the comparison in tiles is exact. In a tile rows are sorted by population count
-and compared only with rows whose counts are within the radius. Tiles over `tile_rows` are cut by a hash of the
-fingerprint, and each pair of cuts is a task of its own. A tile returns a spanning forest of its links, not all pairs.
+within the radius meets in a tile, and the comparison in tiles is exact. Tiles over `tile_rows` are cut by population
+count, and only pairs of cuts whose counts are within the radius are laid at all: the others never reach the shuffle. In a
+tile rows are sorted by population count and compared only with rows within the radius. A tile returns a spanning forest
+of its links, not all pairs.
 
 `near_copies` takes wide fingerprints for candidates only: each is confirmed by the exact similarity of the shingle sets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import mapper, shuffle_partitions, staged, u64
-from tagloom.llm.components import connected_components
+from tagloom.operators.graph import components
 
 
 def shingle_hashes(text: str | None, shingle_words: int = 3, seed: int = 42) -> np.ndarray:
@@ -164,25 +166,46 @@ def blocks_of(longs: int, radius: int, bits: int | None) -> list[tuple[int, int,
     return [(w, bits * k, bits) for w in range(longs) for k in range(64 // bits)]
 
 
-def links(distinct: DataFrame, radius: int = 3, tile_rows: int = 2048, longs: int = 1, bits: int | None = None) -> DataFrame:
-    """(a, b): links between the nodes of distinct (node, w0, ...) that connect whatever is within the radius and shares a block."""
-    names = names_of(longs)
-    laid = blocks_of(longs, radius, bits)
-    key = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft(names[w], 64 - at - wide), 64 - wide).alias("value")) for i, (w, at, wide) in enumerate(laid)])
-    rows = distinct.select("node", *names, F.explode(key).alias("k")).select("node", *names, "k.block", "k.value")
-    sizes = distinct.select(F.explode(key).alias("k")).groupBy("k.block", "k.value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    cuts = F.ceil(F.col("n") / tile_rows).cast("int")
-    cut = rows.join(sizes, ["block", "value"]).withColumn("cuts", cuts).withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
-    paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    tiles = paired.select(
+def _keyed(nodes: DataFrame, laid: list[tuple[int, int, int]], *columns: str) -> DataFrame:
+    """nodes' columns with block and value, a row for each block."""
+    key = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft(f"w{w}", 64 - at - wide), 64 - wide).alias("value")) for i, (w, at, wide) in enumerate(laid)])
+    return nodes.select(*columns, F.explode(key).alias("k")).select(*columns, "k.block", "k.value")
+
+
+def tiles(rows: DataFrame, reach: int, tile_rows: int, *columns: str) -> DataFrame:
+    """(tile, side, two, columns) of rows (block, value, rank, columns): rows that share block and value and whose ranks differ by at most `reach` meet in a tile.
+
+    Up to `tile_rows` rows of one value are one tile. More are cut by rank (a rank with more rows also by a hash of the
+    node), and a tile is a cut or a pair of cuts (two; side tells them apart), only of ranks within reach. A value with one row has none.
+    """
+    sizes = rows.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # at most a row for each value of each block, however many nodes there are
+    big = F.broadcast(sizes.where(F.col("n") > tile_rows).select("block", "value"))
+    by_rank = rows.join(big, ["block", "value"]).groupBy("block", "value", "rank").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("cuts"))
+    at = Window.partitionBy("block", "value").orderBy("rank")
+    first = F.coalesce(F.sum("cuts").over(at.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cuts = by_rank.withColumn("first", first).withColumn("lo", F.min("first").over(at.rangeBetween(-reach, reach))).withColumn("hi", F.max(F.col("first") + F.col("cuts") - 1).over(at.rangeBetween(-reach, reach)))
+    cut = rows.join(sizes.select("block", "value"), ["block", "value"]).join(cuts, ["block", "value", "rank"], "left")
+    cut = cut.withColumn("cut", F.coalesce(F.col("first") + F.pmod(F.xxhash64("node"), F.col("cuts")), F.lit(0)).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.coalesce("lo", F.lit(0)).cast("int"), F.coalesce("hi", F.lit(0)).cast("int"))))
+    return cut.select(
         F.xxhash64("block", "value", F.least("cut", "other"), F.greatest("cut", "other")).alias("tile"),
         (F.col("cut") > F.col("other")).cast("int").alias("side"),
         (F.col("cut") != F.col("other")).alias("two"),
-        "node",
-        *names,
+        *columns,
     )
-    count = sum((F.bit_count(w) for w in names[1:]), F.bit_count(names[0]))
-    dealt = tiles.repartition(shuffle_partitions(distinct.sparkSession), "tile").sortWithinPartitions("tile", "side", count)
+
+
+def _ones(names: list[str]):
+    return sum((F.bit_count(w) for w in names[1:]), F.bit_count(names[0]))
+
+
+def links(distinct: DataFrame, radius: int = 3, tile_rows: int = 2048, longs: int = 1, bits: int | None = None) -> DataFrame:
+    """(a, b): links between the nodes of distinct (node, w0, ...) that connect whatever is within the radius and shares a block."""
+    names = names_of(longs)
+    rows = _keyed(distinct.withColumn("rank", _ones(names)), blocks_of(longs, radius, bits), "node", "rank", *names)
+    laid = tiles(rows, radius, tile_rows, "node", *names)
+    dealt = laid.repartition(shuffle_partitions(distinct.sparkSession), "tile").sortWithinPartitions("tile", "side", _ones(names))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +243,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = staged(fingerprints(docs, id_col, text_col, shingle_words, longs), "simhash")
     node = F.col("w0") if longs == 1 else F.xxhash64(*names)
     distinct = staged(prints.groupBy(*names).agg(F.min("id").alias("lead")).withColumn("node", node), "distinct")
-    roots = connected_components(links(distinct, radius, tile_rows, longs, bits)).withColumnRenamed("node", "n")
+    roots = components(links(distinct, radius, tile_rows, longs, bits), []).withColumnRenamed("node", "n")
     linked = staged(roots.join(distinct, F.col("n") == F.col("node")).select("node", "root", "lead"), "linked")
     leads = linked.groupBy("root").agg(F.min("lead").alias("component"))
     of = distinct.join(linked.join(leads, "root").select("node", "component"), "node", "left").select(*names, F.coalesce("component", "lead").alias("component"))
@@ -238,48 +261,73 @@ def _set_name(h: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())).view(np.int64))
 
 
-def tile_pairs(tile: np.ndarray, side: np.ndarray, two: np.ndarray, n: np.ndarray, part: np.ndarray, x: np.ndarray, radius: int, least: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs (as row numbers) of whole tiles within the radius, of different parts, whose sizes n allow a similarity of `least`; rows are sorted by (tile, n)."""
+def first_block(x: np.ndarray, laid: list[tuple[int, int, int]]) -> np.ndarray:
+    """The first block in which pairs agree, of their exclusive-ors x (as rows of numbers)."""
+    out = np.full(len(x), len(laid), np.int64)
+    for i in range(len(laid) - 1, -1, -1):
+        w, at, wide = laid[i]
+        out[(x[:, w] >> np.uint64(at)) & np.uint64((1 << wide) - 1) == 0] = i
+    return out
+
+
+def _closest(i: np.ndarray, j: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
+    """Which pairs (i, j) at distance d are among the k closest of one of their ends."""
+    end, at, far = np.r_[i, j], np.r_[np.arange(len(i)), np.arange(len(i))], np.r_[d, d]
+    order = np.lexsort((far, end))
+    e = end[order]
+    start = np.flatnonzero(np.r_[True, e[1:] != e[:-1]])
+    place = np.arange(len(e)) - np.repeat(start, np.diff(np.r_[start, len(e)]))
+    return np.unique(at[order[place < k]])
+
+
+def tile_pairs(tile: np.ndarray, side: np.ndarray, two: np.ndarray, block: np.ndarray, n: np.ndarray, part: np.ndarray, x: np.ndarray, radius: int, least: Fraction, laid: list[tuple[int, int, int]], closest: int | None = None, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (as row numbers) of whole tiles within the radius, of different parts, whose sizes n allow a similarity of `least` and that agree in no earlier block; rows are sorted by (tile, n).
+
+    closest: of each row only its so many closest pairs in the tile (a pair counts if it is that for either end).
+    """
     if len(tile) == 0:
         return
     starts = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
     mixed = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
     i = np.flatnonzero(np.repeat(mixed, np.diff(np.r_[starts, len(tile)])))
-    shift = 1
+    shift, held = 1, [np.zeros((0, 3), np.int64)]
     while len(i):
         i = i[i + shift < len(tile)]
         j = i + shift
         i = i[(tile[j] == tile[i]) & (least.denominator * n[i] >= least.numerator * n[j])]  # sizes ascend: once out of reach, always
         a = i[(part[i] != part[i + shift]) & (~two[i] | (side[i] != side[i + shift]))]
-        a = a[np.bitwise_count(x[a] ^ x[a + shift]).sum(axis=1, dtype=np.int32) <= radius]
-        if len(a):
-            yield a, a + shift
+        differ = x[a] ^ x[a + shift]
+        d = np.bitwise_count(differ).sum(axis=1, dtype=np.int32)
+        near = np.flatnonzero(d <= radius)
+        near = near[first_block(differ[near], laid) == block[a[near]]]
+        if len(near):
+            if closest is None:
+                yield a[near], a[near] + shift
+            else:
+                held.append(np.stack([a[near], a[near] + shift, d[near]], axis=1))
+                if sum(map(len, held)) > most:
+                    every = np.concatenate(held)
+                    held = [every[_closest(*every.T, closest)]]
         shift += 1
+    every = np.concatenate(held)
+    if len(every):
+        every = every[_closest(*every.T, closest)]
+        yield every[:, 0], every[:, 1]
 
 
-def candidates(nodes: DataFrame, radius: int, longs: int, bits: int, least: Fraction, tile_rows: int = 2048) -> DataFrame:
-    """(a, b): all pairs of nodes (node, part, n, w0, ...) of different parts that share a block, are within the radius and have sizes n that allow `least`; a pair may repeat."""
+def candidates(nodes: DataFrame, radius: int, longs: int, bits: int, least: Fraction, tile_rows: int = 2048, closest: int | None = None) -> DataFrame:
+    """(a, b): all pairs of nodes (node, part, n, w0, ...) of different parts that share a block, are within the radius and have sizes n that allow `least`, once each; closest: see `tile_pairs`."""
     names = names_of(longs)
-    key = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft(names[w], 64 - at - wide), 64 - wide).alias("value")) for i, (w, at, wide) in enumerate(blocks_of(longs, radius, bits))])
-    # at most one row for each value of each block, however many nodes there are
-    big = nodes.select(F.explode(key).alias("k")).groupBy("k.block", "k.value").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > tile_rows)
-    rows = nodes.select("node", "part", "n", *names, F.explode(key).alias("k")).select("node", "part", "n", *names, "k.block", "k.value")
-    cut = rows.join(F.broadcast(big), ["block", "value"], "left").withColumn("cuts", F.ceil(F.coalesce("rows", F.lit(1)) / tile_rows).cast("int"))
-    cut = cut.withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    tiles = cut.select(
-        F.xxhash64("block", "value", F.least("cut", "other"), F.greatest("cut", "other")).alias("tile"),
-        (F.col("cut") > F.col("other")).cast("int").alias("side"),
-        (F.col("cut") != F.col("other")).alias("two"),
-        "node",
-        "part",
-        "n",
-        *names,
-    )
-    dealt = tiles.repartition(shuffle_partitions(nodes.sparkSession), "tile").sortWithinPartitions("tile", "n")
+    blocks = blocks_of(longs, radius, bits)
+    step = -math.log(float(least)) * (1 + 1e-9) if least < 1 else 1e-9  # sizes that allow `least` are at most a step apart
+    ranked = nodes.withColumn("rank", F.floor(F.log(F.greatest("n", F.lit(1))) / step))
+    keyed = _keyed(ranked, blocks, "node", "part", "n", "rank", *names)
+    laid = tiles(keyed, 1, tile_rows, "block", "node", "part", "n", *names)
+    dealt = laid.repartition(shuffle_partitions(nodes.sparkSession), "tile").sortWithinPartitions("tile", "n")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.array([], t) for t in (np.int64, np.int64, bool, *[np.int64] * (longs + 3))]
+        kept = [np.array([], t) for t in (np.int64, np.int64, bool, *[np.int64] * (longs + 4))]
         for batch in _then_none(batches):
             if batch is not None:
                 kept = [np.concatenate([k, batch.column(i).to_numpy(zero_copy_only=False)]) for i, k in enumerate(kept)]
@@ -289,8 +337,8 @@ def candidates(nodes: DataFrame, radius: int, longs: int, bits: int, least: Frac
             else:
                 whole = len(kept[0])
             if whole:
-                tile, side, two, node, part, n, *words = (k[:whole] for k in kept)
-                for i, j in tile_pairs(tile, side, two, n, part, np.stack([u64(w) for w in words], axis=1), radius, least):
+                tile, side, two, block, node, part, n, *words = (k[:whole] for k in kept)
+                for i, j in tile_pairs(tile, side, two, block, n, part, np.stack([u64(w) for w in words], axis=1), radius, least, blocks, closest):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], schema=out)
                 kept = [k[whole:] for k in kept]
 
@@ -303,7 +351,6 @@ NO_ID = -(1 << 63)
 
 def confirmed(rows: DataFrame, distinct: DataFrame, pairs: DataFrame, shingle_words: int, least: Fraction) -> DataFrame:
     """The pairs (a, b) whose shingle sets have a Jaccard similarity of at least `least`, compared shingle by shingle; rows: (id, text); distinct: (node, lead)."""
-    pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
     leads = distinct.join(ends, "node", "left_semi").select(F.coalesce("lead", F.lit(NO_ID)).alias("key")).distinct()
     named = pa.schema([("node", pa.int64()), ("text", pa.string())])
@@ -335,37 +382,50 @@ def confirmed(rows: DataFrame, distinct: DataFrame, pairs: DataFrame, shingle_wo
     return staged(both.select("a", "b", "left", "right").mapInArrow(mapper(out, "left", compare), "a long, b long"), "links")
 
 
+#: How many closest candidates a node takes from a tile in the rounds before the last, which takes all.
+CLOSEST = (1, 4, 16)
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, shingle_words: int = 5, longs: int = 8, radius: int = 104, bits: int = 12, tile_rows: int = 2048) -> DataFrame:
-    """(id, component): the smallest id that chains of pairs with a Jaccard similarity of at least `least` reach from each row.
+    """(id, digest, component, first): for each row its id, a hash of its text, the smallest id that chains of pairs with a Jaccard similarity of at least `least` reach, and whether it is its component's first.
 
     Similarity is that of the sets of shingles. Texts with equal sets are one node. Fingerprints of the sets give
-    candidates, and the texts confirm each: no pair below `least` links. Two rounds keep large families of copies from
-    making all their pairs: the first takes a forest of the closest candidates, the second all candidates between what
-    the first has left apart. Null texts count as empty, and empty texts are copies of each other. Ids as in
-    `near_duplicates`.
+    candidates, and the texts confirm each: no pair below `least` links. Rounds keep large families of copies from making
+    all their pairs: each node's closest candidates are confirmed first, and only nodes with a candidate in another
+    component go on; the last round takes all candidates that are left. Null texts count as empty, and empty texts are
+    copies of each other. First is the row with the smallest (id, digest), null ids last; several rows may be, if they
+    share both. Other rules for ids as in `near_duplicates`. An empty table gives no rows; further columns aren't read.
     """
     names = names_of(longs)
     exact = Fraction(least).limit_denominator(1000)
-    schema = pa.schema([("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), *[(w, pa.int64()) for w in names]])
+    schema = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), *[(w, pa.int64()) for w in names]])
 
     def make(batch: pa.RecordBatch) -> dict:
         sets = [np.unique(shingle_hashes(t, shingle_words)) for t in batch.column("text").to_pylist()]
         found = np.array([folded(h, longs) for h in sets]).reshape(-1, longs)
-        return {"id": batch.column("id"), "node": [_set_name(h) for h in sets], "n": [len(h) for h in sets]} | {w: found[:, k] for k, w in enumerate(names)}
+        return {"id": batch.column("id"), "digest": batch.column("digest"), "node": [_set_name(h) for h in sets], "n": [len(h) for h in sets]} | {w: found[:, k] for k, w in enumerate(names)}
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("digest", F.xxhash64("text"))
     prints = staged(rows.mapInArrow(mapper(schema, "text", make), ", ".join(f"{x} long" for x in schema.names)), "simhash")
     distinct = staged(prints.groupBy("node").agg(F.min("id").alias("lead"), F.first("n").alias("n"), *[F.first(w).alias(w) for w in names]), "distinct")
-    close = links(distinct.select("node", "w0", "w1"), 12, tile_rows, 2, bits)
-    sure = confirmed(rows, distinct, close, shingle_words, exact)
-    parts = connected_components(sure).withColumnRenamed("root", "part")
-    nodes = distinct.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    rest = confirmed(rows, distinct, candidates(nodes, radius, longs, bits, exact, tile_rows), shingle_words, exact)
-    roots = connected_components(sure.unionAll(rest))
-    linked = staged(roots.join(distinct, "node").select("node", "root", "lead"), "linked")
-    leads = linked.groupBy("root").agg(F.min("lead").alias("component"))
-    of = distinct.join(linked.join(leads, "root").select("node", "component"), "node", "left").select("node", F.coalesce("component", "lead").alias("component"))
-    return prints.select("id", "node").join(of, "node").select("id", "component")
+    found = staged(links(distinct.select("node", "w0", "w1"), 12, tile_rows, 2, bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
+    sure = confirmed(rows, distinct, found, shingle_words, exact)
+    left = distinct
+    for closest in (*CLOSEST, None):
+        parts = components(sure, []).withColumnRenamed("root", "part")
+        nodes = left.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+        found = staged(candidates(nodes, radius, longs, bits, exact, tile_rows, closest).distinct(), "pairs")
+        if found.isEmpty():
+            break
+        sure = sure.unionAll(confirmed(rows, distinct, found, shingle_words, exact))
+        ends = found.select(F.col("a").alias("node")).unionAll(found.select(F.col("b").alias("node"))).distinct()
+        left = staged(left.join(ends, "node", "left_semi"), "left")
+    linked = staged(components(sure, []).join(distinct, "node").select("node", "root", "lead"), "linked")
+    of = distinct.select("node", "lead").join(linked.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    each = prints.select("id", "digest", "node").join(of.select("node", "root"), "node")
+    key = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
+    best = each.groupBy("root").agg(F.min(key).alias("best"))
+    return each.join(best, "root").select("id", "digest", F.col("best.id").alias("component"), (key == F.col("best")).alias("first"))
 
 
 def hex_fingerprint(column: str):

@@ -1,15 +1,18 @@
 """Toxicity by compression distance: windows of a text are compressed with an ordinary and with a toxic zstandard dictionary.
 
-The ordinary dictionary is trained by zstandard on windows of ordinary text. The toxic one holds the same content plus the
-segments that set toxic text apart, found by a greedy choice of byte n-grams, so the two lengths differ only where a
-window has what toxic text has and ordinary text hasn't. What a document's windows save is summed up in a few figures,
-and a logistic calibration on the training labels turns them into a probability.
+zstandard trains both: the ordinary one on windows of ordinary texts, the toxic one on what sets toxic texts apart, that is
+on runs of the words that toxic training texts hold clearly more often (see `telling_runs`). Behind the toxic content stands
+the ordinary one again, so that the two lengths differ only by what toxic text adds. Sizes and segment lengths of the toxic
+dictionary are chosen on the training texts. A window's savings are held against thresholds calibrated on ordinary windows,
+and a logistic model of the counts turns them into a probability.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import mapper
+from tagloom.llm.common import appended, mapper, staged
 
 WINDOW = 64
 LEVEL = 6
@@ -40,102 +43,93 @@ def windows(raw: bytes, width: int = WINDOW) -> list[bytes]:
     return out or [b""]
 
 
+def compressor(content: bytes) -> zstandard.ZstdCompressor:
+    d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    d.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(dict_data=d, level=LEVEL, write_content_size=False, write_dict_id=False, write_checksum=False)
+
+
+@lru_cache(maxsize=4)
+def compressors(ordinary: bytes, toxic: bytes) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
+    """Made once in a Python worker; workers are reused by later tasks."""
+    return compressor(ordinary), compressor(toxic)
+
+
 @dataclass
 class Model:
     ordinary: bytes
     toxic: bytes
+    #: Savings in bytes that one in ten, a hundred and a thousand ordinary windows pass.
+    thresholds: tuple[float, ...]
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
 
-    def compressors(self) -> list[zstandard.ZstdCompressor]:
-        out = []
-        for content in (self.ordinary, self.toxic):
-            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            out.append(zstandard.ZstdCompressor(dict_data=d, level=LEVEL, write_content_size=False, write_dict_id=False, write_checksum=False))
-        return out
+    def features(self, text: str | None) -> list[float]:
+        return features(text, compressors(self.ordinary, self.toxic), self.thresholds)
 
-    def probability(self, x: np.ndarray) -> np.ndarray:
+    def probability(self, texts: Iterable[str | None]) -> np.ndarray:
+        x = np.array([self.features(t) for t in texts]).reshape(-1, FEATURES)
         z = ((x - self.mean) / self.scale) @ self.weights[1:] + self.weights[0]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-FEATURES = 11
+QUANTILES = (0.9, 0.99, 0.999)
+FEATURES = 3 + 3 * len(QUANTILES)
 
 
-def features(text: str | None, compressors: list[zstandard.ZstdCompressor]) -> list[float]:
-    """What the toxic dictionary saves over a text's windows: the most, the next, sums over thresholds and shares of windows, and the windows' number."""
-    ordinary, toxic = compressors
-    parts = windows(lower(text))
-    saved = np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in parts], dtype=np.float64)
+def savings(text: str | None, pair: tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]) -> np.ndarray:
+    """For each window of a text, the bytes that it takes with the ordinary dictionary less those with the toxic one."""
+    ordinary, toxic = pair
+    return np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in windows(lower(text))], dtype=np.float64)
+
+
+def features(text: str | None, pair: tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor], thresholds: tuple[float, ...]) -> list[float]:
+    """The largest and second largest saving of a window, the windows' number, and for each threshold the share of windows over it and what they save beyond it (by window and by its root)."""
+    saved = savings(text, pair)
     n = len(saved)
     top = np.sort(saved)[::-1][:2]
-    over = [np.maximum(saved - t, 0).sum() for t in (0, 1, 3)]
-    at = [np.count_nonzero(saved >= t) for t in (1, 2, 4)]
-    return [top[0], top[1] if n > 1 else 0.0, *[x / n**0.5 for x in over], *[x / n for x in over[:2]], *[x / n for x in at], np.log(n)]
-
+    out = [top[0], top[1] if n > 1 else 0.0, np.log(n)]
+    for t in thresholds:
+        beyond = np.maximum(saved - t, 0).sum()
+        out += [np.count_nonzero(saved > t) / n, beyond / n, beyond / n**0.5]
+    return out
 
-def _rolled(raw: bytes, n: int) -> np.ndarray:
-    a = np.frombuffer(raw, np.uint8).astype(np.uint64)
-    m = max(0, len(a) - n + 1)
-    v = np.zeros(m, np.uint64)
-    for i in range(n):
-        v = (v << np.uint64(8)) | a[i : i + m]
-    return v
 
+def telling_runs(toxic: list[bytes], ordinary: list[bytes], words: int, least_z: float = 8.0, least_docs: int = 5) -> list[bytes]:
+    """Training samples of the toxic dictionary: each toxic text without the words that ordinary texts hold as often, cut into runs of `words` words.
 
-def segments(toxic: list[bytes], ordinary: list[bytes], most: int = 64, sizes: tuple[int, ...] = (8, 6, 5, 4), least_z: float = 6.0, least_odds: float = 1.5, least_docs: int = 5) -> list[bytes]:
-    """Byte strings that many toxic texts have and few ordinary ones, strongest first: the best n-gram by z-score, grown while
-    the texts that have it agree on what stands beside it; n-grams that overlap a chosen one are out."""
+    A word stays if at least `least_docs` toxic texts hold it and the difference of its shares among toxic and among ordinary texts is at least `least_z` standard errors.
+    """
     n1, n0 = len(toxic), len(ordinary)
-    grams: list[tuple[float, bytes]] = []
-    for n in sizes:
-        every = np.concatenate([np.unique(_rolled(b, n)) for b in toxic])
-        every.sort()  # in place: the driver's memory is small
-        start = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.zeros(0, np.int64)
-        count = np.diff(np.r_[start, len(every)])
-        found, c1 = every[start[count >= least_docs]], count[count >= least_docs].astype(float)
-        del every, start, count
-        c0 = np.zeros(len(found))
-        for b in ordinary:
-            own = np.unique(_rolled(b, n))
-            at = np.searchsorted(found, own)
-            at = at[(at < len(found))]
-            own = own[: len(at)]
-            c0[at[found[at] == own]] += 1
-        p = (c1 + c0) / (n1 + n0)
-        z = (c1 / n1 - c0 / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-        odds = np.log((c1 + 0.3) / (n1 + 1)) - np.log((c0 + 0.3) / (n0 + 1))
-        grams += [(float(z[i]) + 0.01 * n, int(found[i]).to_bytes(n, "big")) for i in np.flatnonzero((z > least_z) & (odds > least_odds))]
-    grams.sort(key=lambda x: (-x[0], x[1]))
-    out: list[bytes] = []
-    taken: set[bytes] = set()
-    for _, g in grams:
-        if len(out) >= most:
-            break
-        if any(g[k : k + 4] in taken for k in range(len(g) - 3)):
-            continue
-        has = [b for b in toxic if g in b]
-        grown = True
-        while grown and len(g) < 16:
-            grown = False
-            for before in (True, False):
-                beside = Counter()
-                for b in has:
-                    k = b.find(g)
-                    if k >= 0:
-                        beside[b[k - 1 : k] if before else b[k + len(g) : k + len(g) + 1]] += 1
-                byte, n = beside.most_common(1)[0]
-                if byte and byte != b" " and n >= 0.8 * len(has):
-                    g, grown = (byte + g if before else g + byte), True
-        if any(g[k : k + 4] in taken for k in range(len(g) - 3)):
-            continue
-        out.append(g)
-        taken.update(g[k : k + 4] for k in range(len(g) - 3))
+    c1 = Counter(w for b in toxic for w in set(b.split()))
+    c1 = {w: n for w, n in c1.items() if n >= least_docs}
+    c0 = Counter(w for b in ordinary for w in set(b.split()) if w in c1)
+    telling = set()
+    for w, n in c1.items():
+        p = (n + c0[w]) / (n1 + n0)
+        if n / n1 - c0[w] / n0 >= least_z * (p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12) ** 0.5:
+            telling.add(w)
+    out = []
+    for b in toxic:
+        left = [w for w in b.split() if w in telling]
+        out += [(b" " + b" ".join(left[i : i + words]) + b" ").ljust(8) for i in range(0, len(left), words)]
     return out
 
 
+#: Bytes of a trained dictionary that hold its entropy tables, at most about; the content follows.
+TABLES = 180
+
+
+def trained(size: int, samples: list[bytes], **how: int) -> bytes | None:
+    """The content of a dictionary that zstandard trains on the samples; None if they are too few."""
+    try:
+        raw = zstandard.train_dictionary(size, samples, **how).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return None
+    return raw[TABLES:] if len(raw) > TABLES + 64 else raw[-64:]
+
+
 def prior_weights(y: np.ndarray, prior: float | None, care: float = 1.0) -> np.ndarray:
     """Weights that give label 1 the share `prior` that it has where the sample was drawn, times `care`; all 1 without a prior."""
     share = y.mean()
@@ -160,68 +154,102 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.
 
 #: A toxic document that slips through weighs as much as this many ordinary ones that are taken for toxic.
 CARE = 2.0
+#: What is tried for the toxic dictionary: segment length, bytes, words to a sample.
+TRIED = ((16, 512, 3), (24, 1024, 2), (32, 512, 3), (32, 1024, 4))
+
+
+def _fitted(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(mean, scale, weights, weighted loss) of a logistic model."""
+    mean, scale = x.mean(0), x.std(0) + 1e-9
+    a = (x - mean) / scale
+    w = logistic(a, y, weight)
+    z = np.clip(a @ w[1:] + w[0], -30, 30)
+    return mean, scale, w, float((weight * (np.log1p(np.exp(z)) - y * z)).sum() / weight.sum())
 
 
-def fit(texts: list[str | None], labels: list[int], prior: float | None = None, dictionary_bytes: int = 8192) -> Model:
-    """A model of the given texts; prior: the share of label 1 where they come from, if the sample's is another. Without both labels it scores every text as the share of label 1 (0.5 without labels)."""
+def fit(texts: list[str | None], labels: list[int], prior: float | None = None, dictionary_bytes: int = 8192, most_windows: int = 20_000, most_tried: int = 400) -> Model:
+    """A model of the given texts; prior: the share of label 1 where they come from, if the sample's is another.
+
+    The ordinary dictionary is trained on at most `most_windows` windows, drawn with a fixed seed; the dictionaries in TRIED
+    are compared on at most `most_tried` texts of each label. With one label only, every text scores 0.993 (all 1) or 0.007
+    (all 0); without labels 0.5.
+    """
     raw = [lower(t) for t in texts]
     y = np.array(labels, dtype=float)
     toxic = list(dict.fromkeys(b for b, v in zip(raw, y, strict=True) if v == 1 and b))
     ordinary = list(dict.fromkeys(b for b, v in zip(raw, y, strict=True) if v == 0 and b))
     rng = np.random.default_rng(7)
     some = [w for b in ordinary for w in windows(b)]
-    some = [some[i] for i in rng.permutation(len(some))[:20_000]]
-    try:
-        common = zstandard.train_dictionary(dictionary_bytes, some).as_bytes()[512:]
-    except zstandard.ZstdError:  # too little text to train on
-        common = b" ".join(some)[-dictionary_bytes:]
-    marks = segments(toxic, ordinary) if toxic and ordinary else []
-    common = common.rjust(16, b" ")
-    model = Model(common, b"\n".join(reversed(marks)) + b"\n" + common, np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1))
+    some = [some[i] for i in rng.permutation(len(some))[:most_windows]]
+    common = (trained(dictionary_bytes, some) or b" ".join(some)[-dictionary_bytes:]).rjust(16, b" ")
+    plain = Model(common, common, (0.0,) * len(QUANTILES), np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1))
     if not len(y) or y.min() == y.max():
-        model.weights[0] = 0.0 if not len(y) else 5.0 * (2 * y[0] - 1)
-        return model
-    pair = model.compressors()
-    x = np.array([features(t, pair) for t in texts])
-    model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
-    model.weights = logistic((x - model.mean) / model.scale, y, prior_weights(y, prior, CARE))
-    return model
+        plain.weights[0] = 0.0 if not len(y) else 5.0 * (2 * y[0] - 1)
+        return plain
+    own = compressor(common)
+    base = np.array([len(own.compress(w)) for w in some], dtype=float)
+
+    def model_of(content: bytes) -> Model:
+        other = compressor(content + common)
+        saved = base - np.array([len(other.compress(w)) for w in some])
+        at = tuple(max(0.0, float(np.quantile(saved, q))) for q in QUANTILES) if len(saved) else (0.0,) * len(QUANTILES)
+        return Model(common, content + common, at, plain.mean, plain.scale, plain.weights)
+
+    tried = np.sort(np.concatenate([np.flatnonzero(y == v)[:most_tried] for v in (0, 1)]))
+    best, least = None, np.inf
+    for segment, size, words in TRIED:
+        content = trained(size, telling_runs(toxic, ordinary, words), k=segment, d=6) if toxic and ordinary else None
+        if content is None:
+            continue
+        model = model_of(content)
+        loss = _fitted(np.array([model.features(texts[i]) for i in tried]), y[tried], prior_weights(y[tried], None))[3]
+        if loss < least:
+            best, least = model, loss
+    if best is None:  # too little that sets toxic text apart: its texts themselves
+        best = model_of(b"\n".join(toxic)[-dictionary_bytes:].rjust(8, b" "))
+    best.mean, best.scale, best.weights, _ = _fitted(np.array([best.features(t) for t in texts]), y, prior_weights(y, prior, CARE))
+    return best
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: int = 6000, most_chars: int = 24_000_000, id_col: str = "doc_id", text_col: str = "text", share: float = 0.5) -> tuple[list, list, float | None]:
-    """(texts, labels, share of label 1 among all labelled rows): up to `most` labelled texts and about `most_chars` code points, for training: rows for which `use` holds, in the order
-    of a hash of their id; up to `share` of them have label 1. Rows with a null label are left out; of repeated ids each counts."""
+    """(texts, labels, share of label 1 among all labelled rows): up to `most` labelled texts and about `most_chars` code points, for training.
+
+    Taken are rows for which `use` holds, in the order of a hash of their id; up to `share` of them have label 1. Rows with
+    a null label are left out; of rows that share an id the text that sorts first counts. Documents are read once.
+    """
+    spark = docs.sparkSession
     marked = labels.where(F.col(label).isin(0, 1)).select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y")).distinct()
     few = marked.where(use(F.col("id"))).withColumn("h", F.xxhash64("id", F.lit(11)))
     prior = few.agg(F.avg("y")).first()[0]
     ones, zeros = (few.where(F.col("y") == v).orderBy("h", "id").limit(n) for v, n in ((1, int(most * share)), (0, most - int(most * share))))
     chosen = ones.unionAll(zeros).collect()  # at most `most` ids
-    ids = docs.sparkSession.createDataFrame([(r["id"], r["y"], r["h"]) for r in chosen], "id long, y int, h long")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
-    run = rows.select("id", "y", "h", F.length(F.coalesce("text", F.lit(""))).alias("n")).collect()  # sizes first, then the texts that fit
+    ids = spark.createDataFrame([(r["id"], r["y"], r["h"]) for r in chosen], "id long, y int, h long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(ids), "id")
+    held = staged(rows.groupBy("id", "y", "h").agg(F.min("text").alias("text")).withColumn("n", F.length("text")), "labelled")
     total, fit_ids = 0, []
-    for r in sorted(run, key=lambda r: (r["h"], r["id"])):
-        total += r["n"]
-        if total > most_chars and fit_ids:
-            total -= r["n"]
+    for r in held.select("id", "h", "n").orderBy("h", "id").collect():  # sizes first, then the texts that fit
+        if total + r["n"] > most_chars and fit_ids:
             continue
+        total += r["n"]
         fit_ids.append(r["id"])
-    got = rows.where(F.col("id").isin(fit_ids[:2000])) if len(fit_ids) <= 2000 else rows.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in fit_ids], "id long")), "id")
-    found = sorted(got.select("h", "id", "y", "text").collect(), key=lambda r: (r["h"], r["id"], r["text"] or ""))
+    fits = spark.createDataFrame([(i,) for i in set(fit_ids)], "id long")
+    found = sorted(held.join(F.broadcast(fits), "id").select("h", "id", "y", "text").collect(), key=lambda r: (r["h"], r["id"], r["y"]))
     return [r["text"] for r in found], [r["y"] for r in found], prior
 
 
+def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
+    """docs with the probability of label 1 of each row's whole text as a further column `name`. Null texts count as empty; repeated rows and rows without an id stay; an empty table gives no rows; a column of that name is replaced."""
+    given = docs.sparkSession.sparkContext.broadcast(model)
+    return appended(docs, text_col, name, lambda texts: given.value.probability(texts))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) for each row: the probability of label 1, from the whole text. Null texts count as empty; repeated rows stay; an empty table gives no rows."""
+    """(id, score) for each row; see `with_score`."""
     out = pa.schema([("id", pa.int64()), ("score", pa.float64())])
     given = docs.sparkSession.sparkContext.broadcast(model)
-    held: list = []
 
     def make(batch: pa.RecordBatch) -> dict:
-        if not held:
-            held.extend(given.value.compressors())
-        x = np.array([features(t, held) for t in batch.column("text").to_pylist()]).reshape(-1, FEATURES)
-        return {"id": batch.column("id"), "score": given.value.probability(x)}
+        return {"id": batch.column("id"), "score": given.value.probability(batch.column("text").to_pylist())}
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(mapper(out, "text", make), "id long, score double")

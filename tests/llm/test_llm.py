@@ -12,7 +12,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, common, components, crf, cws, host_rules, html, mixing, packing, queries, simhash, toxicity, warc
+from tagloom.llm import chat, common, crf, cws, host_rules, html, mixing, packing, queries, simhash, toxicity, warc
+from tagloom.operators.graph import components
 from tests.compare import connect, same
 
 SF = "/root/testdata/sf0.001"
@@ -201,7 +202,7 @@ def test_links_are_exact(spark, tile_rows):
     x = list(dict.fromkeys(int(b) ^ int(sum(1 << int(k) for k in set(rng.integers(0, 64, rng.integers(0, 6)).tolist()))) for b in base for _ in range(25)))
     signed = [v - (1 << 64) if v >> 63 else v for v in x]
     df = spark.createDataFrame([(v, v) for v in signed], "node long, w0 long")
-    got = {r.node: r.root for r in components.connected_components(simhash.links(df, 3, tile_rows)).collect()}
+    got = {r.node: r.root for r in components(simhash.links(df, 3, tile_rows), []).collect()}
     root = list(range(len(x)))
 
     def find(i):
@@ -272,13 +273,52 @@ def test_near_copies_family_and_odd(spark, odd, none):
         w[rng.randrange(200)] = f"x{k}"
         rows.append((k, " ".join(w)))
     got = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.component for r in got} == {0} and len(got) == 61
+    assert {r.component for r in got} == {0} and len(got) == 61 and [r.id for r in got if r.first] == [0]
     got = simhash.near_copies(odd).collect()
     assert len(got) == len(ODD) and [r.component for r in got if r.id in (1, 2, None)] == [1] * 4
     assert {r.component for r in got if r.id in (3, 4, 5)} == {3}
     assert simhash.near_copies(none).count() == 0
 
 
+def test_tiles_beyond_the_radius_are_never_laid(spark):
+    rng = np.random.default_rng(5)
+    x = np.unique(rng.integers(0, 1 << 47, 400, dtype=np.uint64) << np.uint64(16))  # one value of the last block for all
+    df = spark.createDataFrame([(int(v), int(v)) for v in x.astype(np.int64)], "node long, w0 long")
+    rows = df.select("node", "w0", F.lit(0).alias("block"), F.lit(0).alias("value"), F.bit_count("w0").alias("rank"))
+    laid = simhash.tiles(rows, 3, 20, "node", "w0").collect()
+    by = {}
+    for r in laid:
+        by.setdefault(r.tile, []).append(r)
+    pop = {int(v): int(v).bit_count() for v in x}
+    met = {(a.node, b.node) for g in by.values() for a, b in itertools.combinations(sorted(g, key=lambda r: r.node), 2) if not a.two or a.side != b.side}
+    assert met == {(a, b) for a, b in itertools.combinations(sorted(pop), 2) if abs(pop[a] - pop[b]) <= 3}
+    assert max(map(len, by.values())) <= 40
+
+
+def test_near_copies_in_chains_without_a_base(spark):
+    """A family whose members are mostly below 0.8 of each other, against brute force."""
+    rng = random.Random(3)
+    base = [f"v{i}" for i in range(150)]
+    rows = []
+    for k in range(70):
+        w = list(base)
+        for i in rng.sample(range(150), rng.choice([1, 2, 3])):
+            w[i] = f"x{k}-{i}"
+        rows.append((k, " ".join(w)))
+    root = list(range(70))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for (i, a), (j, b) in itertools.combinations(rows, 2):
+        if similarity(a, b) >= 0.8:
+            root[max(find(i), find(j))] = min(find(i), find(j))
+    got = {r.id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), tile_rows=16).collect()}
+    assert len({*map(find, range(70))}) > 1 and got == {i: find(i) for i in range(70)}
+
+
 def test_simhash_odd(odd, none):
     got = simhash.near_duplicates(odd).collect()
     assert len(got) == len(ODD) and {r.component for r in got if r.id in (1, 2, None) and r.w0} == {1}
@@ -536,6 +576,79 @@ def test_forward_backward_is_exact():
         at += n
 
 
+def test_toxicity_by_hand(spark):
+    """Scores recomputed in plain Python: windows, lengths by fresh compressors, thresholds, counts and the logistic model."""
+    import math
+
+    import zstandard
+
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(400)}" for _ in range(400)]
+    texts, labels = [], []
+    for k in range(240):
+        w = rng.choices(words, k=rng.randrange(10, 90))
+        if k % 3 == 0:
+            for _ in range(3):
+                w.insert(rng.randrange(len(w)), rng.choice(["vilescum", "wretchedfool", "stupidliar"]))
+        texts.append(" ".join(w))
+        labels.append(int(k % 3 == 0))
+    model = toxicity.fit(texts, labels)
+    assert model.toxic != model.ordinary and any(w in model.toxic for w in (b"vilescum", b"wretchedfool", b"stupidliar"))
+    given = ["", None, "Nothing TO see", texts[0], texts[1], "a " * 3000 + "vilescum", "é" * 500]
+
+    def size(content, part):
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=d, level=6, write_content_size=False, write_dict_id=False, write_checksum=False).compress(part))
+
+    def by_hand(text):
+        raw = (text or "").lower().encode()
+        parts, i = [], 0
+        while i < len(raw):
+            j = i + 64
+            if j < len(raw):
+                k = raw.find(b" ", j, j + 64)
+                j = k if k >= 0 else j
+            parts.append(raw[i:j])
+            i = j
+        saved = sorted((size(model.ordinary, p) - size(model.toxic, p) for p in parts or [b""]), reverse=True)
+        x = [saved[0], saved[1] if len(saved) > 1 else 0, math.log(len(saved))]
+        for t in model.thresholds:
+            beyond = sum(max(s - t, 0) for s in saved)
+            x += [sum(s > t for s in saved) / len(saved), beyond / len(saved), beyond / len(saved) ** 0.5]
+        z = model.weights[0] + sum(w * (a - m) / s for w, a, m, s in zip(model.weights[1:], x, model.mean, model.scale, strict=True))
+        return 1 / (1 + math.exp(-min(max(z, -30), 30)))
+
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r.id: r.score for r in toxicity.score(df, model).collect()}
+    assert all(abs(got[i] - by_hand(t)) < 1e-9 for i, t in enumerate(given))
+    assert np.mean([(p >= 0.5) == y for p, y in zip(model.probability(texts), labels, strict=True)]) > 0.9
+
+
+def test_quality_by_hand(spark):
+    """Scores recomputed line by line: emission, sums over all label sequences of short texts, weights by length, calibration."""
+    rng = random.Random(2)
+    good = lambda: " ".join(rng.choice(["plain", "words", "make", "sense"]) for _ in range(9))
+    bad = lambda: " ".join(rng.choice(["###", "$$!", "A|B", "99"]) for _ in range(9))
+    texts = ["\n".join(rng.choice((good, bad) if k % 4 == 0 else (good, good) if k % 2 else (bad, bad))() for _ in range(rng.randrange(1, 6))) for k in range(80)]
+    model = crf.fit(texts, [k % 2 for k in range(80)])
+    given = [texts[0], texts[1], "", None, "one\n\n###\n" + good()]
+    x, size, count = crf.line_figures(given)
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r.id: r.score for r in crf.score(df, model).collect()}
+    at = 0
+    for k, n in enumerate(count.tolist()):
+        e = [float(np.clip((x[at + i] - model.mean) / model.scale, -6, 6) @ model.weights + model.bias) for i in range(n)]
+        p, z = [0.0] * n, 0.0
+        for states in itertools.product((0, 1), repeat=n):
+            w = np.exp(sum(e[i] for i, s in enumerate(states) if s) + model.start * states[0] + sum(model.move[s, t] for s, t in itertools.pairwise(states)))
+            z += w
+            p = [a + w * s for a, s in zip(p, states, strict=True)]
+        q = min(max(sum(a / z * (size[at + i] + 1) for i, a in enumerate(p)) / sum(size[at + i] + 1 for i in range(n)), 1e-4), 1 - 1e-4)
+        want = 1 / (1 + np.exp(-(model.calibration[0] + model.calibration[1] * np.log(q / (1 - q)))))
+        assert abs(got[k] - want) < 1e-6
+        at += n
+
+
 def test_scores_odd(odd, none):
     model = toxicity.fit(["you idiot you idiot", "a fine day today", "idiot here", "nice text"] * 4, [1, 0, 1, 0] * 4)
     got = toxicity.score(odd, model).collect()
@@ -545,6 +658,9 @@ def test_scores_odd(odd, none):
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got) and crf.score(none, good).count() == 0
     for m, f in ((toxicity, toxicity.fit), (crf, crf.fit)):
         assert {round(r.score, 3) for r in m.score(odd, f([], [])).collect()} == {0.5}
+        assert {round(r.score, 3) for r in m.score(odd, f(["x", "y"], [1, 1])).collect()} == {0.993}
+    kept = toxicity.with_score(odd.withColumn("Score", F.lit("clash")), model)
+    assert kept.columns == [*odd.columns, "score"] and kept.count() == len(ODD)
 
 
 # host rules
@@ -631,6 +747,35 @@ def test_pipeline(spark):
     assert packed.where("piece = 0").count() == docs.count()
 
 
+def test_pipeline_stages_take_empty_null_and_clashing_tables(spark, odd, none):
+    import corpus_pipeline
+
+    more = odd.withColumn("score", F.lit(7)).withColumn("digest", F.lit("d")).withColumn("first", F.lit(None).cast("int")).withColumn("length", F.lit(1))
+    nulls = spark.createDataFrame([(None, None, None, None, None)] * 3, odd.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (more, nulls, none):
+            got = common.staged(stage(spark, docs, SF), "stage")
+            if name != "best-fit packing":
+                assert got.columns == docs.columns
+            assert docs is not none or got.count() == 0
+
+
+def test_pipeline_judges_rows_by_their_text(spark):
+    """Rows without an id can go; an id with two texts keeps the one that is no copy."""
+    import corpus_pipeline
+
+    words = [f"v{i}" for i in range(60)]
+    a, b = " ".join(words), " ".join(reversed(words))
+    rows = [(1, a), (5, a), (5, b), (None, a), (None, "alone " + b[::-1]), (7, b), (7, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s"))
+    kept = corpus_pipeline.one_of_each(spark, docs, SF).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept) == sorted([(False, 1, a), (False, 5, b), (True, 0, "alone " + b[::-1])])
+    model = toxicity.fit(["you idiot you idiot", "a fine day today", "idiot here", "nice text"] * 4, [1, 0, 1, 0] * 4)
+    docs = spark.createDataFrame([(None, "you idiot you idiot"), (None, "a fine day today"), (3, "nice text"), (3, "idiot here")], "doc_id long, text string")
+    left = corpus_pipeline._kept(docs, toxicity, model, lambda s: s < 0.5).collect()
+    assert sorted(r.text for r in left) == ["a fine day today", "nice text"]
+
+
 def test_pipeline_odd(spark, odd):
     import corpus_pipeline
 
