@@ -6,27 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import crf, mixing, packing, simhash, toxicity
-from tagloom.llm.common import new_folder, table
+from tagloom.llm.common import fresh, new_folder, staged, table
 from tagloom.llm.queries import quality_model, tokenizer_file, toxicity_model
 
 #: SQL can't express the models, the fingerprints or the flow.
 ORACLE_SQL = None
 
 
-def _kept(docs: DataFrame, scores: DataFrame, keep) -> DataFrame:
-    """The rows of docs whose score passes; rows with one id and different texts are scored apart, so the worst counts."""
-    decided = scores.groupBy("id").agg(F.max((~keep).cast("int")).alias("out")).where("out = 1").select(F.col("id").alias("doc_id"))
-    return docs.join(decided, "doc_id", "left_anti").select(docs.columns)
+def _kept(docs: DataFrame, module, model, keep) -> DataFrame:
+    """The rows of docs whose score passes; a row is judged by its own text alone, whatever its id."""
+    name = fresh(docs, "score")
+    return module.with_score(docs, model, name=name).where(keep(F.col(name))).select(docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression-distance classifier doesn't call toxic."""
-    return _kept(docs, toxicity.score(docs, toxicity_model(spark, sf_dir)), F.col("score") < 0.5)
+    """Documents that the compression-distance classifier doesn't call toxic (a score of 0.5 is toxic).
+
+    Null texts are scored as empty ones; rows without an id and repeated rows are scored like any other, equal texts
+    equally; an empty table gives an empty one; further columns pass through.
+    """
+    return _kept(docs, toxicity, toxicity_model(spark, sf_dir), lambda score: score < 0.5)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line-level random field calls good."""
-    return _kept(docs, crf.score(docs, quality_model(spark, sf_dir)), F.col("score") >= 0.5)
+    """Documents that the line-level random field calls good (a score of 0.5 is good). Odd rows as in `drop_toxic`."""
+    return _kept(docs, crf, quality_model(spark, sf_dir), lambda score: score >= 0.5)
 
 
 #: A Jaccard similarity of 0.8 on sets of five-word shingles, decided exactly. 512-bit fingerprints give the candidates: 0.8
@@ -37,18 +41,32 @@ NEAR = {"least": 0.8, "shingle_words": 5, "longs": 8, "radius": 104, "bits": 12}
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates. Of repeated rows (one id, one text) one stays; a row without an id is never dropped for another."""
-    found = simhash.near_copies(docs, **NEAR)
-    lost = found.where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.join(lost, "doc_id", "left_anti")
-    again = found.where("id IS NOT NULL").groupBy(F.col("id").alias("doc_id")).agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1").select("doc_id")
-    if not again.isEmpty():  # whole rows are only compared where ids repeat
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+    """The first document of each group of near-duplicates: the one with the smallest id, null ids last, then the smallest hash of the text.
+
+    Rows that share an id but not a text are documents of their own. Of repeated rows (one id, one text) one stays. Null
+    texts are empty ones, which are copies of each other. An empty table gives an empty one; further columns pass through.
+    """
+    found = staged(simhash.near_copies(docs, **NEAR), "near")
+    name = fresh(docs, "digest")
+    rows = docs.withColumn(name, F.xxhash64(F.coalesce("text", F.lit(""))))
+
+    def of(keys: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+        keys = keys.select(F.col("id").alias("__id"), F.col("digest").alias("__digest"))
+        return rows.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col(name) == F.col("__digest")), how)
+
+    kept = of(found.where(~F.col("first")).select("id", "digest").distinct(), rows, "left_anti")
+    again = found.where("first").groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "digest")
+    if not again.isEmpty():  # whole rows are only compared where they repeat
+        kept = of(again, kept, "left_anti").unionByName(of(again, kept, "left_semi").dropDuplicates(["doc_id", name]))
     return kept.select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, each as often as it takes them; of rows with one id, as often as any of them."""
+    """The documents that the mix takes, each as often as it takes them; of rows with one id (null too), as often as any of them.
+
+    Documents without words have no size and aren't taken; a null source is a source; an empty table gives an empty one;
+    further columns pass through.
+    """
     chosen, _ = mixing.mix(docs)
     times = chosen.groupBy(F.col("id").alias("__id")).agg(F.max("passes").alias("__times")).where("__times > 0")
     taken = docs.join(times, F.col("doc_id").eqNullSafe(F.col("__id")))
@@ -56,7 +74,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each piece of the packed sequences."""
+    """A row for each piece of the packed sequences. Null and empty texts have the end token alone; repeated rows and rows without an id are packed like any other; an empty table gives no rows; further columns aren't read."""
     pieces = packing.piece_table(docs, tokenizer_file())
     return packing.pack(pieces).withColumnRenamed("id", "doc_id")
 
