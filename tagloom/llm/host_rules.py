@@ -1,7 +1,9 @@
 """Quality rules whose failures are pooled by host: DataFrame functions only.
 
 Each document is measured against base rules. Failures are counted by host (domain, source), each host's rate is shrunk
-towards an empirical beta prior fitted to all hosts by moments, and the host's verdict is joined back to its documents.
+towards an empirical beta prior fitted to all hosts by moments, and the host's verdict is joined back to its documents:
+a host over `max_rate` loses all of them, and one that fails more often than all hosts together has its documents held to
+limits that are stricter in proportion (twice the rate: twice the words, half the repeats).
 """
 
 from __future__ import annotations
@@ -60,28 +62,43 @@ def base_failed(min_words: int = 20, repeat_percent: int = 30) -> Column:
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
 
 
+#: The prior counts as so many documents at most, so that a host's own record always weighs.
+MOST_STRENGTH = 100.0
+#: A host is stricter only from here on; below that its rate is the pooled one but for rounding.
+ABOVE = 1 + 1e-6
+
+
 def host_rates(measured: DataFrame) -> DataFrame:
-    """(host, docs, failed, rate): the posterior mean failure rate under a beta prior fitted to the hosts' rates.
+    """(host, docs, failed, rate, pooled): the posterior mean failure rate under a beta prior fitted to the hosts' rates, and the rate of all documents.
 
     Moments over hosts, weighted by documents: m the pooled rate, v the weighted variance of the hosts' rates less what
-    sampling alone makes; strength m(1 - m)/v - 1, between 1 and 10,000 (10,000 where the hosts don't differ).
+    sampling alone makes; strength m(1 - m)/v - 1, between 1 and MOST_STRENGTH (that where the hosts don't differ).
     """
     by = measured.groupBy("host").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("failed").cast("long")).alias("failed"))
     raw = F.col("failed") / F.col("docs")
     pool = by.agg(F.sum("docs").alias("D"), F.sum("failed").alias("K"), F.count(F.lit(1)).alias("H"), F.sum(F.col("failed") * raw).alias("S"))
     m = F.col("K") / F.col("D")
     v = F.col("S") / F.col("D") - m * m - m * (1 - m) * F.col("H") / F.col("D")
-    strength = F.when(v > 0, F.least(F.lit(10_000.0), F.greatest(F.lit(1.0), m * (1 - m) / v - 1))).otherwise(F.lit(10_000.0))
-    prior = pool.select(F.lit(0).alias("all"), m.alias("m"), strength.alias("k"))  # one row
-    return by.withColumn("all", F.lit(0)).join(F.broadcast(prior), "all").select("host", "docs", "failed", ((F.col("failed") + F.col("m") * F.col("k")) / (F.col("docs") + F.col("k"))).alias("rate"))
+    strength = F.when(v > 0, F.least(F.lit(MOST_STRENGTH), F.greatest(F.lit(1.0), m * (1 - m) / v - 1))).otherwise(F.lit(MOST_STRENGTH))
+    prior = pool.select(F.struct(m.alias("m"), strength.alias("k")).alias("prior"))  # one row, a scalar subquery
+    told = by.withColumn("prior", prior.scalar())
+    m, k = F.col("prior.m"), F.col("prior.k")
+    return told.select("host", "docs", "failed", ((F.col("failed") + m * k) / (F.col("docs") + k)).alias("rate"), m.alias("pooled"))
 
 
-def judge(docs: DataFrame, max_rate: float = 0.5, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
-    """measure() with base_failed, host_rate and kept (neither the document nor its host fails).
+def judge(docs: DataFrame, max_rate: float = 0.5, min_words: int = 20, repeat_percent: int = 30, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
+    """measure() with base_failed, host_rate, host_strict (by how much the host's limits are stricter, at least 1) and kept.
 
-    A null host is a host of its own. Repeated rows count each. An empty table gives no rows; further columns aren't read.
+    kept: not base_failed, the host's rate is at most max_rate, and the document also meets the host's limits of min_words
+    times host_strict words and repeat_percent / host_strict percent of repeats. A null host is a host of its own.
+    Repeated rows count each. An empty table gives no rows; further columns aren't read.
     """
-    measured = staged(measure(docs, text_col, id_col, host_col).withColumn("failed", base_failed()), "measures")
-    rates = host_rates(measured).select(F.col("host").alias("of"), "rate")
+    measured = staged(measure(docs, text_col, id_col, host_col).withColumn("failed", base_failed(min_words, repeat_percent)), "measures")
+    rates = host_rates(measured).select(F.col("host").alias("of"), "rate", "pooled")
     both = measured.join(rates, F.col("host").eqNullSafe(F.col("of")), "left")
-    return both.select("id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.col("failed").alias("base_failed"), F.col("rate").alias("host_rate"), (~F.col("failed") & (F.col("rate") <= max_rate)).alias("kept"))
+    strict = F.when(F.col("rate") > F.col("pooled") * ABOVE, F.col("rate") / F.col("pooled")).otherwise(F.lit(1.0))
+    both = both.withColumn("host_strict", strict)
+    short = F.col("n_words") < min_words * F.col("host_strict")
+    same = 100 * F.col("n_repeat_words") * F.col("host_strict") > repeat_percent * F.col("n_words")
+    kept = ~F.col("failed") & (F.col("rate") <= max_rate) & ~short & ~same
+    return both.select("id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.col("failed").alias("base_failed"), F.col("rate").alias("host_rate"), "host_strict", kept.alias("kept"))

@@ -69,7 +69,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("host", "host_rate")
+    return host_rules.judge(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").drop("host", "host_rate", "host_strict")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

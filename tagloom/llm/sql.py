@@ -25,10 +25,11 @@ f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS failed FR
 h AS (SELECT source, count(*)::DOUBLE AS n, sum(failed::INT)::DOUBLE AS x FROM f GROUP BY source),
 p AS (SELECT sum(n) AS dd, sum(x) / sum(n) AS mu, sum(x * x / n) / sum(n) - (sum(x) / sum(n)) ** 2
              - (sum(x) / sum(n)) * (1 - sum(x) / sum(n)) * count(*) / sum(n) AS v FROM h),
-q AS (SELECT mu, CASE WHEN v > 0 THEN least(10000, greatest(1, mu * (1 - mu) / v - 1)) ELSE 10000 END AS s FROM p),
-r AS (SELECT source, (x + mu * s) / (n + s) AS rate FROM h, q)
+q AS (SELECT mu, CASE WHEN v > 0 THEN least(100, greatest(1, mu * (1 - mu) / v - 1)) ELSE 100 END AS s FROM p),
+r AS (SELECT source, (x + mu * s) / (n + s) AS rate, mu FROM h, q),
+t AS (SELECT source, rate, CASE WHEN rate > mu * (1 + 1e-6) THEN rate / mu ELSE 1.0 END AS strict FROM r)
 SELECT f.doc_id, f.n_words::BIGINT AS n_words, f.word_chars::BIGINT AS word_chars, f.n_symbols::BIGINT AS n_symbols,
        f.n_dup_lines::BIGINT AS n_dup_lines, f.n_repeat_words::BIGINT AS n_repeat_words, f.failed AS base_failed,
-       NOT f.failed AND r.rate <= 0.5 AS kept
-FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
+       NOT f.failed AND t.rate <= 0.5 AND f.n_words >= 20 * t.strict AND 100 * f.n_repeat_words * t.strict <= 30 * f.n_words AS kept
+FROM f JOIN t ON f.source IS NOT DISTINCT FROM t.source
 """

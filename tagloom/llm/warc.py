@@ -164,31 +164,32 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     """Archives of all rows of pages in the folder `path`.
 
     Null payloads are empty. Of rows with equal payloads of at least `least_revisit` bytes the one with the largest id is
-    written whole and the others as revisits of it; repeated rows of that id are each written whole, once per row. Null
-    ids are written as null.
+    written whole and the others as revisits of it; repeated rows of that id are each written whole, once per row, and so
+    are rows without an id. Every row has a record id of its own, made of its page id (or null) and a row number, so rows
+    that share an id never share segments.
     """
     spark = pages.sparkSession
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), F.monotonically_increasing_id().alias("row"))
     size = F.octet_length("html").cast("long")
-    marks = staged(rows.select("id", "url", F.sha1(F.encode("html", "utf-8")).alias("digest"), size.alias("size")), "payloads")
+    marks = staged(rows.select("id", "row", "url", F.sha1(F.encode("html", "utf-8")).alias("digest"), size.alias("size")), "payloads")
     total = marks.agg(F.sum("size")).first()[0] or 0
     files = max(1, -(-int(total) // file_bytes))
-    kept = marks.where(F.col("size") >= least_revisit).groupBy("digest").agg(F.max("id").alias("of"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    revisits = staged(marks.join(kept, "digest").where(F.col("id") < F.col("of")).select("id", "url", "of", "digest", "size"), "revisits")
+    kept = marks.where(F.col("size") >= least_revisit).groupBy("digest").agg(F.max(F.struct("id", "row")).alias("of"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", F.col("of.id").alias("of"), F.col("of.row").alias("of_row"))
+    revisits = staged(marks.join(kept, "digest").where(F.col("id") < F.col("of")).select("id", "row", "url", "of", "of_row", "digest", "size"), "revisits")
     gone = revisits.select("id", "digest").distinct()
-    whole = rows.withColumn("digest", F.sha1(F.encode("html", "utf-8"))).join(gone, ["id", "digest"], "left_anti").select("id", "url", "html") if not revisits.isEmpty() else rows
+    whole = rows.withColumn("digest", F.sha1(F.encode("html", "utf-8"))).join(gone, ["id", "digest"], "left_anti").select("id", "row", "url", "html") if not revisits.isEmpty() else rows
     out = pa.schema([("record", pa.binary())])
-    key = lambda i: "null" if i is None else str(i)
+    key = lambda i, row: f"{'null' if i is None else i}:{row}"
 
     def responses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in small_batches(big, "html", 4 << 20):
-                made = [r for i, u, h in zip(*(b.column(c).to_pylist() for c in ("id", "url", "html")), strict=True) for r in response_records(key(i), u, h.encode("utf-8", "replace"), segment_bytes)]
+                made = [r for i, n, u, h in zip(*(b.column(c).to_pylist() for c in ("id", "row", "url", "html")), strict=True) for r in response_records(key(i, n), u, h.encode("utf-8", "replace"), segment_bytes)]
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], schema=out)
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [revisit_record(key(i), u, key(o), d, n) for i, u, o, d, n in zip(*(b.column(c).to_pylist() for c in ("id", "url", "of", "digest", "size")), strict=True)]
+            made = [revisit_record(key(i, k), u, key(o, j), d, n) for i, k, u, o, j, d, n in zip(*(b.column(c).to_pylist() for c in ("id", "row", "url", "of", "of_row", "digest", "size")), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], schema=out)
 
     # a file for each task; tasks follow the input's splits, so files stay near their size
