@@ -33,11 +33,12 @@ def confidence(det: Column, ocr: Column, geo: Column, val: Column, reg: Column,
 
 
 def legacy_confidence(det: Column, ocr: Column, geo: Column, val: Column, reg: Column) -> Column:
-    return F.round(unit(sum(LEGACY_WEIGHTS[k] * unit(c) for k, c in zip(("det", "ocr", "geo", "val", "reg"), (det, ocr, geo, val, reg), strict=True))), 4)
+    return F.round(unit(sum(LEGACY_WEIGHTS[k] * unit(c) for k, c in zip(("det", "ocr", "geo", "val", "reg"), (det, ocr, geo, val, reg), strict=True))), 3)
 
 
 def legacy_label(c: Column) -> Column:
-    return F.when(F.upper(c) == "HIGH", 0.95).when(F.upper(c) == "MEDIUM", 0.75).when(F.upper(c) == "LOW", 0.50).otherwise(0.75)
+    up = F.trim(F.upper(c))
+    return F.when(up == "HIGH", 0.95).when(up == "MEDIUM", 0.75).when(up == "LOW", 0.50).otherwise(0.75)
 
 
 def legacy_route(c: Column) -> Column:
@@ -90,18 +91,34 @@ def association_confidence(leader: Column, pipe: Column, contained: Column) -> C
 
 
 def spatial_relationship(contained: Column, gap: Column, pipe: Column) -> Column:
-    return F.when(contained, "CONTAINED_WITHIN").when(gap < 20, "ATTACHED_TO").when(pipe < 30, "CONNECTED_TO").when(pipe <= 150, "ADJACENT_TO").otherwise("ISOLATED")
+    """gap: distance to a leader line, pipe: to a pipe; null where there is none."""
+    return F.when(contained, "CONTAINED_WITHIN").when(gap < 20, "ATTACHED_TO").when(pipe < 30, "CONNECTED_TO").when((pipe <= 150) | (gap <= 150), "ADJACENT_TO").otherwise("ISOLATED")
 
 
-def project_mode(tag: Column) -> Column:
-    """By the tag's project prefix."""
-    t = F.upper(F.trim(F.coalesce(tag, F.lit(""))))
-    return F.when(t.rlike("^(LT|GT)(-|$)"), "COUNT_ONLY").otherwise("FULL_EXTRACTION")
-
-
-def revision_scope(notice: Column, revision: Column) -> Column:
-    up = F.upper(F.coalesce(notice, F.lit("")))
-    return F.when(up.contains("CLOUD"), "CLOUD_ONLY").when(F.upper(F.trim(F.coalesce(revision, F.lit("")))).isin("", "0", "A", "P1", "IFC"), "FULL_DRAWING").otherwise("CLOUD_PRIORITY")
+def project_mode(number: Column, title: Column | None = None) -> Column:
+    """By the project prefix of the drawing's number, then of its title: in each, LT or GT (counts only) come before LC or GC."""
+    case = None
+    for text in (number,) if title is None else (number, title):
+        t = F.upper(F.trim(F.coalesce(text, F.lit(""))))
+        for names, mode in ((("LT", "GT"), "COUNT_ONLY"), (("LC", "GC"), "FULL_EXTRACTION")):
+            hit = None
+            for n in names:
+                one = t.startswith(n) | t.contains(f"-{n}-")
+                hit = one if hit is None else hit | one
+            case = F.when(hit, mode) if case is None else case.when(hit, mode)
+    return case.otherwise("FULL_EXTRACTION")
+
+
+#: Revision codes of a first issue.
+FIRST_ISSUES = ("0", "A", "00", "REV0", "REVA", "P0", "IFI", "IFA", "P1", "IFR", "IFC-A", "AFC-A")
+
+
+def revision_scope(notice: Column, revision: Column, cloud_only: Column | None = None) -> Column:
+    """A notice of clouds (or the flag cloud_only) limits extraction to clouds; a first issue is read whole; any other revision takes clouds first."""
+    clouded = F.upper(F.coalesce(notice, F.lit(""))).contains("CLOUD")
+    if cloud_only is not None:
+        clouded = clouded | F.coalesce(cloud_only, F.lit(False))
+    return F.when(clouded, "CLOUD_ONLY").when(F.upper(F.trim(F.coalesce(revision, F.lit("")))).isin(*FIRST_ISSUES), "FULL_DRAWING").otherwise("CLOUD_PRIORITY")
 
 
 def applies_cloud_filter(forced_full: Column, regions: Column, scope: Column, required: Column, revision: Column) -> Column:

@@ -147,15 +147,15 @@ def discipline(canonical: Column, category: Column) -> Column:
 
 
 def legacy_discipline(tag: Column) -> Column:
-    """By tag alone, six branches."""
+    """By tag alone, the first of six rules; anything else is instrumentation."""
     t = F.upper(F.coalesce(tag, F.lit("")))
     return (
-        F.when(t.rlike('^[0-9]+(IN|")'), "PIPING")
-        .when(t.rlike("^(V-)?(BV|GV|NRV|SDV|ESDV|MOV|XV|CV)-"), "MECHANICAL")
-        .when(t.rlike("^(KM|M|MOT)-"), "ELECTRICAL")
-        .when(t.rlike("^[A-Z]-[A-Z]-?[0-9]"), "MECHANICAL")
-        .when(t.rlike("^(V-)?[FPTLAZ][A-Z]{1,3}-"), "INSTRUMENTATION")
-        .otherwise("UNKNOWN")
+        F.when(t.rlike("^(V-)?(K|KG|S)-V-"), "MECHANICAL")
+        .when(t.rlike("^(V-)?KM-V-"), "ELECTRICAL")
+        .when(t.rlike("^(V-)?V-V-"), "MECHANICAL")
+        .when(t.rlike("^(V-)?(BV|GV|RV|NRV|GLV|FCV|PCV|TCV|LCV)-"), "MECHANICAL")
+        .when(t.rlike('^[0-9]{1,2}(IN)?["-]'), "PIPING")
+        .otherwise("INSTRUMENTATION")
     )
 
 
@@ -185,17 +185,19 @@ def tag_prefix(text: Column) -> Column:
 
 
 def instrument_family(tag: Column) -> Column:
-    t = F.regexp_replace(F.upper(F.coalesce(tag, F.lit(""))), "^[V-]+", "")
-    return F.when(t.startswith("F"), "flow").when(t.startswith("P"), "pressure").when(t.startswith("T"), "temperature").when(t.startswith("L"), "level").otherwise("other")
+    """What an instrument measures, by its leading letters after V's and hyphens; any T is temperature, no known letters are null."""
+    t = F.regexp_replace(F.upper(F.coalesce(tag, F.lit(""))), "^V*-*", "")
+    return F.when(t.startswith("T"), "temperature").when(t.rlike("^(PAHH|PIT|PI)"), "pressure").when(t.rlike("^(LIT|LI)"), "level").when(t.rlike("^(FIC|FIT|FI)"), "flow")
 
 
 def loop_role(tag: Column) -> Column:
-    letters = F.regexp_extract(F.regexp_replace(F.upper(F.coalesce(tag, F.lit(""))), "^V-", ""), "^([A-Z]+)", 1)
+    """By the leading letters after V's and hyphens, the first rule that holds: C a controller, IT or a last T a transmitter, a last or early E an element, then valves."""
+    letters = F.regexp_extract(F.regexp_replace(F.upper(F.coalesce(tag, F.lit(""))), "^[V-]+", ""), "^([A-Z]+)", 1)
     return (
-        F.when(letters.rlike("^(FCV|PCV|TCV|LCV|CV|FV|PV|TV|LV|XV|SDV|ESDV|BV|GV)$"), "final_element")
-        .when(letters.contains("C"), "controller")
-        .when(letters.endswith("T"), "transmitter")
-        .when(letters.endswith("E"), "element")
+        F.when(letters.contains("C"), "controller")
+        .when(letters.rlike("IT|T$"), "transmitter")
+        .when(letters.rlike("E$|^.?E"), "element")
+        .when(letters.rlike("^(FV|FCV|PV|TV|LV|ZV|XV|BV|GV)"), "valve")
         .otherwise("other")
     )
 
@@ -206,10 +208,17 @@ def functional_location(parts: Column) -> Column:
     return F.array_join(own, ".")
 
 
-def drawing_location(number: Column) -> Column:
-    """struct(plant, area, unit) of a hyphenated drawing number."""
-    p = F.split(number, "-")
-    return F.struct(F.get(p, F.lit(1)).alias("plant"), F.array_join(F.slice(p, 3, 2), "-").alias("area"))
+def drawing_location(number: Column, sheet: Column | None = None) -> Column:
+    """struct(plant, area, unit) of a hyphenated drawing number; the unit is the sheet's number, or else the number's last part."""
+    p = F.split(F.coalesce(number, F.lit("")), "-")
+    area = F.when(F.size(p) >= 4, F.array_join(F.slice(p, 3, 2), "-")).otherwise(F.get(p, F.lit(0)))
+    unit = F.coalesce(F.nullif(sheet, F.lit("")) if sheet is not None else F.lit(None).cast("string"), F.element_at(p, -1))
+    return F.struct(F.coalesce(F.get(p, F.lit(1)), F.lit("PLANT")).alias("plant"), area.alias("area"), unit.alias("unit"))
+
+
+def names_other_drawing(text: Column) -> Column:
+    """Whether a text is a reference to another drawing rather than a tag."""
+    return F.coalesce(F.trim(text).rlike(rules.DRAWING_REFERENCES), F.lit(False))
 
 
 def overlap_concat(a: Column, b: Column, least: int = 4) -> Column:
@@ -308,16 +317,61 @@ def lenient_json(text: Column) -> Column:
     return F.when(F.try_parse_json(plain).isNotNull(), plain).otherwise(F.pandas_udf(_repaired, "string", F.PandasUDFType.SCALAR)(text))
 
 
-# Measured variable by first letter, function by following letters.
-VARIABLES = {"F": "Flow", "P": "Pressure", "T": "Temperature", "L": "Level", "A": "Analysis", "Z": "Position", "X": "Unclassified", "H": "Hand", "S": "Speed", "D": "Density", "C": "Conductivity"}
-FUNCTIONS = {"IT": "Indicating Transmitter", "CV": "Control Valve", "SV": "Safety Valve", "T": "Transmitter", "I": "Indicator", "E": "Element", "V": "Valve", "S": "Switch", "C": "Controller", "G": "Gauge", "W": "Well", "Y": "Relay", "O": "Open", "A": "Alarm"}
+# Measured variable by first letter, functions by one, two or three further letters, valves by their letters.
+VARIABLES = {
+    "A": "ANALYSIS", "B": "BURNER", "C": "CONDUCTIVITY", "D": "DENSITY", "E": "VOLTAGE", "F": "FLOW", "G": "GAUGING", "H": "HAND",
+    "I": "CURRENT", "K": "TIME", "L": "LEVEL", "M": "MOISTURE", "P": "PRESSURE", "Q": "QUANTITY", "S": "SPEED", "T": "TEMPERATURE",
+    "U": "MULTIVARIABLE", "V": "VIBRATION", "W": "WEIGHT", "X": "UNCLASSIFIED", "Y": "EVENT/STATE", "Z": "POSITION",
+}
+FUNCTIONS = {
+    "I": "INDICATING", "T": "TRANSMITTER", "E": "ELEMENT", "V": "VALVE", "W": "WELL/THERMOWELL", "Y": "RELAY/CONVERTER", "A": "ALARM",
+    "H": "HIGH", "L": "LOW", "S": "SWITCH", "C": "CONTROLLER", "D": "DIFFERENTIAL", "R": "RECORDER", "X": "UNCLASSIFIED",
+    "G": "GAUGE/GLASS", "K": "CONTROL STATION",
+}
+COMBINED = {
+    "IT": "INDICATING TRANSMITTER", "AH": "ALARM HIGH", "AL": "ALARM LOW", "HH": "ALARM HIGH HIGH", "LL": "ALARM LOW LOW",
+    "SC": "SWITCH CLOSE", "SO": "SWITCH OPEN", "ZT": "POSITION TRANSMITTER", "ZY": "SOLENOID/CONVERTER", "IC": "INDICATING CONTROLLER",
+    "CV": "CONTROL VALVE", "AHH": "ALARM HIGH HIGH", "ALL": "ALARM LOW LOW",
+}
+VALVES = {
+    "BV": "BALL VALVE", "GV": "GATE VALVE", "RV": "RELIEF VALVE", "NRV": "NON-RETURN VALVE", "GLV": "GLOBE VALVE",
+    "FCV": "FLOW CONTROL VALVE", "PCV": "PRESSURE CONTROL VALVE", "TCV": "TEMPERATURE CONTROL VALVE", "LCV": "LEVEL CONTROL VALVE",
+}
+
+
+def _lookup(values: dict[str, str], key: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), key)
 
 
 def decode_tag(tag: Column) -> Column:
-    """struct(area, letters, loop, variable, functions) of an instrument tag; letters are read greedily, two before one."""
-    t = F.upper(F.trim(tag))
-    area, letters, loop = (F.regexp_extract(t, r"^(?:([A-Z])-)?([A-Z]{2,5})-?([0-9]{2,6}[A-Z]?)$", i) for i in (1, 2, 3))
-    first = F.create_map(*[F.lit(x) for kv in VARIABLES.items() for x in kv])
-    names = F.create_map(*[F.lit(x) for kv in FUNCTIONS.items() for x in kv])
-    tokens = F.regexp_extract_all(F.substr(letters, F.lit(2)), F.lit("(IT|CV|SV|[A-Z])"), F.lit(1))
-    return F.struct(area.alias("area"), letters.alias("letters"), loop.alias("loop"), F.try_element_at(first, F.left(letters, F.lit(1))).alias("variable"), F.array_join(F.transform(tokens, lambda x: F.coalesce(F.try_element_at(names, x), x)), " ").alias("functions"))
+    """struct(type, measured, function, number, description) of a tag: equipment, then valve, line, logic element and instrument, the first that fits.
+
+    An instrument's letters after the first are read greedily, three, two or one at a time; letters without a meaning are skipped."""
+    def told(kind: str, measured, function, number, description) -> Column:
+        parts = (("type", F.lit(kind)), ("measured", measured), ("function", function), ("number", number), ("description", description))
+        return F.struct(*[c.alias(n) for n, c in parts])
+
+    none, given = F.lit(""), F.coalesce(tag, F.lit(""))
+    tokens = "|".join(sorted(COMBINED, key=len, reverse=True)) + "|[A-Z]"
+
+    def of(x: Column) -> Column:
+        raw, clean = x["raw"], x["clean"]
+        valve, instrument = "^(BV|GV|RV|NRV|GLV|FCV|PCV|TCV|LCV)-?([0-9]{3,5})([A-Z]?)$", "^([A-Z]+?)-?([0-9]{2,5}[A-Z]?)$"
+        kind = _lookup(VALVES, F.regexp_extract(clean, valve, 1))
+        letters = F.regexp_extract(clean, instrument, 1)
+        first = F.left(letters, F.lit(1))
+        measured = F.coalesce(_lookup(VARIABLES, first), first)
+        found = F.transform(F.regexp_extract_all(F.substr(letters, F.lit(2)), F.lit(f"({tokens})"), F.lit(1)), lambda w: _lookup(COMBINED | FUNCTIONS, w))
+        function = F.array_join(found, " ")  # letters without a meaning are null and left out
+        return (
+            F.when(given == "", told("UNKNOWN", none, none, none, none))
+            .when(raw.rlike("^[A-Z]{1,3}-V-[0-9]{3}[A-Z]?$"), told("EQUIPMENT", none, none, F.regexp_extract(raw, "^[A-Z]{1,3}-V-([0-9]{3})", 1), raw))
+            .when(clean.rlike(valve), told("VALVE", none, kind, F.concat(F.regexp_extract(clean, valve, 2), F.regexp_extract(clean, valve, 3)), kind))
+            .when(clean.rlike("^[0-9]{1,2}[\"']?-"), told("PIPING", none, none, none, F.concat(F.lit("PIPING,"), clean)))
+            .when(clean.rlike("^I-?[0-9]{3}[A-Z]?$"), told("LOGIC", none, F.lit("INTERLOCK"), F.regexp_extract(clean, "^I-?([0-9]{3}[A-Z]?)$", 1), F.lit("INTERLOCK/LOGIC ELEMENT")))
+            .when(clean.rlike(instrument), told("INSTRUMENT", measured, function, F.regexp_extract(clean, instrument, 2), F.trim(F.concat_ws(" ", measured, function))))
+            .otherwise(told("UNKNOWN", none, none, none, given))
+        )
+
+    raw = F.trim(F.upper(given))
+    return let(F.struct(raw.alias("raw"), F.regexp_replace(raw, "^[A-Z0-9]+-(?=[A-Z]+-?[0-9])", "").alias("clean")), of)

@@ -35,14 +35,20 @@ def nms(rows: DataFrame, least: float = 0.4, same_label: float = 80, by: list[st
 
 
 def tile_duplicates(rows: DataFrame, by: list[str] = DK) -> DataFrame:
-    """Most confident first; out goes the same key overlapping by more than 0.15, or any by more than 0.55 whose texts are 0.92 alike."""
-    keyed = rows.withColumn("key", t.dedup_key(F.col("tag")))
-
-    def rival(a, b):
-        lap = g.iou(a["box"], b["box"])
-        return ((a["key"] == b["key"]) & (lap > 0.15)) | ((lap > 0.55) & (t.fuzzy_ratio(F.upper(a["tag"]), F.upper(b["tag"])) >= 0.92))
+    """Most confident first; out goes the same key overlapping by more than 0.15, or any by more than 0.55 whose texts are 0.92 alike.
 
-    return suppress(keyed, [F.desc("conf"), "id"], rival, 0, by).drop("key")
+    The built-in rules come first; only pairs of different keys that overlap enough, and whose lengths can be 0.92 alike, are compared text by text in Python."""
+    keyed = rows.withColumn("key", t.dedup_key(F.col("tag")))
+    ranked = keyed.withColumn("__rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("conf"), "id")))
+    few = ranked.select(*by, "id", "box", "key", F.upper("tag").alias("tag"), "__rank")
+    a, b = F.col("l"), F.col("r")
+    pairs = grid_join(few, few, 0, by=by).where(a["__rank"] < b["__rank"])
+    pairs = pairs.select(*by, a["id"].alias("hi"), b["id"].alias("lo"), g.iou(a["box"], b["box"]).alias("lap"), (a["key"] == b["key"]).alias("same"), a["tag"].alias("s"), b["tag"].alias("t")).where("lap > 0.15")
+    sure = pairs.where("same")
+    short, long = F.least(F.length("s"), F.length("t")), F.greatest(F.length("s"), F.length("t"))
+    maybe = pairs.where(F.coalesce(~F.col("same"), F.lit(True)) & (F.col("lap") > 0.55) & (2 * short >= 0.92 * (short + long)))
+    alike = maybe.where((F.col("s") == F.col("t")) | (t.fuzzy_ratio(F.col("s"), F.col("t")) >= 0.92))
+    return greedy_keep(rows, sure.select(*by, "hi", "lo").unionAll(alike.select(*by, "hi", "lo")), by=by)
 
 
 def same_tag_nearby(rows: DataFrame, distance: float, by: list[str] = DK) -> DataFrame:
@@ -51,17 +57,26 @@ def same_tag_nearby(rows: DataFrame, distance: float, by: list[str] = DK) -> Dat
 
 
 def duplicate_pairs(rows: DataFrame, exact_distance: float = 60, overlap: float = 0.20, by: list[str] = DK) -> DataFrame:
-    """(by, a, b): pairs that show one physical tag: the same key close by, a long key inside another within 300, a confusable key that
-    overlaps or lies within 120, or a blank tag that overlaps by half. Blocked by the grid at the widest of these distances."""
-    keyed = rows.withColumn("key", t.dedup_key(F.col("tag"))).withColumn("fold", t.fold_confusable(F.col("key")))
-    pairs = grid_join(keyed.select(*by, "id", "box", "key", "fold"), keyed.select(*by, "id", "box", "key", "fold"), 300, by=by).where(F.col("l")["id"] < F.col("r")["id"])
+    """(by, a, b): pairs that show one physical tag: the same key close by, a long key inside another within 300, a confusable key whose
+    symbols or tags overlap or that lies within 120, or a blank tag whose symbol or tag overlaps by half. rows: (id, box, tag) and, if
+    there is one, tag_box (null: the symbol's box). Two passes of the grid: symbols up to 300 apart, and tags that touch."""
+    own = F.coalesce("tag_box", "box") if "tag_box" in rows.columns else F.col("box")
+    keyed = rows.withColumn("key", t.dedup_key(F.col("tag"))).withColumn("fold", t.fold_confusable(F.col("key"))).select(*by, "id", "box", "key", "fold", own.alias("tag_box"))
     a, b = F.col("l"), F.col("r")
-    lap, d = g.iou(a["box"], b["box"]), g.center_distance(a["box"], b["box"])
+    lap, d = F.greatest(g.iou(a["box"], b["box"]), g.iou(a["tag_box"], b["tag_box"])), g.center_distance(a["box"], b["box"])
     both = (a["key"] != "") & (b["key"] != "")
     exact, alike = both & (a["key"] == b["key"]), both & (a["fold"] == b["fold"])
     inside = (F.length(a["key"]) >= 6) & (F.length(b["key"]) >= 6) & (a["key"].contains(b["key"]) | b["key"].contains(a["key"]))
-    hit = (exact & (d <= exact_distance)) | (inside & (d <= 300)) | (alike & ((lap >= overlap) | (d <= 120))) | (~both & (lap >= 0.5))
-    return pairs.where(hit).select(*by, F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    hit = (exact & (d <= exact_distance)) | (inside & (d <= 300)) | ((exact | alike) & ((lap >= overlap) | (d <= 120))) | (~both & (lap >= 0.5))
+    ends = [*by, a["id"].alias("a"), b["id"].alias("b")]
+    near = grid_join(keyed, keyed, 300, by=by).where(a["id"] < b["id"]).where(hit).select(*ends)
+    if "tag_box" not in rows.columns:
+        return near
+    tags = keyed.withColumn("symbol", F.col("box")).withColumn("box", F.col("tag_box"))
+    # here box is the tag's; only overlap of tags can count for symbols farther apart
+    lap2 = g.iou(a["box"], b["box"])
+    touching = grid_join(tags, tags, 0, by=by).where(a["id"] < b["id"]).where(((exact | alike) & (lap2 >= overlap)) | (~both & (lap2 >= 0.5))).select(*ends)
+    return near.unionAll(touching).distinct()
 
 
 def resolve_duplicates(rows: DataFrame, by: list[str] = DK, **params) -> DataFrame:

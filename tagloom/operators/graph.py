@@ -128,12 +128,19 @@ def propagate(seeds: DataFrame, edges: DataFrame, by: list[str] = DK, max_rounds
     raise RuntimeError(f"more than {max_rounds} rounds")
 
 
-def control_loops(edges: DataFrame, tags: DataFrame, most: int = 15, by: list[str] = DK) -> DataFrame:
-    """(by, loop_id, size, controllers, member_ids): components of signal edges named by size; those over `most` members are clusters, CLUSTER-nn."""
+def loop_members(edges: DataFrame, tags: DataFrame, most: int = 15, by: list[str] = DK) -> DataFrame:
+    """(by, loop_id, node, tag, role): members of the components of signal edges, which are named by size; those over `most` members are clusters, CLUSTER-nn."""
     from tagloom.functions.text import loop_role, numbered
 
-    of = components(edges, by).join(tags, [*by, "node"], "left").withColumn("role", loop_role(F.col("tag")))
-    loops = of.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("size"), F.array_sort(F.collect_list(F.when(F.col("role") == "controller", F.col("tag")))).alias("controllers"), F.array_sort(F.collect_list("node")).alias("member_ids"))
+    of = components(edges, by).join(tags, [*by, "node"], "left")
+    sizes = of.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("size"))
     kind = F.when(F.col("size") > most, "CLUSTER").otherwise("CL")
     n = F.row_number().over(Window.partitionBy(*by, kind).orderBy(F.desc("size"), "root")) - 1
-    return loops.select(*by, F.concat(kind, numbered("-", n, 2)).alias("loop_id"), "size", "controllers", "member_ids")
+    named = sizes.select(*by, "root", F.concat(kind, numbered("-", n, 2)).alias("loop_id"))
+    return of.join(named, [*by, "root"]).select(*by, "loop_id", "node", "tag", loop_role(F.col("tag")).alias("role"))
+
+
+def control_loops(edges: DataFrame, tags: DataFrame, most: int = 15, by: list[str] = DK) -> DataFrame:
+    """(by, loop_id, size, controllers, member_ids) of `loop_members`."""
+    of = loop_members(edges, tags, most, by)
+    return of.groupBy(*by, "loop_id").agg(F.count(F.lit(1)).alias("size"), F.array_sort(F.collect_list(F.when(F.col("role") == "controller", F.col("tag")))).alias("controllers"), F.array_sort(F.collect_list("node")).alias("member_ids"))

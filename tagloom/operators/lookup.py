@@ -16,9 +16,10 @@ def load_registry(rows: DataFrame, tag: str = "tag", order: str = "ord") -> Data
     return last
 
 
-def registry_join(rows: DataFrame, registry: DataFrame, tag: str = "tag", node: str = "id") -> DataFrame:
+def registry_join(rows: DataFrame, registry: DataFrame, tag: str = "tag") -> DataFrame:
     """rows with match (exact, normalised, none) and matched_key: the exact upper-case tag, else the first register row whose
-    normalised tag, or that without its area letter, is the same. registry: load_registry's."""
+    normalised tag, or that without its area letter, is the same. registry: load_registry's. A match depends on the tag alone,
+    so rows of different drawings that share an id can't take each other's."""
     key = F.upper(F.trim(F.coalesce(F.col(tag), F.lit(""))))
     exact = rows.withColumn("__key", key).join(registry.select(F.col("reg_tag").alias("__key"), F.lit(True).alias("__exact")), "__key", "left")
 
@@ -26,8 +27,8 @@ def registry_join(rows: DataFrame, registry: DataFrame, tag: str = "tag", node:
         return F.array(F.concat(F.lit("f"), t.registry_key(c)), F.concat(F.lit("p"), t.registry_key_without_area(c)))
 
     reg = registry.select("reg_tag", "reg_ord", F.explode(keys(F.col("reg_tag"))).alias("__k")).groupBy("__k").agg(F.min(F.struct("reg_ord", "reg_tag")).alias("__m"))
-    open_rows = exact.where("__exact IS NULL").select(node, F.explode(keys(F.col("__key"))).alias("__k")).join(reg, "__k").groupBy(node).agg(F.min("__m").alias("__m"))
-    out = exact.join(open_rows, node, "left")
+    open_tags = exact.where("__exact IS NULL").select("__key").distinct().select("__key", F.explode(keys(F.col("__key"))).alias("__k")).join(reg, "__k").groupBy("__key").agg(F.min("__m").alias("__m"))
+    out = exact.join(open_tags, "__key", "left")
     return out.withColumn("match", F.when(F.col("__exact"), "exact").when(F.col("__m").isNotNull(), "normalised").otherwise("none")).withColumn("matched_key", F.when(F.col("__exact"), F.col("__key")).otherwise(F.col("__m.reg_tag"))).drop("__key", "__exact", "__m")
 
 
@@ -52,12 +53,21 @@ def scope_fuzzy(rows: DataFrame, scope: DataFrame, name: str = "symbol_name", le
     return hits.groupBy("name").agg(F.max_by(F.struct("best", "score", "status"), F.struct("score", -F.col("ord"))).alias("s")).select("name", "s.best", "s.score", "s.status")
 
 
-def reconcile(model: DataFrame, ocr: DataFrame, least: float = 0.7, patch: str = "patch_id") -> DataFrame:
-    """(id, ocr_text, score): each model reading's OCR word in the same patch: the same but for case, else the best place-by-place agreement."""
-    pairs = model.select(patch, "id", "tag_text").join(ocr.select(patch, "text", "ord"), patch)
-    same = F.upper("tag_text") == F.upper("text")
-    scored = pairs.withColumn("score", F.when(same, 1.0).otherwise(t.prefix_agreement(F.upper("tag_text"), F.upper("text")))).where(same | (F.col("score") >= least))
-    return scored.groupBy("id").agg(F.max_by(F.struct("text", "score"), F.struct(same.cast("int"), "score", -F.col("ord"))).alias("s")).select("id", F.col("s.text").alias("ocr_text"), F.round("s.score", 6).alias("score"))
+def reconcile(model: DataFrame, ocr: DataFrame, least: float = 0.7, by: list[str] | None = None, node: str = "id") -> DataFrame:
+    """(by, id, ocr_text, score): each model reading's OCR word in the same patch: the same but for case, else the best place-by-place
+    agreement of at least `least`, the first of several. by: what names a patch (default patch_id, with drawing_id where both have it).
+
+    Texts meet by length: an agreement of `least` needs the shorter to have that share of the longer's characters, and each distinct
+    pair of texts of a patch is compared once."""
+    if by is None:
+        by = [c for c in ("drawing_id", "patch_id") if c in model.columns and c in ocr.columns]
+    a = model.select(*by, F.upper("tag_text").alias("a")).where(F.col("a").isNotNull()).distinct().withColumn("n", F.length("a"))
+    ways = a.withColumn("m", F.explode(F.sequence(F.ceil(F.col("n") * least).cast("int"), F.floor(F.col("n") / least).cast("int"))))
+    b = ocr.select(*by, "text", "ord", F.upper("text").alias("b")).where(F.col("b").isNotNull())
+    words = b.groupBy(*by, "b").agg(F.min_by("text", "ord").alias("text"), F.min("ord").alias("ord")).withColumn("m", F.length("b"))
+    scored = ways.join(words, [*by, "m"]).withColumn("same", F.col("a") == F.col("b")).withColumn("score", F.when(F.col("same"), 1.0).otherwise(t.prefix_agreement(F.col("a"), F.col("b")))).where(F.col("same") | (F.col("score") >= least))
+    best = scored.groupBy(*by, "a").agg(F.max_by(F.struct("text", "score"), F.struct(F.col("same").cast("int"), "score", -F.col("ord"))).alias("s"))
+    return model.select(*by, node, F.upper("tag_text").alias("a")).join(best, [*by, "a"]).select(*by, node, F.col("s.text").alias("ocr_text"), F.round("s.score", 6).alias("score"))
 
 
 def recall(truth: DataFrame, found: DataFrame, most_extra: int = 2) -> DataFrame:
@@ -143,3 +153,69 @@ def first_registry_entry(details: Column) -> Column:
 
 def numbered(df: DataFrame, by: list[str], order: list, name: str = "n") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+
+
+def _close(rows: DataFrame, truth: DataFrame, most_extra: int | None) -> DataFrame:
+    """Distinct keys (k) of rows that equal, contain or are contained in a key of truth, with lengths at most most_extra apart (None: any).
+
+    Keys meet by equality: each side's keys against the other's substrings of the lengths that the other side has."""
+    a = rows.select("k").distinct().where("k <> ''")
+    b = truth.select("k").distinct().where("k <> ''")
+
+    def inside(short: DataFrame, long: DataFrame, of: str) -> DataFrame:
+        low = F.greatest(F.lit(1), F.length("k") - most_extra) if most_extra is not None else F.lit(1)
+        cuts = F.flatten(F.transform(F.sequence(low, F.length("k")), lambda n: F.transform(F.sequence(F.lit(1), F.length("k") - n + 1), lambda i: F.substr(F.col("k"), i, n))))
+        met = long.select("k", F.explode(F.array_distinct(cuts)).alias("cut")).join(short.select(F.col("k").alias("cut")), "cut")
+        return met.select(F.col(of).alias("k"))
+
+    return inside(a, b, "cut").unionAll(inside(b, a, "k")).distinct()
+
+
+def recall_precision(found: DataFrame, truth: DataFrame) -> DataFrame:
+    """One row: recall of the true tags (see `recall`), and precision, the share of detections (tag, ord) whose key equals, contains or is contained in a true one with at most two characters more or less."""
+    hits = recall(truth.select("tag").distinct(), found)
+    keyed = found.withColumn("k", t.eval_key(F.col("tag")))
+    good = _close(keyed, truth.select(t.eval_key(F.col("tag")).alias("k")), 2).withColumn("__good", F.lit(1))
+    one = hits.agg(F.count("hit").alias("found_count"), F.count(F.lit(1)).alias("gt_count"))
+    two = keyed.join(good, "k", "left").agg(F.count("__good").alias("correct"), F.count(F.lit(1)).alias("detections"))
+    both = one.withColumn("correct", two.select("correct").scalar()).withColumn("detections", two.select("detections").scalar())
+
+    def share(a: str, b: str) -> Column:
+        return F.coalesce(F.round(F.try_divide(F.col(a), F.col(b)), 4), F.lit(0.0))
+
+    return both.select(share("found_count", "gt_count").alias("recall"), share("correct", "detections").alias("precision"), "found_count", "gt_count", "correct", "detections")
+
+
+def missing_in_both(truth: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """True tags that neither side has (see `recall`)."""
+    tags = truth.select("tag").distinct()
+    gone = [recall(tags, side).where("hit IS NULL").select("tag") for side in (left, right)]
+    return gone[0].intersect(gone[1])
+
+
+def extras(found: DataFrame, register: DataFrame) -> DataFrame:
+    """Distinct detected tags (tag) whose key neither equals, contains nor is contained in a register tag's; blank keys are contained in any."""
+    keyed = found.select("tag", t.eval_key(F.col("tag")).alias("k")).distinct().where("k <> ''")
+    return keyed.join(_close(keyed, register.select(t.eval_key(F.col("tag")).alias("k")), None), "k", "left_anti").select("tag")
+
+
+def prefix_discrepancies(full: DataFrame, other: DataFrame, reach: float = 150, by: list[str] | None = None) -> DataFrame:
+    """(by, id, other, kind, full_tag, other_tag, distance): for each row of full (id, ord, box, tag) the row of other whose centre is nearest, by steps
+    along the axes and up to reach, where the two tags differ in more than form: prefix if one key ends in the other, else mismatch."""
+    from tagloom.functions import geometry as g
+    from tagloom.operators.spatial import nearest
+
+    by = by or ["drawing_id"]
+
+    def spots(df: DataFrame) -> DataFrame:
+        x, y = g.center(F.col("box"))
+        return df.where("box IS NOT NULL").select(*by, "id", "ord", "tag", F.struct(x.alias("x1"), y.alias("y1"), x.alias("x2"), y.alias("y2")).alias("box"))
+
+    def steps(l: Column, r: Column) -> Column:
+        return F.abs(l["box"]["x1"] - r["box"]["x1"]) + F.abs(l["box"]["y1"] - r["box"]["y1"])
+
+    near = nearest(spots(full), spots(other), reach, steps, inclusive=True, by=by)
+    met = near.join(full.select(*by, "id", F.trim(F.coalesce("tag", F.lit(""))).alias("full_tag")), [*by, "id"]).withColumn("other_tag", F.trim(F.coalesce(F.col("nearest.tag"), F.lit(""))))
+    a, b = t.eval_key(F.col("full_tag")), t.eval_key(F.col("other_tag"))
+    kind = F.when((a != "") & (b != "") & (a.endswith(b) | b.endswith(a)), "prefix").otherwise("mismatch")
+    return met.where(a != b).select(*by, "id", F.col("nearest.id").alias("other"), kind.alias("kind"), "full_tag", "other_tag", F.round("distance", 1).alias("distance"))

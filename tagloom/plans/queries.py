@@ -175,7 +175,7 @@ def routing_summary(spark, d):
     return shaping.routing_summary(_scored(candidates(spark, d)), ["drawing_id"])
 
 
-@query(f"{C} SELECT id, round(0.25 * det + 0.30 * ocr + 0.15 * geo + 0.20 * val + 0.10 * reg, 4) AS c, CASE WHEN round(0.25 * det + 0.30 * ocr + 0.15 * geo + 0.20 * val + 0.10 * reg, 4) >= 0.85 THEN 'AUTO_ACCEPT' WHEN round(0.25 * det + 0.30 * ocr + 0.15 * geo + 0.20 * val + 0.10 * reg, 4) >= 0.60 THEN 'REVIEW_REQUIRED' ELSE 'AUTO_REJECT' END AS route FROM cand")
+@query(f"{C} SELECT id, round(0.25 * det + 0.30 * ocr + 0.15 * geo + 0.20 * val + 0.10 * reg, 3) AS c, CASE WHEN round(0.25 * det + 0.30 * ocr + 0.15 * geo + 0.20 * val + 0.10 * reg, 3) >= 0.85 THEN 'AUTO_ACCEPT' WHEN round(0.25 * det + 0.30 * ocr + 0.15 * geo + 0.20 * val + 0.10 * reg, 3) >= 0.60 THEN 'REVIEW_REQUIRED' ELSE 'AUTO_REJECT' END AS route FROM cand")
 def legacy_profile(spark, d):
     df = candidates(spark, d).withColumn("c", s.legacy_confidence(*[F.col(x) for x in ("det", "ocr", "geo", "val", "reg")]))
     return df.select("id", "c", s.legacy_route(F.col("c")).alias("route"))
@@ -240,12 +240,12 @@ def dup_marking(spark, d):
 _K = sql_key("tag", EVAL_KEY)
 
 
-@query(f"""{C}, a AS (SELECT DISTINCT tag, {_K} AS k FROM cand WHERE drawing_id < 4), b AS (SELECT tag AS hit, {_K} AS k, ord FROM cand WHERE drawing_id BETWEEN 10 AND 19),
+@query(f"""{C}, a AS (SELECT DISTINCT tag, {_K} AS k FROM cand WHERE drawing_id < 20), b AS (SELECT tag AS hit, {_K} AS k, ord FROM cand WHERE drawing_id >= 20),
 h AS (SELECT a.tag, b.hit, CASE WHEN a.k = b.k THEN 0 ELSE 1 END AS far, b.ord FROM a JOIN b ON a.k <> '' AND b.k <> '' AND (a.k = b.k OR (abs(length(a.k) - length(b.k)) <= 2 AND (contains(a.k, b.k) OR contains(b.k, a.k)))))
 SELECT a.tag, arg_min(h.hit, (far, ord)) AS hit FROM a LEFT JOIN h ON a.tag = h.tag GROUP BY a.tag""")
 def recall_report(spark, d):
     c = candidates(spark, d)
-    return lookup.recall(c.where("drawing_id < 4").select("tag").distinct(), c.where("drawing_id BETWEEN 10 AND 19"))
+    return lookup.recall(c.where("drawing_id < 20").select("tag").distinct(), c.where("drawing_id >= 20"))
 
 
 @query(f"{C} SELECT id FROM cand WHERE drawing_id < 20 AND {_K} NOT IN (SELECT {_K} FROM cand WHERE drawing_id >= 20)")
@@ -344,7 +344,10 @@ def greedy_keep(spark, d):
     return dedup.nms(boxes(spark, d).withColumnRenamed("tag", "label"), 0.15, 60).select("drawing_id", "id")
 
 
-@query()
+@query(f"""{B}, e AS (SELECT a.drawing_id, a.id AS a, b.id AS b FROM boxes a JOIN boxes b ON a.drawing_id = b.drawing_id AND a.id <> b.id AND a.tag = b.tag AND ({_D} <= 120 OR {_IOU} >= 0.2)),
+r AS (SELECT drawing_id, id AS node, id AS root FROM boxes UNION SELECT r.drawing_id, e.b, r.root FROM r JOIN e ON r.drawing_id = e.drawing_id AND r.node = e.a),
+m AS (SELECT drawing_id, node AS id, min(root) AS root FROM r GROUP BY 1, 2), p AS (SELECT m.drawing_id, m.root, count(*) AS n, arg_max(b.id, (round(CASE WHEN b.id % 2 = 0 THEN 1.0 ELSE 0.0 END + 0.4 * b.conf + 0.15 + 0.1 + 0.1, 9), -b.id)) AS first FROM m JOIN boxes b ON m.drawing_id = b.drawing_id AND m.id = b.id GROUP BY 1, 2)
+SELECT m.drawing_id, m.id, m.root, CASE WHEN m.id = p.first THEN 'PRIMARY' ELSE 'DISCARDED' END AS duplicate_status, CASE WHEN m.id <> p.first THEN p.first END AS merged_into, p.n AS merged_count FROM m JOIN p ON m.drawing_id = p.drawing_id AND m.root = p.root""")
 def resolve_duplicates(spark, d):
     b = boxes(spark, d).withColumn("in_registry", F.col("id") % 2 == 0).withColumn("ocr", F.lit(0.5)).withColumn("assoc", F.lit(0.5)).withColumn("status", F.lit("PASS"))
     return dedup.resolve_duplicates(b).select("drawing_id", "id", "root", "duplicate_status", "merged_into", "merged_count")
@@ -369,80 +372,143 @@ def greedy_clusters(spark, d):
 
 
 def _tree(spark, d):
-    n = table(spark, d, "nation").select(F.lit(0).alias("drawing_id"), F.concat(F.lit("R"), F.col("n_regionkey")).alias("a"), F.concat(F.lit("N"), F.col("n_nationkey")).alias("b"))
-    su = table(spark, d, "supplier").select(F.lit(0).alias("drawing_id"), F.concat(F.lit("N"), F.col("s_nationkey")).alias("a"), F.concat(F.lit("S"), F.col("s_suppkey")).alias("b"))
-    top = table(spark, d, "region").select(F.lit(0).alias("drawing_id"), F.lit("WORLD").alias("a"), F.concat(F.lit("R"), F.col("r_regionkey")).alias("b"))
-    return n.unionAll(su).unionAll(top)
+    """(drawing_id, a, b): a nation's region, then the nation, its customers and suppliers, and the customers' orders; a drawing for each nation."""
+    def edges(name: str, drawing: str, up: tuple[str, str], down: tuple[str, str], frame=None):
+        return (frame if frame is not None else table(spark, d, name)).select(F.col(drawing).cast("int").alias("drawing_id"), F.concat(F.lit(up[0]), F.col(up[1])).alias("a"), F.concat(F.lit(down[0]), F.col(down[1])).alias("b"))
+
+    n = edges("nation", "n_nationkey", ("R", "n_regionkey"), ("N", "n_nationkey"))
+    c = edges("customer", "c_nationkey", ("N", "c_nationkey"), ("C", "c_custkey"))
+    su = edges("supplier", "s_nationkey", ("N", "s_nationkey"), ("S", "s_suppkey"))
+    own = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return n.unionAll(c).unionAll(su).unionAll(edges("orders", "c_nationkey", ("C", "o_custkey"), ("O", "o_orderkey"), own))
 
 
-TREE = "WITH RECURSIVE e AS (SELECT 'R' || CAST(n_regionkey AS VARCHAR) AS a, 'N' || CAST(n_nationkey AS VARCHAR) AS b FROM nation UNION ALL SELECT 'N' || CAST(s_nationkey AS VARCHAR), 'S' || CAST(s_suppkey AS VARCHAR) FROM supplier UNION ALL SELECT 'WORLD', 'R' || CAST(r_regionkey AS VARCHAR) FROM region)"
+_E = """e AS (SELECT n_nationkey AS drawing_id, 'R' || CAST(n_regionkey AS VARCHAR) AS a, 'N' || CAST(n_nationkey AS VARCHAR) AS b FROM nation UNION ALL SELECT c_nationkey, 'N' || CAST(c_nationkey AS VARCHAR), 'C' || CAST(c_custkey AS VARCHAR) FROM customer
+UNION ALL SELECT s_nationkey, 'N' || CAST(s_nationkey AS VARCHAR), 'S' || CAST(s_suppkey AS VARCHAR) FROM supplier UNION ALL SELECT c_nationkey, 'C' || CAST(o_custkey AS VARCHAR), 'O' || CAST(o_orderkey AS VARCHAR) FROM orders JOIN customer ON o_custkey = c_custkey)"""
+TREE = f"WITH RECURSIVE {_E}"
 
 
-@query(f"{TREE}, r AS (SELECT 'WORLD' AS node, CAST(NULL AS VARCHAR) AS parent, 0 AS depth UNION ALL SELECT e.b, e.a, r.depth + 1 FROM r JOIN e ON e.a = r.node) SELECT node, parent, depth FROM r")
+def _regions(spark, d):
+    return table(spark, d, "nation").select(F.col("n_nationkey").cast("int").alias("drawing_id"), F.concat(F.lit("R"), F.col("n_regionkey")).alias("node"))
+
+
+@query(f"{TREE}, r AS (SELECT n_nationkey AS drawing_id, 'R' || CAST(n_regionkey AS VARCHAR) AS node, CAST(NULL AS VARCHAR) AS parent, 0 AS depth FROM nation UNION ALL SELECT e.drawing_id, e.b, e.a, r.depth + 1 FROM r JOIN e ON e.a = r.node AND e.drawing_id = r.drawing_id) SELECT drawing_id, node, parent, depth FROM r")
 def bfs_tree(spark, d):
-    roots = spark.createDataFrame([(0, "WORLD")], "drawing_id int, node string")
-    return graph.bfs_tree(_tree(spark, d), roots).select("node", "parent", "depth")
+    return graph.bfs_tree(_tree(spark, d), _regions(spark, d)).select("drawing_id", "node", "parent", "depth")
 
 
-@query(f"{TREE}, r AS (SELECT b AS node, [a] AS chain, a AS last FROM e UNION ALL SELECT r.node, list_append(r.chain, e.a), e.a FROM r JOIN e ON e.b = r.last) SELECT node, array_to_string(arg_max(chain, len(chain)), '>') AS chain, max(len(chain)) AS depth FROM r GROUP BY node UNION ALL SELECT 'WORLD', '', 0")
+@query(f"{TREE}, r AS (SELECT drawing_id, b AS node, [a] AS chain, a AS last FROM e UNION ALL SELECT r.drawing_id, r.node, list_append(r.chain, e.a), e.a FROM r JOIN e ON e.b = r.last AND e.drawing_id = r.drawing_id) SELECT drawing_id, node, array_to_string(arg_max(chain, len(chain)), '>') AS chain, max(len(chain)) AS depth FROM r GROUP BY 1, 2 UNION ALL SELECT n_nationkey, 'R' || CAST(n_regionkey AS VARCHAR), '', 0 FROM nation")
 def ancestor_path(spark, d):
-    e = _tree(spark, d)
-    nodes = e.select("drawing_id", F.col("b").alias("node"), F.col("a").alias("parent")).unionAll(spark.createDataFrame([(0, "WORLD", None)], "drawing_id int, node string, parent string"))
-    return graph.ancestors(nodes).select("node", F.array_join("chain", ">").alias("chain"), "depth")
+    nodes = _tree(spark, d).select("drawing_id", F.col("b").alias("node"), F.col("a").alias("parent")).unionAll(_regions(spark, d).withColumn("parent", F.lit(None).cast("string")))
+    return graph.ancestors(nodes).select("drawing_id", "node", F.array_join("chain", ">").alias("chain"), "depth")
 
 
-_CS = "SELECT DISTINCT l_suppkey % 5 AS drawing_id, 'C' || CAST(o_custkey AS VARCHAR) AS a, 'S' || CAST(l_suppkey AS VARCHAR) AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity = 50 AND l_linenumber = 1"
+def _signals(spark, d):
+    """(drawing_id, a, b): each order with its parts; a hundred orders a drawing."""
+    return table(spark, d, "lineitem").select(F.floor(F.col("l_orderkey") / 100).cast("long").alias("drawing_id"), F.concat(F.lit("O"), F.col("l_orderkey")).alias("a"), F.concat(F.lit("P"), F.col("l_partkey")).alias("b")).distinct()
 
 
-def _customer_supplier(spark, d):
-    li = table(spark, d, "lineitem").where("l_quantity = 50 AND l_linenumber = 1").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return li.select((F.col("l_suppkey") % 5).alias("drawing_id"), F.concat(F.lit("C"), F.col("o_custkey")).alias("a"), F.concat(F.lit("S"), F.col("l_suppkey")).alias("b")).distinct()
+def _signal_tag(node):
+    n = F.substr(node, F.lit(2)).cast("long") % 4
+    return F.when(node.startswith("O"), F.concat(F.lit("V-XV-"), F.substr(node, F.lit(2)))).otherwise(F.concat(F.element_at(F.array(F.lit("FIC-"), F.lit("V-FIT-"), F.lit("FE-"), F.lit("FY-")), (n + 1).cast("int")), F.substr(node, F.lit(2))))
 
 
-@query(f"""WITH RECURSIVE e0 AS ({_CS}), e AS (SELECT drawing_id, a, b FROM e0 UNION ALL SELECT drawing_id, b, a FROM e0),
-r AS (SELECT drawing_id, a AS node, a AS root FROM e UNION SELECT r.drawing_id, e.b, r.root FROM r JOIN e ON r.drawing_id = e.drawing_id AND r.node = e.a),
-m AS (SELECT drawing_id, node, min(root) AS root FROM r GROUP BY 1, 2), z AS (SELECT drawing_id, root, count(*) AS size, array_to_string(list_sort(list(node)), ',') AS members FROM m GROUP BY 1, 2),
-k AS (SELECT *, CASE WHEN size > 15 THEN 'CLUSTER' ELSE 'CL' END AS kind FROM z) SELECT drawing_id, kind || '-' || lpad(CAST(row_number() OVER (PARTITION BY drawing_id, kind ORDER BY size DESC, root) - 1 AS VARCHAR), CAST(greatest(2, length(CAST(row_number() OVER (PARTITION BY drawing_id, kind ORDER BY size DESC, root) - 1 AS VARCHAR))) AS INTEGER), '0') AS loop_id, size, members FROM k""")
+_SG = "SELECT DISTINCT CAST(floor(l_orderkey / 100) AS BIGINT) AS drawing_id, 'O' || CAST(l_orderkey AS VARCHAR) AS a, 'P' || CAST(l_partkey AS VARCHAR) AS b FROM lineitem"
+_LOOPS = f"""e0 AS ({_SG}), ee AS (SELECT drawing_id, a, b FROM e0 UNION ALL SELECT drawing_id, b, a FROM e0),
+r AS (SELECT drawing_id, a AS node, a AS root FROM ee UNION SELECT r.drawing_id, ee.b, r.root FROM r JOIN ee ON r.drawing_id = ee.drawing_id AND r.node = ee.a),
+m AS (SELECT drawing_id, node, min(root) AS root, CASE WHEN node LIKE 'P%' AND CAST(substr(node, 2) AS BIGINT) % 4 = 0 THEN 'FIC-' || substr(node, 2) END AS lead FROM r GROUP BY 1, 2),
+z AS (SELECT drawing_id, root, count(*) AS size, array_to_string(list_sort(list(node)), ',') AS members, coalesce(array_to_string(list_sort(list(lead) FILTER (lead IS NOT NULL)), ','), '') AS controllers FROM m GROUP BY 1, 2),
+k AS (SELECT *, CASE WHEN size > 15 THEN 'CLUSTER' ELSE 'CL' END AS kind FROM z), n AS (SELECT *, CAST(row_number() OVER (PARTITION BY drawing_id, kind ORDER BY size DESC, root) - 1 AS VARCHAR) AS no FROM k)"""
+
+
+@query(f"WITH RECURSIVE {_LOOPS} SELECT drawing_id, kind || '-' || lpad(no, CAST(greatest(2, length(no)) AS INTEGER), '0') AS loop_id, size, members, controllers FROM n")
 def control_loops(spark, d):
-    e = _customer_supplier(spark, d)
-    tags = e.select("drawing_id", F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("tag", F.col("node"))
-    return graph.control_loops(e, tags).select("drawing_id", "loop_id", "size", F.array_join("member_ids", ",").alias("members"))
+    e = _signals(spark, d)
+    tags = e.select("drawing_id", F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("tag", _signal_tag(F.col("node")))
+    return graph.control_loops(e, tags).select("drawing_id", "loop_id", "size", F.array_join("member_ids", ",").alias("members"), F.array_join("controllers", ",").alias("controllers"))
 
 
-@query()
+@query(f"""WITH RECURSIVE e0 AS ({_SG}), ee AS (SELECT drawing_id, a, b FROM e0 UNION ALL SELECT drawing_id, b, a FROM e0),
+r AS (SELECT DISTINCT drawing_id, a AS node, CASE WHEN a LIKE '%7' THEN 'FORWARD' ELSE 'REVERSE' END AS value, 0 AS hops FROM e0 WHERE a LIKE '%7' OR a LIKE '%4'
+UNION SELECT r.drawing_id, ee.b, r.value, r.hops + 1 FROM r JOIN ee ON r.drawing_id = ee.drawing_id AND r.node = ee.a WHERE r.hops < 30)
+SELECT drawing_id, node, arg_min(value, (hops, value)) AS value, min(hops) AS hops FROM r GROUP BY 1, 2""")
 def flow_propagation(spark, d):
-    e = _customer_supplier(spark, d)
-    seeds = e.where(F.col("a").endswith("7")).select("drawing_id", F.col("a").alias("node"), F.lit("FORWARD").alias("value"))
+    e = _signals(spark, d)
+    seeds = e.where(F.col("a").endswith("7") | F.col("a").endswith("4")).select("drawing_id", F.col("a").alias("node"), F.when(F.col("a").endswith("7"), "FORWARD").otherwise("REVERSE").alias("value")).distinct()
     return graph.propagate(seeds, e).select("drawing_id", "node", "value", "hops")
 
 
-@query(f"{TREE}, r AS (SELECT 'R1' AS node, 0 AS hops UNION ALL SELECT e.b, r.hops + 1 FROM r JOIN e ON e.a = r.node) SELECT 'R1' AS start, node, hops FROM r")
+@query(f"{TREE}, r AS (SELECT drawing_id, b AS start, b AS node, 0 AS hops FROM e WHERE b LIKE 'N%' OR b LIKE 'C%' UNION ALL SELECT r.drawing_id, r.start, e.b, r.hops + 1 FROM r JOIN e ON e.a = r.node AND e.drawing_id = r.drawing_id) SELECT drawing_id, start, node, hops FROM r")
 def reachability(spark, d):
-    return graph.reachable(_tree(spark, d), spark.createDataFrame([(0, "R1")], "drawing_id int, node string")).select("start", "node", "hops")
+    e = _tree(spark, d)
+    starts = e.where("b LIKE 'N%' OR b LIKE 'C%'").select("drawing_id", F.col("b").alias("node"))
+    return graph.reachable(e, starts).select("drawing_id", "start", "node", "hops")
 
 
 def _nodes(spark, d):
+    """The tree's nodes with tags (every tenth supplier shares one), kinds, parents (every fiftieth order has none), isolation and confidence."""
     e = _tree(spark, d)
-    return e.select("drawing_id", F.col("b").alias("node"), F.when(F.col("b").startswith("S"), F.concat(F.lit("T"), F.substring("b", -1, 1))).otherwise(F.col("b")).alias("tag"), F.col("a").alias("parent"))
+    b, n = F.col("b"), F.substr(F.col("b"), F.lit(2)).cast("long")
+    tag = F.when(b.startswith("S"), F.concat(F.lit("T"), (n % 10).cast("string"))).otherwise(b)
+    kind = F.when(b.startswith("N"), "equipment").when(b.startswith("C"), "valve").when(b.startswith("S"), "piping").otherwise("instrument")
+    lost = b.startswith("O") & (n % 50 == 0)
+    return e.select("drawing_id", b.alias("node"), tag.alias("tag"), kind.alias("kind"), F.when(~lost & ~b.startswith("N"), F.col("a")).alias("parent"), (b.startswith("O") & (n % 40 == 0)).alias("is_isolated"), F.round((n % 100) / 100, 2).alias("confidence"))
+
 
+_NODES = """nodes AS (SELECT drawing_id, b AS node, CASE WHEN b LIKE 'S%' THEN 'T' || CAST(CAST(substr(b, 2) AS BIGINT) % 10 AS VARCHAR) ELSE b END AS tag, CASE WHEN b LIKE 'N%' THEN 'equipment' WHEN b LIKE 'C%' THEN 'valve' WHEN b LIKE 'S%' THEN 'piping' ELSE 'instrument' END AS kind,
+CASE WHEN b LIKE 'N%' OR (b LIKE 'O%' AND CAST(substr(b, 2) AS BIGINT) % 50 = 0) THEN NULL ELSE a END AS parent, b LIKE 'O%' AND CAST(substr(b, 2) AS BIGINT) % 40 = 0 AS iso, round(CAST(substr(b, 2) AS BIGINT) % 100 / 100, 2) AS conf FROM e)"""
 
-@query(f"{TREE}, g AS (SELECT a, b, CASE WHEN substr(b, 1, 1) = 'S' THEN 'MOUNTED_ON' ELSE 'MONITORS' END AS rel FROM e) SELECT b AS child, a AS parent, 'part_of' AS rel, 'hierarchy' AS source FROM e UNION ALL SELECT b, a, 'monitors', 'graph' FROM g WHERE rel = 'MONITORS' UNION ALL SELECT a, b, 'part_of', 'graph' FROM g WHERE rel = 'MOUNTED_ON'")
+
+def _edges(spark, d):
+    """The tree's edges as graph edges, from the lower end; those of regions have an end that is no node."""
+    b, n = F.col("b"), F.substr(F.col("b"), F.lit(2)).cast("long")
+    rel = F.when(b.startswith("S"), "MOUNTED_ON").when(b.startswith("C"), "CONTAINED_WITHIN").when(n % 3 == 0, "MONITORS").when(n % 3 == 1, "ADJACENT_TO").otherwise("SIGNAL_TO")
+    return _tree(spark, d).select("drawing_id", b.alias("a"), F.col("a").alias("b"), rel.alias("rel"), F.lit(0.5).alias("confidence"))
+
+
+_EDGES = "edges AS (SELECT drawing_id, b AS a, a AS b, CASE WHEN b LIKE 'S%' THEN 'MOUNTED_ON' WHEN b LIKE 'C%' THEN 'CONTAINED_WITHIN' WHEN CAST(substr(b, 2) AS BIGINT) % 3 = 0 THEN 'MONITORS' WHEN CAST(substr(b, 2) AS BIGINT) % 3 = 1 THEN 'ADJACENT_TO' ELSE 'SIGNAL_TO' END AS rel FROM e)"
+
+
+def _loops(spark, d):
+    """A loop for each customer: it controls its orders, of which the even ones are transmitters."""
+    e = _tree(spark, d).where("a LIKE 'C%'")
+    lead = e.select("drawing_id", F.col("a").alias("loop_id"), F.col("a").alias("node")).distinct().withColumn("role", F.lit("controller"))
+    rest = e.select("drawing_id", F.col("a").alias("loop_id"), F.col("b").alias("node"), F.when(F.substr(F.col("b"), F.lit(2)).cast("long") % 2 == 0, "transmitter").otherwise("valve").alias("role"))
+    return lead.unionAll(rest).withColumn("tag", F.col("node"))
+
+
+_RELS = f"""{_E}, {_NODES}, {_EDGES}, rels AS (SELECT drawing_id, parent, node AS child, 'part_of' AS rel, 'hierarchy_tree' AS source FROM nodes WHERE parent IS NOT NULL
+UNION ALL SELECT g.drawing_id, g.b, g.a, 'support_function', g.rel FROM edges g WHERE g.rel = 'MOUNTED_ON' UNION ALL SELECT g.drawing_id, g.b, g.a, 'contains', g.rel FROM edges g WHERE g.rel = 'CONTAINED_WITHIN'
+UNION ALL SELECT g.drawing_id, g.a, g.b, CASE g.rel WHEN 'MONITORS' THEN 'monitors' ELSE 'controls' END, g.rel FROM edges g WHERE g.rel IN ('MONITORS', 'SIGNAL_TO') AND g.b NOT LIKE 'R%'
+UNION ALL SELECT drawing_id, a, b, CASE WHEN CAST(substr(b, 2) AS BIGINT) % 2 = 0 THEN 'monitors' ELSE 'controls' END, 'control_loop:' || a FROM e WHERE a LIKE 'C%')"""
+
+
+@query(f"WITH {_RELS} SELECT drawing_id, parent, child, rel, source FROM rels")
 def relationships(spark, d):
-    edges = _tree(spark, d).select("drawing_id", "a", "b", F.when(F.col("b").startswith("S"), "MOUNTED_ON").otherwise("MONITORS").alias("rel"), F.lit(0.5).alias("confidence"))
-    return hierarchy.relationships(_nodes(spark, d), edges).select("parent", "child", "rel", "source")
+    return hierarchy.relationships(_nodes(spark, d), _edges(spark, d), _loops(spark, d)).select("drawing_id", "parent", "child", "rel", "source")
 
 
-@query(f"""{TREE}, n AS (SELECT b AS node, CASE WHEN substr(b, 1, 1) = 'S' THEN 'T' || right(b, 1) ELSE b END AS tag FROM e), i AS (SELECT 'DUPLICATE_TAG' AS issue, 'MEDIUM' AS severity FROM n GROUP BY upper(tag) HAVING count(*) > 1 UNION ALL SELECT 'BROKEN_REFERENCE', 'HIGH')
-SELECT 'severity' AS kind, severity AS name, count(*) AS n FROM i GROUP BY severity UNION ALL SELECT 'issue', issue, count(*) FROM i GROUP BY issue""")
+@query(f"""WITH {_RELS}, i AS (SELECT drawing_id, 'Multiple Parents' AS issue, 'HIGH' AS severity FROM rels WHERE rel IN ('part_of', 'contains') GROUP BY drawing_id, child HAVING count(DISTINCT parent) > 1
+UNION ALL SELECT drawing_id, 'Missing Parent', 'MEDIUM' FROM nodes WHERE parent IS NULL AND kind <> 'equipment' UNION ALL SELECT drawing_id, 'Missing System', 'LOW' FROM nodes WHERE parent IS NULL AND kind <> 'equipment'
+UNION ALL SELECT drawing_id, 'Disconnected Subgraph', 'MEDIUM' FROM nodes WHERE iso UNION ALL SELECT drawing_id, 'Duplicate Nodes', 'MEDIUM' FROM nodes GROUP BY drawing_id, upper(tag) HAVING count(*) > 1
+UNION ALL SELECT drawing_id, 'Broken Relationship', 'HIGH' FROM edges WHERE b LIKE 'R%')
+SELECT 'severity' AS kind, severity AS name, count(*) AS n FROM i GROUP BY severity UNION ALL SELECT 'issue', issue, count(*) FROM i GROUP BY issue UNION ALL SELECT 'total', 'TOTAL ISSUES', count(*) FROM i""")
 def structural_issues(spark, d):
-    nodes = _nodes(spark, d)
-    rels = nodes.select("drawing_id", "parent", F.col("node").alias("child"), F.lit("part_of").alias("rel"))
-    return hierarchy.issue_summary(hierarchy.issues(nodes, _tree(spark, d), rels))
+    nodes, edges = _nodes(spark, d), _edges(spark, d)
+    return hierarchy.issue_summary(hierarchy.issues(nodes, edges, hierarchy.relationships(nodes, edges, _loops(spark, d))))
 
 
-@query(f"{TREE} SELECT count(*) AS nodes, count(*) AS tagged, count(*) AS with_parent, 0 AS roots, max(CASE substr(b, 1, 1) WHEN 'R' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) AS max_depth, count(*) AS edges FROM e")
+@query(f"""WITH {_RELS}, o AS (SELECT drawing_id, count(DISTINCT tag) AS n FROM nodes WHERE iso OR (parent IS NULL AND kind <> 'equipment') GROUP BY 1),
+p AS (SELECT drawing_id, count(*) AS n, count(*) FILTER (kind = 'equipment') AS eq, count(*) FILTER (kind = 'instrument') AS ins, count(*) FILTER (kind = 'valve') AS va, count(*) FILTER (kind = 'piping') AS pi, count(*) FILTER (iso) AS iso,
+max(CASE WHEN parent IS NULL THEN 0 WHEN node LIKE 'C%' OR node LIKE 'S%' THEN 1 ELSE 2 END) AS deep FROM nodes GROUP BY 1), g AS (SELECT drawing_id, count(*) AS n FROM edges GROUP BY 1), r AS (SELECT drawing_id, count(*) AS n FROM rels GROUP BY 1), l AS (SELECT drawing_id, count(DISTINCT a) AS n FROM e WHERE a LIKE 'C%' GROUP BY 1),
+x AS (SELECT p.drawing_id, unnest(['Total Nodes (tagged)', 'Total Graph Nodes (incl. virtual)', 'Total Relationships (business)', 'Total Graph Edges', 'Equipment Count', 'Instrument Count', 'Valve Count', 'Piping Count', 'Control Loops', 'Cross Drawing Links', 'Orphan Nodes', 'Virtual Nodes (pipelines+junctions)', 'Hierarchy Depth (max)', 'Isolated Detections']) AS metric,
+unnest([p.n, p.n + 1, coalesce(r.n, 0), coalesce(g.n, 0), eq, ins, va, pi, coalesce(l.n, 0), eq, coalesce(o.n, 0), 1, deep, iso]) AS value FROM p LEFT JOIN r USING (drawing_id) LEFT JOIN g USING (drawing_id) LEFT JOIN o USING (drawing_id) LEFT JOIN l USING (drawing_id)) SELECT drawing_id, metric, CAST(value AS BIGINT) AS value FROM x""")
 def hier_stats(spark, d):
-    return hierarchy.statistics(_nodes(spark, d), _tree(spark, d)).drop("drawing_id")
+    nodes, edges, loops = _nodes(spark, d), _edges(spark, d), _loops(spark, d)
+    whole = nodes.select("drawing_id", "node", "kind").unionAll(_regions(spark, d).withColumn("kind", F.lit("pipeline")))
+    named = loops.select("drawing_id", "loop_id").distinct()
+    found = hierarchy.statistics(nodes, edges, hierarchy.relationships(nodes, edges, loops), whole, named, nodes.where("kind = 'equipment'"))
+    return found.select("drawing_id", "metric", "value")
 
 
 @query()
@@ -460,10 +526,11 @@ def tiles(spark, d):
     return shaping.tiles(sheets).select("drawing_id", "patch_id", "box.x1", "box.y1", "box.x2", "box.y2")
 
 
-@query("""WITH p AS (SELECT p_partkey AS id, substr(p_name, 1, 10) AS a, substr(p_name, 6, 10) AS b FROM part), n AS (SELECT id, a, b, list_max(list_filter(range(4, CAST(least(length(a), length(b)) AS BIGINT) + 1), lambda s: right(a, s) = left(b, s))) AS k FROM p)
+@query("""WITH p AS (SELECT p_partkey AS id, left(p_name, (2 * length(p_name) + 2) // 3) AS a, right(p_name, (2 * length(p_name) + 2) // 3) AS b FROM part), n AS (SELECT id, a, b, list_max(list_filter(range(4, CAST(least(length(a), length(b)) AS BIGINT) + 1), lambda s: right(a, s) = left(b, s))) AS k FROM p)
 SELECT id, CASE WHEN contains(a, b) THEN a WHEN contains(b, a) THEN b WHEN k IS NOT NULL THEN a || substr(b, CAST(k + 1 AS BIGINT)) END AS joined FROM n""")
 def overlap_concat(spark, d):
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.substring("p_name", 1, 10).alias("a"), F.substring("p_name", 6, 10).alias("b"))
+    n = F.floor((2 * F.length("p_name") + 2) / 3).cast("int")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.left("p_name", n).alias("a"), F.right("p_name", n).alias("b"))
     return p.select("id", t.overlap_concat(F.col("a"), F.col("b")).alias("joined"))
 
 
@@ -473,10 +540,11 @@ def json_repair(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object(t.lenient_json(broken), "$.k").cast("long").alias("k"))
 
 
-@query("SELECT doc_id % 50 AS drawing_id, '[' || CASE WHEN quality = 1 THEN 'Q1' ELSE 'Q0' END || ']' AS head, string_agg('- ' || CAST(doc_id AS VARCHAR), chr(10) ORDER BY doc_id) AS body FROM labels GROUP BY 1, 2")
+@query("""WITH t AS (SELECT doc_id % 50 AS drawing_id, CASE WHEN quality = 1 THEN 'GOOD' ELSE 'BAD' END AS kind, string_agg('- rule ' || CAST(doc_id AS VARCHAR), chr(10) ORDER BY doc_id) AS body FROM labels GROUP BY 1, 2)
+SELECT drawing_id, string_agg('[' || kind || ']' || chr(10) || body, chr(10) ORDER BY kind) AS block FROM t GROUP BY 1""")
 def text_block(spark, d):
-    n = table(spark, d, "labels").select((F.col("doc_id") % 50).alias("drawing_id"), F.concat(F.lit("["), F.when(F.col("quality") == 1, "Q1").otherwise("Q0"), F.lit("]")).alias("head"), "doc_id")
-    return n.groupBy("drawing_id", "head").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: F.concat(F.lit("- "), x.cast("string"))), "\n").alias("body"))
+    notes = table(spark, d, "labels").select((F.col("doc_id") % 50).alias("drawing_id"), F.col("doc_id").cast("string").alias("id"), F.when(F.col("quality") == 1, "GOOD").otherwise("BAD").alias("semantic_type"), F.concat(F.lit("rule "), F.col("doc_id")).alias("rule"))
+    return shaping.rules_block(notes)
 
 
 @query("SELECT count(*) AS calls, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS tokens FROM (SELECT DISTINCT text FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE doc_id % 2 = 0))")
@@ -505,9 +573,9 @@ def zones_and_gates(spark, d):
     return boxes(spark, d).select("drawing_id", "id", g.zone(cx, cy).alias("zone"), g.size_gate(F.col("box"), F.lit("equipment"))["reason"].alias("gate"))
 
 
-@query(f"{S}, p AS (SELECT a.drawing_id, a.id AS equipment, s.id AS line, least({_pd(_CX, _CY)}, {_pd('a.x1', 'a.y1')}, {_pd('a.x2', 'a.y1')}, {_pd('a.x1', 'a.y2')}, {_pd('a.x2', 'a.y2')}) AS d FROM boxes a JOIN seg s ON a.drawing_id = s.drawing_id WHERE a.tag = 'T-7') SELECT drawing_id, equipment, line, round(min(d), 3) AS distance FROM p WHERE d <= 90 GROUP BY 1, 2, 3")
+@query(f"{S}, p AS (SELECT a.drawing_id, a.id AS equipment, s.id AS line, least({_pd(_CX, _CY)}, {_pd('a.x1', 'a.y1')}, {_pd('a.x2', 'a.y1')}, {_pd('a.x1', 'a.y2')}, {_pd('a.x2', 'a.y2')}) AS d FROM boxes a JOIN seg s ON a.drawing_id = s.drawing_id) SELECT drawing_id, equipment, line, round(min(d), 3) AS distance FROM p WHERE d <= 90 GROUP BY 1, 2, 3")
 def hub_edges(spark, d):
-    return spatial.hub_edges(boxes(spark, d).where("tag = 'T-7'"), segments(spark, d).withColumn("line", F.col("id")))
+    return spatial.hub_edges(boxes(spark, d), segments(spark, d).withColumn("line", F.col("id")))
 
 
 @query("""WITH w AS (SELECT doc_id, regexp_extract_all(upper(text), '([0-9A-Z]+-[A-Z]{2,5}-[0-9]+-[0-9]+[-0-9A-Z]*)', 1) AS x FROM documents) SELECT doc_id, len(list_distinct(list_filter(x, lambda y: split_part(y, '-', 1) = '4224'))) AS n FROM w""")
@@ -516,14 +584,13 @@ def cross_refs(spark, d):
     return table(spark, d, "documents").select("doc_id", F.size(found).alias("n"))
 
 
-@query(f"""{B}, m AS (SELECT id, drawing_id AS patch, tag FROM boxes WHERE id % 3 = 0), o AS (SELECT id AS ord, drawing_id AS patch, lower(tag) || CASE WHEN id % 2 = 0 THEN '' ELSE 'x' END AS text FROM boxes WHERE id % 7 = 1),
-p AS (SELECT m.id, o.text, o.ord, upper(m.tag) AS a, upper(o.text) AS b FROM m JOIN o ON m.patch = o.patch), s AS (SELECT *, CASE WHEN a = b THEN 1.0 ELSE len(list_filter(range(1, least(length(a), length(b)) + 1), lambda i: a[i] = b[i])) / greatest(length(a), length(b), 1) END AS score FROM p)
-SELECT id, arg_max(text, (CASE WHEN a = b THEN 1 ELSE 0 END, score, -ord)) AS ocr_text, round(max(score), 6) AS score FROM s WHERE a = b OR score >= 0.7 GROUP BY id""")
+@query(f"""{B}, m AS (SELECT id, drawing_id, drawing_id % 7 AS patch, tag FROM boxes), o AS (SELECT id AS ord, drawing_id, drawing_id % 7 AS patch, lower(tag) || CASE WHEN id % 2 = 0 THEN '' ELSE 'x' END AS text FROM boxes),
+w AS (SELECT drawing_id, patch, upper(text) AS b, arg_min(text, ord) AS text, min(ord) AS ord FROM o GROUP BY 1, 2, 3), p AS (SELECT m.drawing_id, m.patch, m.id, w.text, w.ord, upper(m.tag) AS a, w.b FROM m JOIN w ON m.drawing_id = w.drawing_id AND m.patch = w.patch), s AS (SELECT *, CASE WHEN a = b THEN 1.0 ELSE len(list_filter(range(1, least(length(a), length(b)) + 1), lambda i: a[i] = b[i])) / greatest(length(a), length(b), 1) END AS score FROM p)
+SELECT drawing_id, patch AS patch_id, id, arg_max(text, (CASE WHEN a = b THEN 1 ELSE 0 END, score, -ord)) AS ocr_text, round(max(score), 6) AS score FROM s WHERE a = b OR score >= 0.7 GROUP BY 1, 2, 3""")
 def ocr_reconcile(spark, d):
-    b = boxes(spark, d).withColumn("patch_id", F.col("drawing_id"))
-    model = b.where("id % 3 = 0").select("patch_id", "id", F.col("tag").alias("tag_text"))
-    words = b.where("id % 7 = 1").select("patch_id", F.col("id").alias("ord"), F.concat(F.lower("tag"), F.when(F.col("id") % 2 == 0, "").otherwise("x")).alias("text"))
-    return lookup.reconcile(model, words)
+    b = boxes(spark, d).withColumn("patch_id", F.col("drawing_id") % 7)
+    words = b.select("drawing_id", "patch_id", F.col("id").alias("ord"), F.concat(F.lower("tag"), F.when(F.col("id") % 2 == 0, "").otherwise("x")).alias("text"))
+    return lookup.reconcile(b.select("drawing_id", "patch_id", "id", F.col("tag").alias("tag_text")), words)
 
 
 _BARE = "regexp_replace({}, '^[A-Z]+-', '')"
@@ -549,18 +616,23 @@ def enrichment_staleness(spark, d):
     return lookup.enrich(table(spark, d, "customer"), links, ["c_custkey"])[1]
 
 
-@query(f"""{C} SELECT id, CASE WHEN regexp_replace(upper(tag), '^[V-]+', '') LIKE 'F%' THEN 'flow' WHEN regexp_replace(upper(tag), '^[V-]+', '') LIKE 'P%' THEN 'pressure' WHEN regexp_replace(upper(tag), '^[V-]+', '') LIKE 'T%' THEN 'temperature' WHEN regexp_replace(upper(tag), '^[V-]+', '') LIKE 'L%' THEN 'level' ELSE 'other' END AS family,
-CASE WHEN regexp_matches(upper(trim(tag)), '^(LT|GT)(-|$)') THEN 'COUNT_ONLY' ELSE 'FULL_EXTRACTION' END AS mode, round(CASE WHEN isolated THEN 0.8 WHEN in_registry THEN 0.7 - least(det * 100 / 300, 0.3) ELSE 0.3 END, 3) AS assoc FROM cand""")
+@query(f"""{C}, x AS (SELECT *, regexp_replace(upper(tag), '^V*-*', '') AS u, upper(trim(tag)) AS n FROM cand) SELECT id, CASE WHEN u LIKE 'T%' THEN 'temperature' WHEN u LIKE 'PAHH%' OR u LIKE 'PIT%' OR u LIKE 'PI%' THEN 'pressure' WHEN u LIKE 'LIT%' OR u LIKE 'LI%' THEN 'level' WHEN u LIKE 'FIC%' OR u LIKE 'FIT%' OR u LIKE 'FI%' THEN 'flow' END AS family,
+CASE WHEN n LIKE 'LT%' OR n LIKE 'GT%' OR n LIKE '%-LT-%' OR n LIKE '%-GT-%' THEN 'COUNT_ONLY' WHEN n LIKE 'LC%' OR n LIKE 'GC%' OR n LIKE '%-LC-%' OR n LIKE '%-GC-%' THEN 'FULL_EXTRACTION' WHEN id % 3 = 0 THEN 'COUNT_ONLY' ELSE 'FULL_EXTRACTION' END AS mode,
+CASE WHEN id % 11 = 0 THEN 'CLOUD_ONLY' WHEN id % 5 IN (0, 1, 2) THEN 'FULL_DRAWING' ELSE 'CLOUD_PRIORITY' END AS scope, round(CASE WHEN isolated THEN 0.8 WHEN in_registry THEN 0.7 - least(det * 100 / 300, 0.3) ELSE 0.3 END, 3) AS assoc,
+CASE WHEN isolated THEN 'CONTAINED_WITHIN' WHEN in_registry AND geo * 300 < 20 THEN 'ATTACHED_TO' WHEN det * 300 < 30 THEN 'CONNECTED_TO' WHEN det * 300 <= 150 OR (in_registry AND geo * 300 <= 150) THEN 'ADJACENT_TO' ELSE 'ISOLATED' END AS relation FROM x""")
 def families_and_modes(spark, d):
     a = s.association_confidence(F.lit(None).cast("double"), F.when(F.col("in_registry") & ~F.col("isolated"), F.col("det") * 100), F.when(F.col("isolated"), F.lit(True)))
-    return candidates(spark, d).select("id", t.instrument_family(F.col("tag")).alias("family"), s.project_mode(F.col("tag")).alias("mode"), a.alias("assoc"))
+    title = F.when(F.col("id") % 3 == 0, "Unit X-LT-1").otherwise("GC plan")
+    scope = s.revision_scope(F.when(F.col("id") % 11 == 0, "within clouded areas only"), F.element_at(F.array(*[F.lit(x) for x in ("0", "ifi", " REVA ", "", "B")]), (F.col("id") % 5 + 1).cast("int")))
+    relation = s.spatial_relationship(F.col("isolated"), F.when(F.col("in_registry"), F.col("geo") * 300), F.col("det") * 300)
+    return candidates(spark, d).select("id", t.instrument_family(F.col("tag")).alias("family"), s.project_mode(F.col("tag"), title).alias("mode"), scope.alias("scope"), a.alias("assoc"), relation.alias("relation"))
 
 
-@query("""WITH a AS (SELECT o_orderkey AS row_label, o_orderstatus AS s, o_orderpriority AS p FROM orders) SELECT row_label, CASE WHEN row_label % 3 <> 0 THEN s END AS s, CASE WHEN row_label % 2 = 0 THEN 'right' WHEN row_label % 3 <> 0 THEN p END AS p FROM a WHERE row_label % 3 <> 0 OR row_label % 2 = 0""")
+@query("""WITH a AS (SELECT o_orderkey AS row_label, o_orderstatus AS s, o_orderpriority AS p FROM orders) SELECT row_label, CASE WHEN row_label % 3 <> 0 THEN s END AS s, CASE WHEN row_label % 2 = 0 OR row_label % 3 = 0 THEN 'right' ELSE p END AS p FROM a""")
 def merge_table_halves(spark, d):
     o = table(spark, d, "orders").withColumnRenamed("o_orderkey", "row_label")
     left = o.where("row_label % 3 <> 0").select("row_label", F.create_map(F.lit("s"), F.col("o_orderstatus"), F.lit("p"), F.col("o_orderpriority")).alias("cells"))
-    right = o.where("row_label % 2 = 0").select("row_label", F.create_map(F.lit("p"), F.lit("right")).alias("cells"))
+    right = o.where("row_label % 2 = 0 OR row_label % 3 = 0").select("row_label", F.create_map(F.lit("p"), F.lit("right")).alias("cells"))
     return shaping.merge_halves(left, right).select("row_label", F.col("cells")["s"].alias("s"), F.col("cells")["p"].alias("p"))
 
 
@@ -596,3 +668,6 @@ def points_in_regions(spark, d):
     b = boxes(spark, d)
     regions = b.select("drawing_id").distinct().withColumn("polygon", pts).withColumn("box", g.polygon_box(pts))
     return spatial.in_regions(b, regions).select("drawing_id", "id")
+
+
+from tagloom.plans import more  # noqa: E402, F401  registers further queries
