@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import mapper, shuffle_partitions, small_batches
+from tagloom.llm.common import mapper, shuffle_partitions, small_batches, staged
 
 SAMPLES = 128
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -162,22 +162,36 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def chain(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_chars: int = 16 << 20) -> DataFrame:
-    """(bucket, head, id, text): rows in runs by id. A run's rows share a bucket; the next run's first rows come last in it, marked head.
+def splits_of(sizes: list[tuple[int, int]], most: int) -> np.ndarray:
+    """First ids of runs, from (first id, code points) of ranges in order: ranges in a row are put together up to `most` code points."""
+    out: list[int] = []
+    held = 0
+    for first, chars in sizes:
+        if not out or held + chars > most:
+            out.append(first)
+            held = 0
+        held += chars
+    return np.array(out, dtype=np.int64)
 
-    Splits between runs are ids, one for each partition of a range partitioning of the ids alone; only they come to the
-    driver (one number for `bucket_chars` code points of text). The last run is followed by the table's first rows.
+
+def chain(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_chars: int = 8 << 20) -> DataFrame:
+    """(run, head, id, text), each run in a partition of its own: rows in runs by id. The next run's first rows come last in a run, marked head.
+
+    Runs have about `run_chars` code points (more if one id or a short range of ids has more). Splits between runs are ids,
+    from the sizes of the ranges of a finer range partitioning of ids and lengths alone; only these come to the driver (a few
+    numbers for `run_chars` code points of text). The last run is followed by the table's first rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.col("id").isNotNull())
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    runs = max(2 * shuffle_partitions(spark), -(-int(total) // bucket_chars))
-    starts = rows.select("id").repartitionByRange(runs, "id").groupBy(F.spark_partition_id().alias("p")).agg(F.min("id").alias("id")).collect()
-    splits = np.array(sorted({r["id"] for r in starts}), dtype=np.int64)
+    sizes = staged(rows.select("id", F.length("text").cast("long").alias("chars")), "lengths")
+    total = sizes.agg(F.sum("chars")).first()[0] or 0
+    fine = max(4 * shuffle_partitions(spark), 8 * -(-int(total) // run_chars))
+    ranges = sizes.repartitionByRange(fine, "id").groupBy(F.spark_partition_id().alias("p")).agg(F.min("id").alias("id"), F.sum("chars").alias("chars")).collect()
+    splits = splits_of(sorted((r["id"], r["chars"]) for r in ranges), max(1, min(run_chars, int(total) // max(1, 2 * shuffle_partitions(spark)))))
     given = spark.sparkContext.broadcast(splits)
 
     @F.pandas_udf("array<int>")
-    def buckets(ids):
+    def runs(ids):
         import pandas as pd
 
         s = given.value
@@ -185,9 +199,9 @@ def chain(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
         first = s[at] == ids.to_numpy()
         return pd.Series([[int(i), int(i - 1) % len(s)] if f else [int(i)] for i, f in zip(at, first, strict=True)])
 
-    of = rows.withColumn("b", buckets("id"))
-    dealt = of.select(F.posexplode("b").alias("head", "bucket"), "id", "text").select("bucket", "head", "id", "text")
-    return dealt.repartition(runs, "bucket").sortWithinPartitions("bucket", "head", "id", "text")
+    of = rows.withColumn("r", runs("id"))
+    dealt = of.select(F.posexplode("r").alias("head", "run"), "id", "text").select("run", "head", "id", "text")
+    return dealt.repartitionById(max(1, len(splits)), "run").sortWithinPartitions("run", "head", "id", "text")
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES) -> DataFrame:
@@ -210,7 +224,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                 sigs = sampler.signatures(texts)
                 done: list[tuple[int, str, np.ndarray, str, np.ndarray]] = []  # id, text, signature, next text, next signature
                 marks = [] if mark is None else list(mark)
-                for i, key in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("head").to_pylist(), ids, strict=True)):
+                for i, key in enumerate(zip(batch.column("run").to_pylist(), batch.column("head").to_pylist(), ids, strict=True)):
                     if before is not None and key != before:
                         if key[0] == before[0] and not before[1]:
                             done += [(d, t, m, texts[i], sigs[i]) for (d, t), m in zip(waiting, marks, strict=True)]

@@ -143,6 +143,54 @@ def test_cws_estimates_generalised_jaccard():
         assert abs(float(cws.likeness(x, y)) - want) < 0.045
 
 
+def test_cws_by_hand():
+    """Signatures agree where consistent weighted sampling, written out word by word, picks the same (word, t)."""
+    import math
+
+    mask = (1 << 64) - 1
+
+    def drawn(word, k):
+        x = (xxhash.xxh64_intdigest(word.encode()) + (k + 1) * 0x9E3779B97F4A7C15) & mask
+        x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ x >> 27) * 0x94D049BB133111EB) & mask
+        x ^= x >> 31
+        r, c = (quantile(((x >> s & 0xFFFF) + 0.5) / 65536) for s in (0, 16))
+        return r, c, (x >> 32) / 2**32
+
+    def quantile(u):  # of gamma(2, 1)
+        lo, hi = 0.0, 60.0
+        for _ in range(60):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if 1 - math.exp(-mid) * (1 + mid) < u else (lo, mid)
+        return (lo + hi) / 2
+
+    def picks(text, samples):
+        bag = {w: text.split().count(w) for w in set(text.split())}
+        out = []
+        for k in range(samples):
+            best = []
+            for w, n in bag.items():
+                r, c, beta = drawn(w, k)
+                t = math.floor(math.log(n) / r + beta)
+                best.append((math.log(c) - r * (t - beta) - r, w, t))
+            out.append(min(best)[1:])
+        return out
+
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("abcdefghij") for _ in range(30)) for _ in range(4)]
+    sig, want = cws.Sampler(64).signatures(texts), [picks(t, 64) for t in texts]
+    for i, j in itertools.combinations(range(4), 2):
+        assert sum((sig[i][k] == sig[j][k]) != (want[i][k] == want[j][k]) for k in range(64)) <= 1  # 32-bit rounding
+
+
+def test_cws_runs_follow_the_text(spark):
+    """Splits by size: one long document doesn't share its run, and every run has a partition of its own."""
+    assert cws.splits_of([(1, 5), (3, 5), (7, 100), (9, 4), (11, 4)], 10).tolist() == [1, 7, 9]
+    rows = [(i, "x" * (50_000 if i == 500 else 100)) for i in range(1000)]
+    got = cws.chain(spark.createDataFrame(rows, "doc_id long, text string"), run_chars=20_000).groupBy(F.spark_partition_id().alias("p")).agg(F.countDistinct("run").alias("runs"), F.sum(F.length("text")).alias("chars")).collect()
+    assert {r.runs for r in got} == {1} and sorted(r.chars for r in got)[-3] < 45_000  # it also heads the run before
+
+
 def test_cws_query(spark):
     got = {r.doc_id: r for r in queries.op2_cws(spark, SF).collect()}
     docs = sorted(documents(), key=lambda r: r["doc_id"])
