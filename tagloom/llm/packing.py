@@ -33,7 +33,7 @@ class WordIds:
     words in a row, and a word's are those of its parts. Words and parts are kept up to `most` each, then begun anew.
     """
 
-    def __init__(self, tokenizer_json: str, most: int = 500_000):
+    def __init__(self, tokenizer_json: str, most: int = 350_000):
         import regex
         from tokenizers import Tokenizer
 

@@ -56,7 +56,7 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
 
 def quality_model(spark: SparkSession, sf_dir: str) -> crf.Model:
     """Learnt from labelled documents whose crc32(doc_id) mod 3 isn't 1; a bounded sample of them."""
-    sample = toxicity.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", lambda i: F.crc32(i.cast("string").cast("binary")) % 3 != 1, most=3000, most_chars=10_000_000)
+    sample = toxicity.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", lambda i: F.crc32(i.cast("string").cast("binary")) % 3 != 1)
     return crf.fit(*sample)
 
 

@@ -122,7 +122,7 @@ def _forest(x: np.ndarray, left: int, radius: int) -> tuple[np.ndarray, np.ndarr
 SMALL_TILE = 16
 
 
-def tile_links(key: np.ndarray, side: np.ndarray, two: np.ndarray, x: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def tile_forest(key: np.ndarray, side: np.ndarray, two: np.ndarray, x: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (as row numbers) of whole tiles: rows are sorted by (key, side, population count); two: the tile is a pair of cuts."""
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sizes = np.diff(np.r_[starts, len(key)])
@@ -172,20 +172,26 @@ def _keyed(nodes: DataFrame, laid: list[tuple[int, int, int]], *columns: str) ->
     return nodes.select(*columns, F.explode(key).alias("k")).select(*columns, "k.block", "k.value")
 
 
+#: A table of cuts with up to so many rows (of some fifty bytes) is broadcast; a larger one is joined by a shuffle.
+MOST_CUTS = 100_000
+
+
 def tiles(rows: DataFrame, reach: int, tile_rows: int, *columns: str) -> DataFrame:
     """(tile, side, two, columns) of rows (block, value, rank, columns): rows that share block and value and whose ranks differ by at most `reach` meet in a tile.
 
     Up to `tile_rows` rows of one value are one tile. More are cut by rank (a rank with more rows also by a hash of the
-    node), and a tile is a cut or a pair of cuts (two; side tells them apart), only of ranks within reach. A value with one row has none.
+    node), and a tile is a cut or a pair of cuts (two; side tells them apart), only of ranks within reach.
     """
-    sizes = rows.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # at most a row for each value of each block, however many nodes there are
-    big = F.broadcast(sizes.where(F.col("n") > tile_rows).select("block", "value"))
-    by_rank = rows.join(big, ["block", "value"]).groupBy("block", "value", "rank").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("cuts"))
+    sizes = rows.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile_rows).select("block", "value")
+    by_rank = rows.join(sizes, ["block", "value"], "left_semi").groupBy("block", "value", "rank").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("cuts"))
     at = Window.partitionBy("block", "value").orderBy("rank")
     first = F.coalesce(F.sum("cuts").over(at.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cuts = by_rank.withColumn("first", first).withColumn("lo", F.min("first").over(at.rangeBetween(-reach, reach))).withColumn("hi", F.max(F.col("first") + F.col("cuts") - 1).over(at.rangeBetween(-reach, reach)))
-    cut = rows.join(sizes.select("block", "value"), ["block", "value"]).join(cuts, ["block", "value", "rank"], "left")
+    made = by_rank.withColumn("first", first).withColumn("lo", F.min("first").over(at.rangeBetween(-reach, reach))).withColumn("hi", F.max(F.col("first") + F.col("cuts") - 1).over(at.rangeBetween(-reach, reach)))
+    big = staged(sizes, "big")
+    if big.isEmpty():
+        return rows.select(F.xxhash64("block", "value").alias("tile"), F.lit(0).alias("side"), F.lit(False).alias("two"), *columns)
+    cuts = staged(made, "cuts")
+    cut = rows.join(F.broadcast(cuts) if cuts.count() <= MOST_CUTS else cuts, ["block", "value", "rank"], "left")
     cut = cut.withColumn("cut", F.coalesce(F.col("first") + F.pmod(F.xxhash64("node"), F.col("cuts")), F.lit(0)).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.coalesce("lo", F.lit(0)).cast("int"), F.coalesce("hi", F.lit(0)).cast("int"))))
     return cut.select(
@@ -219,7 +225,7 @@ def links(distinct: DataFrame, radius: int = 3, tile_rows: int = 2048, longs: in
             else:
                 whole = len(kept[0])
             if whole:
-                i, j = tile_links(*(k[:whole] for k in kept[:3]), np.stack([u64(k[:whole]) for k in kept[4:]], axis=1), radius)
+                i, j = tile_forest(*(k[:whole] for k in kept[:3]), np.stack([u64(k[:whole]) for k in kept[4:]], axis=1), radius)
                 if len(i):
                     yield pa.RecordBatch.from_arrays([pa.array(kept[3][i]), pa.array(kept[3][j])], schema=out)
                 kept = [k[whole:] for k in kept]
@@ -270,27 +276,14 @@ def first_block(x: np.ndarray, laid: list[tuple[int, int, int]]) -> np.ndarray:
     return out
 
 
-def _closest(i: np.ndarray, j: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
-    """Which pairs (i, j) at distance d are among the k closest of one of their ends."""
-    end, at, far = np.r_[i, j], np.r_[np.arange(len(i)), np.arange(len(i))], np.r_[d, d]
-    order = np.lexsort((far, end))
-    e = end[order]
-    start = np.flatnonzero(np.r_[True, e[1:] != e[:-1]])
-    place = np.arange(len(e)) - np.repeat(start, np.diff(np.r_[start, len(e)]))
-    return np.unique(at[order[place < k]])
-
-
-def tile_pairs(tile: np.ndarray, side: np.ndarray, two: np.ndarray, block: np.ndarray, n: np.ndarray, part: np.ndarray, x: np.ndarray, radius: int, least: Fraction, laid: list[tuple[int, int, int]], closest: int | None = None, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (as row numbers) of whole tiles within the radius, of different parts, whose sizes n allow a similarity of `least` and that agree in no earlier block; rows are sorted by (tile, n).
-
-    closest: of each row only its so many closest pairs in the tile (a pair counts if it is that for either end).
-    """
+def tile_pairs(tile: np.ndarray, side: np.ndarray, two: np.ndarray, block: np.ndarray, n: np.ndarray, part: np.ndarray, x: np.ndarray, radius: int, least: Fraction, laid: list[tuple[int, int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, distance): all pairs (as row numbers) of whole tiles within the radius, of different parts, whose sizes n allow a similarity of `least` and that agree in no earlier block; rows are sorted by (tile, n)."""
     if len(tile) == 0:
         return
     starts = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
     mixed = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
     i = np.flatnonzero(np.repeat(mixed, np.diff(np.r_[starts, len(tile)])))
-    shift, held = 1, [np.zeros((0, 3), np.int64)]
+    shift = 1
     while len(i):
         i = i[i + shift < len(tile)]
         j = i + shift
@@ -301,65 +294,120 @@ def tile_pairs(tile: np.ndarray, side: np.ndarray, two: np.ndarray, block: np.nd
         near = np.flatnonzero(d <= radius)
         near = near[first_block(differ[near], laid) == block[a[near]]]
         if len(near):
-            if closest is None:
-                yield a[near], a[near] + shift
-            else:
-                held.append(np.stack([a[near], a[near] + shift, d[near]], axis=1))
-                if sum(map(len, held)) > most:
-                    every = np.concatenate(held)
-                    held = [every[_closest(*every.T, closest)]]
+            yield a[near], a[near] + shift, d[near]
         shift += 1
-    every = np.concatenate(held)
-    if len(every):
-        every = every[_closest(*every.T, closest)]
-        yield every[:, 0], every[:, 1]
 
 
-def candidates(nodes: DataFrame, radius: int, longs: int, bits: int, least: Fraction, tile_rows: int = 2048, closest: int | None = None) -> DataFrame:
-    """(a, b): all pairs of nodes (node, part, n, w0, ...) of different parts that share a block, are within the radius and have sizes n that allow `least`, once each; closest: see `tile_pairs`."""
+def tile_links(tile: np.ndarray, part: np.ndarray, sets: list[bytes], found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], least: Fraction) -> list[tuple[int, int]]:
+    """Links (as row numbers) with a Jaccard similarity of at least `least` that connect what the found pairs of whole tiles can connect, closest first.
+
+    A pair that earlier links of its tile connect isn't compared; sets: the distinct shingles' hashes as bytes."""
+    pairs = [np.stack(p, axis=1) for p in found]
+    if not pairs:
+        return []
+    every = np.concatenate(pairs)
+    every = every[np.lexsort((every[:, 2], tile[every[:, 0]]))]
+    out: list[tuple[int, int]] = []
+    now, held, root = None, {}, {}
+    for i, j, _ in every.tolist():
+        if tile[i] != now:
+            now, held, root = tile[i], {}, {}
+        ends = []
+        for k in (i, j):
+            r = int(part[k])
+            while (up := root.get(r, r)) != r:
+                r = up
+            ends.append(r)
+            if k not in held:
+                held[k] = frozenset(np.frombuffer(sets[k], np.int64).tolist())
+        if ends[0] == ends[1]:
+            continue
+        common = len(held[i] & held[j])
+        if least.denominator * common >= least.numerator * (len(held[i]) + len(held[j]) - common):
+            out.append((i, j))
+            root[max(ends)] = min(ends)
+    return out
+
+
+def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole tiles (column tile, sorted), as small as the batches allow."""
+    held: list[pa.RecordBatch] = []
+    for batch in _then_none(batches):
+        if batch is None:
+            if held:
+                yield pa.Table.from_batches(held)
+        elif batch.num_rows:
+            tile = batch.column("tile").to_numpy()
+            whole = int(np.flatnonzero(tile == tile[-1])[0])  # the last tile may go on in the next batch
+            if whole or held and held[-1].column("tile")[-1].as_py() != tile[0]:
+                yield pa.Table.from_batches([*held, batch.slice(0, whole)])
+                held = []
+            held.append(batch.slice(whole))
+
+
+def _columns(table: pa.Table, longs: int) -> list[np.ndarray]:
+    found = [table.column(c).to_numpy() for c in ("tile", "side", "two", "block", "n", "part")]
+    return [*found, np.stack([u64(table.column(w).to_numpy()) for w in names_of(longs)], axis=1)]
+
+
+def candidate_links(rows: DataFrame, distinct: DataFrame, parts: DataFrame, shingle_words: int, radius: int, longs: int, bits: int, least: Fraction, tile_rows: int) -> DataFrame:
+    """(a, b): links with a Jaccard similarity of at least `least` that connect all pairs of nodes of different parts which share a block, are within the radius and are that similar.
+
+    A first pass over the tiles finds the nodes that have a candidate there; the second gets only those, with their shingles'
+    hashes, and compares. No row is made for a pair that doesn't link. rows: (id, text, digest); distinct: (node, at, n, w0, ...); parts: (node, part).
+    """
     names = names_of(longs)
-    blocks = blocks_of(longs, radius, bits)
+    laid = blocks_of(longs, radius, bits)
     step = -math.log(float(least)) * (1 + 1e-9) if least < 1 else 1e-9  # sizes that allow `least` are at most a step apart
-    ranked = nodes.withColumn("rank", F.floor(F.log(F.greatest("n", F.lit(1))) / step))
-    keyed = _keyed(ranked, blocks, "node", "part", "n", "rank", *names)
-    laid = tiles(keyed, 1, tile_rows, "block", "node", "part", "n", *names)
-    dealt = laid.repartition(shuffle_partitions(nodes.sparkSession), "tile").sortWithinPartitions("tile", "n")
+    nodes = distinct.select("node", "n", *names).join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    nodes = staged(nodes.withColumn("rank", F.floor(F.log(F.greatest("n", F.lit(1))) / step)), "parts")
+    every = tiles(_keyed(nodes, laid, "node", "part", "n", "rank", *names), 1, tile_rows, "block", "node", "part", "n", *names)
+    n = shuffle_partitions(distinct.sparkSession)
+    member = pa.schema([("tile", pa.int64()), ("side", pa.int32()), ("two", pa.bool_()), ("block", pa.int32()), ("node", pa.int64())])
+
+    def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_tiles(batches):
+            cols = _columns(table, longs)
+            hit = np.zeros(table.num_rows, bool)
+            for i, j, _ in tile_pairs(*cols, radius, least, laid):
+                hit[i] = hit[j] = True
+            if hit.any():
+                yield from table.select(member.names).filter(pa.array(hit)).cast(member).to_batches()
+
+    met = staged(every.repartition(n, "tile").sortWithinPartitions("tile", "n").mapInArrow(seek, "tile long, side int, two boolean, block int, node long"), "members")
+    wanted = met.select("node").distinct()
+    text = node_texts(rows, distinct, wanted)
+    hashed = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+
+    def sets(batch: pa.RecordBatch) -> dict:
+        return {"node": batch.column("node"), "shingles": [np.unique(shingle_hashes(t, shingle_words)).tobytes() for t in batch.column("text").to_pylist()]}
+
+    own = staged(text.mapInArrow(mapper(hashed, "text", sets), "node long, shingles binary"), "sets")
+    full = met.join(nodes.select("node", "part", "n", *names), "node").join(own, "node")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.array([], t) for t in (np.int64, np.int64, bool, *[np.int64] * (longs + 4))]
-        for batch in _then_none(batches):
-            if batch is not None:
-                kept = [np.concatenate([k, batch.column(i).to_numpy(zero_copy_only=False)]) for i, k in enumerate(kept)]
-                if len(kept[0]) == 0:
-                    continue
-                whole = int(np.flatnonzero(kept[0] == kept[0][-1])[0])  # the last tile may go on in the next batch
-            else:
-                whole = len(kept[0])
-            if whole:
-                tile, side, two, block, node, part, n, *words = (k[:whole] for k in kept)
-                for i, j in tile_pairs(tile, side, two, block, n, part, np.stack([u64(w) for w in words], axis=1), radius, least, blocks, closest):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], schema=out)
-                kept = [k[whole:] for k in kept]
-
-    return dealt.mapInArrow(compare, "a long, b long")
+        for table in _whole_tiles(batches):
+            cols = _columns(table, longs)
+            node, own = table.column("node").to_numpy(), table.column("shingles").to_pylist()
+            made = tile_links(cols[0], cols[5], own, tile_pairs(*cols, radius, least, laid), least)
+            if made:
+                i, j = np.array(made).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], schema=out)
 
+    columns = ["tile", "side", "two", "block", "node", "n", "part", *names, "shingles"]
+    return staged(full.select(*columns).repartition(n, "tile").sortWithinPartitions("tile", "n").mapInArrow(compare, "a long, b long"), "links")
 
-#: Stands for a null id in joins.
-NO_ID = -(1 << 63)
 
+def node_texts(rows: DataFrame, distinct: DataFrame, ends: DataFrame) -> DataFrame:
+    """(node, text) of the distinct nodes in ends, a text for each. rows: (id, text, digest); distinct: (node, at), at being the id and digest of one of a node's rows."""
+    want = distinct.join(ends, "node", "left_semi").select("node", F.col("at.id").alias("__id"), F.col("at.digest").alias("__digest"))
+    met = rows.join(want, F.col("id").eqNullSafe(F.col("__id")) & (F.col("digest") == F.col("__digest"))).select("node", "text")
+    return staged(met.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
-def confirmed(rows: DataFrame, distinct: DataFrame, pairs: DataFrame, shingle_words: int, least: Fraction) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have a Jaccard similarity of at least `least`, compared shingle by shingle; rows: (id, text); distinct: (node, lead)."""
-    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    leads = distinct.join(ends, "node", "left_semi").select(F.coalesce("lead", F.lit(NO_ID)).alias("key")).distinct()
-    named = pa.schema([("node", pa.int64()), ("text", pa.string())])
 
-    def name(batch: pa.RecordBatch) -> dict:
-        return {"node": [_set_name(np.unique(shingle_hashes(t, shingle_words))) for t in batch.column("text").to_pylist()], "text": batch.column("text")}
-
-    wanted = rows.withColumn("key", F.coalesce("id", F.lit(NO_ID))).join(leads, "key", "left_semi").select("text")
-    texts = staged(wanted.mapInArrow(mapper(named, "text", name), "node long, text string").join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+def confirmed(texts: DataFrame, pairs: DataFrame, shingle_words: int, least: Fraction) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a Jaccard similarity of at least `least`, compared shingle by shingle; texts: (node, text)."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -382,17 +430,13 @@ def confirmed(rows: DataFrame, distinct: DataFrame, pairs: DataFrame, shingle_wo
     return staged(both.select("a", "b", "left", "right").mapInArrow(mapper(out, "left", compare), "a long, b long"), "links")
 
 
-#: How many closest candidates a node takes from a tile in the rounds before the last, which takes all.
-CLOSEST = (1, 4, 16)
-
-
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, shingle_words: int = 5, longs: int = 8, radius: int = 104, bits: int = 12, tile_rows: int = 2048) -> DataFrame:
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, shingle_words: int = 5, longs: int = 8, radius: int = 104, bits: int = 12, tile_rows: int = 512) -> DataFrame:
     """(id, digest, component, first): for each row its id, a hash of its text, the smallest id that chains of pairs with a Jaccard similarity of at least `least` reach, and whether it is its component's first.
 
     Similarity is that of the sets of shingles. Texts with equal sets are one node. Fingerprints of the sets give
-    candidates, and the texts confirm each: no pair below `least` links. Rounds keep large families of copies from making
-    all their pairs: each node's closest candidates are confirmed first, and only nodes with a candidate in another
-    component go on; the last round takes all candidates that are left. Null texts count as empty, and empty texts are
+    candidates, and the sets confirm each: no pair below `least` links. Candidates of a tile are compared there, closest
+    first, and only until what can link hangs together, so large families of copies make no row for each of their pairs.
+    A first round with a small radius links near-identical texts beforehand. Null texts count as empty, and empty texts are
     copies of each other. First is the row with the smallest (id, digest), null ids last; several rows may be, if they
     share both. Other rules for ids as in `near_duplicates`. An empty table gives no rows; further columns aren't read.
     """
@@ -407,21 +451,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("digest", F.xxhash64("text"))
     prints = staged(rows.mapInArrow(mapper(schema, "text", make), ", ".join(f"{x} long" for x in schema.names)), "simhash")
-    distinct = staged(prints.groupBy("node").agg(F.min("id").alias("lead"), F.first("n").alias("n"), *[F.first(w).alias(w) for w in names]), "distinct")
-    found = staged(links(distinct.select("node", "w0", "w1"), 12, tile_rows, 2, bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
-    sure = confirmed(rows, distinct, found, shingle_words, exact)
-    left = distinct
-    for closest in (*CLOSEST, None):
-        parts = components(sure, []).withColumnRenamed("root", "part")
-        nodes = left.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-        found = staged(candidates(nodes, radius, longs, bits, exact, tile_rows, closest).distinct(), "pairs")
-        if found.isEmpty():
-            break
-        sure = sure.unionAll(confirmed(rows, distinct, found, shingle_words, exact))
-        ends = found.select(F.col("a").alias("node")).unionAll(found.select(F.col("b").alias("node"))).distinct()
-        left = staged(left.join(ends, "node", "left_semi"), "left")
-    linked = staged(components(sure, []).join(distinct, "node").select("node", "root", "lead"), "linked")
-    of = distinct.select("node", "lead").join(linked.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    distinct = staged(prints.groupBy("node").agg(F.min(F.struct("id", "digest")).alias("at"), F.first("n").alias("n"), *[F.first(w).alias(w) for w in names]), "distinct")
+    found = staged(links(distinct.select("node", "w0", "w1"), 12, 4 * tile_rows, 2, bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
+    ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sure = confirmed(node_texts(rows, distinct, ends), found, shingle_words, exact)
+    parts = components(sure, []).withColumnRenamed("root", "part")
+    sure = sure.unionAll(candidate_links(rows, distinct, parts, shingle_words, radius, longs, bits, exact, tile_rows))
+    of = distinct.select("node").join(components(sure, []), "node", "left").withColumn("root", F.coalesce("root", "node"))
     each = prints.select("id", "digest", "node").join(of.select("node", "root"), "node")
     key = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
     best = each.groupBy("root").agg(F.min(key).alias("best"))

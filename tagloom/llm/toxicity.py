@@ -1,7 +1,7 @@
 """Toxicity by compression distance: windows of a text are compressed with an ordinary and with a toxic zstandard dictionary.
 
 zstandard trains both: the ordinary one on windows of ordinary texts, the toxic one on what sets toxic texts apart, that is
-on runs of the words that toxic training texts hold clearly more often (see `telling_runs`). Behind the toxic content stands
+on runs of the words that toxic training texts hold clearly more often (see `telling_words`). Behind the toxic content stands
 the ordinary one again, so that the two lengths differ only by what toxic text adds. Sizes and segment lengths of the toxic
 dictionary are chosen on the training texts. A window's savings are held against thresholds calibrated on ordinary windows,
 and a logistic model of the counts turns them into a probability.
@@ -96,20 +96,22 @@ def features(text: str | None, pair: tuple[zstandard.ZstdCompressor, zstandard.Z
     return out
 
 
-def telling_runs(toxic: list[bytes], ordinary: list[bytes], words: int, least_z: float = 8.0, least_docs: int = 5) -> list[bytes]:
-    """Training samples of the toxic dictionary: each toxic text without the words that ordinary texts hold as often, cut into runs of `words` words.
-
-    A word stays if at least `least_docs` toxic texts hold it and the difference of its shares among toxic and among ordinary texts is at least `least_z` standard errors.
-    """
+def telling_words(toxic: list[bytes], ordinary: list[bytes], least_z: float = 8.0, least_docs: int = 5) -> set[bytes]:
+    """Words that at least `least_docs` toxic texts hold and whose shares among toxic and among ordinary texts differ by at least `least_z` standard errors."""
     n1, n0 = len(toxic), len(ordinary)
     c1 = Counter(w for b in toxic for w in set(b.split()))
     c1 = {w: n for w, n in c1.items() if n >= least_docs}
     c0 = Counter(w for b in ordinary for w in set(b.split()) if w in c1)
-    telling = set()
+    out = set()
     for w, n in c1.items():
         p = (n + c0[w]) / (n1 + n0)
         if n / n1 - c0[w] / n0 >= least_z * (p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12) ** 0.5:
-            telling.add(w)
+            out.add(w)
+    return out
+
+
+def telling_runs(toxic: list[bytes], telling: set[bytes], words: int) -> list[bytes]:
+    """Training samples of the toxic dictionary: each toxic text without the words that ordinary texts hold as often, cut into runs of `words` words."""
     out = []
     for b in toxic:
         left = [w for w in b.split() if w in telling]
@@ -197,8 +199,9 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
 
     tried = np.sort(np.concatenate([np.flatnonzero(y == v)[:most_tried] for v in (0, 1)]))
     best, least = None, np.inf
+    telling = telling_words(toxic, ordinary) if toxic and ordinary else set()
     for segment, size, words in TRIED:
-        content = trained(size, telling_runs(toxic, ordinary, words), k=segment, d=6) if toxic and ordinary else None
+        content = trained(size, telling_runs(toxic, telling, words), k=segment, d=6)
         if content is None:
             continue
         model = model_of(content)
@@ -211,7 +214,7 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
     return best
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: int = 6000, most_chars: int = 24_000_000, id_col: str = "doc_id", text_col: str = "text", share: float = 0.5) -> tuple[list, list, float | None]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: int = 3000, most_chars: int = 10_000_000, id_col: str = "doc_id", text_col: str = "text", share: float = 0.5) -> tuple[list, list, float | None]:
     """(texts, labels, share of label 1 among all labelled rows): up to `most` labelled texts and about `most_chars` code points, for training.
 
     Taken are rows for which `use` holds, in the order of a hash of their id; up to `share` of them have label 1. Rows with
