@@ -74,7 +74,7 @@ def _lines(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         has = line[first]
         h[has] = np.add.reduceat((word ^ (word >> np.uint64(29))) * (index * np.uint64(2) + np.uint64(0x9E3779B97F4A7C15)), first)
         some = np.maximum(words, 1)
-        x[:, 7], x[:, 8], x[:, 9], x[:, 10] = again / some, distinct / some, full / some / 10, np.log1p(words)
+        x[:, 7], x[:, 8], x[:, 9], x[:, 10] = again / some, distinct / some, np.where(words > 0, full / some / 10, 0), np.log1p(words)
     for i, k in enumerate((2, 3, 4, 5, 6, 7)):
         x[:, i] = by[k] / full
     x[:, 6] = np.log1p(np.maximum(size, 0))
