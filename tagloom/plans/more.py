@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.functions import text as t
-from tagloom.operators import hierarchy, lookup, register, sow
+from tagloom.operators import flow, hierarchy, lookup, register, sow
 from tagloom.plans.fixtures import boxes, candidates, segments
-from tagloom.plans.queries import _E, _EDGES, _NODES, _edges, _nodes, _pd, _tree, EVAL_KEY, B, C, S, query, sql_key
+from tagloom.plans.queries import _D, _E, _EDGES, _NODES, _edges, _nodes, _pd, _tree, EVAL_KEY, B, C, S, query, sql_key
 
 _K = sql_key("tag", EVAL_KEY)
 _MEANS = """MAP {'AHH': 'ALARM HIGH HIGH', 'ALL': 'ALARM LOW LOW', 'IT': 'INDICATING TRANSMITTER', 'AH': 'ALARM HIGH', 'AL': 'ALARM LOW', 'HH': 'ALARM HIGH HIGH', 'LL': 'ALARM LOW LOW', 'SC': 'SWITCH CLOSE', 'SO': 'SWITCH OPEN', 'ZT': 'POSITION TRANSMITTER', 'ZY': 'SOLENOID/CONVERTER', 'IC': 'INDICATING CONTROLLER', 'CV': 'CONTROL VALVE',
@@ -252,3 +252,97 @@ def nearest_junctions(spark, d):
     return hierarchy.nearest_junctions(ends, spots).select("drawing_id", "line", "junction")
 
 
+
+
+def _axes(spark, d):
+    s = F.col("seg")
+    return segments(spark, d).select("drawing_id", F.col("id").alias("line"), F.struct(s["x0"].cast("double").alias("x"), s["y0"].cast("double").alias("y")).alias("a"), F.struct(s["x1"].cast("double").alias("x"), s["y1"].cast("double").alias("y")).alias("b"))
+
+
+_GROWN = "{x} >= b.x1 - 90 AND {x} <= b.x2 + 90 AND {y} >= b.y1 - 90 AND {y} <= b.y2 + 90"
+
+
+@query(f"""{S}, p AS (SELECT b.drawing_id, b.id AS equipment, s.id AS line, b.tag, (b.x1 + b.x2) / 2.0 AS cx, (b.y1 + b.y2) / 2.0 AS cy, b.y2 - b.y1 AS h, {_GROWN.format(x='s.sx0', y='s.sy0')} AS at_a, s.sx0, s.sy0, s.sx1, s.sy1 FROM boxes b JOIN seg s ON b.drawing_id = s.drawing_id
+WHERE ({_GROWN.format(x='s.sx0', y='s.sy0')}) OR ({_GROWN.format(x='s.sx1', y='s.sy1')})), q AS (SELECT *, CASE WHEN at_a THEN 'A' ELSE 'B' END AS e, CASE WHEN tag = 'T-7' THEN CASE WHEN at_a THEN sx0 ELSE sx1 END >= cx ELSE CASE WHEN at_a THEN sy0 ELSE sy1 END >= cy + h * 0.15 END AS o FROM p)
+SELECT drawing_id, equipment, line, e AS "end", o AS outgoing, CASE WHEN o = (e = 'A') THEN 'forward' ELSE 'reverse' END AS direction FROM q""")
+def flow_conventions(spark, d):
+    return flow.equipment_conventions(boxes(spark, d), _axes(spark, d), compressors=("T-7",))
+
+
+@query(f"""{S}, w AS (SELECT *, CASE id % 5 WHEN 0 THEN 'left_to_right' WHEN 1 THEN 'right_to_left' WHEN 2 THEN 'top_to_bottom' WHEN 3 THEN 'bottom_to_top' ELSE 'unclear' END AS word FROM seg)
+SELECT drawing_id, id AS line, CASE WHEN CASE word WHEN 'left_to_right' THEN sx1 - sx0 WHEN 'right_to_left' THEN sx0 - sx1 WHEN 'top_to_bottom' THEN sy1 - sy0 ELSE sy0 - sy1 END >= 0 THEN 'forward' ELSE 'reverse' END AS direction FROM w WHERE word <> 'unclear'""")
+def flow_answers(spark, d):
+    words = F.element_at(F.array(*[F.lit(x) for x in ("left_to_right", "right_to_left", "top_to_bottom", "bottom_to_top", "unclear")]), (F.col("line") % 5 + 1).cast("int"))
+    axes = _axes(spark, d)
+    return flow.answered_directions(axes.select("drawing_id", "line", words.alias("word")), axes)
+
+
+def _connections(spark, d):
+    """(lines, ends, links): every second line has a junction at its first end; of five lines one has a valve, one a monitor and one equipment at its other end."""
+    axes = _axes(spark, d)
+    n = F.col("line")
+    junctions = axes.where("line % 2 = 0").select("drawing_id", "line", "a.x", "a.y")
+    kind = F.when(n % 5 == 1, "valve").when(n % 5 == 2, "instrument").otherwise("equipment")
+    rel = F.when(n % 5 == 1, "CONNECTED_TO").when(n % 5 == 2, "MONITORS").otherwise("MOUNTED_ON")
+    b = F.col("b")
+    box = F.struct((b["x"] - 1).alias("x1"), (b["y"] - 1).alias("y1"), (b["x"] + 1).alias("x2"), (b["y"] + 1).alias("y2"))
+    links = axes.where("line % 5 IN (1, 2, 3)").select("drawing_id", "line", rel.alias("rel"), kind.alias("kind"), box.alias("box"))
+    lines = axes.select("drawing_id", "line", (n % 4 + 1).alias("segments"), F.when(n % 7 == 0, "forward").otherwise("unknown").alias("direction"))
+    return lines, flow.connected_ends(axes, junctions, links), links
+
+
+@query(f"""{S} SELECT drawing_id, id AS line, CASE WHEN id % 2 = 0 THEN 'reverse' ELSE 'forward' END AS direction FROM seg WHERE id % 7 <> 0 AND id % 5 <> 2 AND (id % 5 IN (1, 3) OR id % 4 + 1 >= 3) AND ((id % 2 = 0 AND id % 5 NOT IN (1, 3)) OR (id % 2 = 1 AND id % 5 = 3))""")
+def flow_dead_legs(spark, d):
+    lines, ends, links = _connections(spark, d)
+    return flow.dead_leg_directions(lines, ends, links)
+
+
+@query(f"{S} SELECT drawing_id, id AS line FROM seg WHERE id % 7 <> 0 AND id % 2 = 0 AND id % 5 IN (1, 3)")
+def flow_unresolved(spark, d):
+    lines, ends, links = _connections(spark, d)
+    return flow.unresolved(lines, ends, links).select("drawing_id", "line")
+
+
+_BOX = "least(a.sx0, a.sx1) AS x1, least(a.sy0, a.sy1) AS y1, greatest(a.sx0, a.sx1) AS x2, greatest(a.sy0, a.sy1) AS y2"
+
+
+@query(f"""{S}, l AS (SELECT drawing_id, id, {_BOX} FROM seg a), e AS (SELECT drawing_id, id, sx0 AS x, sy0 AS y FROM seg UNION ALL SELECT drawing_id, id, sx1, sy1 FROM seg),
+p AS (SELECT l.drawing_id, l.id AS line, e.id AS other, unnest([CASE WHEN x BETWEEN x1 - 150 AND x1 AND y BETWEEN y1 - 30 AND y2 + 30 THEN 'LEFT' END, CASE WHEN x BETWEEN x2 AND x2 + 150 AND y BETWEEN y1 - 30 AND y2 + 30 THEN 'RIGHT' END, CASE WHEN y BETWEEN y1 - 150 AND y1 AND x BETWEEN x1 - 30 AND x2 + 30 THEN 'UP' END, CASE WHEN y BETWEEN y2 AND y2 + 150 AND x BETWEEN x1 - 30 AND x2 + 30 THEN 'DOWN' END]) AS side FROM l JOIN e ON l.drawing_id = e.drawing_id AND l.id <> e.id)
+SELECT DISTINCT drawing_id, line, side, other FROM p WHERE side IS NOT NULL""")
+def adjacent_lines(spark, d):
+    lines = segments(spark, d).select("drawing_id", F.col("id").alias("line"), "box")
+    ends = hierarchy.ends_of(segments(spark, d)).select("drawing_id", F.col("id").alias("line"), "box")
+    return flow.adjacent_lines(lines, ends, 150, 30)
+
+
+_OK = "x2 - x1 >= 30 AND y2 - y1 >= 30 AND (category <> 'equipment' OR ((x2 - x1) * (y2 - y1) >= 5000 AND greatest(x2 - x1, y2 - y1) / least(x2 - x1, y2 - y1) <= 3.5))"
+
+
+@query(f"""{B}, d AS (SELECT drawing_id, id, CASE WHEN id % 7 = 0 THEN 'V-' ELSE '' END || tag AS k, CASE WHEN id % 3 = 0 THEN 'equipment' ELSE 'valve' END AS category, conf, x1, y1, x2, y2 FROM boxes), g AS (SELECT *, {_OK} AS ok FROM d),
+lab AS (SELECT drawing_id, k, arg_max(id, (conf, -id)) AS id FROM g WHERE NOT ok AND category = 'equipment' AND greatest(x2 - x1, y2 - y1) / greatest(least(x2 - x1, y2 - y1), 1) > 3.5 AND NOT EXISTS (SELECT 1 FROM g h WHERE h.ok AND h.category = 'equipment' AND h.drawing_id = g.drawing_id AND h.k = g.k) GROUP BY 1, 2),
+kept AS (SELECT g.* FROM g WHERE ok OR EXISTS (SELECT 1 FROM lab WHERE lab.drawing_id = g.drawing_id AND lab.id = g.id)), e AS (SELECT a.drawing_id, a.id AS a, b.id AS b FROM kept a JOIN kept b ON a.drawing_id = b.drawing_id AND a.id <> b.id AND a.k = b.k AND a.category = b.category AND {_D} <= 400),
+r AS (SELECT drawing_id, id AS node, id AS root FROM kept UNION SELECT r.drawing_id, e.b, r.root FROM r JOIN e ON r.drawing_id = e.drawing_id AND r.node = e.a), m AS (SELECT drawing_id, node, min(root) AS root FROM r GROUP BY 1, 2),
+one AS (SELECT m.drawing_id, m.root, arg_max(id, (conf, (x2 - x1) * (y2 - y1), -id)) AS id, min(k) AS k, count(*) AS members FROM m JOIN kept ON m.drawing_id = kept.drawing_id AND m.node = kept.id GROUP BY 1, 2),
+site AS (SELECT drawing_id, substr(k, 3) AS k, min(id) AS into_id FROM one WHERE k LIKE 'V-%' GROUP BY 1, 2)
+SELECT one.drawing_id, one.id, one.k AS tag, one.members, NOT kept.ok AS label_only FROM one JOIN kept ON one.drawing_id = kept.drawing_id AND one.id = kept.id WHERE one.k LIKE 'V-%' OR NOT EXISTS (SELECT 1 FROM site WHERE site.drawing_id = one.drawing_id AND site.k = one.k)""")
+def entity_resolution(spark, d):
+    b = boxes(spark, d).withColumn("tag", F.concat(F.when(F.col("id") % 7 == 0, "V-").otherwise(""), "tag")).withColumn("category", F.when(F.col("id") % 3 == 0, "equipment").otherwise("valve"))
+    entities, _ = flow.resolve_entities(b, 400)
+    return entities.select("drawing_id", "id", "tag", "members", "label_only")
+
+
+@query(f"""{B}, t AS (SELECT *, id % 4 <> 0 AS own, x1 + CASE WHEN id % 4 = 0 THEN 0 ELSE 40 END AS tx1, x2 + CASE WHEN id % 4 = 0 THEN 0 ELSE 40 END AS tx2, greatest(y2 - y1, 1) * 1.5 AS pad FROM boxes),
+n AS (SELECT DISTINCT a.drawing_id, a.id FROM t a JOIN t b ON a.drawing_id = b.drawing_id AND a.id <> b.id AND b.own AND a.tx1 - a.pad < b.x2 AND a.tx2 + a.pad > b.x1 AND a.y1 - a.pad < b.y2 AND a.y2 + a.pad > b.y1)
+SELECT t.drawing_id, t.id, t.own OR n.id IS NOT NULL OR NOT ((y1 + y2) / 2.0 < 400 OR (y1 + y2) / 2.0 > 6500 OR (x1 + x2) / 2.0 < 800 OR (x1 + x2) / 2.0 > 9000) AS kept FROM t LEFT JOIN n ON t.drawing_id = n.drawing_id AND t.id = n.id""")
+def zone_text_gate(spark, d):
+    b = F.col("box")
+    move = F.when(F.col("id") % 4 == 0, 0).otherwise(40)
+    tag_box = F.struct((b["x1"] + move).alias("x1"), b["y1"].alias("y1"), (b["x2"] + move).alias("x2"), b["y2"].alias("y2"))
+    rows = boxes(spark, d).select("drawing_id", "id", "tag", b.alias("symbol"), tag_box.alias("tag_box"))
+    return flow.zone_text_gate(rows).select("drawing_id", "id", "kept")
+
+
+@query(f"{S}, p AS (SELECT a.drawing_id, a.id, s.id % 30 AS line FROM boxes a JOIN seg s ON a.drawing_id = s.drawing_id WHERE {_BS} <= 50) SELECT drawing_id, line, count(DISTINCT id) AS nodes FROM p GROUP BY 1, 2")
+def line_reach(spark, d):
+    symbols = boxes(spark, d).withColumn("kind", F.when(F.col("id") % 2 == 0, "valve").otherwise("instrument"))
+    return flow.line_reach(symbols, segments(spark, d).withColumn("line", F.col("id") % 30), 50).select("drawing_id", "line", F.size("nodes").alias("nodes"))
