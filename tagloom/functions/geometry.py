@@ -108,6 +108,94 @@ def polygon_box(polygon: Column) -> Column:
     return F.struct(F.array_min(xs).alias("x1"), F.array_min(ys).alias("y1"), F.array_max(xs).alias("x2"), F.array_max(ys).alias("y2"))
 
 
+def polygon_perimeter(polygon: Column) -> Column:
+    n = F.size(polygon)
+
+    def side(i: Column) -> Column:
+        a, b = F.get(polygon, i), F.get(polygon, (i + 1) % n)
+        return F.sqrt((a["x"] - b["x"]) * (a["x"] - b["x"]) + (a["y"] - b["y"]) * (a["y"] - b["y"]))
+
+    return F.when(n < 2, 0.0).otherwise(F.aggregate(F.transform(F.sequence(F.lit(0), n - 1), side), F.lit(0.0), lambda s, x: s + x))
+
+
+def _hull(points) -> list[dict]:
+    """Andrew's monotone chain."""
+    pts = sorted({(p["x"], p["y"]) for p in points})
+    if len(pts) < 3:
+        return [{"x": x, "y": y} for x, y in pts]
+
+    def half(order):
+        out = []
+        for p in order:
+            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]):
+                out.pop()
+            out.append(p)
+        return out[:-1]
+
+    return [{"x": x, "y": y} for x, y in half(pts) + half(pts[::-1])]
+
+
+def _hulls(polygons):
+    import pandas as pd
+
+    return pd.Series([None if p is None else _hull(p) for p in polygons])
+
+
+def convex_hull(polygon: Column) -> Column:
+    """The hull's corners; sorting and backtracking, which no built-in has."""
+    return F.pandas_udf(_hulls, "array<struct<x:double,y:double>>", F.PandasUDFType.SCALAR)(polygon)
+
+
+def scallopedness(polygon: Column, hull: Column) -> Column:
+    """Perimeter over the hull's: above 1 for bumpy outlines; 0 under three points or without a hull."""
+    return F.when((F.size(polygon) < 3) | (polygon_perimeter(hull) < 1e-6), 0.0).otherwise(polygon_perimeter(polygon) / polygon_perimeter(hull))
+
+
+def solidity(polygon: Column, hull: Column) -> Column:
+    """Area over the hull's: high for clouds, low for a zigzag of lines."""
+    return F.when(polygon_area(hull) < 1e-6, 0.0).otherwise(polygon_area(polygon) / polygon_area(hull))
+
+
+def _filled(points, x0: int, y0: int, x1: int, y1: int):
+    """A raster of whole coordinates of a box: those inside or on the polygon."""
+    import numpy as np
+
+    p = np.array([(q["x"], q["y"]) for q in points], float)
+    gx, gy = np.meshgrid(np.arange(x0, x1 + 1), np.arange(y0, y1 + 1))
+    inside, edge = np.zeros(gx.shape, bool), np.zeros(gx.shape, bool)
+    for (ax, ay), (bx, by) in zip(p, np.roll(p, -1, axis=0), strict=True):
+        cross = (bx - ax) * (gy - ay) - (by - ay) * (gx - ax)
+        edge |= (cross == 0) & (gx >= min(ax, bx)) & (gx <= max(ax, bx)) & (gy >= min(ay, by)) & (gy <= max(ay, by))
+        if ay != by:
+            inside ^= ((ay > gy) != (by > gy)) & (gx < (bx - ax) * (gy - ay) / (by - ay) + ax)
+    return inside | edge
+
+
+def _shared(a, b):
+    import numpy as np
+    import pandas as pd
+
+    out = []
+    for p, q in zip(a, b, strict=True):
+        if p is None or q is None or not len(p) or not len(q):
+            out.append((0, 0, 0))
+            continue
+        xs, ys = [z["x"] for z in [*p, *q]], [z["y"] for z in [*p, *q]]
+        box = int(min(xs)), int(min(ys)), int(max(xs)), int(max(ys))
+        m, n = _filled(p, *box), _filled(q, *box)
+        out.append((int(np.count_nonzero(m)), int(np.count_nonzero(n)), int(np.count_nonzero(m & n))))
+    return pd.DataFrame(out, columns=["a", "b", "both"])
+
+
+def polygon_overlap(a: Column, b: Column) -> Column:
+    """struct(a, b, both): whole coordinates inside or on each polygon and both, by a raster of their common box."""
+    return F.pandas_udf(_shared, "a long, b long, both long", F.PandasUDFType.SCALAR)(a, b)
+
+
+def polygon_iou(overlap: Column) -> Column:
+    return F.coalesce(F.try_divide(overlap["both"], overlap["a"] + overlap["b"] - overlap["both"]), F.lit(0.0))
+
+
 def simplify(polygon: Column, most: int) -> Column:
     """Every n-th vertex, so that at most `most` stay."""
     step = F.greatest(F.lit(1), F.ceil(F.size(polygon) / most).cast("int"))

@@ -148,3 +148,32 @@ def routing_summary(routed: DataFrame, by: list[str] | None = None) -> DataFrame
 
 def tally(rows: DataFrame, labels: str = "transforms") -> DataFrame:
     return rows.select(F.explode(labels).alias("label")).groupBy(F.split("label", ":")[0].alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def best_notes(notes: DataFrame, by: list[str] = DK) -> DataFrame:
+    """notes (id, raw_text, confidence, ord) without repeats: per id, or without one (or UNKNOWN) per first 40 characters, the one with
+    the highest confidence (0.5 if there is none) plus a thousandth of its length; the first of several. Notes with neither go."""
+    name, raw = F.upper(F.trim(F.coalesce(F.col("id"), F.lit("")))), F.trim(F.coalesce("raw_text", F.lit("")))
+    key = F.when(~name.isin("", "UNKNOWN"), name).otherwise(F.upper(F.left(raw, F.lit(40))))
+    score = F.coalesce("confidence", F.lit(0.5)) + F.length(raw) / 1000
+    keyed = notes.withColumn("__key", key).withColumn("__score", score).where("__key <> ''")
+    return best_per_key(keyed, [*by, "__key"], [F.desc("__score"), "ord"]).drop("__key", "__score")
+
+
+def distinct_tables(tables: DataFrame, by: list[str] = DK) -> DataFrame:
+    """tables (title, priority, ord) of a drawing's tiles: of equal titles (but for case and spaces) the one of the first tile; tables without a title all stay."""
+    key = F.regexp_replace(F.upper(F.trim(F.coalesce("title", F.lit("")))), r"\s+", " ")
+    n = F.row_number().over(Window.partitionBy(*by, "__key").orderBy("priority", "ord"))
+    return tables.withColumn("__key", key).withColumn("__n", n).where("__n = 1 OR __key = ''").drop("__key", "__n")
+
+
+def merged_abbreviations(regions: DataFrame, by: list[str] = DK) -> DataFrame:
+    """(by, abbreviation, meaning) of regions (ord, abbreviations map): of several meanings that of the last region."""
+    return regions.select(*by, "ord", F.explode("abbreviations").alias("abbreviation", "meaning")).groupBy(*by, "abbreviation").agg(F.max_by("meaning", "ord").alias("meaning"))
+
+
+def conventions(notes: DataFrame, by: list[str] = DK) -> DataFrame:
+    """(by, unit_system): metric or imperial by the last note (raw_text, ord) that names one, imperial if it names both; mixed without any."""
+    up = F.upper(F.coalesce("raw_text", F.lit("")))
+    told = notes.withColumn("__u", F.when(up.contains("IMPERIAL"), "imperial").when(up.contains("METRIC"), "metric"))
+    return told.groupBy(*by).agg(F.coalesce(F.max_by("__u", F.when(F.col("__u").isNotNull(), F.col("ord"))), F.lit("mixed")).alias("unit_system"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tagloom.functions import geometry as g
 from tagloom.functions import text as t
-from tagloom.operators import flow, hierarchy, lookup, register, sow
-from tagloom.plans.fixtures import boxes, candidates, segments
+from tagloom.operators import flow, hierarchy, lookup, register, shaping, sow
+from tagloom.plans.fixtures import boxes, candidates, segments, table
 from tagloom.plans.queries import _D, _E, _EDGES, _NODES, _edges, _nodes, _pd, _tree, EVAL_KEY, B, C, S, query, sql_key
 
 _K = sql_key("tag", EVAL_KEY)
@@ -346,3 +347,62 @@ def zone_text_gate(spark, d):
 def line_reach(spark, d):
     symbols = boxes(spark, d).withColumn("kind", F.when(F.col("id") % 2 == 0, "valve").otherwise("instrument"))
     return flow.line_reach(symbols, segments(spark, d).withColumn("line", F.col("id") % 30), 50).select("drawing_id", "line", F.size("nodes").alias("nodes"))
+
+
+_NOTES = "SELECT doc_id % 20 AS drawing_id, CASE doc_id % 3 WHEN 0 THEN ' n' || CAST(doc_id % 400 AS VARCHAR) WHEN 1 THEN 'unknown' END AS id, text AS raw_text, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id % 7 AS DOUBLE) / 10 END AS confidence, doc_id AS ord FROM documents"
+
+
+def _notes(spark, d):
+    n = F.col("doc_id")
+    return table(spark, d, "documents").select((n % 20).alias("drawing_id"), F.when(n % 3 == 0, F.concat(F.lit(" n"), n % 400)).when(n % 3 == 1, "unknown").alias("id"), F.col("text").alias("raw_text"), F.when(n % 5 != 0, (n % 7).cast("double") / 10).alias("confidence"), n.alias("ord"))
+
+
+@query(f"WITH n AS ({_NOTES}), k AS (SELECT *, CASE WHEN upper(trim(coalesce(id, ''))) NOT IN ('', 'UNKNOWN') THEN upper(trim(id)) ELSE upper(left(trim(coalesce(raw_text, '')), 40)) END AS key, coalesce(confidence, 0.5) + length(trim(coalesce(raw_text, ''))) / 1000 AS score FROM n) SELECT drawing_id, ord FROM k WHERE key <> '' QUALIFY row_number() OVER (PARTITION BY drawing_id, key ORDER BY score DESC, ord) = 1")
+def best_notes(spark, d):
+    return shaping.best_notes(_notes(spark, d)).select("drawing_id", "ord")
+
+
+@query("WITH t AS (SELECT o_custkey AS drawing_id, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE lower(o_orderpriority) END AS title, o_orderkey % 3 AS priority, o_orderkey AS ord FROM orders) SELECT drawing_id, ord FROM t QUALIFY title = '' OR row_number() OVER (PARTITION BY drawing_id, title ORDER BY priority, ord) = 1")
+def distinct_tables(spark, d):
+    k = F.col("o_orderkey")
+    title = F.when(k % 4 == 0, " ").when(k % 2 == 0, F.col("o_orderpriority")).otherwise(F.lower("o_orderpriority"))
+    return shaping.distinct_tables(table(spark, d, "orders").select(F.col("o_custkey").alias("drawing_id"), title.alias("title"), (k % 3).alias("priority"), k.alias("ord"))).select("drawing_id", "ord")
+
+
+@query("SELECT o_custkey AS drawing_id, left(o_orderpriority, 1) AS abbreviation, arg_max(o_orderstatus || CAST(o_orderkey AS VARCHAR), o_orderkey) AS meaning FROM orders GROUP BY 1, 2")
+def merged_abbreviations(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("drawing_id"), F.col("o_orderkey").alias("ord"), F.create_map(F.left("o_orderpriority", F.lit(1)), F.concat("o_orderstatus", "o_orderkey")).alias("abbreviations"))
+    return shaping.merged_abbreviations(o)
+
+
+@query("WITH n AS (SELECT o_custkey AS drawing_id, o_orderkey AS ord, CASE o_orderkey % 7 WHEN 0 THEN 'imperial' WHEN 1 THEN 'metric' WHEN 2 THEN 'imperial' END AS u FROM orders) SELECT drawing_id, coalesce(arg_max(u, ord) FILTER (u IS NOT NULL), 'mixed') AS unit_system FROM n GROUP BY 1")
+def conventions(spark, d):
+    k = F.col("o_orderkey")
+    raw = F.when(k % 7 == 0, "Units are Metric and imperial").when(k % 7 == 1, "METRIC only").when(k % 7 == 2, "imperial").otherwise("none")
+    return shaping.conventions(table(spark, d, "orders").select(F.col("o_custkey").alias("drawing_id"), k.alias("ord"), raw.alias("raw_text")))
+
+
+@query(f"{B}, q AS (SELECT drawing_id, id, x2 - x1 AS w, y2 - y1 AS h FROM boxes) SELECT drawing_id, id, round((w + 2.0 * h + 2.0 * sqrt((w / 2.0) ** 2 + (h / 2.0) ** 2)) / (2.0 * w + 2.0 * h), 6) AS bumps, 0.75::DOUBLE AS solid FROM q")
+def polygon_shape(spark, d):
+    """Boxes with a notch from the top side down to the centre: three quarters of the box, and two slanted sides in place of the top one."""
+    b = F.col("box")
+    x, y = g.center(b)
+
+    def at(u, v):
+        return F.struct(u.cast("double").alias("x"), v.cast("double").alias("y"))
+
+    p = F.array(at(b["x1"], b["y1"]), at(x, y), at(b["x2"], b["y1"]), at(b["x2"], b["y2"]), at(b["x1"], b["y2"]))
+    rows = boxes(spark, d).select("drawing_id", "id", p.alias("p")).withColumn("h", g.convex_hull(F.col("p")))
+    return rows.select("drawing_id", "id", F.round(g.scallopedness(F.col("p"), F.col("h")), 6).alias("bumps"), F.round(g.solidity(F.col("p"), F.col("h")), 6).alias("solid"))
+
+
+@query(f"{B} SELECT drawing_id, id, round((x2 - x1 - 4.0) * (y2 - y1 + 1.0) / ((x2 - x1 + 6.0) * (y2 - y1 + 1.0)), 6) AS iou FROM boxes")
+def polygon_overlaps(spark, d):
+    """Each box against itself moved by five: whole coordinates inside or on both over those of either."""
+    b = F.col("box")
+
+    def rectangle(by):
+        return F.array(*[F.struct((u + by).cast("double").alias("x"), v.cast("double").alias("y")) for u, v in ((b["x1"], b["y1"]), (b["x2"], b["y1"]), (b["x2"], b["y2"]), (b["x1"], b["y2"]))])
+
+    rows = boxes(spark, d).select("drawing_id", "id", g.polygon_overlap(rectangle(0), rectangle(5)).alias("o"))
+    return rows.select("drawing_id", "id", F.round(g.polygon_iou(F.col("o")), 6).alias("iou"))
