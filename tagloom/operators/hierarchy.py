@@ -59,13 +59,16 @@ def pipelines(segments: DataFrame, tol: float = 25, by: list[str] = DK, gap: flo
     length = F.sqrt((s["x1"] - s["x0"]) * (s["x1"] - s["x0"]) + (s["y1"] - s["y0"]) * (s["y1"] - s["y0"]))
     slack = F.least(F.lit(0.5), tol / F.greatest(length, F.lit(1.0)))
     touch = touch.where(g.point_segment_distance(x, y, s) <= tol).select(*by, g.snap(x, int(tol)).alias("gx"), g.snap(y, int(tol)).alias("gy"), F.col("l.id").alias("a"), F.col("r.id").alias("b"), ((along > slack) & (along < 1 - slack)).alias("inner"))
-    spots = touch.groupBy(*by, "gx", "gy").agg(F.array_distinct(F.concat(F.collect_set("a"), F.collect_set("b"))).alias("ids"), F.max("inner").alias("inner"))
-    junctions = spots.where((F.size("ids") >= 3) | F.col("inner")).withColumn("degree", F.size("ids"))
+    x0, y0 = F.col("box")["x1"], F.col("box")["y1"]
+    placed = ends.withColumn("gx", g.snap(x0, int(tol))).withColumn("gy", g.snap(y0, int(tol)))
+    # who meets at a point: all that end in its cell, and all that such an end touches
+    there = placed.select(*by, "gx", "gy", "id", F.lit(False).alias("inner")).unionAll(touch.select(*by, "gx", "gy", F.col("b").alias("id"), "inner"))
+    spots = there.groupBy(*by, "gx", "gy").agg(F.countDistinct("id").alias("degree"), F.max("inner").alias("inner"))
+    junctions = spots.where((F.col("degree") >= 3) | F.col("inner"))
     n = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("degree"), "gx", "gy")) - 1
     named = junctions.select(*by, F.concat(F.lit("JN-"), n.cast("string")).alias("junction"), (F.col("gx") * int(tol)).alias("x"), (F.col("gy") * int(tol)).alias("y"), "degree", F.when(F.col("degree") >= 4, "CROSS").otherwise("TEE").alias("kind"))
-    x0, y0 = F.col("box")["x1"], F.col("box")["y1"]
     free = touch.join(junctions.select(*by, "gx", "gy"), [*by, "gx", "gy"], "left_anti").select(*by, "a", "b")
-    loose = ends.withColumn("gx", g.snap(x0, int(tol))).withColumn("gy", g.snap(y0, int(tol))).join(junctions.select(*by, "gx", "gy"), [*by, "gx", "gy"], "left_anti").select(*by, "id", "end", "box")
+    loose = placed.join(junctions.select(*by, "gx", "gy"), [*by, "gx", "gy"], "left_anti").select(*by, "id", "end", "box")
     of = component_of(segments.select(*by, "id"), free.unionAll(bridges(loose, gap, equipment, by)), "id", by)
     sizes = of.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "root")) - 1

@@ -171,3 +171,82 @@ def test_discrepancies_and_extras(spark):
     other = rows([("BV-1", 40), ("GV-7", 600), ("gv-3", 1100), ("X-9", 2151)])
     assert {(r.full_tag, r.other_tag, r.kind, r.distance) for r in lookup.prefix_discrepancies(full, other).collect()} == {("V-BV-1", "BV-1", "prefix", 40.0), ("BV-2", "GV-7", "mismatch", 100.0)}
     assert {r.tag for r in lookup.extras(full, other).collect()} == {"BV-2"}
+
+
+def test_pipelines_against_plain_python(spark):
+    """Random short and long segments: contacts, junctions, unions and bridges, point by point."""
+    rng = random.Random(8)
+    segs = []
+    for i in range(90):
+        x, y, n = rng.randrange(0, 1200), rng.randrange(0, 900), rng.choice([40, 80, 200, 300])
+        dx, dy = rng.choice([(n, 0), (0, n), (n, 10)])
+        segs.append((i, float(x), float(y), float(x + dx), float(y + dy)))
+    pipes = [s for s in segs if math.dist(s[1:3], s[3:]) >= 60]
+
+    def off(px, py, s):
+        _, x0, y0, x1, y1 = s
+        n = (x1 - x0) ** 2 + (y1 - y0) ** 2
+        t = max(0.0, min(1.0, ((px - x0) * (x1 - x0) + (py - y0) * (y1 - y0)) / n))
+        return math.hypot(px - x0 - t * (x1 - x0), py - y0 - t * (y1 - y0)), t
+
+    root = {s[0]: s[0] for s in pipes}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    met, inner, touch = {}, set(), []
+    ends = [(s[0], *p) for s in pipes for p in (s[1:3], s[3:])]
+    for i, px, py in ends:
+        at = round(px / 25), round(py / 25)
+        met.setdefault(at, set()).add(i)
+        for s in pipes:
+            d, t = off(px, py, s)
+            if s[0] != i and d <= 25:
+                met[at].add(s[0])
+                slack = 25 / math.dist(s[1:3], s[3:])
+                if t <= slack or t >= 1 - slack:
+                    touch.append((i, s[0], at))
+                else:
+                    inner.add(at)
+    junctions = {at for at, ids in met.items() if len(ids) >= 3 or at in inner}
+    for i, j, at in touch:
+        if at not in junctions:
+            root[find(i)] = find(j)
+    loose = [e for e in ends if (round(e[1] / 25), round(e[2] / 25)) not in junctions]
+    for a, b in itertools.combinations(loose, 2):
+        if math.dist(a[1:], b[1:]) <= 100:
+            root[find(a[0])] = find(b[0])
+    want = {}
+    for s in pipes:
+        want.setdefault(find(s[0]), set()).add(s[0])
+    df = spark.createDataFrame([(0, *s) for s in segs], "drawing_id int, id long, x0 double, y0 double, x1 double, y1 double")
+    df = df.select("drawing_id", "id", F.struct("x0", "y0", "x1", "y1").alias("seg"), F.struct(F.col("x0").alias("x1"), F.col("y0").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2")).alias("box"))
+    lines, found = hierarchy.pipelines(df)
+    got = {}
+    for r in lines.collect():
+        got.setdefault(r.pipeline, set()).add(r.id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert {(r.x // 25, r.y // 25, r.degree) for r in found.collect()} == {(*at, len(met[at])) for at in junctions}
+
+
+def test_tile_duplicates_against_plain_python(spark):
+    import difflib
+
+    rng = random.Random(4)
+    rows = [(0, i, rng.choice(["V-BV-2245", "V-BV-2246", "V BV 2245", "10IN-GV-V272-11502X", "10IN-GV-V272-11502Y", "LG-3"]), rng.random(), x := rng.randrange(0, 200), y := rng.randrange(0, 100), x + rng.randrange(40, 90), y + rng.randrange(30, 60)) for i in range(90)]
+
+    def key(t):
+        return t.upper().replace("-", "").replace(" ", "").replace("IN", "")
+
+    kept = []
+    for r in sorted(rows, key=lambda r: (-r[3], r[1])):
+        def same(k, r=r):
+            lap = iou(r[4:], k[4:])
+            return key(r[2]) == key(k[2]) and lap > 0.15 or lap > 0.55 and difflib.SequenceMatcher(None, k[2].upper(), r[2].upper()).ratio() >= 0.92
+
+        if not any(map(same, kept)):
+            kept.append(r)
+    df = spark.createDataFrame(rows, "drawing_id int, id int, tag string, conf double, x1 int, y1 int, x2 int, y2 int").withColumn("box", g.box())
+    assert {r.id for r in dedup.tile_duplicates(df).collect()} == {r[1] for r in kept} and len(kept) < 80
