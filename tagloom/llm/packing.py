@@ -30,14 +30,14 @@ class WordIds:
     """A tokenizer's ids of a text, as little-endian unsigned 32-bit bytes, word by word.
 
     For tokenizers that drop white space and cut words by a pattern before they merge: a text's ids are those of its
-    words in a row, and a word's are those of its parts. Words and parts are kept up to `most` each, then begun anew.
+    words in a row, and a word's are those of its parts. Up to `most` words and `most_parts` parts are kept, then begun anew.
     """
 
-    def __init__(self, tokenizer_json: str, most: int = 350_000):
+    def __init__(self, tokenizer_json: str, most: int = 350_000, most_parts: int = 100_000):
         import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_str(tokenizer_json), most
+        self.tokenizer, self.most, self.most_parts = Tokenizer.from_str(tokenizer_json), most, most_parts
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         told = json.loads(tokenizer_json)
@@ -78,7 +78,7 @@ class WordIds:
         plain = list(set(words).difference(odd)) if odd else words
         lines = b"\n".join(plain).decode().lower() + "\n" * bool(plain)
         flat = self.lines.findall(lines)
-        if len(self.parts) > self.most:
+        if len(self.parts) > self.most_parts:
             self.parts.clear()
         self._ids([p for p in set(flat) if p != "\n" and p not in self.parts])
         parts, known, at, begun = self.parts, self.words, 0, 0

@@ -96,17 +96,16 @@ def features(text: str | None, pair: tuple[zstandard.ZstdCompressor, zstandard.Z
     return out
 
 
-def telling_words(toxic: list[bytes], ordinary: list[bytes], least_z: float = 8.0, least_docs: int = 5) -> set[bytes]:
-    """Words that at least `least_docs` toxic texts hold and whose shares among toxic and among ordinary texts differ by at least `least_z` standard errors."""
+def telling_words(toxic: list[bytes], ordinary: list[bytes], least_docs: int = 5) -> dict[bytes, float]:
+    """For each word that at least `least_docs` toxic texts hold, by how many standard errors its share among toxic texts exceeds that among ordinary ones."""
     n1, n0 = len(toxic), len(ordinary)
     c1 = Counter(w for b in toxic for w in set(b.split()))
     c1 = {w: n for w, n in c1.items() if n >= least_docs}
     c0 = Counter(w for b in ordinary for w in set(b.split()) if w in c1)
-    out = set()
+    out = {}
     for w, n in c1.items():
         p = (n + c0[w]) / (n1 + n0)
-        if n / n1 - c0[w] / n0 >= least_z * (p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12) ** 0.5:
-            out.add(w)
+        out[w] = (n / n1 - c0[w] / n0) / (p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12) ** 0.5
     return out
 
 
@@ -156,8 +155,8 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.
 
 #: A toxic document that slips through weighs as much as this many ordinary ones that are taken for toxic.
 CARE = 2.0
-#: What is tried for the toxic dictionary: segment length, bytes, words to a sample.
-TRIED = ((16, 512, 3), (24, 1024, 2), (32, 512, 3), (32, 1024, 4))
+#: What is tried for the toxic dictionary: standard errors that a telling word needs, segment length, bytes, words to a sample.
+TRIED = ((6.0, 32, 1024, 4), (6.0, 48, 1024, 6), (8.0, 24, 1024, 2), (8.0, 32, 512, 3), (12.0, 32, 1024, 4))
 
 
 def _fitted(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -199,9 +198,9 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
 
     tried = np.sort(np.concatenate([np.flatnonzero(y == v)[:most_tried] for v in (0, 1)]))
     best, least = None, np.inf
-    telling = telling_words(toxic, ordinary) if toxic and ordinary else set()
-    for segment, size, words in TRIED:
-        content = trained(size, telling_runs(toxic, telling, words), k=segment, d=6)
+    telling = telling_words(toxic, ordinary) if toxic and ordinary else {}
+    for least_z, segment, size, words in TRIED:
+        content = trained(size, telling_runs(toxic, {w for w, z in telling.items() if z >= least_z}, words), k=segment, d=6)
         if content is None:
             continue
         model = model_of(content)
