@@ -111,7 +111,8 @@ def pieces(moves_made: list[tuple[int, int, int, str, int]], texts: list[str | N
 def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", chunk_turns: int = CHUNK_TURNS) -> DataFrame:
     """(conv, turn, part, role, action, cost, rendered), one row per output turn or merged part.
 
-    Turns go by number, null numbers last, ties by role and text. Unknown and null roles are relabelled, null texts are
+    Turns go by number, null numbers last, ties by the SHA-1 of role and text. A task holds the turns of one chunk: of
+    `chunk_turns` numbers, so more only where numbers repeat, or a 64th of a conversation's turns without a number. Unknown and null roles are relabelled, null texts are
     empty, repeated turns are turns. A null conversation is one conversation. An empty table gives no rows. Further columns aren't read.
     """
     spark = turns.sparkSession

@@ -23,7 +23,8 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, sources = mixing.mix(table(spark, sf_dir, "documents"))
     one = docs.withColumn("source", F.get("pattern", F.lit(0))).select(F.col("id").alias("doc_id"), "source", "size", "taken", "passes")
     few = sources.select(F.col("source").alias("of"), "source_size", "target")
-    return one.join(F.broadcast(few), F.col("source").eqNullSafe(F.col("of"))).select("doc_id", "size", "source_size", "target", "taken", "passes")
+    few = F.broadcast(few) if few.count() <= 10_000 else few
+    return one.join(few, F.col("source").eqNullSafe(F.col("of"))).select("doc_id", "size", "source_size", "target", "taken", "passes")
 
 
 def op2_cws(spark: SparkSession, sf_dir: str) -> DataFrame:

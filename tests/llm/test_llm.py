@@ -523,6 +523,37 @@ def test_repair_is_cheapest(spark):
             assert text.endswith("<|end|>\n") and text.count("<|end|>") == text.count("|>\n") // 2
 
 
+def test_chat_query_repairs_what_is_illegal(spark, tmp_path):
+    """The query itself on conversations of its table with turns dropped, doubled and swapped."""
+    rng = random.Random(7)
+    rows = pq.read_table(f"{SF}/conversations.parquet").to_pylist()
+    broken = []
+    for r in rows:
+        role = rng.choice([r["role"]] * 4 + ["system", "assistant", "tool", None])
+        if rng.random() < 0.85:
+            broken.append(r | {"role": role})
+        if rng.random() < 0.1:
+            broken.append(r | {"role": role, "text": (r["text"] or "") + " again"})
+    kinds = "conv_id long, turn int, role string, text string"
+    spark.createDataFrame([tuple(r[c] for c in ("conv_id", "turn", "role", "text")) for r in broken], kinds).write.parquet(f"file://{tmp_path}/conversations.parquet")
+    got = {}
+    for r in queries.op5_chat(spark, f"file://{tmp_path}").collect():
+        got.setdefault(r.conv_id, []).append(r)
+    assert len(got) == len({r["conv_id"] for r in broken}) and {r.action for rs in got.values() for r in rs} == {"keep", "merge", "relabel", "insert"}
+    by = {}
+    for r in broken:
+        by.setdefault(r["conv_id"], []).append(r)
+    for c, rs in got.items():
+        own = by[c]
+        if len({r["turn"] for r in own}) < len(own):
+            continue  # ties are ordered by a hash
+        rs.sort(key=lambda r: (r.turn, r.part))
+        assert legal([r.role for r in rs if r.action != "merge"])
+        roles = [r["role"] for r in sorted(own, key=lambda r: r["turn"])]
+        if len(roles) <= 10:
+            assert sum(r.cost for r in rs) == brute_cost(roles)
+
+
 def test_chat_query_and_odd(spark):
     got = queries.op5_chat(spark, SF)
     assert got.count() == pq.read_table(f"{SF}/conversations.parquet").num_rows and got.where("action <> 'keep'").count() == 0
