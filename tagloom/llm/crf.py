@@ -10,6 +10,8 @@ transitions learn more than to stay. All steps are vectorised over many document
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +22,9 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import appended, mapper
 from tagloom.llm.toxicity import logistic, prior_weights
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: Chains with more lines than this are cut into blocks; texts are scored in groups of up to eight times as many lines, a longer one with its group.
+LONG = 4096
 #: Classes of bytes: 0 white space, 1 letters (with all of UTF-8 beyond ASCII), 2 capitals, 3 digits, 4 exclamation marks, 5 bars, 6 symbols, 7 other marks.
 CLASS = np.full(256, 7, np.uint8)
 CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -42,8 +46,36 @@ def _chunks(raw: bytes):
         at = end
 
 
+def _word_hashes(a: np.ndarray, solid: np.ndarray, begin: np.ndarray, stop: np.ndarray, before: int = 0) -> np.ndarray:
+    """Hashes of the words a[begin:stop]; before: the bytes of the first one that come before a."""
+    long = stop - begin
+    flat = np.flatnonzero(solid)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(long) - long, long)
+    place[: long[0]] += before
+    return np.add.reduceat(BYTE[a[flat]] * PLACE[place & 63] + (place >> 6).astype(np.uint64), np.cumsum(long) - long)
+
+
+def _mixed(word: np.ndarray, index: np.ndarray) -> np.ndarray:
+    return (word ^ (word >> np.uint64(29))) * (index.astype(np.uint64) * np.uint64(2) + np.uint64(0x9E3779B97F4A7C15))
+
+
+def _figures(by: np.ndarray, words: np.ndarray, again: np.ndarray, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(figures, bytes without the break) of lines with by[k] bytes of class k."""
+    x = np.zeros((by.shape[1], FIGURES))
+    size = by.sum(0) - 1  # without the break
+    full = np.maximum(size - (by[0] - 1), 1)
+    some = np.maximum(words, 1)
+    x[:, 7], x[:, 8], x[:, 9], x[:, 10] = again / some, distinct / some, np.where(words > 0, full / some / 10, 0), np.log1p(words)
+    for i, k in enumerate((2, 3, 4, 5, 6, 7)):
+        x[:, i] = by[k] / full
+    x[:, 6] = np.log1p(np.maximum(size, 0))
+    return x, np.maximum(size, 0)
+
+
 def _lines(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(figures, hash, bytes) of each line of raw, which ends with a line break."""
+    if len(raw) > CHUNK and raw.find(b"\n") == len(raw) - 1:
+        return _long_line(raw)
     a = np.frombuffer(raw, np.uint8)
     cls = CLASS[a]
     ends = np.flatnonzero(a == 10)
@@ -51,18 +83,12 @@ def _lines(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(starts)
     of = np.repeat(np.arange(n, dtype=np.int32), ends + 1 - starts)
     by = np.stack([np.bincount(of[cls == k], minlength=n) for k in range(8)]).astype(float)
-    size = by.sum(0) - 1  # without the break
-    full = np.maximum(size - (by[0] - 1), 1)
     solid = cls != 0
     begin = np.flatnonzero(solid & np.r_[True, ~solid[:-1]])
-    x = np.zeros((n, FIGURES))
     h = np.zeros(n, np.uint64)
+    words = again = distinct = np.zeros(n, np.int64)
     if len(begin):
-        stop = np.flatnonzero(solid & np.r_[~solid[1:], True]) + 1
-        long = stop - begin
-        flat = np.flatnonzero(solid)
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(long) - long, long)
-        word = np.add.reduceat(BYTE[a[flat]] * PLACE[place & 63] + (place >> 6).astype(np.uint64), np.cumsum(long) - long)
+        word = _word_hashes(a, solid, begin, np.flatnonzero(solid & np.r_[~solid[1:], True]) + 1)
         line = of[begin]
         words = np.bincount(line, minlength=n)
         again = np.bincount(line[1:][(word[1:] == word[:-1]) & (line[1:] == line[:-1])], minlength=n)
@@ -70,49 +96,76 @@ def _lines(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         w, li = word[order], line[order]
         distinct = np.bincount(li[np.r_[True, (w[1:] != w[:-1]) | (li[1:] != li[:-1])]], minlength=n)
         first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
-        index = (np.arange(len(line)) - np.repeat(first, np.diff(np.r_[first, len(line)]))).astype(np.uint64)
-        has = line[first]
-        h[has] = np.add.reduceat((word ^ (word >> np.uint64(29))) * (index * np.uint64(2) + np.uint64(0x9E3779B97F4A7C15)), first)
-        some = np.maximum(words, 1)
-        x[:, 7], x[:, 8], x[:, 9], x[:, 10] = again / some, distinct / some, np.where(words > 0, full / some / 10, 0), np.log1p(words)
-    for i, k in enumerate((2, 3, 4, 5, 6, 7)):
-        x[:, i] = by[k] / full
-    x[:, 6] = np.log1p(np.maximum(size, 0))
-    return x, h, np.maximum(size, 0)
-
-
-def line_figures(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(figures with those of the neighbours, bytes of each line, lines of each text): a text without lines has one empty line."""
-    xs, hs, sizes, counts = [], [], [], []
+        index = np.arange(len(line)) - np.repeat(first, np.diff(np.r_[first, len(line)]))
+        h[line[first]] = np.add.reduceat(_mixed(word, index), first)
+    x, size = _figures(by, words, again, distinct)
+    return x, h, size
+
+
+def _long_line(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of one long line, read in pieces of CHUNK bytes: only its words' hashes are held as a whole."""
+    by, held = np.zeros(8), [np.zeros(0, np.uint64)]
+    begun, part = 0, np.uint64(0)  # bytes and hash so far of a word that the piece before left open
+    for at in range(0, len(raw), CHUNK):
+        a = np.frombuffer(raw, np.uint8, min(CHUNK, len(raw) - at), at)
+        cls = CLASS[a]
+        by += np.bincount(cls, minlength=8)
+        solid = cls != 0
+        if begun and not solid[0]:
+            held.append(np.array([part], np.uint64))
+            begun = 0
+        begin, stop = np.flatnonzero(solid & np.r_[True, ~solid[:-1]]), np.flatnonzero(solid & np.r_[~solid[1:], True]) + 1
+        if not len(begin):
+            continue
+        word = _word_hashes(a, solid, begin, stop, begun)
+        if begun:
+            word[:1] += part
+        if solid[-1]:
+            begun, part, word = int(stop[-1] - begin[-1]) + (begun if len(word) == 1 else 0), word[-1], word[:-1]
+        else:
+            begun = 0
+        held.append(word)
+    word = np.concatenate(held)
+    h = np.add.reduce(_mixed(word, np.arange(len(word))), dtype=np.uint64)
+    x, size = _figures(by[:, None], *(np.array([n]) for n in (len(word), np.count_nonzero(word[1:] == word[:-1]), len(np.unique(word)))))
+    return x, np.array([h], np.uint64), size
+
+
+def _parts(texts: list[str | None], counts: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(figures, hash, bytes) of the texts' lines, about CHUNK bytes at a time; counts gets the lines of each text."""
     pending: list[bytes] = []
     room = 0
-
-    def flush() -> None:
-        nonlocal pending, room
-        if pending:
-            x, h, s = _lines(b"".join(pending))
-            xs.append(x)
-            hs.append(h)
-            sizes.append(s)
-        pending, room = [], 0
-
     for t in texts:
         raw = (t or "").encode("utf-8", "replace") + b"\n"
         counts.append(raw.count(b"\n"))
         for part in _chunks(raw):
-            if room + len(part) > CHUNK:
-                flush()
+            if pending and room + len(part) > CHUNK:
+                yield _lines(b"".join(pending))
+                pending, room = [], 0
             pending.append(part)
             room += len(part)
-    flush()
+    if pending:
+        yield _lines(b"".join(pending))
+
+
+def _again(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which lines equal an earlier one of their text; lines without words don't."""
+    order = np.lexsort((np.arange(len(h)), h, doc))
+    out = np.zeros(len(h), bool)
+    out[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]]) & (h[order[1:]] != 0)
+    return out
+
+
+def line_figures(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(figures with those of the neighbours, bytes of each line, lines of each text): a text without lines has one empty line."""
+    counts: list[int] = []
+    found = list(_parts(texts, counts))
     if not counts:
         return np.zeros((0, 3 * FIGURES)), np.zeros(0), np.zeros(0, np.int64)
-    x, h, size, count = np.concatenate(xs), np.concatenate(hs), np.concatenate(sizes), np.array(counts)
+    x, h, size = (np.concatenate(c) for c in zip(*found, strict=True))
+    count = np.array(counts)
     doc = np.repeat(np.arange(len(count)), count)
-    order = np.lexsort((np.arange(len(h)), h, doc))
-    again = np.zeros(len(h), bool)
-    again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]]) & (h[order[1:]] != 0)
-    x[:, 11] = again
+    x[:, 11] = _again(h, doc)
     before, after = np.zeros_like(x), np.zeros_like(x)
     same = doc[1:] == doc[:-1]
     before[1:][same] = x[:-1][same]
@@ -120,19 +173,45 @@ def line_figures(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nd
     return np.concatenate([x, before, after], axis=1), size, count
 
 
+def _forward(e: np.ndarray, move: np.ndarray, start: float) -> np.ndarray:
+    """Forward log-odds of one long chain, in blocks: what each does to either state, then what enters each, then its lines, all blocks side by side."""
+    n = len(e) - 1
+    wide = max(1, math.isqrt(n))
+    tall = -(-n // wide)
+    own = np.concatenate([e[1:], np.zeros(tall * wide - n)]).reshape(tall, wide)
+    bad, good = np.tile([[0.0], [-np.inf]], tall), np.tile([[-np.inf], [0.0]], tall)  # by the state that entered
+    for t in range(wide):
+        bad, good = np.logaddexp(bad + move[0, 0], good + move[1, 0]), own[:, t] + np.logaddexp(bad + move[0, 1], good + move[1, 1])
+    p = np.empty(tall)
+    now = e[0] + start
+    for k in range(tall):
+        p[k] = now
+        now = np.logaddexp(good[0, k], good[1, k] + now) - np.logaddexp(bad[0, k], bad[1, k] + now)
+    out = np.empty((tall, wide))
+    for t in range(wide):
+        p = out[:, t] = own[:, t] + np.logaddexp(move[0, 1], p + move[1, 1]) - np.logaddexp(move[0, 0], p + move[1, 0])
+    return np.concatenate([[e[0] + start], out.ravel()[:n]])
+
+
 def _chains(e: np.ndarray, count: np.ndarray, move: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray]:
     """Forward and backward log-odds (good against bad) of every line; e: the lines' own log-odds, move[i, j]: from state i to j."""
     first = np.cumsum(count) - count
     a, b = np.empty_like(e), np.zeros_like(e)
     a[first] = e[first] + start
+    for k in np.flatnonzero(count > LONG):
+        of = slice(first[k], first[k] + count[k])
+        a[of] = _forward(e[of], move, start)
+        b[of] = _forward(e[of][::-1], move.T, 0.0)[::-1] - e[of]
     order = np.argsort(-count, kind="stable")
+    order = order[count[order] <= LONG]
     ranked, begin = count[order], first[order]
-    for t in range(1, int(count.max(initial=0))):
+    longest = int(ranked.max(initial=0))
+    for t in range(1, longest):
         at = begin[: np.searchsorted(-ranked, -t, "left")] + t  # chains longer than t
         p = a[at - 1]
         a[at] = e[at] + np.logaddexp(move[0, 1], p + move[1, 1]) - np.logaddexp(move[0, 0], p + move[1, 0])
     last = begin + ranked - 1
-    for t in range(1, int(count.max(initial=0))):
+    for t in range(1, longest):
         at = last[: np.searchsorted(-ranked, -t, "left")] - t
         q = e[at + 1] + b[at + 1]
         b[at] = np.logaddexp(move[1, 0], move[1, 1] + q) - np.logaddexp(move[0, 0], move[0, 1] + q)
@@ -158,13 +237,44 @@ class Model:
         a, b = _chains(e, count, self.move, self.start)
         return _sigmoid(a + b)
 
+    def emissions(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(own log-odds of each line, its bytes, lines of each text). Of a line three numbers are held, not its figures: what it says for itself, for the line after it and for the one before it."""
+        mean, scale, weights = (v.reshape(3, FIGURES) for v in (self.mean, self.scale, self.weights))
+
+        def told(x: np.ndarray, of: slice) -> np.ndarray:
+            return np.stack([np.clip((x - mean[k, of]) / scale[k, of], -6, 6) @ weights[k, of] for k in range(3)])
+
+        most, last = slice(0, FIGURES - 1), slice(FIGURES - 1, FIGURES)
+        counts: list[int] = []
+        says, h, size = (np.concatenate(c, axis=-1) for c in zip(*((told(x[:, most], most), h, s) for x, h, s in _parts(texts, counts)), strict=True))
+        count = np.array(counts)
+        doc = np.repeat(np.arange(len(count)), count)
+        again = _again(h, doc)
+        del h
+        no, yes = told(np.array([[0.0], [1.0]]), last).T
+        says += np.where(again, yes[:, None], no[:, None])
+        none = told(np.zeros((1, FIGURES)), slice(0, FIGURES))[:, 0]  # where a text has no line before or after
+        same = doc[1:] == doc[:-1]
+        e = says[0] + self.bias
+        e[1:] += np.where(same, says[1, :-1], none[1])
+        e[:-1] += np.where(same, says[2, 1:], none[2])
+        e[0] += none[1]
+        e[-1] += none[2]
+        return e, size, count
+
     def quality(self, texts: list[str | None]) -> np.ndarray:
         """The mean marginal, weighted by length (plus one, so that an empty text counts its empty line)."""
-        x, size, count = line_figures(texts)
-        if not len(count):
-            return np.zeros(0)
-        first = np.cumsum(count) - count
-        return np.add.reduceat(self.marginals(x, count) * (size + 1), first) / np.add.reduceat(size + 1, first)
+        out, group, lines = [np.zeros(0)], [], 0
+        for i, t in enumerate(texts):
+            group.append(t)
+            lines += (t or "").count("\n") + 1
+            if lines > 8 * LONG or i == len(texts) - 1:
+                e, size, count = self.emissions(group)
+                a, b = _chains(e, count, self.move, self.start)
+                first = np.cumsum(count) - count
+                out.append(np.add.reduceat(_sigmoid(a + b) * (size + 1), first) / np.add.reduceat(size + 1, first))
+                group, lines = [], 0
+        return np.concatenate(out)
 
     def probability(self, texts: list[str | None]) -> np.ndarray:
         q = np.clip(self.quality(texts), 1e-4, 1 - 1e-4)

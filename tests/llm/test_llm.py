@@ -670,6 +670,52 @@ def test_forward_backward_is_exact():
         at += n
 
 
+def test_quality_memory_doesnt_follow_the_lines():
+    """A text of a million short lines and one of a single long line are scored in bounded memory, as the figures of all lines say."""
+    import tracemalloc
+
+    model = crf.fit(["a fine day\nand more", "$$$ %%%\n### !!!"] * 3, [1, 0] * 3)
+    for text in ("ab\n" * 1_000_000, "some words of one line " * 150_000):
+        tracemalloc.start()
+        found = model.quality([text])
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(found) == 1 and 0 <= found[0] <= 1 and peak < 40 * len(text)
+    given = ["", None, "x\n" * 9000 + "### $$\n" * 5, "one two one one\n\n###", "word  word\t" * 70_000 + "y" * 600_000 + "\nend", "### !!\n" * 40_000]
+    x, size, count = crf.line_figures(given)
+    at = np.cumsum(count) - count
+    want = np.add.reduceat(model.marginals(x, count) * (size + 1), at) / np.add.reduceat(size + 1, at)
+    assert np.allclose(model.quality(given), want, atol=1e-12) and len(model.quality([])) == 0
+
+
+@pytest.mark.parametrize("size", [7, 64])
+def test_long_lines_and_chains_in_pieces(monkeypatch, size):
+    rng = np.random.default_rng(4)
+    text = "".join(rng.choice(list("aB9!|#. \t"), 300)) + "z" * 150 + " ab ab  ab é"
+    whole = crf.line_figures([text])[0]
+    e, move = rng.normal(size=900) * 3, rng.normal(size=(2, 2))
+    a, b = crf._chains(e, np.array([700, 3, 197]), move, 0.3)
+    monkeypatch.setattr(crf, "CHUNK", size)
+    monkeypatch.setattr(crf, "LONG", size)
+    assert np.allclose(crf.line_figures([text])[0], whole) and crf.line_figures([text + "\n" + text])[0][1, 11] == 1
+    assert all(np.allclose(x, y) for x, y in zip(crf._chains(e, np.array([700, 3, 197]), move, 0.3), (a, b), strict=True))
+
+
+def test_shingles_of_long_texts_in_runs(monkeypatch):
+    import tracemalloc
+
+    text = "several words of a long text " * 100_000
+    tracemalloc.start()
+    found = simhash.shingle_hashes(text, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 600_000 - 4 and peak < 20 * len(text)
+    text = "one  two\tthree four " * 30 + "x" * 90 + " last"
+    whole = [simhash.shingle_hashes(text, k).tolist() for k in (1, 3, 5, 200)]
+    monkeypatch.setattr(simhash, "RUN", 16)
+    assert [simhash.shingle_hashes(text, k).tolist() for k in (1, 3, 5, 200)] == whole
+
+
 def test_toxicity_by_hand(spark):
     """Scores recomputed in plain Python: windows, lengths by fresh compressors, thresholds, counts and the logistic model."""
     import math
