@@ -30,7 +30,8 @@ class WordIds:
     """A tokenizer's ids of a text, as little-endian unsigned 32-bit bytes, word by word.
 
     For tokenizers that drop white space and cut words by a pattern before they merge: a text's ids are those of its
-    words in a row, and a word's are those of its parts. Up to `most` words and `most_parts` parts are kept, then begun anew.
+    words in a row, and a word's are those of its parts. About `most` words and `most_parts` parts are kept, in two
+    generations each: when the younger is half of that, it becomes the elder, and of that elder only what is met again stays.
     """
 
     def __init__(self, tokenizer_json: str, most: int = 350_000, most_parts: int = 100_000):
@@ -40,6 +41,8 @@ class WordIds:
         self.tokenizer, self.most, self.most_parts = Tokenizer.from_str(tokenizer_json), most, most_parts
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.elder_words: dict[bytes, bytes] = {}
+        self.elder_parts: dict[str, bytes] = {}
         told = json.loads(tokenizer_json)
         cut = (told.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
         if cut.get("type") != "Split" or not cut.get("invert") or cut.get("behavior") != "Removed":
@@ -78,9 +81,9 @@ class WordIds:
         plain = list(set(words).difference(odd)) if odd else words
         lines = b"\n".join(plain).decode().lower() + "\n" * bool(plain)
         flat = self.lines.findall(lines)
-        if len(self.parts) > self.most_parts:
-            self.parts.clear()
-        self._ids([p for p in set(flat) if p != "\n" and p not in self.parts])
+        if len(self.parts) > self.most_parts // 2:
+            self.elder_parts, self.parts = self.parts, {}
+        self._ids(_unknown(set(flat).difference("\n"), self.parts, self.elder_parts))
         parts, known, at, begun = self.parts, self.words, 0, 0
         for i, p in enumerate(flat):
             if p == "\n":
@@ -92,13 +95,21 @@ class WordIds:
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         raw = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        if len(self.words) > self.most:
-            self.words.clear()
-        self._learn(list(set().union(*raw).difference(self.words)))
+        if len(self.words) > self.most // 2:
+            self.elder_words, self.words = self.words, {}
+        self._learn(_unknown(set().union(*raw), self.words, self.elder_words))
         ids = self.words.__getitem__
         return [b"".join(map(ids, words)) for words in raw]
 
 
+def _unknown(wanted: set, known: dict, elder: dict) -> list:
+    """What of `wanted` neither dictionary has; what only the elder has moves on to the younger."""
+    new = wanted.difference(known)
+    again = new.intersection(elder)
+    known.update((w, elder[w]) for w in again)
+    return list(new.difference(again))
+
+
 @lru_cache(maxsize=2)
 def _encoder(tokenizer_json: str) -> WordIds:
     """One for each tokenizer in a Python worker: the words that it has learnt outlive the task, as workers are reused."""

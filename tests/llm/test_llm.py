@@ -639,6 +639,16 @@ def test_packing_odd(spark, odd, none):
         packing.pack(spark.createDataFrame([(1, 0, 3000)], "id long, piece int, length long"))
 
 
+def test_frequent_words_outlive_a_full_memory():
+    ids = packing.WordIds(queries.tokenizer_file(), most=60, most_parts=60)
+    plain, learnt, learn = ids.tokenizer, [], ids._learn
+    ids._learn = lambda words: (learnt.extend(words), learn(words))
+    for k in range(12):
+        text = "always these words " + " ".join(f"rare{k}x{i}" for i in range(20))
+        assert ids.encode(text) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert [learnt.count(w) for w in (b"always", b"these", b"words")] == [1, 1, 1] and len(ids.words) + len(ids.elder_words) < 60 + 2 * 23
+
+
 # toxicity and quality
 
 
