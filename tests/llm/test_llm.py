@@ -423,6 +423,18 @@ def test_html_repeats_decide_inside_articles(spark):
         assert got[i].split("\n") == [f"Page {i}", *[f"{n} tells on page {i} what only page {i} says {i * 31} {i * 37}" for n in names], legal]
 
 
+@pytest.mark.parametrize("most", [html.MOST_REPEATS, 0])
+def test_html_suffix_array_reads_pages_that_structure_decides(spark, monkeypatch, most):
+    """Every page marks its article and leaves nothing open; the words that repeat outside are counted all the same, and the texts stay whole."""
+    monkeypatch.setattr(html, "MOST_REPEATS", most)
+    legal = "This site uses things that we must tell you about at some length here"
+    shared = "A passage that two articles have in common stays in both of them word for word"
+    pages = [(i, f"http://h.example/{i}", f"<nav>only page {i} has this menu with words {i} {i * 7} {i * 13}</nav><article><p>Page {i} says {i * 31}</p><p>{shared}</p></article><footer>{legal}</footer>") for i in range(4)]
+    pages.append((9, "http://other.example/", f"<article><p>alone</p></article><footer>{legal}</footer>"))
+    got = {r.id: (r.text, r.n_repeated) for r in html.extract(spark.createDataFrame(pages, "page_id int, url string, html string")).collect()}
+    assert got == {i: (f"Page {i} says {i * 31}\n{shared}", len(legal.split())) for i in range(4)} | {9: ("alone", 0)}
+
+
 def test_html_without_article(spark, none):
     legal = "This site uses things that we must tell you about at some length here"
     pages = [(i, f"http://h.example/{i}", f"<body><div>{legal}</div><p>Page {i} has its own words {i} {i * 7} {i * 13}</p></body>") for i in range(6)] + [(9, None, None), (10, "http://h.example/x", "<article><p>kept</p></article>")]
