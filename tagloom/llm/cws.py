@@ -42,82 +42,103 @@ _R = _GAMMA.astype(np.float32)
 _LN_C = np.log(_GAMMA).astype(np.float32)
 
 
+def _digest(word: str) -> int:
+    try:
+        return xxhash.xxh64_intdigest(word)
+    except UnicodeEncodeError:
+        return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
 class Sampler:
-    """Rows of variables by word, kept until `most` words are held, then begun anew; at most that many distinct words in one slice."""
+    """ln a of every sample, a row for each word and number of times that it occurs.
+
+    About `most` rows are kept, in two generations of half of that each: when the younger is full it becomes the elder, and of
+    that elder only what is met again stays. A row's key is the word, and behind a space its number if that isn't 1. One look
+    takes at most `most` / 2 keys.
+    """
 
-    def __init__(self, samples: int = SAMPLES, most: int = 60_000):
-        self.samples, self.most = samples, most
+    def __init__(self, samples: int = SAMPLES, most: int = 160_000):
+        self.samples, self.half = samples, max(1, most // 2)
         self.offsets = np.arange(1, samples + 1, dtype=np.uint64) * _STEP
         self.index: dict[str, int] = {}
-        self.base, self.r, self.beta = (np.empty((most, samples), np.float32) for _ in range(3))
-
-    def _draw(self, words: list[str], at: int, step: int = 256) -> None:
-        """Fill the tables' rows from `at` on; in steps whose intermediate arrays stay in the processor's cache."""
-        digest = xxhash.xxh64_intdigest
-        h = np.array([digest(w.encode("utf-8", "surrogatepass")) for w in words], dtype=np.uint64)
+        self.elder: dict[str, int] = {}
+        self.table, self.elder_table = (np.empty((self.half, samples), np.float32) for _ in range(2))
+
+    def _draw(self, keys: list[str], at: int, step: int = 256) -> None:
+        """Fill the table's rows from `at` on; in steps whose intermediate arrays stay in the processor's cache."""
+        words, times = list(keys), np.ones(len(keys), np.float32)
+        for i in [i for i, k in enumerate(keys) if " " in k]:
+            words[i], _, n = keys[i].partition(" ")
+            times[i] = int(n)
+        h = np.fromiter(map(_digest, words), np.uint64, len(words))
         whole, spare = (np.empty((step, self.samples), np.uint64) for _ in range(2))
-        for i in range(0, len(words), step):
-            n = min(step, len(words) - i)
-            x, y = whole[:n], spare[:n]
+        all_r, all_beta = (np.empty((step, self.samples), np.float32) for _ in range(2))
+        for i in range(0, len(keys), step):
+            n = min(step, len(keys) - i)
+            x, y, r, beta = whole[:n], spare[:n], all_r[:n], all_beta[:n]
             np.add(h[i : i + n, None], self.offsets, out=x)
             for shift, factor in ((30, np.uint64(0xBF58476D1CE4E5B9)), (27, np.uint64(0x94D049BB133111EB)), (31, None)):
                 np.right_shift(x, np.uint64(shift), out=y)
                 np.bitwise_xor(x, y, out=x)
                 if factor is not None:
                     np.multiply(x, factor, out=x)
-            low = x.view("<u2").reshape(n, self.samples, 4)
-            base, r, beta = (part[at + i : at + i + n] for part in (self.base, self.r, self.beta))
-            r[...] = _R[low[:, :, 0]]
-            base[...] = _LN_C[low[:, :, 1]]
+            base, places = self.table[at + i : at + i + n], y.view(np.int64)
+            np.bitwise_and(x, np.uint64(0xFFFF), out=y)
+            np.take(_R, places, out=r, mode="clip")
+            np.right_shift(x, np.uint64(16), out=y)
+            np.bitwise_and(y, np.uint64(0xFFFF), out=y)
+            np.take(_LN_C, places, out=base, mode="clip")
             np.multiply(x.view("<u4").reshape(n, self.samples, 2)[:, :, 1], np.float32(2**-32), out=beta, casting="unsafe")
             base += r * (beta - np.float32(1))
-
-    def rows(self, words: list[str]) -> np.ndarray:
-        new = [w for w in words if w not in self.index]
-        if len(self.index) + len(new) > self.most:
-            self.index, new = {}, words
+            many = np.flatnonzero(times[i : i + n] > 1)
+            if len(many):
+                t = np.floor(np.log(times[i + many])[:, None] / r[many] + beta[many])
+                base[many] -= r[many] * t
+
+    def rows(self, keys: list[str]) -> np.ndarray:
+        """The keys' places in the table, which hold until the next call."""
+        wanted = set(keys)
+        new = wanted.difference(self.index)
+        if len(self.index) + len(new) > self.half:
+            self.elder, self.index = self.index, {}
+            self.elder_table, self.table = self.table, self.elder_table
+            new = wanted
+        if again := list(self.elder.keys() & new):
+            at = len(self.index)
+            np.take(self.elder_table, [self.elder[k] for k in again], axis=0, out=self.table[at : at + len(again)], mode="clip")
+            self.index.update(zip(again, range(at, at + len(again)), strict=True))
+            new = new.difference(again)
         if new:
             at = len(self.index)
-            self._draw(new, at)
+            self._draw(list(new), at)
             self.index.update(zip(new, range(at, at + len(new)), strict=True))
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
 
     def signatures(self, texts: list[str | None], slice_rows: int = 20_000) -> np.ndarray:
-        """16-bit signatures, a row for each text; a text without words gets zeros."""
+        """16-bit signatures, a row for each text; a text without words gets zeros. Texts that share words do best close together."""
+        slice_rows = min(slice_rows, self.half)
         low = np.full((len(texts), self.samples), np.inf, np.float32)
-        words: list[str] = []
-        counts: list[int] = []
-        owner: list[int] = []
+        room = np.empty((slice_rows, self.samples), np.float32)
+        keys: list[str] = []
+        spans: list[tuple[int, int, int]] = []
 
         def flush() -> None:
-            if not words:
-                return
-            distinct = list(dict.fromkeys(words))
-            of = dict(zip(distinct, self.rows(distinct).tolist(), strict=True))
-            row = np.fromiter(map(of.__getitem__, words), np.int64, len(words))
-            n, who = np.array(counts, np.float32), np.array(owner)
-            a = self.base[row]
-            many = np.flatnonzero(n > 1)
-            r = self.r[row[many]]
-            t = np.floor(np.log(n[many])[:, None] / r + self.beta[row[many]])
-            a[many] -= r * t
-            first = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
-            low[who[first]] = np.minimum(low[who[first]], np.minimum.reduceat(a, first, axis=0))
-            words.clear()
-            counts.clear()
-            owner.clear()
+            row = self.rows(keys)
+            for i, first, end in spans:
+                part = room[: end - first]
+                np.take(self.table, row[first:end], axis=0, out=part, mode="clip")
+                np.minimum(low[i], part.min(axis=0), out=low[i])
+            keys.clear()
+            spans.clear()
 
         for i, t in enumerate(texts):
-            bag = list(Counter((t or "").split()).items())
+            bag = [w if n == 1 else f"{w} {n}" for w, n in Counter((t or "").split()).items()]
             for at in range(0, len(bag), slice_rows):
                 part = bag[at : at + slice_rows]
-                if len(words) + len(part) > self.most:
-                    flush()
-                words += [w for w, _ in part]
-                counts += [n for _, n in part]
-                owner += [i] * len(part)
-                if len(words) >= slice_rows:
+                if len(keys) + len(part) > slice_rows:
                     flush()
+                spans.append((i, len(keys), len(keys) + len(part)))
+                keys += part
         flush()
         bits = low.view(np.uint32).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         out = (bits >> np.uint64(48)).astype(np.uint16)
@@ -215,29 +236,31 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = sampler_of(samples)
-        waiting: list[tuple[int, str]] = []  # rows of one id whose next id isn't here yet
+        waiting: list[tuple[int, str, int | np.ndarray]] = []  # rows of one id whose next id isn't here yet; a place in `order`, or a signature
         before = None
-        mark: np.ndarray | None = None  # signatures of the waiting rows
         for whole in batches:
             for batch in small_batches(whole, "text", 2 << 20):
                 ids, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
-                sigs = sampler.signatures(texts)
-                done: list[tuple[int, str, np.ndarray, str, np.ndarray]] = []  # id, text, signature, next text, next signature
-                marks = [] if mark is None else list(mark)
+                order: list[str] = []  # texts and their edited texts, close together
+                done: list[tuple[int, str, int | np.ndarray, int, int]] = []  # id, text, its place or signature, places of the next and the edited text
                 for i, key in enumerate(zip(batch.column("run").to_pylist(), batch.column("head").to_pylist(), ids, strict=True)):
+                    place = len(order)
+                    order.append(texts[i])
                     if before is not None and key != before:
                         if key[0] == before[0] and not before[1]:
-                            done += [(d, t, m, texts[i], sigs[i]) for (d, t), m in zip(waiting, marks, strict=True)]
-                        waiting, marks = [], []
+                            for d, t, m in waiting:
+                                done.append((d, t, m, place, len(order)))
+                                order.append(edited(t, texts[i]))
+                        waiting = []
                     before = key
                     if not key[1]:
-                        waiting.append((ids[i], texts[i]))
-                        marks.append(sigs[i])
-                mark = np.array(marks)
+                        waiting.append((ids[i], texts[i], place))
+                sigs = sampler.signatures(order)
+                waiting = [(d, t, sigs[m].copy() if isinstance(m, int) else m) for d, t, m in waiting]
                 if done:
-                    new = [edited(t, n) for _, t, _, n, _ in done]
-                    other = sampler.signatures(new)
-                    own, following = np.array([d[2] for d in done]), np.array([d[4] for d in done])
+                    new = [order[d[4]] for d in done]
+                    own = np.array([sigs[d[2]] if isinstance(d[2], int) else d[2] for d in done])
+                    following, other = sigs[[d[3] for d in done]], sigs[[d[4] for d in done]]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([d[0] for d in done], pa.int64()),

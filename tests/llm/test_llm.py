@@ -5,6 +5,7 @@ import html as entities
 import itertools
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -191,6 +192,19 @@ def test_cws_runs_follow_the_text(spark):
     assert {r.runs for r in got} == {1} and sorted(r.chars for r in got)[-3] < 45_000  # it also heads the run before
 
 
+def test_cws_draws_a_word_once(monkeypatch):
+    """Words met again outlive a full memory, and a text and its edited one draw their words once."""
+    texts = [" ".join([f"c{j}" for j in range(50)] + [f"t{i}-{j}" for j in range(60)] + ["c1", "c1", "c2"]) for i in range(20)]
+    drawn, draw = [], cws.Sampler._draw
+    monkeypatch.setattr(cws.Sampler, "_draw", lambda self, some, at: (drawn.extend(some), draw(self, some, at))[1])
+    s = cws.Sampler(16, most=400)
+    got = np.concatenate([s.signatures([t, cws.edited(t, n)]) for t, n in zip(texts, texts[1:] + texts[:1], strict=True)])
+    bags = [sorted(Counter(t.split()).items()) for i in range(20) for t in (texts[i], cws.edited(texts[i], texts[(i + 1) % 20]))]
+    assert len(drawn) <= len({x for bag in bags for x in bag}) + 60  # the first text's words are met again last
+    alone = [cws.Sampler(16).signatures([t])[0] for i in range(20) for t in (texts[i], cws.edited(texts[i], texts[(i + 1) % 20]))]
+    assert (got == np.array(alone)).all()
+
+
 def test_cws_query(spark):
     got = {r.doc_id: r for r in queries.op2_cws(spark, SF).collect()}
     docs = sorted(documents(), key=lambda r: r["doc_id"])
