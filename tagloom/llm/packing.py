@@ -13,11 +13,13 @@ import json
 import re
 import zlib
 from bisect import bisect_left
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,20 +55,28 @@ class WordIds:
         self.lines = regex.compile("\\n|" + cut["pattern"]["Regex"])
         if any("<" not in t["content"] for t in told.get("added_tokens", [])):
             raise ValueError("a special token has no <")
-        # parts are normalised and cut already: their white space is all that is left to cut by
-        rest = [p for p in told["pre_tokenizer"]["pretokenizers"][1:]]
-        self.plain = Tokenizer.from_str(json.dumps(told | {"normalizer": None, "post_processor": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *rest]}}))
+        # parts are normalised and cut already; spelt as ByteLevel would, only merging is left. A part's last id is the one with the
+        # suffix of words' ends; where the tokenizer cuts or ends words otherwise, no id is marked, and `_ids` takes part by part
+        self.plain = Tokenizer.from_str(json.dumps(told | {"normalizer": None, "post_processor": None, "pre_tokenizer": None, "added_tokens": []}))
+        vocab, suffix = told["model"]["vocab"], told["model"].get("end_of_word_suffix")
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        rest = [(p["type"], p.get("add_prefix_space"), p.get("use_regex")) for p in told["pre_tokenizer"]["pretokenizers"][1:]]
+        if suffix and "<" in suffix and rest == [("ByteLevel", False, False)]:
+            self.last[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        kept = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        others = iter(range(256, 512))
+        self.letters = "".join(chr(b if b in kept else next(others)) for b in range(256))
         # words with these bytes are left to the tokenizer: "<" may begin a special token, from U+0240 on NFC, context and Unicode's version may matter
         self.odd = re.compile(rb"[<\xc9-\xff]").search
 
     def _ids(self, parts: list[str]) -> None:
         for at in range(0, len(parts), 2000):
             some = parts[at : at + 2000]
-            e = self.plain.encode(" ".join(some), add_special_tokens=False)
-            ids, of = np.array(e.ids, dtype="<u4"), np.array([-1 if w is None else w for w in e.word_ids])
-            if len(of) and of[-1] == len(some) - 1 and (np.diff(of) >= 0).all() and len(np.unique(of)) == len(some):
-                edges = np.searchsorted(of, np.arange(len(some) + 1))
-                self.parts.update((p, ids[i:j].tobytes()) for p, i, j in zip(some, edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+            spelt = [p if p.isascii() and p.isprintable() else charmap_decode(p.encode(), "strict", self.letters)[0] for p in some]
+            ids = np.array(self.plain.encode_batch_fast([spelt], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
+            if len(ends) == len(some) and ends[-1] == 4 * len(ids):
+                self.parts.update(zip(some, _cut(ids.tobytes(), ends), strict=True))
             else:
                 for p in some:
                     self.parts[p] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -84,28 +94,65 @@ class WordIds:
         if len(self.parts) > self.most_parts // 2:
             self.elder_parts, self.parts = self.parts, {}
         self._ids(_unknown(set(flat).difference("\n"), self.parts, self.elder_parts))
-        parts, known, at, begun = self.parts, self.words, 0, 0
-        for i, p in enumerate(flat):
-            if p == "\n":
-                known[plain[at]] = parts[flat[begun]] if i == begun + 1 else b"".join([parts[q] for q in flat[begun:i]])
-                at, begun = at + 1, i + 1
+        self.parts["\n"] = b"\n"  # one byte, where parts have four for each id
+        made = list(map(self.parts.__getitem__, flat))
+        sizes = np.fromiter(map(len, made), np.int64, len(made))
+        self.words.update(zip(plain, _cut(b"".join(made), np.cumsum(sizes)[sizes == 1], 1), strict=True))
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        raw = [(t or "").encode("utf-8", "replace").split() for t in texts]
+        out: list[bytes] = []
+        held: list[str] = []
+        chars = 0
+        for i, t in enumerate(texts):
+            held.append(t or "")
+            chars += len(held[-1])
+            if chars >= 1 << 22 or i == len(texts) - 1:
+                out += self._encode_some(held)
+                held, chars = [], 0
+        return out
+
+    def _encode_some(self, texts: list[str]) -> list[bytes]:
+        """Words are cut and told apart by Arrow, so that Python meets each distinct one once, and put in a row by NumPy."""
+        cut = pc.ascii_split_whitespace(pa.array([t.encode("utf-8", "replace") for t in texts], pa.large_string()))
+        coded = cut.flatten().dictionary_encode()
+        ids = self._known(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, first, word = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        each = sizes[word]
+        ends = np.cumsum(each)
+        from_ = np.repeat(first[word] - ends + each, each)
+        from_ += np.arange(len(from_))
+        return _cut(flat[from_].tobytes(), 4 * np.concatenate([[0], ends])[cut.value_lengths().to_numpy().cumsum()])
+
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words; those that only the elder generation has move on to the younger, new ones are learnt."""
         if len(self.words) > self.most // 2:
             self.elder_words, self.words = self.words, {}
-        self._learn(_unknown(set().union(*raw), self.words, self.elder_words))
-        ids = self.words.__getitem__
-        return [b"".join(map(ids, words)) for words in raw]
+        found = list(map(self.words.get, words))
+        places = [i for i, x in enumerate(found) if x is None]
+        if places:
+            missing = [words[i] for i in places]
+            elder = list(map(self.elder_words.get, missing))
+            self.words.update((w, x) for w, x in zip(missing, elder, strict=True) if x is not None)
+            self._learn([w for w, x in zip(missing, elder, strict=True) if x is None])
+            for i in places:
+                found[i] = self.words[words[i]]
+        return found
+
+
+def _cut(whole: bytes, ends: np.ndarray, mark: int = 0) -> list[bytes]:
+    """The pieces up to each end, without the `mark` bytes before it."""
+    ends = ends.tolist()
+    return [whole[i : j - mark] for i, j in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
 
 
 def _unknown(wanted: set, known: dict, elder: dict) -> list:
     """What of `wanted` neither dictionary has; what only the elder has moves on to the younger."""
     new = wanted.difference(known)
-    again = new.intersection(elder)
+    again = elder.keys() & new  # looks up the smaller of both
     known.update((w, elder[w]) for w in again)
     return list(new.difference(again))
 

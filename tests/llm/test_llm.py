@@ -675,6 +675,26 @@ def test_frequent_words_outlive_a_full_memory():
     assert [learnt.count(w) for w in (b"always", b"these", b"words")] == [1, 1, 1] and len(ids.words) + len(ids.elder_words) < 60 + 2 * 23
 
 
+def test_python_meets_a_distinct_word_once():
+    met = []
+
+    class Told(dict):
+        def get(self, w, *rest):
+            met.append(w)
+            return super().get(w, *rest)
+
+        def __getitem__(self, w):
+            met.append(w)
+            return super().__getitem__(w)
+
+    ids = packing.WordIds(queries.tokenizer_file())
+    ids.words = Told()
+    texts = ["some words, " * 2000 + " ends", None, "", " \n", "words " * 3000, *("a" + chr(c) + "Bc d" + 2 * chr(c) for c in range(1, 0x300) if c != 0x3C)]
+    for text, found in zip(texts, ids.encode_all(texts), strict=True):
+        assert found == np.array(ids.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+    assert met.count(b"words") + met.count(b"some") + met.count(b"words,") <= 9
+
+
 # toxicity and quality
 
 
