@@ -54,8 +54,7 @@ def mapper(out: pa.Schema, column: str, f: Callable[[pa.RecordBatch], dict[str,
     return run
 
 
-def appended(df: DataFrame, text_col: str, name: str, f: Callable[[list], Iterable[float]]) -> DataFrame:
-    """df with a double column `name` (one of that name, whatever the case, is replaced): f of the texts, a slice at a time. Other columns pass through as they are."""
+def _appended(df: DataFrame, text_col: str, name: str, kind: str, f: Callable[[list], pa.Array]) -> DataFrame:
     names = [c for c in df.columns if c.lower() != name.lower()]
     source = fresh(df, "__text")
     rows = df.select(*names, F.col(text_col).cast("string").alias(source))
@@ -64,10 +63,19 @@ def appended(df: DataFrame, text_col: str, name: str, f: Callable[[list], Iterab
         for whole in batches:
             for b in small_batches(whole, source):
                 if b.num_rows:
-                    made = pa.array(np.asarray(f(b.column(source).to_pylist()), dtype=np.float64))
-                    yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], made], names=[*names, name])
+                    yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], f(b.column(source).to_pylist())], names=[*names, name])
+
+    return rows.mapInArrow(run, rows.select(*names).schema.add(name, kind))
+
+
+def appended(df: DataFrame, text_col: str, name: str, f: Callable[[list], Iterable[float]]) -> DataFrame:
+    """df with a double column `name` (one of that name, whatever the case, is replaced): f of the texts, a slice at a time. Other columns pass through as they are."""
+    return _appended(df, text_col, name, "double", lambda texts: pa.array(np.asarray(f(texts), dtype=np.float64)))
+
 
-    return rows.mapInArrow(run, rows.select(*names).schema.add(name, "double"))
+def appended_text(df: DataFrame, text_col: str, name: str, f: Callable[[str | None], str | None]) -> DataFrame:
+    """As `appended`, with a string column: f of each text."""
+    return _appended(df, text_col, name, "string", lambda texts: pa.array([f(t) for t in texts], type=pa.string()))
 
 
 def fresh(df: DataFrame, name: str) -> str:

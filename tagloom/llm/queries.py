@@ -8,9 +8,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat, crf, cws, host_rules, html, mixing, packing, simhash, toxicity, warc
+from tagloom.llm import chat, crf, cws, fim, host_rules, html, mixing, packing, pii, simhash, toxicity, trie, warc
 from tagloom.llm.common import crc_mod, table
-from tagloom.llm.sql import HOST_RULES
+from tagloom.llm.sql import FIM, HOST_RULES, TRIE
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -81,6 +81,28 @@ def op10_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(crf.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir)), 3, 1)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(table(spark, sf_dir, "documents"))
+
+    def told(every):
+        return F.array_join(F.transform(every, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def many(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("id").alias("doc_id"), *[many(k) for k in pii.BASE], F.sha2(told(F.filter("spans", lambda s: s["base"])).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.arrange(table(spark, sf_dir, "documents"))
+    back = fim.restored(F.col("output"), F.col("form"))
+    return made.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(trie.rebuilt(trie.pieces(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_cws": op2_cws,
@@ -92,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_rules": op8_host_rules,
     "op9_warc": op9_warc,
     "op10_crf": op10_crf,
+    "op11_pii": op11_pii,
+    "op12_fim": op12_fim,
+    "op13_trie": op13_trie,
 }
 
-ORACLES: dict[str, str] = {"op8_host_rules": HOST_RULES}
+ORACLES: dict[str, str] = {"op8_host_rules": HOST_RULES, "op12_fim": FIM, "op13_trie": TRIE}

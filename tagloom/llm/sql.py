@@ -33,3 +33,30 @@ SELECT f.doc_id, f.n_words::BIGINT AS n_words, f.word_chars::BIGINT AS word_char
        NOT f.failed AND t.rate <= 0.5 AND f.n_words >= 20 * t.strict AND 100 * f.n_repeat_words * t.strict <= 30 * f.n_words AS kept
 FROM f JOIN t ON f.source IS NOT DISTINCT FROM t.source
 """
+
+FIM = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b, ('0x' || h[17:24])::BIGINT % 100 AS c, ('0x' || h[25:32])::BIGINT % 100 AS e FROM d),
+f AS (SELECT *, least(a, b) AS p, greatest(a, b) AS q, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain' WHEN e < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+x AS (SELECT *, substring(t, 1, p) AS head, substring(t, p + 1, q - p) AS mid, substring(t, q + 1) AS tail FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN q - p END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || head || '<S>' || tail || '<M>' || mid ELSE '<S>' || tail || '<P>' || head || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM x
+"""
+
+#: crc32 as shifts: a number that isn't negative is combined by exclusive or, each -1 shifts by a bit.
+TRIE = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'r': r, 'x': x} ORDER BY i) AS l FROM t GROUP BY conv_id),
+steps AS (SELECT conv_id, l, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS s FROM own),
+crc AS (SELECT conv_id, l, xor(list_reduce(list_concat([4294967295::BIGINT], s), lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) % 4 AS h FROM steps),
+made AS (SELECT o.conv_id, list_concat(coalesce(b.l[1:o.h], []), o.l[o.h + 1:]) AS l FROM crc o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+p AS (SELECT conv_id, len(l) AS n, d, l[1:d] AS k FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM made)),
+node AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(k[d].x, '[^\x20\x09-\x0D]+')) END AS own,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends FROM p GROUP BY k, d),
+kids AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+whole AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids USING (k)),
+up AS (SELECT k[1:j] AS k, sum((n_children = 0)::INT) AS leaves, sum(own) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM whole) GROUP BY 1)
+SELECT a.conv_id, a.d::BIGINT AS depth, b.conv_id AS parent_conv_id, a.n_convs, a.n_children, up.leaves::BIGINT AS n_leaves, up.saved::BIGINT AS saved_tokens, a.ends AS ends_sha256
+FROM whole a JOIN up USING (k) LEFT JOIN whole b ON a.d > 0 AND b.k = a.k[1:a.d - 1]
+"""
