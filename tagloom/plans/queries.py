@@ -432,7 +432,7 @@ def control_loops(spark, d):
 r AS (SELECT DISTINCT drawing_id, a AS node, CASE WHEN a LIKE '%7' THEN 'FORWARD' ELSE 'REVERSE' END AS value, 0 AS hops FROM e0 WHERE a LIKE '%7' OR a LIKE '%4'
 UNION SELECT r.drawing_id, ee.b, r.value, r.hops + 1 FROM r JOIN ee ON r.drawing_id = ee.drawing_id AND r.node = ee.a WHERE r.hops < 30)
 SELECT drawing_id, node, arg_min(value, (hops, value)) AS value, min(hops) AS hops FROM r GROUP BY 1, 2""")
-def flow_propagation(spark, d):
+def label_propagation(spark, d):
     e = _signals(spark, d)
     seeds = e.where(F.col("a").endswith("7") | F.col("a").endswith("4")).select("drawing_id", F.col("a").alias("node"), F.when(F.col("a").endswith("7"), "FORWARD").otherwise("REVERSE").alias("value")).distinct()
     return graph.propagate(seeds, e).select("drawing_id", "node", "value", "hops")
@@ -670,4 +670,4 @@ def points_in_regions(spark, d):
     return spatial.in_regions(b, regions).select("drawing_id", "id")
 
 
-from tagloom.plans import more  # noqa: E402, F401  registers further queries
+from tagloom.plans import more, repairs  # noqa: E402, F401  register further queries
