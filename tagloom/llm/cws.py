@@ -198,17 +198,18 @@ def splits_of(sizes: list[tuple[int, int]], most: int) -> np.ndarray:
 def chain(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_chars: int = 8 << 20) -> DataFrame:
     """(run, head, id, text), each run in a partition of its own: rows in runs by id. The next run's first rows come last in a run, marked head.
 
-    Runs have about `run_chars` code points (more if one id or a short range of ids has more). Splits between runs are ids,
-    from the sizes of the ranges of a finer range partitioning of ids and lengths alone; only these come to the driver (a few
-    numbers for `run_chars` code points of text). The last run is followed by the table's first rows.
+    Runs have about `run_chars` code points (more if one id or a short range of ids has more), but there are two to sixteen for each shuffle
+    partition, however large the table: a run streams through its task, so it may be long. Splits between runs are ids, from the sizes of
+    eight ranges a run of ids and lengths alone; only these come to the driver. The last run is followed by the table's first rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.col("id").isNotNull())
     sizes = staged(rows.select("id", F.length("text").cast("long").alias("chars")), "lengths")
     total = sizes.agg(F.sum("chars")).first()[0] or 0
-    fine = max(4 * shuffle_partitions(spark), 8 * -(-int(total) // run_chars))
-    ranges = sizes.repartitionByRange(fine, "id").groupBy(F.spark_partition_id().alias("p")).agg(F.min("id").alias("id"), F.sum("chars").alias("chars")).collect()
-    splits = splits_of(sorted((r["id"], r["chars"]) for r in ranges), max(1, min(run_chars, int(total) // max(1, 2 * shuffle_partitions(spark)))))
+    least = 2 * shuffle_partitions(spark)
+    many = max(least, min(4 * least, -(-int(total) // run_chars)))
+    ranges = sizes.repartitionByRange(8 * many, "id").groupBy(F.spark_partition_id().alias("p")).agg(F.min("id").alias("id"), F.sum("chars").alias("chars")).collect()
+    splits = splits_of(sorted((r["id"], r["chars"]) for r in ranges), max(1, int(total) // many))
     given = spark.sparkContext.broadcast(splits)
 
     @F.pandas_udf("array<int>")

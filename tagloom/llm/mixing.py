@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import WORD, staged
@@ -142,6 +142,11 @@ BUCKET_ROWS = 512
 COARSE = 4096
 
 
+def row_hash(id_: Column, text: Column, seed: int = 17) -> Column:
+    """What orders documents in the mix and tells rows of one id with different texts apart."""
+    return F.xxhash64(id_.cast("long"), F.xxhash64(text), F.lit(seed))
+
+
 def mix(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
@@ -154,8 +159,8 @@ def mix(
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, sources).
 
-    documents: id, pattern (array of sources), size (words), passes (times that the mix takes it, 0 to max_repeats), taken
-    (passes times size); a row per row of docs. sources: source, source_size, target, routed.
+    documents: id, pattern (array of sources), size (words), h (`row_hash`), passes (times that the mix takes it, 0 to
+    max_repeats), taken (passes times size); a row per row of docs. sources: source, source_size, target, routed.
     members: a column with a source's name or an array of names. weights by name; None: 1, 2, 3, repeating over the sources
     by code point, null last. total: words in the mix; None: all words.
     Null texts have size 0; a null source is a source; an empty array belongs to none and is never taken. Repeated rows
@@ -163,8 +168,8 @@ def mix(
     """
     many = dict(docs.dtypes)[members].startswith("array")
     pattern = F.array_sort(F.array_distinct(F.coalesce(F.col(members), F.array(F.lit(None).cast("string"))))) if many else F.array(F.col(members).cast("string"))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), pattern.alias("pattern"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64(F.col(text_col)).alias("t"))
-    rows = rows.select("id", "pattern", "size", F.xxhash64("id", "t", F.lit(seed)).alias("h"), F.monotonically_increasing_id().alias("row"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), pattern.alias("pattern"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), row_hash(F.col(id_col), F.col(text_col), seed).alias("h"))
+    rows = rows.select("id", "pattern", "size", "h", F.monotonically_increasing_id().alias("row"))
     rows = staged(rows, "mix-rows")
     found = rows.groupBy("pattern").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
     spark = docs.sparkSession
@@ -202,5 +207,5 @@ def mix(
     end2 = staged(ends(second, ["p"], "fine", "rest1").select("p", F.col("fine").alias("end2"), (F.col("rest1") - F.col("before")).alias("need")), "mix-end2")
     picked = inside.join(end2, "p").where(F.col("fine") == F.col("end2")).select("p", "row", "h", "id", "size", "need").groupBy("p").applyInPandas(_fill, "row long, extra int")
     below = F.coalesce(F.col("coarse") < F.col("end1"), F.lit(False)) | F.coalesce(F.col("fine") < F.col("end2"), F.lit(False))
-    out = cut.join(end2, "p", "left").join(picked, "row", "left").select("id", "pattern", "size", F.least(F.lit(max_repeats), F.col("full") + F.coalesce("extra", F.lit(0)) + below.cast("int")).alias("passes"))
+    out = cut.join(end2, "p", "left").join(picked, "row", "left").select("id", "pattern", "size", "h", F.least(F.lit(max_repeats), F.col("full") + F.coalesce("extra", F.lit(0)) + below.cast("int")).alias("passes"))
     return out.withColumn("taken", F.col("passes") * F.col("size")), told

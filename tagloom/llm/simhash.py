@@ -294,7 +294,7 @@ def first_block(x: np.ndarray, laid: list[tuple[int, int, int]]) -> np.ndarray:
 
 
 def tile_pairs(tile: np.ndarray, side: np.ndarray, two: np.ndarray, block: np.ndarray, n: np.ndarray, part: np.ndarray, x: np.ndarray, radius: int, least: Fraction, laid: list[tuple[int, int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, distance): all pairs (as row numbers) of whole tiles within the radius, of different parts, whose sizes n allow a similarity of `least` and that agree in no earlier block; rows are sorted by (tile, n)."""
+    """(i, j, distance): all pairs (as row numbers) of whole tiles within the radius, of different parts, whose sizes n allow a similarity of `least` and that agree in no earlier block (if blocks are laid at all); rows are sorted by (tile, n)."""
     if len(tile) == 0:
         return
     starts = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
@@ -309,7 +309,8 @@ def tile_pairs(tile: np.ndarray, side: np.ndarray, two: np.ndarray, block: np.nd
         differ = x[a] ^ x[a + shift]
         d = np.bitwise_count(differ).sum(axis=1, dtype=np.int32)
         near = np.flatnonzero(d <= radius)
-        near = near[first_block(differ[near], laid) == block[a[near]]]
+        if laid:
+            near = near[first_block(differ[near], laid) == block[a[near]]]
         if len(near):
             yield a[near], a[near] + shift, d[near]
         shift += 1
@@ -448,33 +449,68 @@ def confirmed(texts: DataFrame, pairs: DataFrame, shingle_words: int, least: Fra
     return staged(both.select("a", "b", "left", "right").mapInArrow(mapper(out, "left", compare), "a long, b long"), "links")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, shingle_words: int = 5, longs: int = 8, radius: int = 104, bits: int = 12, tile_rows: int = 512) -> DataFrame:
+def short_links(distinct: DataFrame, parts: DataFrame, least: Fraction, tile_rows: int) -> DataFrame:
+    """(a, b): links that connect all pairs of nodes of different parts with a Jaccard similarity of at least `least`, of the nodes with the hashes of all their shingles (few): exact.
+
+    Two sets of n and m shingles with this similarity share one of the first n - ceil(least * n) + 1 of the one and as many of the other, in any
+    order of all shingles. Here the rarest come first; shingles of one node alone have no partner, so nodes meet by equality on few shingles, common ones only if they have
+    none that are rarer. Who meets goes through `tiles`, as candidates by blocks do. distinct: (node, n, few); parts: (node, part).
+    """
+    num, den = least.numerator, least.denominator
+    short = distinct.where("few IS NOT NULL AND n > 0").select("node", "n", "few")
+    words = short.select("node", "n", F.explode("few").alias("value"))
+    common = words.groupBy("value").agg(F.count(F.lit(1)).alias("count")).where("count > 1")
+    kept = words.join(common, "value").groupBy("node").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("count", "value"))).alias("own"))
+    first = F.col("n") - F.floor((F.col("n") * num + den - 1) / den) + 1 - (F.col("n") - F.size("own"))  # those of one node alone are the rarest
+    cut = kept.withColumn("own", F.slice("own", F.lit(1), F.greatest(first, F.lit(0)).cast("int")))
+    step = -math.log(float(least)) * (1 + 1e-9) if least < 1 else 1e-9
+    whole = cut.select("node", F.explode("own.value").alias("value")).join(short, "node").join(parts, "node", "left")
+    keyed = staged(whole.select(F.lit(0).alias("block"), "value", F.floor(F.log("n") / step).alias("rank"), "node", F.coalesce("part", "node").alias("part"), "n", "few"), "short")
+    laid = tiles(keyed, 1, tile_rows, "node", "part", "n", "few").repartition(shuffle_partitions(distinct.sparkSession), "tile").sortWithinPartitions("tile", "n")
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_tiles(batches):
+            tile, side, two, n, part, node = (table.column(c).to_numpy() for c in ("tile", "side", "two", "n", "part", "node"))
+            own = [np.sort(np.array(x, np.int64).view(np.uint64)).tobytes() for x in table.column("few").to_pylist()]
+            none = np.zeros(len(tile), np.int64)
+            made = tile_links(tile, part, own, tile_pairs(tile, side, two, none, n, part, none.view(np.uint64).reshape(-1, 1), 0, least, []), least)
+            if made:
+                i, j = np.array(made).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], schema=out)
+
+    return staged(laid.mapInArrow(compare, "a long, b long"), "links")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, shingle_words: int = 5, longs: int = 8, radius: int = 104, bits: int = 12, tile_rows: int = 512, short: int = 16) -> DataFrame:
     """(id, digest, component, first): for each row its id, a hash of its text, the smallest id that chains of pairs with a Jaccard similarity of at least `least` reach, and whether it is its component's first.
 
     Similarity is that of the sets of shingles. Texts with equal sets are one node. Fingerprints of the sets give
     candidates, and the sets confirm each: no pair below `least` links. Candidates of a tile are compared there, closest
     first, and only until what can link hangs together, so large families of copies make no row for each of their pairs.
+    Fingerprints of few shingles are coarse, so a text of at most `short` shingles also meets every other by its rarest shingles, exactly (`short_links`).
     A first round with a small radius links near-identical texts beforehand. Null texts count as empty, and empty texts are
     copies of each other. First is the row with the smallest (id, digest), null ids last; several rows may be, if they
     share both. Other rules for ids as in `near_duplicates`. An empty table gives no rows; further columns aren't read.
     """
     names = names_of(longs)
     exact = Fraction(least).limit_denominator(1000)
-    schema = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), *[(w, pa.int64()) for w in names]])
+    most = int(short / exact)  # what a set of `short` shingles can be similar to
+    schema = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("few", pa.list_(pa.int64())), *[(w, pa.int64()) for w in names]])
 
     def make(batch: pa.RecordBatch) -> dict:
         sets = [np.unique(shingle_hashes(t, shingle_words)) for t in batch.column("text").to_pylist()]
         found = np.array([folded(h, longs) for h in sets]).reshape(-1, longs)
-        return {"id": batch.column("id"), "digest": batch.column("digest"), "node": [_set_name(h) for h in sets], "n": [len(h) for h in sets]} | {w: found[:, k] for k, w in enumerate(names)}
+        return {"id": batch.column("id"), "digest": batch.column("digest"), "node": [_set_name(h) for h in sets], "n": [len(h) for h in sets], "few": [h.view(np.int64) if len(h) <= most else None for h in sets]} | {w: found[:, k] for k, w in enumerate(names)}
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("digest", F.xxhash64("text"))
-    prints = staged(rows.mapInArrow(mapper(schema, "text", make), ", ".join(f"{x} long" for x in schema.names)), "simhash")
-    distinct = staged(prints.groupBy("node").agg(F.min(F.struct("id", "digest")).alias("at"), F.first("n").alias("n"), *[F.first(w).alias(w) for w in names]), "distinct")
+    prints = staged(rows.mapInArrow(mapper(schema, "text", make), ", ".join(f"{x} {'array<long>' if x == 'few' else 'long'}" for x in schema.names)), "simhash")
+    distinct = staged(prints.groupBy("node").agg(F.min(F.struct("id", "digest")).alias("at"), F.first("n").alias("n"), F.first("few").alias("few"), *[F.first(w).alias(w) for w in names]), "distinct")
     found = staged(links(distinct.select("node", "w0", "w1"), 12, 4 * tile_rows, 2, bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
     ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sure = confirmed(node_texts(rows, distinct, ends), found, shingle_words, exact)
     parts = components(sure, []).withColumnRenamed("root", "part")
-    sure = sure.unionAll(candidate_links(rows, distinct, parts, shingle_words, radius, longs, bits, exact, tile_rows))
+    sure = sure.unionAll(candidate_links(rows, distinct, parts, shingle_words, radius, longs, bits, exact, tile_rows)).unionAll(short_links(distinct, parts, exact, tile_rows))
     of = distinct.select("node").join(components(sure, []), "node", "left").withColumn("root", F.coalesce("root", "node"))
     each = prints.select("id", "digest", "node").join(of.select("node", "root"), "node")
     key = F.struct(F.col("id").isNull().alias("none"), "id", "digest")

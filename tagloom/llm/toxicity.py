@@ -213,9 +213,10 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
     return best
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: int = 3000, most_chars: int = 10_000_000, id_col: str = "doc_id", text_col: str = "text", share: float = 0.5) -> tuple[list, list, float | None]:
-    """(texts, labels, share of label 1 among all labelled rows): up to `most` labelled texts and about `most_chars` code points, for training.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: int = 3000, most_chars: int = 10_000_000, id_col: str = "doc_id", text_col: str = "text", share: float = 0.5, most_lines: int = 400_000) -> tuple[list, list, float | None]:
+    """(texts, labels, share of label 1 among all labelled rows): up to `most` labelled texts of at most `most_chars` code points and `most_lines` lines in all, for training.
 
+    A text that alone would take over a quarter of either isn't drawn, so none of any length reaches the driver; the first that fits of each label is in any case.
     Taken are rows for which `use` holds, in the order of a hash of their id; up to `share` of them have label 1. Rows with
     a null label are left out; of rows that share an id the text that sorts first counts. Documents are read once.
     """
@@ -227,12 +228,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: i
     chosen = ones.unionAll(zeros).collect()  # at most `most` ids
     ids = spark.createDataFrame([(r["id"], r["y"], r["h"]) for r in chosen], "id long, y int, h long")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(ids), "id")
-    held = staged(rows.groupBy("id", "y", "h").agg(F.min("text").alias("text")).withColumn("n", F.length("text")), "labelled")
-    total, fit_ids = 0, []
-    for r in held.select("id", "h", "n").orderBy("h", "id").collect():  # sizes first, then the texts that fit
-        if total + r["n"] > most_chars and fit_ids:
+    held = staged(rows.groupBy("id", "y", "h").agg(F.min("text").alias("text")).withColumn("n", F.length("text")).withColumn("lines", F.col("n") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1), "labelled")
+    sizes = [r for r in held.select("id", "y", "h", "n", "lines").orderBy("h", "id").collect() if 4 * r["n"] <= most_chars and 4 * r["lines"] <= most_lines]
+    first = {r["y"]: r for r in reversed(sizes)}  # of each label
+    total, lines, fit_ids = sum(r["n"] for r in first.values()), sum(r["lines"] for r in first.values()), [r["id"] for r in first.values()]
+    for r in sizes:  # sizes first, then the texts that fit
+        if r is first[r["y"]] or total + r["n"] > most_chars or lines + r["lines"] > most_lines:
             continue
-        total += r["n"]
+        total, lines = total + r["n"], lines + r["lines"]
         fit_ids.append(r["id"])
     fits = spark.createDataFrame([(i,) for i in set(fit_ids)], "id long")
     found = sorted(held.join(F.broadcast(fits), "id").select("h", "id", "y", "text").collect(), key=lambda r: (r["h"], r["id"], r["y"]))

@@ -175,3 +175,64 @@ def test_pieces_keep_turns_in_order(spark):
 @pytest.mark.parametrize("name", ["op12_fim", "op13_trie"])
 def test_against_sql(spark, name):
     same(queries.QUERIES[name](spark, SF), connect(SF), queries.ORACLES[name])
+
+
+def test_near_copies_of_short_texts_are_all_found(spark):
+    """Texts of 5 to 20 words against edited ones, and many with a common opening: every pair at 0.8 is linked, and nothing else."""
+    from tagloom.llm import simhash
+
+    rng, words, rows = random.Random(7), [f"w{k}" for k in range(3000)], []
+    for k in range(250):
+        text = [rng.choice(words) for _ in range(rng.randrange(5, 21))]
+        other = rng.choice([[*text, rng.choice(words)], [rng.choice(words), *text], text[:-1], [*text[:-1], rng.choice(words)]])
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(other))]
+    rows += [(5000 + k, "a b c d e f g h " + " ".join(rng.choice(words) for _ in range(rng.randrange(4)))) for k in range(150)]
+    sets, root, by = {i: simhash.shingle_set(t, 5) for i, t in rows}, {i: i for i, _ in rows}, defaultdict(list)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, s in sets.items():
+        for x in s:
+            by[x].append(i)
+    for met in by.values():
+        for a in met:
+            for b in met:
+                if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                    x, y = find(a), find(b)
+                    root[max(x, y)] = min(x, y)
+    got = {r.id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), tile_rows=32).collect()}
+    assert got == {i: find(i) for i in sets}
+
+
+def test_stage_words_are_the_mix_s(spark):
+    import corpus_pipeline
+
+    from tagloom.llm import mixing
+
+    rows = [(None, f"{k} " * (k % 5 + 1), "b") for k in range(30)] + [(7, f"x{k} y", "a") for k in range(20)] + [(8, "same text", "a")] * 6 + [(8, "same text", "b")] * 3 + [(9, "", "a"), (10, None, None), (11, "n n", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {r.s: r.n for r in mixing.mix(docs)[0].groupBy(F.get("pattern", F.lit(0)).alias("s")).agg(F.sum("taken").alias("n")).collect()}
+    got = Counter()
+    for r in corpus_pipeline.mix(spark, docs, SF).collect():
+        got[r.source] += len((r.text or "").split())
+    assert got == {s: n for s, n in want.items() if n}
+
+
+def test_long_texts_and_many_lines_stay_out_of_the_sample(spark):
+    from tagloom.llm import toxicity
+
+    docs = spark.createDataFrame([(1, "x" * 900), (2, "a" * 40), (3, "b\n" * 60), (4, "c" * 90), (5, "d" * 90), (6, "e")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k in (1, 6))) for k in range(1, 7)], "doc_id long, toxic int")
+    texts, y, prior = toxicity.labelled_sample(docs, labels, "toxic", lambda i: F.lit(True), most_chars=400, most_lines=100)
+    assert "x" * 900 not in texts and "b\n" * 60 not in texts and set(y) == {0, 1} and sum(map(len, texts)) <= 400 and abs(prior - 1 / 3) < 1e-9
+
+
+def test_runs_do_not_grow_with_the_table(spark):
+    from tagloom.llm import cws
+
+    docs = spark.createDataFrame([(k, "t" * 500) for k in range(400)], "doc_id long, text string")
+    runs = {r.run for r in cws.chain(docs, run_chars=64).select("run").distinct().collect()}
+    assert 8 <= len(runs) <= 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
