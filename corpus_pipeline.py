@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm import crf, mixing, packing, simhash, toxicity
@@ -62,14 +62,24 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, each as often as it takes them; of rows with one id (null too), as often as any of them.
+    """The documents that the mix takes, each row as often as it takes that row, so that the stage's words are those of the mix.
 
-    Documents without words have no size and aren't taken; a null source is a source; an empty table gives an empty one;
-    further columns pass through.
+    Rows meet their choice by id, text and source; of several alike in these, in the order of what else they hold, each gets one of their
+    choices, the largest first. Documents without words have no size and aren't taken; a null source is a source; an empty table gives
+    an empty one; further columns pass through.
     """
     chosen, _ = mixing.mix(docs)
-    times = chosen.groupBy(F.col("id").alias("__id")).agg(F.max("passes").alias("__times")).where("__times > 0")
-    taken = docs.join(times, F.col("doc_id").eqNullSafe(F.col("__id")))
+    key = [fresh(docs, "__h"), fresh(docs, "__s")]
+    chosen = staged(chosen.where("passes > 0 OR size > 0").select(F.col("h").alias(key[0]), F.to_json("pattern").alias(key[1]), "passes"), "mix-choice")
+    rows = docs.withColumn(key[0], mixing.row_hash(F.col("doc_id"), F.col("text"))).withColumn(key[1], F.to_json(F.array(F.col("source").cast("string"))))
+    times = chosen.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.max("passes").alias("__times"))
+    several = staged(times.where("__n > 1").select(key), "mix-several")
+    taken = rows.join(times.where("__n = 1 AND __times > 0").select(*key, "__times"), key)
+    if not several.isEmpty():  # only rows that repeat are numbered
+        each = Window.partitionBy(*key)
+        own = rows.join(several, key, "left_semi").withColumn("__k", F.row_number().over(each.orderBy(F.to_json(F.struct(*docs.columns)))))
+        told = chosen.join(several, key, "left_semi").select(*key, F.row_number().over(each.orderBy(F.desc("passes"))).alias("__k"), F.col("passes").alias("__times"))
+        taken = taken.select(*docs.columns, "__times").unionByName(own.join(told.where("__times > 0"), [*key, "__k"]).select(*docs.columns, "__times"))
     return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), "__times")).alias("__pass")).select(docs.columns)
 
 
