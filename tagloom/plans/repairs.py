@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tagloom.operators import attach, clouds, oriented, repair, traces
-from tagloom.plans.fixtures import boxes, segments
+from tagloom.operators import attach, clouds, oriented, repair, reports, traces
+from tagloom.plans.fixtures import boxes, segments, table
 from tagloom.plans.queries import B, S, query
 
 RS = S.replace("WITH ", "WITH RECURSIVE ", 1)
@@ -178,13 +178,57 @@ ex AS (SELECT t.drawing_id, t.ord, arg_min(node, (CASE WHEN qi.m = upper(e) THEN
 @query(f"""{B}, {_ATTACH}, r AS (SELECT t.*, ix.node AS a, ex.node AS b FROM t LEFT JOIN ix ON ix.drawing_id = t.drawing_id AND ix.ord = t.ord LEFT JOIN ex ON ex.drawing_id = t.drawing_id AND ex.ord = t.ord WHERE lower(c) <> 'low' AND ix.node IS NOT NULL AND ex.node IS NOT NULL AND e NOT LIKE 'V-%')
 SELECT r.drawing_id, 'E-' || CAST(row_number() OVER (PARTITION BY r.drawing_id ORDER BY cluster, ord) - 1 AS VARCHAR) AS edge_id, a, b, CASE WHEN b % 5 = 0 THEN 0.4 WHEN lower(c) = 'high' THEN 0.85 ELSE 0.65 END::DOUBLE AS confidence FROM r""")
 def attachment_edges(spark, d):
+    return _attached(spark, d)[0].select("drawing_id", "edge_id", "a", "b", "confidence")
+
+
+def _attached(spark, d):
     n = F.col("id")
     b = boxes(spark, d)
     inst = b.where("id % 2 = 0").select("drawing_id", (n % 6).alias("cluster"), F.concat(F.when(n % 3 == 0, "V-PIT-").when(n % 3 == 1, "A-PIT-").otherwise("tt-"), n % 90 + 10).alias("tag"), n.alias("node"), n.alias("ord"))
     equip = b.where("id % 2 = 1").select("drawing_id", F.concat(F.when(n % 4 == 1, "K-V-").otherwise("S-V-"), n % 60 + 200).alias("tag"), n.alias("node"), n.alias("ord"), (n % 5 == 0).alias("label_only"))
     told = b.select("drawing_id", (n % 6).alias("cluster"), n.alias("ord"), F.concat(F.when(n % 7 == 0, "pit-").otherwise("TT-"), n % 90 + 10).alias("instrument_tag"), F.concat(F.when(n % 4 == 0, "Z-V-").when(n % 4 == 1, "K-V-").when(n % 4 == 2, "s-v-").otherwise("V-"), n % 70 + 200).alias("parent_equipment"), F.when(n % 8 == 0, "Low").when(n % 8 < 4, "high").otherwise("Medium").alias("confidence"), F.lit("near").alias("reasoning"))
-    edges, _ = attach.attachment_edges(told, inst, equip)
-    return edges.select("drawing_id", "edge_id", "a", "b", "confidence")
+    return attach.attachment_edges(told, inst, equip)
+
+
+@query(f"""{B}, {_ATTACH}, r AS (SELECT t.drawing_id, CASE WHEN id_ % 8 = 0 THEN 'low' WHEN id_ % 8 < 4 THEN 'high' ELSE 'medium' END AS word, CASE WHEN lower(c) = 'low' THEN 'low' WHEN ix.node IS NULL THEN 'no_instrument' WHEN e LIKE 'V-%' THEN 'not_equipment' WHEN ex.node IS NULL THEN 'unknown_equipment' ELSE 'edge' END AS outcome FROM (SELECT *, ord AS id_ FROM t) t LEFT JOIN ix ON ix.drawing_id = t.drawing_id AND ix.ord = t.ord LEFT JOIN ex ON ex.drawing_id = t.drawing_id AND ex.ord = t.ord)
+SELECT drawing_id, 'confidence' AS section, word AS name, count(*) AS n FROM r GROUP BY 1, 3 UNION ALL SELECT drawing_id, 'outcome', outcome, count(*) FROM r GROUP BY 1, 3 UNION ALL SELECT drawing_id, 'total', 'answers', count(*) FROM r GROUP BY 1""")
+def attachment_report(spark, d):
+    return reports.attachment_report(_attached(spark, d)[1])
+
+
+_KIND = "CASE id % 4 WHEN 0 THEN 'equipment' WHEN 1 THEN 'instrument' WHEN 2 THEN 'valve' ELSE 'piping' END"
+
+
+def _parented(spark, d, other):
+    n = F.col("id")
+    kind = F.when(n % 4 == 0, "equipment").when(n % 4 == 1, "instrument").when(n % 4 == 2, "valve").otherwise("piping")
+    told = F.when(n % 6 == 1, "pipeline_traversal").when(n % 6 == 2, "12px from equipment").when(n % 6 == 5, "gemini_vision: near a pipeline").otherwise("near")
+    return boxes(spark, d).select("drawing_id", n.alias("node"), kind.alias("kind"), F.when(other, n - n % 4).cast("string").alias("equipment_parent"), told.alias("evidence"), (n % 11 == 0).alias("is_isolated"))
+
+
+@query(f"""{B}, seg AS (SELECT o_orderkey AS id, CAST(floor(o_orderkey / 400) AS BIGINT) AS drawing_id, o_custkey % 400 AS l FROM orders),
+n AS (SELECT drawing_id, id, {_KIND} AS kind, id % 3 <> 0 AS has, id % 11 = 0 AS iso, CASE WHEN id % 6 = 1 THEN 'pipeline' WHEN id % 6 = 2 THEN 'mounted' WHEN id % 6 = 5 THEN 'gemini' ELSE 'other' END AS e FROM boxes),
+a AS (SELECT drawing_id, count(*) AS n, count_if(kind = 'equipment') AS eq, count_if(has) AS p, count_if(kind IN ('instrument', 'valve')) AS iv, count_if(kind IN ('instrument', 'valve') AND has) AS ivp, count_if(has AND e = 'gemini') AS eg, count_if(has AND e = 'pipeline') AS ep, count_if(has AND e = 'mounted') AS em, count_if(has AND e = 'other') AS eo, count_if(iso) AS iso, count_if(kind IN ('instrument', 'valve') AND NOT has AND NOT iso) AS np FROM n GROUP BY 1)
+SELECT drawing_id, unnest(['nodes', 'equipment nodes', 'equipment parent', 'instruments and valves', 'instruments and valves with parent', 'evidence: gemini', 'evidence: pipeline', 'evidence: mounted', 'evidence: other', 'isolated', 'no parent', 'equipment parent %', 'instruments and valves with parent %']) AS metric,
+ unnest([n, eq, p, iv, ivp, eg, ep, em, eo, iso, np, round(100.0 * p / n), CASE WHEN iv > 0 THEN round(100.0 * ivp / iv) END])::BIGINT AS value FROM a
+UNION ALL SELECT drawing_id, 'edges', count(*) FROM n WHERE id % 2 = 0 GROUP BY 1 UNION ALL SELECT drawing_id, 'edges: ' || CASE WHEN id % 6 = 0 THEN 'MOUNTED_ON' ELSE 'MONITORS' END, count(*) FROM n WHERE id % 2 = 0 GROUP BY 1, 2
+UNION ALL SELECT drawing_id, 'pipe segments', count_if(id % 3 <> 1 AND l > 150) FROM seg GROUP BY 1 UNION ALL SELECT drawing_id, 'lines', count(DISTINCT id % 30) FROM seg GROUP BY 1""")
+def hierarchy_metrics(spark, d):
+    n = F.col("id")
+    edges = boxes(spark, d).where("id % 2 = 0").select("drawing_id", F.when(n % 6 == 0, "MOUNTED_ON").otherwise("MONITORS").alias("rel"))
+    o, k = table(spark, d, "orders"), F.col("o_orderkey")
+    segs = o.select(F.floor(k / 400).alias("drawing_id"), F.when(k % 3 == 0, "horizontal_pipe").when(k % 3 == 1, "diagonal_pipe").otherwise("vertical_pipe").alias("type"), (F.col("o_custkey") % 400).alias("length"), (k % 30).alias("line"))
+    return reports.hierarchy_metrics(_parented(spark, d, n % 3 != 0), edges, segs)
+
+
+@query(f"""{B}, n AS (SELECT drawing_id, id % 3 <> 0 AND id % 10 <> 9 AS b, id % 5 <> 0 AS a, id % 7 <> 6 AS t FROM boxes WHERE id % 4 IN (1, 2)) SELECT drawing_id, count_if(b) AS before, count_if(a AND t) AS after, count_if(t) AS total, count_if(a AND t AND NOT b) AS gained, count_if(b AND NOT (a AND t)) AS lost FROM n GROUP BY 1""")
+def parents_gained(spark, d):
+    n, m = F.col("id"), F.col("node")
+    before = _parented(spark, d, n % 3 != 0).where(m % 10 != 9)
+    after = _parented(spark, d, n % 5 != 0).where(m % 7 != 6)
+    return reports.parents_gained(before, after)[0]
+
+
 
 
 def _corners(*points):
