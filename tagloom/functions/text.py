@@ -259,10 +259,14 @@ def note_order(note_id: Column) -> Column:
     return F.struct(F.coalesce(F.regexp_extract(note_id, "^([0-9]+)", 1).try_cast("int"), F.lit(999)).alias("n"), note_id.alias("id"))
 
 
+# Fixed value: what a drawing's number looks like.
+DRAWING_NUMBER = r"\b(\d{3,4}-[A-Z]{2,5}-\d+-\d+(?:-\d+)?)\b"
+
+
 def cross_drawing_tokens(text: Column, own: Column) -> Column:
-    """Drawing-number-like tokens with the own number's first part, other than the own number."""
-    found = F.array_distinct(F.regexp_extract_all(F.upper(text), F.lit(r"([0-9A-Z]+-[A-Z]{2,5}-[0-9]+-[0-9]+[-0-9A-Z]*)"), F.lit(1)))
-    return F.filter(found, lambda t: (F.substring_index(t, "-", 1) == F.substring_index(own, "-", 1)) & (t != own))
+    """The numbers of other drawings in a text, in order and as often as they occur: those that begin with the own number's first part; none without an own number."""
+    found = F.regexp_extract_all(text, F.lit(DRAWING_NUMBER), F.lit(1))
+    return F.when(F.coalesce(own, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.filter(found, lambda t: F.startswith(t, F.substring_index(own, "-", 1)) & (t != own)))
 
 
 def numbered(prefix: str, n: Column, digits: int) -> Column:

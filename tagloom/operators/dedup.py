@@ -79,11 +79,15 @@ def duplicate_pairs(rows: DataFrame, exact_distance: float = 60, overlap: float
     return near.unionAll(touching).distinct()
 
 
+def _score():
+    return F.when(F.col("in_registry"), 1.0).otherwise(0.0) + 0.4 * F.col("conf") + 0.3 * F.col("ocr") + 0.2 * F.col("assoc") + F.when(F.col("status") == "PASS", 0.1).otherwise(0.0)
+
+
 def resolve_duplicates(rows: DataFrame, by: list[str] = DK, **params) -> DataFrame:
     """rows with root, duplicate_status, merged_into, merged_count and the cluster's box. The primary has the highest score
     (registry 1, 0.4 vision, 0.3 OCR, 0.2 association, 0.1 PASS); the smallest id of several."""
     of = component_of(rows, duplicate_pairs(rows, by=by, **params), "id", by)
-    score = F.when(F.col("in_registry"), 1.0).otherwise(0.0) + 0.4 * F.col("conf") + 0.3 * F.col("ocr") + 0.2 * F.col("assoc") + F.when(F.col("status") == "PASS", 0.1).otherwise(0.0)
+    score = _score()
     w = Window.partitionBy(*by, "root")
     first = F.first("id").over(w.orderBy(F.desc("__s"), "id"))
     out = of.withColumn("__s", F.round(score, 9)).withColumn("__p", first).withColumn("merged_count", F.count(F.lit(1)).over(w))
@@ -94,6 +98,32 @@ def resolve_duplicates(rows: DataFrame, by: list[str] = DK, **params) -> DataFra
     return out.withColumn("duplicate_status", F.when(primary, "PRIMARY").otherwise("DISCARDED")).withColumn("merged_into", F.when(~primary, F.col("__p"))).withColumn("merged_box", whole).drop("__s", "__p", "__x1", "__y1", "__x2", "__y2")
 
 
+def merged_primaries(resolved: DataFrame, by: list[str] = DK) -> DataFrame:
+    """(by, id, tag, ocr, merged_from, box): the primaries of `resolve_duplicates` with the ids that they took, by score, and the best spelling.
+
+    A primary of the register keeps its tag. Another takes the tag of the member with the highest OCR confidence (the first by score of several, itself before all; blank
+    ones of others don't count), and then, in order of id, any longer tag that holds what it has so far, compared as duplicates' keys. Spellings are
+    made distinct before they meet in one row."""
+    primary, tag = F.col("duplicate_status") == "PRIMARY", F.coalesce("tag", F.lit(""))
+    rows = resolved.withColumn("__s", F.round(_score(), 9)).withColumn("__key", t.dedup_key(tag)).withColumn("__tag", tag)
+    ocr = F.coalesce("ocr", F.lit(0.0))
+    first = F.when(primary | (F.col("__tag") != ""), F.struct(ocr, F.when(primary, 1).otherwise(0), "__s", -F.col("id")))
+    lost = F.filter(F.array_sort(F.collect_list(F.when(~primary, F.struct((-F.col("__s")).alias("s"), "id")))), lambda x: x.isNotNull())
+    one = rows.groupBy(*by, "root").agg(F.max_by("__tag", first).alias("__best"), F.max(F.when(primary | (F.col("__tag") != ""), ocr)).alias("__ocr"), F.max(F.when(primary, F.col("id"))).alias("id"), F.max(F.when(primary, F.col("__tag"))).alias("__own"), F.max(F.when(primary, ocr)).alias("__own_ocr"), F.max(F.when(primary, F.col("in_registry"))).alias("__known"), F.first("merged_box").alias("box"), F.transform(lost, lambda x: x["id"]).alias("merged_from"))
+    spelt = rows.where("__tag <> ''").groupBy(*by, "root", "__tag", "__key").agg(F.min("id").alias("at")).groupBy(*by, "root").agg(F.array_sort(F.collect_list(F.struct("at", F.col("__tag").alias("tag"), F.col("__key").alias("key")))).alias("__spelt"))
+    out = one.join(spelt, [*by, "root"], "left")
+    start = F.struct(F.col("__best").alias("tag"), t.dedup_key(F.col("__best")).alias("key"))
+    longer = F.aggregate(F.coalesce("__spelt", F.array().cast("array<struct<at:bigint,tag:string,key:string>>")), start, lambda z, x: F.when((F.length(x["key"]) > F.length(z["key"])) & F.contains(x["key"], z["key"]), F.struct(x["tag"].alias("tag"), x["key"].alias("key"))).otherwise(z))["tag"]
+    known = F.coalesce("__known", F.lit(False))
+    return out.select(*by, "id", F.when(known, F.col("__own")).otherwise(longer).alias("tag"), F.when(known, F.col("__own_ocr")).otherwise(F.round("__ocr", 3)).alias("ocr"), "merged_from", "box")
+
+
+def duplicate_links(resolved: DataFrame, by: list[str] = DK) -> DataFrame:
+    """(by, id, primary, box, primary_box): each discarded row with the primary that it belongs to."""
+    first = resolved.where("duplicate_status = 'PRIMARY'").select(*by, F.col("id").alias("merged_into"), F.col("box").alias("primary_box"))
+    return resolved.where("duplicate_status = 'DISCARDED'").join(first, [*by, "merged_into"]).select(*by, "id", F.col("merged_into").alias("primary"), "box", "primary_box")
+
+
 def collapse_entities(rows: DataFrame, distance: float = 1500, by: list[str] = DK) -> DataFrame:
     """(by, root, id, tag, category, members, box): rows with one tag and category within `distance` (in chains) as one entity, shown by its most confident, then largest."""
     pairs = grid_join(rows.select(*by, "id", "tag", "category", "box"), rows.select(*by, "id", "tag", "category", "box"), distance, cell=3000, by=[*by, "tag", "category"]).where(F.col("l")["id"] < F.col("r")["id"])

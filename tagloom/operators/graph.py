@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,15 +37,37 @@ def component_of(nodes: DataFrame, edges: DataFrame, node: str = "node", by: lis
     return nodes.join(found, [*by, node], "left").withColumn("root", F.coalesce("root", F.col(node)))
 
 
-def greedy_keep(rows: DataFrame, conflicts: DataFrame, node: str = "id", by: list[str] = DK, max_rounds: int = 200) -> DataFrame:
+def _keep_in_order(group: pd.DataFrame) -> pd.DataFrame:
+    """The rows that a greedy pass loses of one connected group of conflicts (hi, lo): each row comes after all that come before it, and is lost if one of them is kept."""
+    worse, waits, lost = {}, {}, set()
+    for hi, lo in zip(group["hi"], group["lo"], strict=True):
+        worse.setdefault(hi, []).append(lo)
+        waits[lo] = waits.get(lo, 0) + 1
+        waits.setdefault(hi, 0)
+    ready = [n for n, k in waits.items() if not k]
+    while ready:
+        n = ready.pop()
+        for lo in worse.get(n, ()):
+            if n not in lost:
+                lost.add(lo)
+            waits[lo] -= 1
+            if not waits[lo]:
+                ready.append(lo)
+    out = group.iloc[: len(lost)].copy()
+    out["n"] = [n for n in dict.fromkeys(group["lo"]) if n in lost]
+    return out.drop(columns=["hi", "lo", "__root"])
+
+
+def greedy_keep(rows: DataFrame, conflicts: DataFrame, node: str = "id", by: list[str] = DK, rounds: int = 20) -> DataFrame:
     """rows that a greedy pass keeps: each in order of priority unless it conflicts with one kept before.
 
     conflicts: (by, hi, lo), hi being the one that comes first. Rounds: what has no undecided better rival is kept, its
-    rivals are dropped; equal to the sequential loop as the order is total. Not the same as components.
+    rivals are dropped; equal to the sequential loop as the order is total. Chains of rivals that wait for each other longer than
+    `rounds` are finished in order, a connected group at a time. Not the same as components.
     """
     edges = staged(conflicts.select(*by, "hi", "lo").distinct(), "conflicts")
     lost = None
-    for _ in range(max_rounds):
+    for _ in range(rounds):
         if edges.isEmpty():
             break
         held = edges.select(*by, F.col("lo").alias("n")).distinct()
@@ -54,8 +77,11 @@ def greedy_keep(rows: DataFrame, conflicts: DataFrame, node: str = "id", by: lis
         lost = out if lost is None else lost.unionAll(out)
         gone = out.unionAll(tops)
         edges = staged(edges.join(gone.withColumnRenamed("n", "hi"), [*by, "hi"], "left_anti").join(out.withColumnRenamed("n", "lo"), [*by, "lo"], "left_anti"), "conflicts")
-    else:
-        raise RuntimeError(f"undecided rows after {max_rounds} rounds")
+    if not edges.isEmpty():
+        of = components(edges, by, "hi", "lo").select(*by, F.col("node").alias("hi"), F.col("root").alias("__root"))
+        kind = edges.select(*by, F.col("lo").alias("n")).schema
+        rest = staged(edges.join(of, [*by, "hi"]).groupBy(*by, "__root").applyInPandas(_keep_in_order, kind), "lost")
+        lost = rest if lost is None else lost.unionAll(rest)
     return rows if lost is None else rows.join(lost.withColumnRenamed("n", node), [*by, node], "left_anti")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions import geometry as g
-from tagloom.functions.text import instrument_family, is_instrument_tag, is_piping_node, numbered
+from tagloom.functions.text import cross_drawing_tokens, instrument_family, is_instrument_tag, is_piping_node, numbered
 from tagloom.operators.graph import ancestors, bfs_tree, component_of
 from tagloom.operators.spatial import grid_join
 
@@ -138,6 +138,21 @@ def equipment_parent(candidates: DataFrame, by: list[str] = DK) -> DataFrame:
     return best.select(*by, "node", "s.parent", "s.evidence")
 
 
+def parent_provenance(tree: DataFrame, edges: DataFrame, by: list[str] = DK) -> DataFrame:
+    """(by, node, parent, confidence, evidence): of each node's edges (edge_id, a, b, confidence, evidence) to its parent in the tree (node, parent), whichever way, the first's; null without one."""
+    ends = edges.select(*by, F.least("a", "b").alias("__lo"), F.greatest("a", "b").alias("__hi"), F.struct("edge_id", "confidence", "evidence").alias("__e"))
+    first = ends.groupBy(*by, "__lo", "__hi").agg(F.min_by("__e", "__e.edge_id").alias("__e"))
+    up = tree.where("parent IS NOT NULL").select(*by, "node", "parent", F.least("node", "parent").alias("__lo"), F.greatest("node", "parent").alias("__hi"))
+    return up.join(first, [*by, "__lo", "__hi"], "left").select(*by, "node", "parent", "__e.confidence", "__e.evidence")
+
+
+def cross_references(nodes: DataFrame, own: Column, by: list[str] = DK) -> DataFrame:
+    """(by, source_tag, ref_drawing, relationship): every token like a number of another drawing of the same series in a node's tag or context (tag, context), as often as it occurs."""
+    tag, context = F.coalesce("tag", F.lit("")), F.coalesce("context", F.lit(""))
+    found = F.concat(F.transform(cross_drawing_tokens(tag, own), lambda t: F.struct(t.alias("t"), F.lit("reference_in_tag").alias("r"))), F.transform(cross_drawing_tokens(context, own), lambda t: F.struct(t.alias("t"), F.lit("reference_in_context").alias("r"))))
+    return nodes.select(*by, tag.alias("source_tag"), F.explode(found).alias("x")).select(*by, "source_tag", F.col("x.t").alias("ref_drawing"), F.col("x.r").alias("relationship"))
+
+
 def structural_edges(edges: DataFrame, by: list[str] = DK) -> DataFrame:
     """edges (a, b, rel, confidence) once for each unordered pair and relation, the most confident first."""
     keyed = edges.withColumn("lo", F.least("a", "b")).withColumn("hi", F.greatest("a", "b"))

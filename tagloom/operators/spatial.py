@@ -122,3 +122,16 @@ def adjacent_glyph(rows: DataFrame, factor: float = 1.5, by: list[str] = DK) ->
     glyphs = rows.where(own).select(*by, "id", F.col("symbol").alias("box"))
     hit = grid_join(window.select(*by, "id", "box"), glyphs, 0, by=by).where(F.col("l")["id"] != F.col("r")["id"]).where(g.overlaps(F.col("l")["box"], F.col("r")["box"])).select(*by, F.col("l.id").alias("id")).distinct().withColumn("__hit", F.lit(True))
     return rows.join(hit, [*by, "id"], "left").withColumn("has_glyph", own | F.coalesce("__hit", F.lit(False))).drop("__hit")
+
+
+def leader_lines(rows: DataFrame, leaders: DataFrame, direct: float = 80, radius: float = 20, by: list[str] = DK) -> DataFrame:
+    """(by, id, leader, distance) of rows (id, box, tag_box): a symbol whose tag is at most `direct` away, edge to edge, has an implied leader line of that length; another has
+    the leader line (ord, seg, box) nearest to its centre, under radius, if there is one. Rows without a tag box only have the latter."""
+    gap = g.edge_gap(F.col("box"), F.col("tag_box"))
+    marked = rows.select(*by, "id", "box", F.when(F.col("tag_box").isNotNull() & (gap <= direct), gap).alias("__gap"))
+    x, y = g.center(F.col("box"))
+    spots = marked.where("__gap IS NULL").select(*by, "id", F.struct(x.alias("x1"), y.alias("y1"), x.alias("x2"), y.alias("y2")).alias("box"))
+    near = nearest(spots, leaders.select(*by, "ord", "seg", "box"), radius, lambda l, r: g.point_segment_distance(l["box"]["x1"], l["box"]["y1"], r["seg"]), by=by)
+    out = marked.join(near.select(*by, "id", F.col("distance").alias("__d")), [*by, "id"], "left")
+    d = F.coalesce("__gap", "__d")
+    return out.select(*by, "id", d.isNotNull().alias("leader"), F.round(d, 3).alias("distance"))

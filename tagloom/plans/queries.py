@@ -578,10 +578,14 @@ def hub_edges(spark, d):
     return spatial.hub_edges(boxes(spark, d), segments(spark, d).withColumn("line", F.col("id")))
 
 
-@query("""WITH w AS (SELECT doc_id, regexp_extract_all(upper(text), '([0-9A-Z]+-[A-Z]{2,5}-[0-9]+-[0-9]+[-0-9A-Z]*)', 1) AS x FROM documents) SELECT doc_id, len(list_distinct(list_filter(x, lambda y: split_part(y, '-', 1) = '4224'))) AS n FROM w""")
+@query(f"""{C}, n AS (SELECT drawing_id, tag, CASE WHEN id % 5 = 0 THEN 'see 4224-PID-6-' || CAST(id % 50 AS VARCHAR) || ', 42240-AB-1-2 and 4224-XX-0-00 or 4224-PI-1-7-3.' WHEN id % 5 = 1 THEN 'x4224-PID-6-1 9999-PID-6-1' ELSE symbol_name END AS context FROM cand),
+x AS (SELECT drawing_id, tag, 'reference_in_tag' AS r, unnest(regexp_extract_all(tag, '\\b(\\d{{3,4}}-[A-Z]{{2,5}}-\\d+-\\d+(?:-\\d+)?)\\b', 1)) AS t FROM n UNION ALL SELECT drawing_id, tag, 'reference_in_context', unnest(regexp_extract_all(context, '\\b(\\d{{3,4}}-[A-Z]{{2,5}}-\\d+-\\d+(?:-\\d+)?)\\b', 1)) FROM n)
+SELECT drawing_id, tag AS source_tag, t AS ref_drawing, r AS relationship FROM x WHERE starts_with(t, '4224') AND t <> '4224-XX-0-00'""")
 def cross_refs(spark, d):
-    found = t.cross_drawing_tokens(F.coalesce(F.col("text"), F.lit("")), F.lit("4224-XX-0-00"))
-    return table(spark, d, "documents").select("doc_id", F.size(found).alias("n"))
+    """Tags of one kind in twelve are numbers of the own series, and contexts hold own, other and foreign numbers."""
+    n = F.col("id")
+    context = F.when(n % 5 == 0, F.concat(F.lit("see 4224-PID-6-"), n % 50, F.lit(", 42240-AB-1-2 and 4224-XX-0-00 or 4224-PI-1-7-3."))).when(n % 5 == 1, "x4224-PID-6-1 9999-PID-6-1").otherwise(F.col("symbol_name"))
+    return hierarchy.cross_references(candidates(spark, d).withColumn("context", context), F.lit("4224-XX-0-00"))
 
 
 @query(f"""{B}, m AS (SELECT id, drawing_id, drawing_id % 7 AS patch, tag FROM boxes), o AS (SELECT id AS ord, drawing_id, drawing_id % 7 AS patch, lower(tag) || CASE WHEN id % 2 = 0 THEN '' ELSE 'x' END AS text FROM boxes),

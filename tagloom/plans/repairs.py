@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tagloom.operators import attach, clouds, oriented, repair, reports, traces
+from tagloom.operators import attach, clouds, dedup, flow, hierarchy, oriented, repair, reports, shaping, sow, spatial, traces
 from tagloom.plans.fixtures import boxes, segments, table
-from tagloom.plans.queries import B, S, query
+from tagloom.plans.queries import _D, _IOU, _pd, B, S, query
 
 RS = S.replace("WITH ", "WITH RECURSIVE ", 1)
 
@@ -281,3 +281,156 @@ def saved_clouds(spark, d):
     made = clouds.saved_clouds(payload)
     at = [F.get("bbox", F.lit(k)).alias(c) for k, c in enumerate(("x1", "y1", "x2", "y2"))]
     return made.select("drawing_id", F.col("place").cast("long").alias("place"), "id", "status", *at, "area")
+
+
+_TAGGED = "CASE WHEN id % 9 = 0 THEN '' WHEN id % 4 = 1 THEN tag || 'X' || CAST(id % 2 AS VARCHAR) ELSE tag END"
+_RESOLVED = f"""b AS (SELECT * REPLACE ('T-' || CAST(id % 3 AS VARCHAR) || '00' AS tag), id % 6 = 0 AS known, CAST(id % 5 AS DOUBLE) / 5 AS ocr FROM boxes),
+e AS (SELECT a.drawing_id, a.id AS a, b.id AS b FROM b a JOIN b ON a.drawing_id = b.drawing_id AND a.id <> b.id AND a.tag = b.tag AND ({_D} <= 120 OR {_IOU} >= 0.2)),
+r AS (SELECT drawing_id, id AS node, id AS root FROM b UNION SELECT r.drawing_id, e.b, r.root FROM r JOIN e ON r.drawing_id = e.drawing_id AND r.node = e.a),
+m AS (SELECT drawing_id, node AS id, min(root) AS root FROM r GROUP BY 1, 2), s AS (SELECT m.root, b.*, round(CASE WHEN known THEN 1.0 ELSE 0.0 END + 0.4 * conf + 0.3 * ocr + 0.1 + 0.1, 9) AS score FROM m JOIN b ON m.drawing_id = b.drawing_id AND m.id = b.id),
+p AS (SELECT drawing_id, root, arg_max(id, (score, -id)) AS first FROM s GROUP BY 1, 2)"""
+
+
+def _resolved(spark, d):
+    n = F.col("id")
+    b = boxes(spark, d).withColumn("tag", F.concat(F.lit("T-"), n % 3, F.lit("00"))).withColumn("in_registry", n % 6 == 0).withColumn("ocr", (n % 5).cast("double") / 5).withColumn("assoc", F.lit(0.5)).withColumn("status", F.lit("PASS"))
+    return dedup.resolve_duplicates(b)
+
+
+@query(f"""{B}, {_RESOLVED} SELECT s.drawing_id, p.first AS id, coalesce(string_agg(CAST(s.id AS VARCHAR), ',' ORDER BY s.score DESC, s.id) FILTER (s.id <> p.first), '') AS merged_from, CASE WHEN bool_or(s.known AND s.id = p.first) THEN max(s.ocr) FILTER (s.id = p.first) ELSE round(max(s.ocr), 3) END AS ocr, min(x1) AS x1, max(y2) AS y2
+FROM s JOIN p ON s.drawing_id = p.drawing_id AND s.root = p.root GROUP BY 1, 2""")
+def merged_primaries(spark, d):
+    return dedup.merged_primaries(_resolved(spark, d)).select("drawing_id", "id", F.array_join(F.transform("merged_from", lambda x: x.cast("string")), ",").alias("merged_from"), "ocr", "box.x1", "box.y2")
+
+
+@query(f"{B}, {_RESOLVED} SELECT s.drawing_id, s.id, p.first AS primary FROM s JOIN p ON s.drawing_id = p.drawing_id AND s.root = p.root WHERE s.id <> p.first")
+def duplicate_links(spark, d):
+    return dedup.duplicate_links(_resolved(spark, d)).select("drawing_id", "id", "primary")
+
+
+_LEAD = "sqrt(greatest(0, greatest(b.x1 - b.tx2, b.tx1 - b.x2)) ** 2 + greatest(0, greatest(b.y1 - b.ty2, b.ty1 - b.y2)) ** 2)"
+
+
+@query(f"""{S}, b AS (SELECT *, CASE WHEN id % 5 <> 0 THEN x2 + id % 4 * 40 END AS tx1, y1 AS ty1, CASE WHEN id % 5 <> 0 THEN x2 + id % 4 * 40 + 30 END AS tx2, y2 AS ty2 FROM boxes), g AS (SELECT *, CASE WHEN id % 5 <> 0 AND {_LEAD} <= 80 THEN {_LEAD} END AS gap FROM b),
+n AS (SELECT a.drawing_id, a.id, min({_pd('(a.x1 + a.x2) / 2.0', '(a.y1 + a.y2) / 2.0')}) AS d FROM g a JOIN seg s ON a.drawing_id = s.drawing_id WHERE a.gap IS NULL GROUP BY 1, 2)
+SELECT g.drawing_id, g.id, gap IS NOT NULL OR coalesce(d < 20, false) AS leader, round(CASE WHEN gap IS NOT NULL THEN gap WHEN d < 20 THEN d END, 3) AS distance FROM g LEFT JOIN n ON n.drawing_id = g.drawing_id AND n.id = g.id""")
+def leader_lines(spark, d):
+    """Tags stand right of their symbols, up to 120 away; of five symbols one has none."""
+    b, n = F.col("box"), F.col("id")
+    x = (b["x2"] + n % 4 * 40)
+    tag = F.when(n % 5 != 0, F.struct(x.alias("x1"), b["y1"].alias("y1"), (x + 30).alias("x2"), b["y2"].alias("y2")))
+    return spatial.leader_lines(boxes(spark, d).withColumn("tag_box", tag), segments(spark, d))
+
+
+@query(f"{B}, e AS (SELECT drawing_id, id - id % 7 AS b, id AS node, conf, id * 31 % 1000 AS k FROM boxes WHERE id % 7 <> 0) SELECT drawing_id, node, b AS parent, arg_min(CASE WHEN z = 0 THEN conf ELSE 0.5 END, (k, z)) AS confidence FROM (SELECT *, unnest([0, 1]) AS z FROM e) GROUP BY 1, 2, 3")
+def parent_provenance(spark, d):
+    """Two edges a pair, one each way; their ids are in another order than the nodes."""
+    n = F.col("id")
+    e = boxes(spark, d).where("id % 7 <> 0")
+    tree = e.select("drawing_id", n.alias("node"), (n - n % 7).alias("parent"))
+    one = e.select("drawing_id", F.struct((n * 31 % 1000).alias("k"), F.lit(0).alias("z")).alias("edge_id"), n.alias("a"), (n - n % 7).alias("b"), F.col("conf").alias("confidence"), F.lit("x").alias("evidence"))
+    two = e.select("drawing_id", F.struct((n * 31 % 1000).alias("k"), F.lit(1).alias("z")).alias("edge_id"), (n - n % 7).alias("a"), n.alias("b"), F.lit(0.5).alias("confidence"), F.lit("y").alias("evidence"))
+    return hierarchy.parent_provenance(tree, one.unionAll(two)).select("drawing_id", "node", "parent", "confidence")
+
+
+@query(f"{B}, r AS (SELECT drawing_id, x1 - 60 AS x1, y1 - 60 AS y1, x2 + 60 AS x2, y2 + 60 AS y2 FROM boxes WHERE id % 5 = 0) SELECT DISTINCT a.drawing_id, a.id FROM boxes a JOIN r b ON a.drawing_id = b.drawing_id AND a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2 AND b.y1 < a.y2")
+def overlapping_tiles(spark, d):
+    """Boxes as tiles, every fifth grown by 60 as a region."""
+    b = F.col("box")
+    grown = F.struct((b["x1"] - 60).alias("x1"), (b["y1"] - 60).alias("y1"), (b["x2"] + 60).alias("x2"), (b["y2"] + 60).alias("y2"))
+    rows = boxes(spark, d).select("drawing_id", "id", "box")
+    return spatial.overlapping_tiles(rows, rows.where("id % 5 = 0").withColumn("box", grown)).select("drawing_id", "id")
+
+
+_EDGE_GAP = "sqrt(greatest(0, greatest(a.x1 - b.x2, b.x1 - a.x2)) ** 2 + greatest(0, greatest(a.y1 - b.y2, b.y1 - a.y2)) ** 2)"
+
+
+@query(f"""{B}, q AS (SELECT *, id % 13 AS line FROM boxes WHERE id % 4 = 0) SELECT a.drawing_id, a.id AS a, b.id AS b FROM q a JOIN q b ON a.drawing_id = b.drawing_id AND a.id < b.id AND a.line <> b.line
+WHERE (abs((a.y1 + a.y2) / 2.0 - (b.y1 + b.y2) / 2.0) <= 90 OR abs((a.x1 + a.x2) / 2.0 - (b.x1 + b.x2) / 2.0) <= 90) AND {_EDGE_GAP} <= 700""")
+def drive_hints(spark, d):
+    q = boxes(spark, d).where("id % 4 = 0")
+    return spatial.drive_hints(q.select("drawing_id", "id", "box"), q.select("drawing_id", F.col("id").alias("equipment"), (F.col("id") % 13).alias("line"))).select("drawing_id", "a", "b")
+
+
+@query(f"{B}, e AS (SELECT drawing_id, id AS a, id + 10 - 2 * (id % 10) AS b, CASE id % 3 WHEN 0 THEN 'ADJACENT_TO' ELSE 'JUNCTION_OF' END AS rel, conf FROM boxes UNION ALL SELECT drawing_id, id + 10 - 2 * (id % 10), id, 'ADJACENT_TO', 0.4 FROM boxes) SELECT drawing_id, least(a, b) AS lo, greatest(a, b) AS hi, rel, max(conf) AS confidence FROM e GROUP BY 1, 2, 3, 4")
+def structural_edges(spark, d):
+    n = F.col("id")
+    other = n + 10 - 2 * (n % 10)
+    b = boxes(spark, d)
+    e = b.select("drawing_id", n.alias("a"), other.alias("b"), F.when(n % 3 == 0, "ADJACENT_TO").otherwise("JUNCTION_OF").alias("rel"), F.col("conf").alias("confidence")).unionAll(b.select("drawing_id", other, n, F.lit("ADJACENT_TO"), F.lit(0.4)))
+    return hierarchy.structural_edges(e)
+
+
+_GRAPH = "CASE id % 5 WHEN 0 THEN 'pipeline' WHEN 1 THEN 'valve' WHEN 2 THEN 'instrument' WHEN 3 THEN 'junction' ELSE 'equipment' END"
+
+
+def _graph(spark, d):
+    n = F.col("id")
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("pipeline", "valve", "instrument", "junction", "equipment")]), (n % 5 + 1).cast("int"))
+    return boxes(spark, d).select("drawing_id", n.alias("node"), kind.alias("kind")), boxes(spark, d).where("id % 10 > 1").select("drawing_id", F.when(n % 2 == 0, n).otherwise(n - 1).alias("a"), F.when(n % 2 == 0, n - 1).otherwise(n).alias("b"), F.when(n % 3 == 0, "MONITORS").otherwise("CONNECTED_TO").alias("rel"), n.alias("edge_id"))
+
+
+_TIES = f"k AS (SELECT drawing_id, id AS node, {_GRAPH} AS kind FROM boxes), e AS (SELECT drawing_id, CASE WHEN id % 2 = 0 THEN id ELSE id - 1 END AS a, CASE WHEN id % 2 = 0 THEN id - 1 ELSE id END AS b, CASE WHEN id % 3 = 0 THEN 'MONITORS' ELSE 'CONNECTED_TO' END AS rel, id AS edge_id FROM boxes WHERE id % 10 > 1)"
+
+
+@query(f"""{B}, {_TIES} SELECT e.drawing_id, l.node AS line, n.node, e.rel, n.kind FROM e JOIN k l ON l.drawing_id = e.drawing_id AND l.kind = 'pipeline' AND l.node IN (e.a, e.b) JOIN k n ON n.drawing_id = e.drawing_id AND n.node = CASE WHEN l.node = e.a THEN e.b ELSE e.a END WHERE n.kind IN ('instrument', 'valve', 'equipment')""")
+def line_links(spark, d):
+    nodes, edges = _graph(spark, d)
+    return flow.line_links(edges, nodes)
+
+
+_TOLD = "t AS (SELECT drawing_id, id AS line, CASE id % 4 WHEN 0 THEN 'forward' WHEN 1 THEN 'reverse' ELSE 'unknown' END AS direction, CASE WHEN id % 4 > 1 THEN 'none' WHEN id % 8 < 4 THEN 'arrowhead' ELSE 'propagated' END AS evidence FROM boxes WHERE id % 5 = 0)"
+
+
+def _told(spark, d):
+    n = F.col("id")
+    return boxes(spark, d).where("id % 5 = 0").select("drawing_id", n.alias("line"), F.when(n % 4 == 0, "forward").when(n % 4 == 1, "reverse").otherwise("unknown").alias("direction"), F.when(n % 4 > 1, "none").when(n % 8 < 4, "arrowhead").otherwise("propagated").alias("evidence"))
+
+
+@query(f"{B}, {_TOLD} SELECT drawing_id, CASE WHEN direction = 'unknown' THEN 'unknown' ELSE evidence END AS evidence, count(*) AS n FROM t GROUP BY 1, 2")
+def evidence_counts(spark, d):
+    return flow.evidence_counts(_told(spark, d))
+
+
+@query(f"""{B}, {_TIES}, {_TOLD}, f AS (SELECT * FROM t WHERE direction <> 'unknown') SELECT e.drawing_id, e.edge_id, f.direction IS NOT NULL OR g.direction IS NOT NULL AS directed, coalesce(f.direction, g.direction) AS flow_direction, coalesce(f.evidence, g.evidence) AS flow_evidence
+FROM e LEFT JOIN f ON f.drawing_id = e.drawing_id AND f.line = e.a LEFT JOIN f g ON g.drawing_id = e.drawing_id AND g.line = e.b""")
+def directed_edges(spark, d):
+    return flow.directed_edges(_graph(spark, d)[1], _told(spark, d)).select("drawing_id", "edge_id", "directed", "flow_direction", "flow_evidence")
+
+
+@query(f"""{B}, {_TOLD}, l AS (SELECT drawing_id, arg_min(id - id % 5, id) AS line, id % 60 AS node FROM boxes WHERE id % 5 > 0 GROUP BY 1, 3) SELECT l.drawing_id, l.node, l.line, t.direction, t.evidence FROM l JOIN t ON t.drawing_id = l.drawing_id AND t.line = l.line WHERE t.direction <> 'unknown'""")
+def flow_paths(spark, d):
+    n = F.col("id")
+    links = boxes(spark, d).where("id % 5 > 0").select("drawing_id", (n % 60).alias("node"), (n - n % 5).alias("line"), n.alias("edge_id"))
+    return flow.flow_paths(links, _told(spark, d))
+
+
+@query(f"{B} SELECT drawing_id, id AS node, CASE WHEN id % 11 = 0 THEN 'isolated' ELSE 'unresolved' END AS reason FROM boxes WHERE id % 4 IN (1, 2) AND id % 3 = 0")
+def attach_targets(spark, d):
+    return flow.attach_targets(_parented(spark, d, F.col("id") % 3 != 0))
+
+
+@query("SELECT upper(left(p_name, 3)) AS prefix, string_agg(p_name, ';' ORDER BY p_partkey) AS names FROM part WHERE left(p_name, 3) <> '' GROUP BY 1")
+def scope_prefixes(spark, d):
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("ord"), F.col("p_name").alias("name"), F.left("p_name", F.lit(3)).alias("prefix"))
+    return sow.prefix_index(p).select("prefix", F.array_join("names", ";").alias("names"))
+
+
+@query("SELECT CASE p_partkey % 4 WHEN 0 THEN 'instrument' WHEN 1 THEN 'valve' ELSE 'Unknown' END AS category, CASE WHEN p_partkey % 3 = 0 THEN 'BLOCK' ELSE 'ALLOW' END AS status, count(*) AS n FROM part GROUP BY 1, 2")
+def scope_breakdown(spark, d):
+    k = F.col("p_partkey")
+    return sow.category_breakdown(table(spark, d, "part").select(F.when(k % 4 == 0, "instrument").when(k % 4 == 1, "valve").otherwise("Unknown").alias("category"), F.when(k % 3 == 0, "BLOCK").otherwise("ALLOW").alias("status")))
+
+
+@query("""WITH c AS (SELECT p_partkey % 40 AS drawing_id, p_partkey - p_partkey % 7 % 2 AS id, p_partkey AS k FROM part), n AS (SELECT *, count(*) OVER (PARTITION BY drawing_id, id) AS n FROM c)
+SELECT drawing_id, id, s AS severity, i AS issue FROM (SELECT drawing_id, id, unnest([CASE WHEN n > 1 THEN 'ERROR' END, CASE WHEN k % 5 = 0 THEN 'ERROR' END, CASE WHEN k % 5 = 1 THEN 'ERROR' END, CASE WHEN k % 5 <> 0 AND k % 6 = 0 THEN 'WARNING' END]) AS s, unnest(['DUPLICATE_ID', 'TOO_FEW_POINTS', 'ZERO_AREA', 'OUT_OF_BOUNDS']) AS i FROM n) WHERE s IS NOT NULL""")
+def cloud_issues(spark, d):
+    """Polygons of two corners, without area, beyond the sheet, and with ids that others have."""
+    k = F.col("p_partkey")
+    far = F.when(k % 6 == 0, 5000.0).otherwise(100.0)
+    zero = F.lit(0.0)
+    whole = F.array(_point(zero, zero), _point(far, zero), _point(far, F.lit(50.0)))
+    flat = F.array(_point(zero, zero), _point(far, zero), _point(far / 2, zero))
+    two = F.array(_point(zero, zero), _point(F.lit(10.0), zero))
+    rows = table(spark, d, "part").select((k % 40).alias("drawing_id"), (k - k % 7 % 2).alias("id"), F.when(k % 5 == 0, two).when(k % 5 == 1, flat).otherwise(whole).alias("polygon"), F.lit(1000).alias("width_px"), F.lit(800).alias("height_px"))
+    return shaping.validate_clouds(rows)

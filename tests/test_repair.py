@@ -326,3 +326,34 @@ def test_saved_documents(spark):
     docs = {r.drawing_id: r for r in clouds.saved_documents(df, saved).collect()}
     assert [c.id for c in docs[0].clouds] == [1, 2, 3] and docs[0].stats.total == 3 and docs[0].edit_metadata.approved_unchanged == 3 and docs[0].edit_metadata.image_file_size == [100, 100]
     assert docs[1].clouds == [] and docs[1].stats.total == 0 and docs[1].edit_metadata.added == 0
+
+
+def test_greedy_keep_of_a_chain_longer_than_its_rounds(spark):
+    from tagloom.operators import graph
+
+    n = 500
+    rows = spark.range(n).select(F.lit(0).alias("drawing_id"), F.col("id"))
+    chain = spark.range(n - 1).select(F.lit(0).alias("drawing_id"), F.col("id").alias("hi"), (F.col("id") + 1).alias("lo"))
+    more = chain.unionAll(spark.createDataFrame([(0, 3, 400), (0, 10, 401), (0, 7, 90)], "drawing_id int, hi long, lo long"))
+    for conflicts in (chain, more):
+        kept = set()
+        worse = {}
+        for r in conflicts.collect():
+            worse.setdefault(r.lo, []).append(r.hi)
+        for i in range(n):
+            if not any(h in kept for h in worse.get(i, ())):
+                kept.add(i)
+        assert {r.id for r in graph.greedy_keep(rows, conflicts, rounds=3).collect()} == kept
+
+
+def test_merged_primaries_take_the_best_spelling(spark):
+    from tagloom.operators import dedup
+
+    box = "box struct<x1:int,y1:int,x2:int,y2:int>"
+    at = (0, 0, 50, 50)
+    rows = [(0, 1, "V-FIT-10", 0.9, 0.2, False), (0, 2, "V-FIT-1O", 0.5, 0.8, False), (0, 3, "V-FIT-100A", 0.4, 0.1, False), (0, 4, "", 0.1, 0.95, False), (1, 1, "V-FIT-10", 0.9, 0.2, True), (1, 2, "V-FIT-1O", 0.5, 0.8, False), (2, 9, None, 0.5, 0.5, False), (3, 1, "V-FIT-10", 0.9, 0.9, False), (3, 2, "V-FIT-10A", 0.1, 0.1, False)]
+    df = spark.createDataFrame([(d, i, t, c, o, 0.5, "PASS", k, at) for d, i, t, c, o, k in rows], f"drawing_id int, id int, tag string, conf double, ocr double, assoc double, status string, in_registry boolean, {box}")
+    got = {r.drawing_id: (r.id, r.tag, r.ocr, r.merged_from) for r in dedup.merged_primaries(dedup.resolve_duplicates(df)).collect()}
+    assert got == {0: (2, "V-FIT-1O", 0.8, [1, 4, 3]), 1: (1, "V-FIT-10", 0.2, [2]), 2: (9, "", 0.5, []), 3: (1, "V-FIT-10A", 0.9, [2])}
+    links = dedup.duplicate_links(dedup.resolve_duplicates(df)).collect()
+    assert {(r.drawing_id, r.id, r.primary) for r in links} == {(0, 1, 2), (0, 3, 2), (0, 4, 2), (1, 2, 1), (3, 2, 1)}
