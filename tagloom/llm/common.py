@@ -41,10 +41,28 @@ def small_batches(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> I
         yield batch.slice(start)
 
 
-def mapper(out: pa.Schema, column: str, f: Callable[[pa.RecordBatch], dict[str, Iterable]]):
-    """An Arrow mapper for mapInArrow: f gets slices of bounded size and returns the output columns."""
+_MEMORIES: list = []
+
+
+def remembered(f):
+    """Mark a cached function whose results outlive a task in a Python worker that is used again."""
+    _MEMORIES.append(f)
+    return f
+
+
+def forget(keep=None) -> None:
+    """Drop what other operators have left in this Python worker, so that it holds one operator's memory at a time, and give back what Arrow has freed."""
+    for f in _MEMORIES:
+        if f is not keep:
+            f.cache_clear()
+    pa.default_memory_pool().release_unused()
+
+
+def mapper(out: pa.Schema, column: str, f: Callable[[pa.RecordBatch], dict[str, Iterable]], keep=None):
+    """An Arrow mapper for mapInArrow: f gets slices of bounded size and returns the output columns. keep: the operator's own memory (see `forget`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(keep)
         for whole in batches:
             for batch in small_batches(whole, column):
                 if batch.num_rows:
@@ -60,6 +78,7 @@ def _appended(df: DataFrame, text_col: str, name: str, kind: str, f: Callable[[l
     rows = df.select(*names, F.col(text_col).cast("string").alias(source))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for b in small_batches(whole, source):
                 if b.num_rows:

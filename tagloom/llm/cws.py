@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import mapper, shuffle_partitions, small_batches, staged
+from tagloom.llm.common import forget, mapper, remembered, shuffle_partitions, small_batches, staged
 
 SAMPLES = 128
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -146,6 +146,7 @@ class Sampler:
         return out
 
 
+@remembered
 @lru_cache(maxsize=1)
 def sampler_of(samples: int) -> Sampler:
     """One in a Python worker: the words that it has drawn for outlive the task, as workers are reused."""
@@ -174,7 +175,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return {"id": batch.column("id"), "fingerprint": [to_hex(s) for s in sampler_of(samples).signatures(batch.column("text").to_pylist())]}
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(mapper(out, "text", make), "id long, fingerprint string")
+    return rows.mapInArrow(mapper(out, "text", make, sampler_of), "id long, fingerprint string")
 
 
 def edited(text: str, following: str) -> str:
@@ -236,6 +237,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     out = pa.schema([("id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(sampler_of)
         sampler = sampler_of(samples)
         waiting: list[tuple[int, str, int | np.ndarray]] = []  # rows of one id whose next id isn't here yet; a place in `order`, or a signature
         before = None

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import mapper, staged
+from tagloom.llm.common import mapper, remembered, staged
 
 Pattern = tuple[tuple[int, int], ...]  # (size, pieces), sizes descending
 
@@ -157,6 +157,7 @@ def _unknown(wanted: set, known: dict, elder: dict) -> list:
     return list(new.difference(again))
 
 
+@remembered
 @lru_cache(maxsize=2)
 def _encoder(tokenizer_json: str) -> WordIds:
     """One for each tokenizer in a Python worker: the words that it has learnt outlive the task, as workers are reused."""
@@ -187,7 +188,7 @@ def piece_table(docs: DataFrame, tokenizer_json: str, limit: int = 2048, end_id:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        yield from mapper(out, "text", make)(batches)
+        yield from mapper(out, "text", make, _encoder)(batches)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "id long, piece int, start long, length long, ids_crc32 long")
