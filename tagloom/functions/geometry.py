@@ -197,9 +197,11 @@ def polygon_iou(overlap: Column) -> Column:
 
 
 def simplify(polygon: Column, most: int) -> Column:
-    """Every n-th vertex, so that at most `most` stay."""
-    step = F.greatest(F.lit(1), F.ceil(F.size(polygon) / most).cast("int"))
-    return F.filter(polygon, lambda _, i: i % step == 0)
+    """Every n-th vertex and the last of an outline with more than `most`, n being the whole number of times that `most` goes into it."""
+    step = F.greatest(F.lit(1), F.floor(F.size(polygon) / most).cast("int"))
+    thin = F.filter(polygon, lambda _, i: i % step == 0)
+    last = F.element_at(polygon, -1)
+    return F.when(F.size(polygon) <= most, polygon).when(F.element_at(thin, -1) == last, thin).otherwise(F.concat(thin, F.array(last)))
 
 
 def run_lengths(bits: Column) -> Column:

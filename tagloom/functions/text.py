@@ -140,7 +140,7 @@ def discipline(canonical: Column, category: Column) -> Column:
     codes = F.array(F.element_at(F.split(prefix, "-"), -1), F.get(F.split(prefix, "-"), F.lit(0)), prefix)
     case = None
     for names, out in rules.DISCIPLINES:
-        hit = F.arrays_overlap(codes, F.array(*[F.lit(n) for n in names.split()]))
+        hit = F.arrays_overlap(codes, F.array(*[F.lit(n) for n in names]))
         case = F.when(hit, out) if case is None else case.when(hit, out)
     c = F.lower(F.coalesce(category, F.lit("")))
     return case.when(c == "instrument", "INSTRUMENTATION").when(c.isin("valve", "equipment"), "MECHANICAL").when(c == "piping", "PIPING").when(canonical.rlike('^[0-9]+["\\-]'), "PIPING").otherwise("MECHANICAL")
@@ -217,8 +217,8 @@ def drawing_location(number: Column, sheet: Column | None = None) -> Column:
 
 
 def names_other_drawing(text: Column) -> Column:
-    """Whether a text is a reference to another drawing rather than a tag."""
-    return F.coalesce(F.trim(text).rlike(rules.DRAWING_REFERENCES), F.lit(False))
+    """Whether a tag is one of other drawings of the plant, which only refer to it here."""
+    return F.coalesce(F.trim(text).rlike("|".join(rules.OTHER_DRAWING_TAGS)), F.lit(False))
 
 
 def overlap_concat(a: Column, b: Column, least: int = 4) -> Column:

@@ -107,7 +107,7 @@ def tag_predicates(spark, d):
 
 _PREFIX = "regexp_replace(regexp_extract(canonical_tag, '^([A-Z-]{1,8})', 1), '^-+|-+$', '', 'g')"
 _CODES = f"[split_part({_PREFIX}, '-', -1), split_part({_PREFIX}, '-', 1), {_PREFIX}]"
-_DISC = "CASE " + " ".join(f"WHEN list_has_any({_CODES}, [{', '.join(_q(n) for n in names.split())}]) THEN {_q(out)}" for names, out in rules.DISCIPLINES)
+_DISC = "CASE " + " ".join(f"WHEN list_has_any({_CODES}, [{', '.join(_q(n) for n in names)}]) THEN {_q(out)}" for names, out in rules.DISCIPLINES)
 
 
 @query(f"""{CANON} SELECT id, {_DISC} WHEN category = 'instrument' THEN 'INSTRUMENTATION' WHEN category IN ('valve', 'equipment') THEN 'MECHANICAL' WHEN category = 'piping' THEN 'PIPING'

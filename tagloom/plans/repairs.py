@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tagloom.operators import attach, clouds, dedup, flow, hierarchy, oriented, repair, reports, shaping, sow, spatial, traces
+from tagloom.functions import text as t
+from tagloom.operators import attach, clouds, dedup, flow, hierarchy, oriented, payloads, register, repair, reports, shaping, sow, spatial, traces
 from tagloom.plans.fixtures import boxes, segments, table
 from tagloom.plans.queries import _D, _IOU, _pd, B, S, query
 
@@ -434,3 +435,47 @@ def cloud_issues(spark, d):
     two = F.array(_point(zero, zero), _point(F.lit(10.0), zero))
     rows = table(spark, d, "part").select((k % 40).alias("drawing_id"), (k - k % 7 % 2).alias("id"), F.when(k % 5 == 0, two).when(k % 5 == 1, flat).otherwise(whole).alias("polygon"), F.lit(1000).alias("width_px"), F.lit(800).alias("height_px"))
     return shaping.validate_clouds(rows)
+
+
+@query("""WITH c AS (SELECT p_partkey % 40 AS drawing_id, p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN 'inner' ELSE 'outer' END AS tag, p_partkey % 7 + 3 AS n FROM part)
+SELECT drawing_id, id, n::INT AS point_count, round_even((id % 50 * 1.6), 0)::INT AS x_img, round_even(round_even((id % 50 * 1.6), 0) * 0.25, 1)::DOUBLE AS x_display, CASE WHEN n <= 4 THEN n WHEN n < 8 THEN n ELSE (n - 1) // 2 + 1 + CASE WHEN (n - 1) % 2 = 0 THEN 0 ELSE 1 END END::INT AS kept FROM c WHERE tag = 'outer'""")
+def editor_clouds(spark, d):
+    """Outlines of three to nine corners, of which an editor shows four where twice four fit."""
+    k = F.col("p_partkey")
+    pts = F.transform(F.sequence(F.lit(0), (k % 7 + 2).cast("int")), lambda i: F.struct((k % 50 + i).cast("double").alias("x"), (i * i).cast("double").alias("y")))
+    rows = table(spark, d, "part").select((k % 40).alias("drawing_id"), k.alias("id"), F.when(k % 3 == 0, "inner").otherwise("outer").alias("tag"), F.lit(None).cast("string").alias("source"), F.lit(0.9).alias("confidence"), F.lit(1.5).alias("scallopedness"), F.lit(9.0).alias("area"), F.array(F.lit(1.0), F.lit(2.0)).alias("bbox"), pts.alias("polygon"), F.lit(1.6).alias("scale_j2i"), F.lit(9600).alias("image_w"))
+    made = payloads.editor_clouds(rows, most=4)
+    return made.select("drawing_id", "id", "point_count", F.get("polygon_img", F.lit(0))["x"].alias("x_img"), F.get("polygon", F.lit(0))["x"].alias("x_display"), F.size("polygon").alias("kept"))
+
+
+@query("""SELECT 0 AS part, 0::BIGINT AS ord, 'Total symbols: ' || count(*) || ' (' || count_if(p_partkey % 3 <> 0) || ' ALLOW | ' || count_if(p_partkey % 3 = 0) || ' BLOCK)' AS line FROM part
+UNION ALL SELECT 1, p_partkey, '  ✓ ' || lpad(CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '[' || left(p_name, 2) || ']' END, 8, ' ') || '  ' || p_name FROM part WHERE p_partkey % 3 <> 0 UNION ALL SELECT 2, p_partkey, '  ✗           ' || p_name FROM part WHERE p_partkey % 3 = 0""")
+def scope_summary(spark, d):
+    k = F.col("p_partkey")
+    return payloads.scope_summary(table(spark, d, "part").select(k.alias("ord"), F.col("p_name").alias("name"), F.when(k % 3 == 0, "BLOCK").otherwise("ALLOW").alias("status"), F.when(k % 4 != 0, F.left("p_name", F.lit(2))).alias("prefix")))
+
+
+@query(f"{B} SELECT drawing_id, tag, row_number() OVER (PARTITION BY drawing_id ORDER BY min(id)) - 1 AS place FROM boxes GROUP BY 1, 2")
+def distinct_tags(spark, d):
+    return payloads.distinct_in_order(boxes(spark, d), "tag").select("drawing_id", "tag", F.col("place").cast("long").alias("place"))
+
+
+@query(f"{B} SELECT drawing_id, id, row_number() OVER (PARTITION BY drawing_id ORDER BY CASE WHEN id % 5 = 0 THEN 0 ELSE x1 // 700 END, id) - 1 AS place FROM boxes")
+def patch_order(spark, d):
+    rows = boxes(spark, d).withColumn("patch_id", F.when(F.col("id") % 5 != 0, F.floor(F.col("box.x1") / 700)))
+    return payloads.in_patch_order(rows).select("drawing_id", "id", F.col("place").cast("long").alias("place"))
+
+
+@query("""WITH t AS (SELECT p_partkey AS id, CASE p_partkey % 6 WHEN 0 THEN 'V-PIC-' WHEN 1 THEN 'XS-' WHEN 2 THEN ' V-HS-' WHEN 3 THEN 'FT-' WHEN 4 THEN 'rci-' ELSE 'RCI-' END || CAST(p_partkey % 1500 AS VARCHAR) AS tag FROM part)
+SELECT id, regexp_matches(trim(tag), '^(V-)?PIC-\\d{3,4}$') OR regexp_matches(trim(tag), '^(V-)?FT-246[A-Z]?$') OR regexp_matches(trim(tag), '^(V-)?RCI-') OR regexp_matches(trim(tag), '^(V-)?HS-14\\d{2}[A-Z]?$') OR regexp_matches(trim(tag), '^(V-)?XS-2[3-7]\\d$') AS other FROM t""")
+def other_drawings(spark, d):
+    k = F.col("p_partkey")
+    tag = F.concat(F.when(k % 6 == 0, "V-PIC-").when(k % 6 == 1, "XS-").when(k % 6 == 2, " V-HS-").when(k % 6 == 3, "FT-").when(k % 6 == 4, "rci-").otherwise("RCI-"), k % 1500)
+    return table(spark, d, "part").select(k.alias("id"), t.names_other_drawing(tag).alias("other"))
+
+
+@query(f"{B} SELECT drawing_id, CAST(id AS VARCHAR) AS candidate_id, tag AS tag_text, 'UNSPECIFIED' AS sow_status, 'WARN' AS validation_status FROM boxes WHERE id % 4 <> 0")
+def final_projection(spark, d):
+    n = F.col("id")
+    rows = boxes(spark, d).select("drawing_id", n.cast("string").alias("candidate_id"), F.col("tag").alias("tag_text"), F.when(n % 4 == 0, "DISCARDED").otherwise("PRIMARY").alias("duplicate_status"), F.lit(None).cast("string").alias("sow_status"))
+    return register.final_projection(rows).select("drawing_id", "candidate_id", "tag_text", "sow_status", "validation_status")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,3 +60,27 @@ def first_existing(spark: SparkSession, paths: list[str]) -> str | None:
         if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
             return path
     return None
+
+
+def json_documents(rows: DataFrame, key: str = "candidates", order: str = "ord", counts: dict[str, Column] | None = None, version: str = "1.0", by: tuple[str, ...] = ("drawing_id",)) -> DataFrame:
+    """(by, document): a JSON text for each drawing: a version, the number of its records and further counts (aggregates), and its records under `key` in their order."""
+    keep = [c for c in rows.columns if c not in (*by, order)]
+    told = [c.alias(k) for k, c in (counts or {}).items()]
+    one = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("count"), *told, F.array_sort(F.collect_list(F.struct(F.col(order).alias("__o"), F.struct(*keep).alias("r")))).alias("__rows"))
+    document = F.struct(F.lit(version).alias("version"), F.col("count"), *[F.col(k) for k in (counts or {})], F.transform("__rows", lambda x: x["r"]).alias(key))
+    return one.select(*by, F.to_json(document).alias("document"))
+
+
+def registry_path(spark: SparkSession, folder: str, workbook: str | None = None) -> str | None:
+    """The register of a run: the first of master_tags.json, tables_context.json and a workbook that the folder has. One that is there but empty is it all the same."""
+    return first_existing(spark, [f"{folder}/{name}" for name in ("master_tags.json", "tables_context.json", workbook) if name])
+
+
+def hierarchy_path(spark: SparkSession, folder: str, name: str = "hierarchy", given: str | None = None) -> str | None:
+    """A given path, else the folder's <name>_full.json, else, with a warning that the hierarchy may lack parts of the sheet, its <name>.json; null if there is none."""
+    if given:
+        return first_existing(spark, [given])
+    found = first_existing(spark, [f"{folder}/{name}_full.json", f"{folder}/{name}.json"])
+    if found and not found.endswith("_full.json"):
+        warnings.warn(f"{name}_full.json isn't in {folder}: {name}.json may lack parts of the sheet", stacklevel=2)
+    return found

@@ -58,15 +58,15 @@ def sheets(content: bytes) -> list[tuple[str, list[list[str | None]]]]:
 
 
 def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sheet, row from 1, cells): every row of every workbook under path; each file is parsed in one task."""
+    """(path, sheet, row from 1, cells, sheet_no from 1): every row of every workbook under path; each file is parsed in one task."""
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for p, content in zip(f["path"], f["content"], strict=True):
-                made = [(p, name, i, row) for name, rows in sheets(content) for i, row in enumerate(rows, 1)]
-                yield pd.DataFrame(made, columns=["path", "sheet", "row", "cells"])
+                made = [(p, name, i, row, k) for k, (name, rows) in enumerate(sheets(content), 1) for i, row in enumerate(rows, 1)]
+                yield pd.DataFrame(made, columns=["path", "sheet", "row", "cells", "sheet_no"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, "path string, sheet string, row int, cells array<string>")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, "path string, sheet string, row int, cells array<string>, sheet_no int")
 
 
 def by_header(rows: DataFrame, header_row: int = 1) -> DataFrame:
@@ -83,6 +83,12 @@ def registry_rows(sheet_rows: DataFrame, tag: str = "TAG NUMBER") -> DataFrame:
     return by_header(sheet_rows).select(v[tag].alias("tag"), v["DISCIPLINE"].alias("discipline"), v["TAG DESCRIPTION"].alias("description"), v["EQUIPMENT DESCRIPTION"].alias("equipment_description"), F.col("row").alias("ord")).where("trim(coalesce(tag, '')) <> ''")
 
 
+def ground_truth(sheet_rows: DataFrame, column: int = 3) -> DataFrame:
+    """(path, ord, tag): the trimmed texts of a column (from 1) of each workbook's first sheet below its heading; empty cells are left out."""
+    tag = F.get("cells", F.lit(column - 1))
+    return sheet_rows.where("sheet_no = 1 AND row > 1").select("path", F.col("row").alias("ord"), F.trim(tag).alias("tag")).where(F.coalesce(tag, F.lit("")) != "")
+
+
 def scope_rows(sheet_rows: DataFrame, use: str = "USE") -> DataFrame:
     """(ord, name, status) of a scope workbook: the sheet named `use` allows, others block."""
     v = F.col("values")
