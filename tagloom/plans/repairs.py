@@ -168,9 +168,9 @@ def motor_proxies(spark, d):
     return attach.motor_proxies(rows, ("KM-V-201", "KM-V-202"), 4000)
 
 
-_ATTACH = """n AS (SELECT drawing_id, id, id % 6 AS cluster, CASE WHEN id % 3 = 0 THEN 'V-PIT-' WHEN id % 3 = 1 THEN 'A-PIT-' ELSE 'tt-' END || CAST(id % 90 + 10 AS VARCHAR) AS tag FROM boxes WHERE id % 2 = 0),
+_ATTACH = """n AS (SELECT drawing_id, id, id // 2 % 6 AS cluster, CASE WHEN id % 3 = 0 THEN 'V-PIT-' WHEN id % 3 = 1 THEN 'A-PIT-' ELSE 'tt-' END || CAST(id % 90 + 10 AS VARCHAR) AS tag FROM boxes WHERE id % 2 = 0),
 q AS (SELECT drawing_id, id, CASE WHEN id % 4 = 1 THEN 'K-V-' ELSE 'S-V-' END || CAST(id % 60 + 200 AS VARCHAR) AS tag, id % 5 = 0 AS flat FROM boxes WHERE id % 2 = 1),
-t AS (SELECT drawing_id, id AS ord, id % 6 AS cluster, CASE WHEN id % 7 = 0 THEN 'pit-' ELSE 'TT-' END || CAST(id % 90 + 10 AS VARCHAR) AS i, CASE WHEN id % 4 = 0 THEN 'Z-V-' WHEN id % 4 = 1 THEN 'K-V-' WHEN id % 4 = 2 THEN 's-v-' ELSE 'V-' END || CAST(id % 70 + 200 AS VARCHAR) AS e, CASE WHEN id % 8 = 0 THEN 'Low' WHEN id % 8 < 4 THEN 'high' ELSE 'Medium' END AS c FROM boxes),
+t AS (SELECT drawing_id, id AS ord, id // 2 % 6 AS cluster, CASE WHEN id % 7 = 0 THEN 'x-pit-' ELSE 'TT-' END || CAST(id % 90 + 10 AS VARCHAR) AS i, CASE WHEN id % 4 = 0 THEN 'Z-V-' WHEN id % 4 = 1 THEN 'K-V-' WHEN id % 4 = 2 THEN 's-v-' ELSE 'V-' END || CAST((id + 1) % 70 + 200 AS VARCHAR) AS e, CASE WHEN id % 8 = 0 THEN 'Low' WHEN id % 8 < 4 THEN 'high' ELSE 'Medium' END AS c FROM boxes),
 ni AS (SELECT drawing_id, cluster, upper(tag) AS m, arg_min(id, id) AS node FROM n GROUP BY 1, 2, 3), qi AS (SELECT drawing_id, upper(tag) AS m, arg_min(id, id) AS node FROM q GROUP BY 1, 2),
 ix AS (SELECT t.drawing_id, t.ord, arg_min(node, (CASE WHEN ni.m = upper(i) THEN 0 WHEN regexp_replace(ni.m, '^[A-Z]+-', '') = regexp_replace(upper(i), '^[A-Z]+-', '') THEN 1 ELSE 2 END, ni.m)) AS node FROM t JOIN ni ON t.drawing_id = ni.drawing_id AND t.cluster = ni.cluster AND (ni.m = upper(i) OR regexp_replace(ni.m, '^[A-Z]+-', '') = regexp_replace(upper(i), '^[A-Z]+-', '') OR (length(regexp_replace(upper(i), '^[A-Z]+-', '')) >= 3 AND ends_with(ni.m, regexp_replace(upper(i), '^[A-Z]+-', '')))) GROUP BY 1, 2),
 ex AS (SELECT t.drawing_id, t.ord, arg_min(node, (CASE WHEN qi.m = upper(e) THEN 0 WHEN regexp_replace(qi.m, '^[A-Z]+-', '') = regexp_replace(upper(e), '^[A-Z]+-', '') THEN 1 ELSE 2 END, qi.m)) AS node FROM t JOIN qi ON t.drawing_id = qi.drawing_id AND (qi.m = upper(e) OR regexp_replace(qi.m, '^[A-Z]+-', '') = regexp_replace(upper(e), '^[A-Z]+-', '') OR (length(regexp_replace(upper(e), '^[A-Z]+-', '')) >= 3 AND ends_with(qi.m, regexp_replace(upper(e), '^[A-Z]+-', '')))) GROUP BY 1, 2)"""
@@ -185,9 +185,9 @@ def attachment_edges(spark, d):
 def _attached(spark, d):
     n = F.col("id")
     b = boxes(spark, d)
-    inst = b.where("id % 2 = 0").select("drawing_id", (n % 6).alias("cluster"), F.concat(F.when(n % 3 == 0, "V-PIT-").when(n % 3 == 1, "A-PIT-").otherwise("tt-"), n % 90 + 10).alias("tag"), n.alias("node"), n.alias("ord"))
+    inst = b.where("id % 2 = 0").select("drawing_id", F.expr("(id div 2) % 6").alias("cluster"), F.concat(F.when(n % 3 == 0, "V-PIT-").when(n % 3 == 1, "A-PIT-").otherwise("tt-"), n % 90 + 10).alias("tag"), n.alias("node"), n.alias("ord"))
     equip = b.where("id % 2 = 1").select("drawing_id", F.concat(F.when(n % 4 == 1, "K-V-").otherwise("S-V-"), n % 60 + 200).alias("tag"), n.alias("node"), n.alias("ord"), (n % 5 == 0).alias("label_only"))
-    told = b.select("drawing_id", (n % 6).alias("cluster"), n.alias("ord"), F.concat(F.when(n % 7 == 0, "pit-").otherwise("TT-"), n % 90 + 10).alias("instrument_tag"), F.concat(F.when(n % 4 == 0, "Z-V-").when(n % 4 == 1, "K-V-").when(n % 4 == 2, "s-v-").otherwise("V-"), n % 70 + 200).alias("parent_equipment"), F.when(n % 8 == 0, "Low").when(n % 8 < 4, "high").otherwise("Medium").alias("confidence"), F.lit("near").alias("reasoning"))
+    told = b.select("drawing_id", F.expr("(id div 2) % 6").alias("cluster"), n.alias("ord"), F.concat(F.when(n % 7 == 0, "x-pit-").otherwise("TT-"), n % 90 + 10).alias("instrument_tag"), F.concat(F.when(n % 4 == 0, "Z-V-").when(n % 4 == 1, "K-V-").when(n % 4 == 2, "s-v-").otherwise("V-"), (n + 1) % 70 + 200).alias("parent_equipment"), F.when(n % 8 == 0, "Low").when(n % 8 < 4, "high").otherwise("Medium").alias("confidence"), F.lit("near").alias("reasoning"))
     return attach.attachment_edges(told, inst, equip)
 
 
