@@ -374,7 +374,7 @@ def _graph(spark, d):
 _TIES = f"k AS (SELECT drawing_id, id AS node, {_GRAPH} AS kind FROM boxes), e AS (SELECT drawing_id, CASE WHEN id % 2 = 0 THEN id ELSE id - 1 END AS a, CASE WHEN id % 2 = 0 THEN id - 1 ELSE id END AS b, CASE WHEN id % 3 = 0 THEN 'MONITORS' ELSE 'CONNECTED_TO' END AS rel, id AS edge_id FROM boxes WHERE id % 10 > 1)"
 
 
-@query(f"""{B}, {_TIES} SELECT e.drawing_id, l.node AS line, n.node, e.rel, n.kind FROM e JOIN k l ON l.drawing_id = e.drawing_id AND l.kind = 'pipeline' AND l.node IN (e.a, e.b) JOIN k n ON n.drawing_id = e.drawing_id AND n.node = CASE WHEN l.node = e.a THEN e.b ELSE e.a END WHERE n.kind IN ('instrument', 'valve', 'equipment')""")
+@query(f"""{B}, {_TIES}, w AS (SELECT drawing_id, a, b, rel FROM e UNION ALL SELECT drawing_id, b, a, rel FROM e) SELECT w.drawing_id, l.node AS line, n.node, w.rel, n.kind FROM w JOIN k l ON l.drawing_id = w.drawing_id AND l.node = w.a JOIN k n ON n.drawing_id = w.drawing_id AND n.node = w.b WHERE l.kind = 'pipeline' AND n.kind IN ('instrument', 'valve', 'equipment')""")
 def line_links(spark, d):
     nodes, edges = _graph(spark, d)
     return flow.line_links(edges, nodes)
