@@ -357,3 +357,38 @@ def test_merged_primaries_take_the_best_spelling(spark):
     assert got == {0: (2, "V-FIT-1O", 0.8, [1, 4, 3]), 1: (1, "V-FIT-10", 0.2, [2]), 2: (9, "", 0.5, []), 3: (1, "V-FIT-10A", 0.9, [2])}
     links = dedup.duplicate_links(dedup.resolve_duplicates(df)).collect()
     assert {(r.drawing_id, r.id, r.primary) for r in links} == {(0, 1, 2), (0, 3, 2), (0, 4, 2), (1, 2, 1), (3, 2, 1)}
+
+
+def test_polygon_overlap_counts_the_raster(spark):
+    from tagloom.functions import geometry as g
+
+    rng = random.Random(5)
+
+    def inside(p, x, y):
+        odd = False
+        for (ax, ay), (bx, by) in zip(p, p[1:] + p[:1], strict=True):
+            if (bx - ax) * (y - ay) == (by - ay) * (x - ax) and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
+                return True
+            if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+                odd = not odd
+        return odd
+
+    def polygon():
+        f = rng.choice([1, 1, 2])
+        if rng.random() < 0.3:  # whole or half coordinates, all sides upright or level
+            x, y, w, h = (rng.randrange(1, 20) / f for _ in range(4))
+            return [(x, y), (x + w, y), (x + w, y + h), (x + 2 * w, y + h), (x + 2 * w, y + 2 * h), (x, y + 2 * h)]
+        return [(rng.randrange(-10, 25 * f) / f, rng.randrange(-10, 25 * f) / f) for _ in range(rng.randrange(1, 9))]
+
+    pairs = [(polygon(), polygon()) for _ in range(120)]
+    grid = [(x, y) for x in range(-12, 62) for y in range(-12, 62)]
+    rows = spark.createDataFrame([(k, *x) for k, x in enumerate([*pairs, ([], pairs[0][0]), (None, pairs[0][0])])], f"k int, a {POLY}, b {POLY}")
+    got = [tuple(r[0]) for r in rows.orderBy("k").select(g.polygon_overlap(F.col("a"), F.col("b"))).collect()]
+    for (a, b), found in zip(pairs, got):
+        one, two = {z for z in grid if inside(a, *z)}, {z for z in grid if inside(b, *z)}
+        assert found == (len(one), len(two), len(one & two))
+    assert got[-2:] == [(0, 0, 0)] * 2
+    # a raster of this box has 4 * 10 ** 10 points
+    n = 200_000.0
+    wide = spark.createDataFrame([([(0.0, 0.0), (n, 0.0), (n, n), (0.0, n)], [(1.0, 0.0), (n + 1, 0.0), (n + 1, n), (1.0, n)])], f"a {POLY}, b {POLY}")
+    assert tuple(wide.select(g.polygon_overlap(F.col("a"), F.col("b"))).first()[0]) == (200_001**2, 200_001**2, 200_000 * 200_001)
