@@ -21,38 +21,79 @@ ZONES = {
 FRAME_RUN, SMOOTH_RUN, SMOOTH = 0.45, 0.10, 2.2
 
 
-def _sides(polygon: Column) -> Column:
-    """array<struct<a, b, m, c, s>>: each side that isn't upright as y = m x + c from a to b, and whether the polygon lies below it (1) or above (-1)."""
-    n = F.size(polygon)
-
-    def side(i: Column) -> Column:
-        p, q = F.get(polygon, i), F.get(polygon, (i + 1) % n)
-        x1, y1, x2, y2 = (v.cast("double") for v in (p["x"], p["y"], q["x"], q["y"]))
-        m = F.when(x1 != x2, (y2 - y1) / F.nullif(x2 - x1, F.lit(0.0)))
-        return F.struct(F.least(x1, x2).alias("a"), F.greatest(x1, x2).alias("b"), m.alias("m"), (y1 - m * x1).alias("c"), F.when(x1 > x2, 1.0).otherwise(-1.0).alias("s"), (x1 * y2 - x2 * y1).alias("turn"))
-
-    sides = F.transform(F.sequence(F.lit(0), n - 1), side)
-    turned = F.aggregate(sides, F.lit(0.0), lambda z, e: z + e["turn"])
-    flat = F.transform(F.filter(sides, lambda e: e["m"].isNotNull()), lambda e: F.struct(e["a"].alias("a"), e["b"].alias("b"), e["m"].alias("m"), e["c"].alias("c"), (e["s"] * F.signum(turned)).alias("s")))
-    return F.when(n >= 3, flat).otherwise(F.slice(flat, 1, 0))
-
-
-def _under_both(e: Column, f: Column) -> Column:
-    """The integral of the lower of two sides over the x that they share."""
-    lo, hi = F.greatest(e["a"], f["a"]), F.least(e["b"], f["b"])
-    d1, d2 = (e["m"] - f["m"]) * lo + e["c"] - f["c"], (e["m"] - f["m"]) * hi + e["c"] - f["c"]
-    above = F.when((d1 >= 0) & (d2 >= 0), (d1 + d2) / 2).when((d1 <= 0) & (d2 <= 0), 0.0).otherwise(F.greatest(d1, d2) * F.greatest(d1, d2) / (2 * F.abs(d1 - d2)))
-    return F.when(hi > lo, (hi - lo) * (e["m"] * (lo + hi) / 2 + e["c"] - above)).otherwise(0.0)
+def flat(polygon: Column) -> Column:
+    """A polygon's corners as one array x, y, x, y, ...: half the size of an array of structs."""
+    return F.flatten(F.transform(polygon, lambda q: F.array(q["x"].cast("double"), q["y"].cast("double"))))
+
+
+def _corners(polygons):
+    """(values, first, n): an Arrow array of `flat` polygons' coordinates, of each the place of its first one and the number of its corners, 0 where it has under three."""
+    import numpy as np
+
+    ends = polygons.offsets.to_numpy()
+    n = np.diff(ends) // 2 * polygons.is_valid().to_numpy(zero_copy_only=False)
+    return polygons.values.to_numpy(zero_copy_only=False).astype(float), ends[:-1], np.where(n < 3, 0, n)
+
+
+def _sides(table, rows, width: int):
+    """(a, b, m, c, s) of polygons, a row of sides each: a side as y = m x + c from a to b, and whether the polygon lies below it (1) or above (-1); upright sides and those beyond a polygon's are empty (a = b)."""
+    import numpy as np
+
+    values, first, n = table
+    at = first[rows, None] + 2 * np.minimum(np.arange(width), n[rows, None] - 1)
+    x1, y1 = values[at], values[at + 1]
+    x2, y2 = np.roll(x1, -1, axis=1), np.roll(y1, -1, axis=1)
+    flat = x1 != x2
+    m = np.where(flat, (y2 - y1) / np.where(flat, x2 - x1, 1.0), 0.0)
+    turned = (x1 * y2 - x2 * y1).sum(axis=1, keepdims=True)
+    return np.minimum(x1, x2), np.maximum(x1, x2), m, y1 - m * x1, np.where(x1 > x2, 1.0, -1.0) * np.sign(turned)
+
+
+#: Numbers that a task holds at once of pairs of sides.
+_PAIRS = 200_000
+
+
+def _areas(a, b):
+    import numpy as np
+    import pyarrow as pa
+
+    tables = _corners(a), _corners(b)
+    wide = np.maximum(tables[0][2], tables[1][2])
+    out = np.zeros(len(a))
+    some = np.flatnonzero((tables[0][2] > 0) & (tables[1][2] > 0))
+    some = some[np.argsort(wide[some], kind="stable")]
+    at = 0
+    while at < len(some):
+        rows = some[at : at + max(1, _PAIRS // int(wide[some[at]]))]
+        rows = rows[wide[rows] <= 2 * wide[rows[0]]]
+        at += len(rows)
+        p, q = (_sides(t, rows, int(t[2][rows].max())) for t in tables)
+        total = np.zeros(len(rows))
+        for k in range(p[0].shape[1]):
+            ea, eb, em, ec, es = (v[:, k, None] for v in p)
+            low, high = np.maximum(ea, q[0]), np.minimum(eb, q[1])
+            d1, d2 = (em - q[2]) * low + ec - q[3], (em - q[2]) * high + ec - q[3]
+            top, gap = np.maximum(d1, d2), np.abs(d1 - d2)
+            mixed = top * top / np.where(gap > 0, 2 * gap, 1.0)
+            above = np.where((d1 >= 0) & (d2 >= 0), (d1 + d2) / 2, np.where((d1 <= 0) & (d2 <= 0), 0.0, mixed))
+            under = np.where(high > low, (high - low) * (em * (low + high) / 2 + ec - above), 0.0)
+            total += es[:, 0] * (q[4] * under).sum(axis=1)
+        out[rows] = np.maximum(total, 0.0)
+    null = ~(a.is_valid().to_numpy(zero_copy_only=False) & b.is_valid().to_numpy(zero_copy_only=False))
+    return pa.array(out, mask=null)
 
 
 def shared_area(a: Column, b: Column) -> Column:
     """The area of the intersection of two simple polygons (arrays of x and y), convex or not; 0 under three corners.
 
     A polygon is the region under its upper sides less that under its lower ones, so the shared area is a signed sum over pairs of sides of the area
-    under both; only sides above the same x meet. Null polygons give null."""
-    p, q = _sides(a), _sides(b)
-    total = F.aggregate(p, F.lit(0.0), lambda z, e: z + e["s"] * F.aggregate(F.filter(q, lambda f: (f["a"] < e["b"]) & (f["b"] > e["a"])), F.lit(0.0), lambda y, f: y + f["s"] * _under_both(e, f)))
-    return F.when(a.isNotNull() & b.isNotNull(), F.greatest(total, F.lit(0.0)))
+    under both; only sides above the same x meet. Null polygons give null. A batch of pairs is one matrix for each side."""
+    return flat_area(flat(a), flat(b))
+
+
+def flat_area(a: Column, b: Column) -> Column:
+    """`shared_area` of polygons that are `flat`. It counts as not deterministic so that a filter on it doesn't compute it again."""
+    return F.arrow_udf(_areas, "double").asNondeterministic()(a, b)
 
 
 def centroid(polygon: Column) -> tuple[Column, Column]:

@@ -392,3 +392,13 @@ def test_polygon_overlap_counts_the_raster(spark):
     n = 200_000.0
     wide = spark.createDataFrame([([(0.0, 0.0), (n, 0.0), (n, n), (0.0, n)], [(1.0, 0.0), (n + 1, 0.0), (n + 1, n), (1.0, n)])], f"a {POLY}, b {POLY}")
     assert tuple(wide.select(g.polygon_overlap(F.col("a"), F.col("b"))).first()[0]) == (200_001**2, 200_001**2, 200_000 * 200_001)
+
+
+def test_areas_of_pairs_are_computed_once_in_batches(spark):
+    n = 3000
+    ring = lambda x, r: [(x + r * math.cos(2 * math.pi * k / n), r * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    rows = spark.createDataFrame([(0, k, ring(50.0 * k, 100.0)) for k in range(3)], f"drawing_id int, id int, polygon {POLY}")
+    found = clouds.shared_areas(rows)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    lens = lambda d: 2 * 100**2 * math.acos(d / 200) - d / 2 * math.sqrt(4 * 100**2 - d * d)
+    assert {(r.a, r.b): round(r.both / lens(50 * (r.b - r.a)), 4) for r in found.collect()} == {(0, 1): 1.0, (0, 2): 1.0, (1, 2): 1.0}
