@@ -1,5 +1,6 @@
 """Oriented flow, pipe repair, traces, attachments and clouds against plain Python on small random inputs."""
 
+import decimal
 import math
 import random
 from collections import Counter, deque
@@ -402,3 +403,30 @@ def test_areas_of_pairs_are_computed_once_in_batches(spark):
     assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
     lens = lambda d: 2 * 100**2 * math.acos(d / 200) - d / 2 * math.sqrt(4 * 100**2 - d * d)
     assert {(r.a, r.b): round(r.both / lens(50 * (r.b - r.a)), 4) for r in found.collect()} == {(0, 1): 1.0, (0, 2): 1.0, (1, 2): 1.0}
+
+
+def test_lengths_are_summed_in_a_fixed_order(spark):
+    rng = random.Random(3)
+    box = "box struct<x1:int,y1:int,x2:int,y2:int>"
+    rows = []
+    for d in range(400):  # lengths of three digits whose sum ends in 5 hundredths: its last bit decides
+        parts = [rng.randrange(200_000, 500_000) for _ in range(9)]
+        parts[-1] += (50 - sum(parts)) % 100
+        rows += [(d, k, k % 2, v / 1000, (0, 0, 1, 1)) for k, v in enumerate(parts)]
+
+    def total(order):
+        out = 0.0
+        for v in order:
+            out += v
+        return float(str(round(decimal.Decimal(repr(out)).quantize(decimal.Decimal("0.1"), decimal.ROUND_HALF_UP), 1)))
+
+    of = {d: [r[3] for r in rows if r[0] == d] for d in range(400)}
+    ids = {d: total(v[1::2] + v[0::2]) for d, v in of.items()}
+    assert any(ids[d] != total(v) for d, v in of.items())  # the order matters
+    rng.shuffle(rows)
+    segs = spark.createDataFrame(rows, f"drawing_id int, id int, line int, length double, {box}").repartition(7)
+    gaps = spark.createDataFrame([(d, 0, 0, 1, True, "high") for d in of], "drawing_id int, ord int, a int, b int, connected boolean, confidence string")
+    elbows = spark.createDataFrame([], "drawing_id int, ord int, a int, b int, segment int, type string, confidence string")
+    none = spark.createDataFrame([], "drawing_id int, junction int, line int, junction_type string, confidence string")
+    made = repair.repair(segs, none.select("drawing_id", "junction"), none.select("drawing_id", "junction", "line"), gaps, elbows, none)
+    assert {r.drawing_id: r.length for r in made["lines"].collect()} == ids
