@@ -284,13 +284,19 @@ def rooted_tree(nodes: DataFrame, edges: DataFrame, by: list[str] = DK) -> DataF
     return bfs_tree(process.select(*by, "a", "b").join(nodes.select(*by, F.col("node").alias("a")), [*by, "a"], "left_semi").join(nodes.select(*by, F.col("node").alias("b")), [*by, "b"], "left_semi"), roots, by)
 
 
-def relatives(tree: DataFrame, by: list[str] = DK) -> DataFrame:
-    """tree (node, parent) with children, siblings and the number of descendants."""
+def relatives(tree: DataFrame, by: list[str] = DK, named: bool = True) -> DataFrame:
+    """tree (node, parent) with children, siblings and the number of descendants. Siblings are their names or, if not named, their number: a list for each of
+    n children is n * n names."""
     kids = tree.where("parent IS NOT NULL").groupBy(*by, F.col("parent").alias("node")).agg(F.array_sort(F.collect_list("node")).alias("children"))
-    below = ancestors(tree, by).select(*by, F.explode("chain").alias("node")).groupBy(*by, "node").agg(F.count(F.lit(1)).alias("descendants"))
+    # walks go by the nodes that have children: a leaf is below its parent and what is above that
+    inner = tree.join(kids.select(*by, "node"), [*by, "node"], "left_semi").select(*by, "node", "parent")
+    up = ancestors(inner, by).select(*by, "node", F.explode(F.concat(F.array("node"), "chain")).alias("top"))
+    below = up.join(kids.select(*by, "node", F.size("children").alias("n")), [*by, "node"]).groupBy(*by, F.col("top").alias("node")).agg(F.sum("n").alias("descendants"))
     none = F.array().cast(f"array<{tree.schema['node'].dataType.simpleString()}>")
-    out = tree.join(kids, [*by, "node"], "left").join(kids.select(*by, F.col("node").alias("parent"), F.col("children").alias("__s")), [*by, "parent"], "left").join(below, [*by, "node"], "left")
-    return out.select(*tree.columns, F.coalesce("children", none).alias("children"), F.coalesce(F.filter("__s", lambda x: x != F.col("node")), none).alias("siblings"), F.coalesce("descendants", F.lit(0)).alias("descendants"))
+    brothers = kids.select(*by, F.col("node").alias("parent"), (F.col("children") if named else F.size("children")).alias("__s"))
+    out = tree.join(kids, [*by, "node"], "left").join(brothers, [*by, "parent"], "left").join(below, [*by, "node"], "left")
+    siblings = F.coalesce(F.filter("__s", lambda x: x != F.col("node")), none) if named else F.coalesce(F.col("__s") - 1, F.lit(0))
+    return out.select(*tree.columns, F.coalesce("children", none).alias("children"), siblings.alias("siblings"), F.coalesce("descendants", F.lit(0)).alias("descendants"))
 
 
 def parent_candidates(nodes: DataFrame, edges: DataFrame, tree: DataFrame, by: list[str] = DK) -> DataFrame:

@@ -222,7 +222,7 @@ def rooted_tree(spark, d):
     regions = e.where("a LIKE 'R%'").select("drawing_id", F.col("a").alias("node"), F.lit("valve").alias("kind"))
     nodes = _nodes(spark, d).select("drawing_id", "node", "kind").unionAll(regions).withColumn("box", box)
     tree = hierarchy.rooted_tree(nodes, e)
-    return hierarchy.relatives(tree).select("drawing_id", "node", "parent", "depth", F.array_join("children", ",").alias("children"), F.size("siblings").alias("siblings"), "descendants")
+    return hierarchy.relatives(tree, named=False).select("drawing_id", "node", "parent", "depth", F.array_join("children", ",").alias("children"), "siblings", "descendants")
 
 
 @query(f"""WITH {_E}, {_NODES}, {_EDGES} SELECT n.drawing_id, n.node, CASE WHEN n.node LIKE 'R%' THEN NULL ELSE 'N' || CAST(n.drawing_id AS VARCHAR) END AS parent, CASE WHEN n.node LIKE 'S%' THEN 'MOUNTED_ON' WHEN n.node LIKE 'C%' THEN 'direct_parent' ELSE 'pipeline_traversal' END AS evidence FROM nodes n WHERE n.node LIKE 'S%' OR n.node LIKE 'C%' OR (n.node LIKE 'O%' AND n.parent IS NOT NULL)""")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions import polygons as poly
-from tagloom.operators import attach, clouds, oriented, repair, traces
+from tagloom.operators import attach, clouds, hierarchy, oriented, repair, traces
 
 P = "struct<x:double,y:double>"
 
@@ -430,3 +430,13 @@ def test_lengths_are_summed_in_a_fixed_order(spark):
     none = spark.createDataFrame([], "drawing_id int, junction int, line int, junction_type string, confidence string")
     made = repair.repair(segs, none.select("drawing_id", "junction"), none.select("drawing_id", "junction", "line"), gaps, elbows, none)
     assert {r.drawing_id: r.length for r in made["lines"].collect()} == ids
+
+
+def test_siblings_are_counted_where_lists_would_be_quadratic(spark):
+    rows = [(0, "r", None), (0, "a", "r"), (0, "b", "r"), (0, "c", "a"), (0, "d", "c"), (1, "r", None)] + [(1, f"k{i}", "r") for i in range(300)]
+    tree = spark.createDataFrame(rows, "drawing_id int, node string, parent string")
+    named = {(r.drawing_id, r.node): r for r in hierarchy.relatives(tree).collect()}
+    counted = {(r.drawing_id, r.node): r for r in hierarchy.relatives(tree, named=False).collect()}
+    assert {k: (v.children, len(v.siblings), v.descendants) for k, v in named.items()} == {k: (v.children, v.siblings, v.descendants) for k, v in counted.items()}
+    assert {k[1]: (v.siblings, v.descendants) for k, v in named.items() if not k[0]} == {"r": ([], 4), "a": (["b"], 2), "b": (["a"], 0), "c": ([], 1), "d": ([], 0)}
+    assert counted[1, "k7"].siblings == 299 and counted[1, "r"].descendants == 300
