@@ -3,6 +3,8 @@ counts in one cell alone (the later of the two first cells), so no pass removes
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,12 +57,64 @@ def neighbours(rows: DataFrame, radius: float, most: int = 5, nearest_first: boo
     return pairs.withColumn("rank", rank).where(F.col("rank") <= most).select(*by, F.col(f"l.{node}").alias(node), F.col(f"r.{node}").alias("other"), F.round("d", 3).alias("distance"), "rank")
 
 
+#: Pairs that a task holds of a cell at once.
+_BLOCK = 500_000
+
+
+def _nearest_ways(cell, window: float, most: int):
+    """(l, r, way, rank) of a cell: its own rows (home) and, by direction, the nearest `most` of all rows in it, by distance, then id. l and r are places in the cell."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    x1, y1, x2, y2 = (cell[c].to_numpy().astype(float) for c in ("__x1", "__y1", "__x2", "__y2"))
+    code = np.asarray(pc.rank(cell["__node"].combine_chunks(), tiebreaker="dense"))
+    x, y = (x1 + x2) / 2, (y1 + y2) / 2
+    home = np.flatnonzero(cell["__home"].to_numpy(zero_copy_only=False))
+    step = max(1, _BLOCK // len(code))
+    for k in range(0, len(home), step):
+        own = home[k : k + step]
+        dx, dy = x[None, :] - x[own, None], y[None, :] - y[own, None]
+        far = np.sqrt(dx * dx + dy * dy)
+        i, r = np.nonzero((far <= window) & (code[None, :] != code[own, None]))
+        l, d, u, v = own[i], far[i, r], dx[i, r], dy[i, r]
+        over = (x1[l] < x2[r]) & (x2[l] > x1[r]) & (y1[l] < y2[r]) & (y2[l] > y1[r])
+        way = np.where(over, 0, np.where(np.abs(u) >= np.abs(v), np.where(u >= 0, 1, 2), np.where(v >= 0, 3, 4)))
+        order = np.lexsort((code[r], d, way, l))
+        l, r, way = l[order], r[order], way[order]
+        at = np.arange(len(l))
+        new = np.r_[True, (l[1:] != l[:-1]) | (way[1:] != way[:-1])][: len(l)]
+        rank = at - np.maximum.accumulate(np.where(new, at, 0)) + 1
+        near = rank <= most
+        yield l[near], r[near], way[near], rank[near]
+
+
 def directions(rows: DataFrame, window: float = 700, most: int = 5, node: str = "id", by: list[str] = DK) -> DataFrame:
-    """(by, node, direction, other, rank): the nearest `most` rows in each direction within a window."""
-    pairs = grid_join(rows, rows, window, by=by).where(F.col("l")[node] != F.col("r")[node])
-    pairs = pairs.withColumn("d", g.center_distance(F.col("l")["box"], F.col("r")["box"])).where(F.col("d") <= window).withColumn("direction", g.direction(F.col("l")["box"], F.col("r")["box"]))
-    rank = F.row_number().over(Window.partitionBy(*by, f"l.{node}", "direction").orderBy("d", f"r.{node}"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= most).select(*by, F.col(f"l.{node}").alias(node), "direction", F.col(f"r.{node}").alias("other"), "rank")
+    """(by, node, direction, other, rank): the nearest `most` rows in each direction within a window.
+
+    Each row is at home in the cell that holds its centre, and is dealt to those that the window around its centre touches: so all that a row may
+    meet is in one cell, and its nearest are chosen there. Pairs are neither shuffled nor sorted by Spark."""
+    import pyarrow as pa
+
+    b = F.col("box")
+    x, y = g.center(b)
+    corners = [b[c].cast("double").alias(f"__{c}") for c in ("x1", "y1", "x2", "y2")]
+    spots = rows.select(*by, F.col(node).alias("__node"), *corners, F.struct(x.alias("x1"), y.alias("y1"), x.alias("x2"), y.alias("y2")).alias("__spot")).where("__node IS NOT NULL AND __spot.x1 IS NOT NULL AND __spot.y1 IS NOT NULL")
+    size = max(1, math.ceil(4 * window))
+    dealt = cells(spots, "__spot", size, window)
+    at = [F.floor(F.col(f"__spot.{v}1") / size).cast("int") for v in ("x", "y")]
+    dealt = dealt.select(*by, "__cx", "__cy", "__node", "__x1", "__y1", "__x2", "__y2", ((F.col("__cx") == at[0]) & (F.col("__cy") == at[1])).alias("__home"))
+    kind = {f.name: f.dataType.simpleString() for f in dealt.schema}
+    shape = ", ".join([f"`{c}` {kind[c]}" for c in by] + [f"`{node}` {kind['__node']}, direction string, other {kind['__node']}, rank int"])
+    ways = pa.array(["overlaps", "right_of", "left_of", "below", "above"])
+
+    def nearest_of(cell: pa.Table) -> pa.Table:
+        parts = []
+        for l, r, way, rank in _nearest_ways(cell, window, most):
+            ends = [cell["__node"].take(pa.array(v)) for v in (l, r)]
+            parts.append(pa.table([*[cell[c].take(pa.array(l)) for c in by], ends[0], ways.take(pa.array(way)), ends[1], pa.array(rank.astype("int32"))], names=[*by, node, "direction", "other", "rank"]))
+        return pa.concat_tables(parts) if parts else pa.table([*[cell[c].slice(0, 0) for c in by], cell["__node"].slice(0, 0), ways.slice(0, 0), cell["__node"].slice(0, 0), pa.array([], pa.int32())], names=[*by, node, "direction", "other", "rank"])
+
+    return dealt.groupBy(*by, "__cx", "__cy").applyInArrow(nearest_of, shape)
 
 
 def pairs_by_iou(rows: DataFrame, least: float, node: str = "id", by: list[str] = DK) -> DataFrame:

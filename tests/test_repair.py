@@ -440,3 +440,29 @@ def test_siblings_are_counted_where_lists_would_be_quadratic(spark):
     assert {k: (v.children, len(v.siblings), v.descendants) for k, v in named.items()} == {k: (v.children, v.siblings, v.descendants) for k, v in counted.items()}
     assert {k[1]: (v.siblings, v.descendants) for k, v in named.items() if not k[0]} == {"r": ([], 4), "a": (["b"], 2), "b": (["a"], 0), "c": ([], 1), "d": ([], 0)}
     assert counted[1, "k7"].siblings == 299 and counted[1, "r"].descendants == 300
+
+
+def test_nearest_in_each_direction_without_a_shuffle_of_pairs(spark):
+    from tagloom.operators import spatial
+
+    rng = random.Random(11)
+    rows = []
+    for d in range(3):
+        for i in range(120 if d else 1):
+            x, y = rng.randrange(-60, 60), rng.randrange(-60, 60)
+            rows.append((d, f"n{i}", (x, y, x + rng.choice([0, 4, 9]), y + rng.choice([0, 4, 9]))))
+    want = set()
+    for d, a, p in rows:
+        ways = {}
+        for e, b, q in rows:
+            if d == e and a != b:
+                u, v = (q[0] + q[2] - p[0] - p[2]) / 2, (q[1] + q[3] - p[1] - p[3]) / 2
+                if math.sqrt(u * u + v * v) <= 25:
+                    over = p[0] < q[2] and p[2] > q[0] and p[1] < q[3] and p[3] > q[1]
+                    way = "overlaps" if over else ("right_of" if u >= 0 else "left_of") if abs(u) >= abs(v) else "below" if v >= 0 else "above"
+                    ways.setdefault(way, []).append((math.sqrt(u * u + v * v), b))
+        want |= {(d, a, way, b, k + 1) for way, found in ways.items() for k, (_, b) in enumerate(sorted(found)[:3])}
+    table = spark.createDataFrame([*rows, (0, None, (0, 0, 1, 1)), (0, "x", None)], "drawing_id int, id string, box struct<x1:int,y1:int,x2:int,y2:int>")
+    found = spatial.directions(table, 25, 3)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
