@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tagloom.operators.graph import component_of
 from tagloom.operators.repair import SURE
 from tagloom.operators.spatial import grid_join
-from tagloom.staging import staged
+from tagloom.staging import merged, staged
 
 DK = ["drawing_id"]
 
@@ -26,17 +26,17 @@ def meeting_groups(segments: DataFrame, active: DataFrame, reach: float, by: lis
     s = F.col("seg")
     points = F.array(*[F.struct(s[f"x{k}"].alias("x"), s[f"y{k}"].alias("y")) for k in (0, 1)])
     ends = segments.select(*by, "line", F.explode(points).alias("p")).select(*by, "line", F.struct(F.col("p.x").alias("x1"), F.col("p.y").alias("y1"), F.col("p.x").alias("x2"), F.col("p.y").alias("y2")).alias("box"))
-    lines = segments.groupBy(*by, "line").agg(*_box()).join(active.select(*by, "line").distinct().withColumn("live", F.lit(True)), [*by, "line"], "left")
+    lines = segments.groupBy(*by, "line").agg(*_box()).join(merged(active.select(*by, "line").distinct().withColumn("live", F.lit(True))), [*by, "line"], "left")
     now = staged(lines.select(*by, "line", F.col("line").alias("group"), F.struct("x1", "y1", "x2", "y2").alias("box"), F.coalesce("live", F.lit(False)).alias("live")), "groups")
     for _ in range(max_rounds):
         groups = now.groupBy(*by, "group").agg(*_box(), F.max("live").alias("live")).select(*by, "group", F.struct("x1", "y1", "x2", "y2").alias("box"), "live")
-        own = ends.join(now.select(*by, "line", "group"), [*by, "line"]).select(*by, "group", "box")
-        met = grid_join(groups.where("live").select(*by, "group", "box"), own, reach, by=by).where(F.col("l.group") != F.col("r.group")).select(*by, F.col("l.group").alias("a"), F.col("r.group").alias("b")).distinct()
+        own = ends.join(merged(now.select(*by, "line", "group")), [*by, "line"]).select(*by, "group", "box")
+        met = grid_join(groups.where("live").select(*by, "group", "box"), merged(own), reach, by=by).where(F.col("l.group") != F.col("r.group")).select(*by, F.col("l.group").alias("a"), F.col("r.group").alias("b")).distinct()
         met = staged(met, "met")
         if met.isEmpty():
             return now.select(*by, "line", "group")
         joined = component_of(groups.select(*by, "group"), met, "group", by).select(*by, "group", F.col("root").alias("__to"))
-        now = staged(now.join(joined, [*by, "group"]).select(*by, "line", F.col("__to").alias("group"), "box", "live"), "groups")
+        now = staged(now.join(merged(joined), [*by, "group"]).select(*by, "line", F.col("__to").alias("group"), "box", "live"), "groups")
     raise RuntimeError(f"no fixed point after {max_rounds} rounds")
 
 
@@ -91,8 +91,8 @@ def trace_merges(segments: DataFrame, traces: DataFrame, snap: float = 50, align
     asked = traces.select(*by, "line", "ord", go.alias("go"), F.transform(F.coalesce("directions", F.array().cast("array<string>")), lambda d: F.upper(F.coalesce(d, F.lit("")))).alias("directions"))
     groups = staged(meeting_groups(pipes, asked.where("go"), max(snap, align), by), "groups")
     s = F.col("seg")
-    left = pipes.join(groups, [*by, "line"]).select(*by, "group", "line", "ord", *[s[v].cast("double").alias(v) for v in ("x0", "y0", "x1", "y1")])
-    right = asked.join(groups.withColumnRenamed("group", "__group"), [*by, "line"])  # traces of lines without segments end where they began
+    left = pipes.join(merged(groups), [*by, "line"]).select(*by, "group", "line", "ord", *[s[v].cast("double").alias(v) for v in ("x0", "y0", "x1", "y1")])
+    right = asked.join(merged(groups.withColumnRenamed("group", "__group")), [*by, "line"])  # traces of lines without segments end where they began
     kinds = {f.name: f.dataType.simpleString() for f in right.schema}
     shape = ", ".join([f"`{c}` {kinds[c]}" for c in by] + [f"ord {kinds['ord']}, step int, keep {kinds['line']}, drop {kinds['line']}"])
 
@@ -105,10 +105,10 @@ def trace_merges(segments: DataFrame, traces: DataFrame, snap: float = 50, align
             out = out.astype({"keep": "Int64", "drop": "Int64"})
         return out[[*by, "ord", "step", "keep", "drop"]]
 
-    some = left.join(right.select(*by, F.col("__group").alias("group")).distinct(), [*by, "group"], "left_semi")
+    some = left.join(merged(right.select(*by, F.col("__group").alias("group")).distinct()), [*by, "group"], "left_semi")
     right = right.toDF(*[f"t_{c}" for c in right.columns])
     found = some.groupBy(*by, "group").cogroup(right.groupBy(*[f"t_{c}" for c in by], "t___group")).applyInPandas(replayed, shape)
-    alone = asked.join(groups.select(*by, "line"), [*by, "line"], "left_anti").select(*by, "ord", F.lit(-1).alias("step"), F.col("line").alias("keep"), F.lit(None).cast(kinds["line"]).alias("drop"))
+    alone = asked.join(merged(groups.select(*by, "line")), [*by, "line"], "left_anti").select(*by, "ord", F.lit(-1).alias("step"), F.col("line").alias("keep"), F.lit(None).cast(kinds["line"]).alias("drop"))
     return found.unionAll(alone)
 
 

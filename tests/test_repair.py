@@ -466,3 +466,16 @@ def test_nearest_in_each_direction_without_a_shuffle_of_pairs(spark):
     found = spatial.directions(table, 25, 3)
     assert sorted(tuple(r) for r in found.collect()) == sorted(want)
     assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_traces_send_no_table_to_all(spark):
+    from tagloom.operators.graph import component_of
+
+    s = spark.createDataFrame(random_segments(random.Random(2), 40, ["pipe"], lambda rng, i: i), SEG)
+    asked = s.select("drawing_id", "line", "ord", F.lit(True).alias("continues"), F.lit("high").alias("confidence"), F.array(F.lit("right"), F.lit("up")).alias("directions"))
+    found = traces.trace_merges(s, asked, 20, 8)
+    edges = s.select("drawing_id", F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    of = component_of(s.select("drawing_id", F.col("id").alias("node")), edges)
+    for df in (found, of):
+        assert df.count() > 0
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
