@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import geometry as g
 from tagloom.operators.graph import component_of
-from tagloom.operators.spatial import grid_join
+from tagloom.operators.spatial import grid_join, least_distances
 
 DK = ["drawing_id"]
 # Direction words and their unit vectors; y grows downwards.
@@ -138,8 +138,8 @@ def continuations(answers: DataFrame, adjacent: DataFrame, by: list[str] = DK) -
 def line_reach(symbols: DataFrame, segments: DataFrame, radius: float, by: list[str] = DK) -> DataFrame:
     """(by, line, nodes): instruments and valves (id, kind, box) up to radius from any segment (line, seg, box) of a line, in order of id."""
     few = symbols.where("kind IN ('instrument', 'valve')").select(*by, "id", "box")
-    met = grid_join(few, segments.select(*by, "line", "seg", "box"), radius, by=by).where(g.box_segment_distance(F.col("l")["box"], F.col("r")["seg"]) <= radius)
-    return met.groupBy(*by, F.col("r.line").alias("line")).agg(F.array_sort(F.collect_set("l.id")).alias("nodes"))
+    near = least_distances(few, segments.select(*by, "line", "seg", "box"), radius, by)
+    return near.groupBy(*by, "line").agg(F.array_sort(F.collect_set("id")).alias("nodes"))
 
 
 def attach_targets(nodes: DataFrame, by: list[str] = DK) -> DataFrame:

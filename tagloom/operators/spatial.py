@@ -151,6 +151,15 @@ def endpoint_pairs(ends: DataFrame, low: float, high: float, by: list[str] = DK)
     return pairs.groupBy(*by, F.col("l.line").alias("p"), F.col("r.line").alias("q")).agg(F.round(F.min("d"), 3).alias("distance"))
 
 
+def least_distances(rows: DataFrame, segments: DataFrame, radius: float, by: list[str] = DK) -> DataFrame:
+    """(by, id, line, distance): the least distance of a row (id, box) to a line's segments (line, seg, box), up to radius.
+
+    A distance bounds its group after the aggregate, here and in `nearest`: a filter on pairs is moved into the join's condition, which repeats what the
+    expression shares until the compiled method is too large for the JVM to optimise."""
+    pairs = grid_join(rows, segments, radius, by=by).withColumn("d", g.box_segment_distance(F.col("l")["box"], F.col("r")["seg"]))
+    return pairs.groupBy(*by, F.col("l.id").alias("id"), F.col("r.line").alias("line")).agg(F.min("d").alias("distance")).where(F.col("distance") <= radius)
+
+
 def hub_edges(equipment: DataFrame, segments: DataFrame, radius: float = 90, by: list[str] = DK) -> DataFrame:
     """(by, equipment, line, distance): every pipeline within radius of an equipment box. segments: id, line, seg, box."""
     pairs = grid_join(equipment, segments, radius, by=by).withColumn("d", g.box_segment_distance(F.col("l")["box"], F.col("r")["seg"])).where(F.col("d") <= radius)
