@@ -103,8 +103,9 @@ def axis(ends: DataFrame, by: list[str] = DK) -> DataFrame:
 
 def symbol_edges(symbols: DataFrame, segments: DataFrame, radius: float = 60, by: list[str] = DK) -> DataFrame:
     """(by, a, b, rel, category, confidence, evidence): each symbol but equipment (id, box, kind) with the nearest line under radius: instruments monitor it, others connect to it. segments: id, line, seg, box."""
-    near = grid_join(symbols.where("kind <> 'equipment'").select(*by, "id", "box", "kind"), segments.select(*by, "line", "seg", "box"), radius, by=by).withColumn("d", g.box_segment_distance(F.col("l")["box"], F.col("r")["seg"])).where(F.col("d") < radius)
-    best = near.groupBy(*by, F.col("l.id").alias("a"), F.col("l.kind").alias("kind")).agg(F.min(F.struct(F.col("d"), F.col("r.line").alias("line"))).alias("m"))
+    near = grid_join(symbols.where("kind <> 'equipment'").select(*by, "id", "box", "kind"), segments.select(*by, "line", "seg", "box"), radius, by=by).withColumn("d", g.box_segment_distance(F.col("l")["box"], F.col("r")["seg"]))
+    # bounded after the aggregate, as in spatial.least_distances
+    best = near.groupBy(*by, F.col("l.id").alias("a"), F.col("l.kind").alias("kind")).agg(F.min(F.when(F.col("d").isNotNull(), F.struct(F.col("d"), F.col("r.line").alias("line")))).alias("m")).where(F.col("m.d") < radius)
     rel = F.when(F.col("kind") == "instrument", "MONITORS").otherwise("CONNECTED_TO")
     told = F.concat(F.lit("symbol edge "), F.round("m.d", 1).cast("string"), F.lit("px from pipeline"))
     return best.select(*by, "a", F.col("m.line").alias("b"), rel.alias("rel"), F.lit("physical").alias("category"), F.round(0.85 - F.col("m.d") / (radius * 4), 3).alias("confidence"), told.alias("evidence"))
