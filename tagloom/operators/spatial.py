@@ -162,8 +162,8 @@ def least_distances(rows: DataFrame, segments: DataFrame, radius: float, by: lis
 
 def hub_edges(equipment: DataFrame, segments: DataFrame, radius: float = 90, by: list[str] = DK) -> DataFrame:
     """(by, equipment, line, distance): every pipeline within radius of an equipment box. segments: id, line, seg, box."""
-    pairs = grid_join(equipment, segments, radius, by=by).withColumn("d", g.box_segment_distance(F.col("l")["box"], F.col("r")["seg"])).where(F.col("d") <= radius)
-    return pairs.groupBy(*by, F.col("l.id").alias("equipment"), F.col("r.line").alias("line")).agg(F.round(F.min("d"), 3).alias("distance"))
+    near = least_distances(equipment.select(*by, "id", "box"), segments.select(*by, "line", "seg", "box"), radius, by)
+    return near.select(*by, F.col("id").alias("equipment"), "line", F.round("distance", 3).alias("distance"))
 
 
 def drive_hints(equipment: DataFrame, links: DataFrame, align: float = 90, gap: float = 700, by: list[str] = DK) -> DataFrame:
