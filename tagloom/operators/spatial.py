@@ -39,8 +39,9 @@ def grid_join(left: DataFrame, right: DataFrame, radius: float, left_box: str =
 def nearest(left: DataFrame, right: DataFrame, radius: float, distance, node: str = "id", order: str = "ord", inclusive: bool = False, by: list[str] = DK, **names) -> DataFrame:
     """(by, node, nearest struct of right, distance): the right row at the least distance under radius; the first in order of several."""
     pairs = grid_join(left, right, radius, by=by, **names).withColumn("d", distance(F.col("l"), F.col("r")))
-    pairs = pairs.where(F.col("d") <= radius if inclusive else F.col("d") < radius)
-    return pairs.groupBy(*by, F.col(f"l.{node}").alias(node)).agg(F.min_by("r", F.struct("d", F.col("r")[order])).alias("nearest"), F.min("d").alias("distance"))
+    first = F.when(F.col("d").isNotNull(), F.struct("d", F.col("r")[order]))
+    best = pairs.groupBy(*by, F.col(f"l.{node}").alias(node)).agg(F.min_by("r", first).alias("nearest"), F.min("d").alias("distance"))
+    return best.where(F.col("distance") <= radius if inclusive else F.col("distance") < radius)
 
 
 def smallest_container(rows: DataFrame, holders: DataFrame, node: str = "id", order: str = "ord", pad: float = 0, by: list[str] = DK) -> DataFrame:

@@ -15,7 +15,7 @@ def conditions(df):
     return re.findall(r"^Join condition: (.*)$", told, re.M)
 
 
-@pytest.mark.parametrize("name", ["hub_edges", "symbol_edges", "line_reach"])
+@pytest.mark.parametrize("name", ["nearest_segment", "hub_edges", "symbol_edges", "line_reach"])
 def test_distances_are_not_in_join_conditions(spark, name):
     """A join's condition doesn't share subexpressions: with a distance in it the compiled method is too large for the JVM's compiler."""
     found = conditions(QUERIES[name](spark, SF))
