@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tagloom.functions import geometry as g
 from tagloom.functions import text as t
 from tagloom.operators.graph import component_of, greedy_keep
-from tagloom.operators.spatial import grid_join
+from tagloom.operators.spatial import grid_join, measured
+from tagloom.staging import staged
 
 DK = ["drawing_id"]
 
@@ -62,14 +63,18 @@ def duplicate_pairs(rows: DataFrame, exact_distance: float = 60, overlap: float
     there is one, tag_box (null: the symbol's box). Two passes of the grid: symbols up to 300 apart, and tags that touch."""
     own = F.coalesce("tag_box", "box") if "tag_box" in rows.columns else F.col("box")
     keyed = rows.withColumn("key", t.dedup_key(F.col("tag"))).withColumn("fold", t.fold_confusable(F.col("key"))).select(*by, "id", "box", "key", "fold", own.alias("tag_box"))
+    keyed = staged(keyed, "keyed")  # keys are made once a row, not once a cell
     a, b = F.col("l"), F.col("r")
     lap, d = F.greatest(g.iou(a["box"], b["box"]), g.iou(a["tag_box"], b["tag_box"])), g.center_distance(a["box"], b["box"])
     both = (a["key"] != "") & (b["key"] != "")
     exact, alike = both & (a["key"] == b["key"]), both & (a["fold"] == b["fold"])
     inside = (F.length(a["key"]) >= 6) & (F.length(b["key"]) >= 6) & (a["key"].contains(b["key"]) | b["key"].contains(a["key"]))
-    hit = (exact & (d <= exact_distance)) | (inside & (d <= 300)) | ((exact | alike) & ((lap >= overlap) | (d <= 120))) | (~both & (lap >= 0.5))
     ends = [*by, a["id"].alias("a"), b["id"].alias("b")]
-    near = grid_join(keyed, keyed, 300, by=by).where(a["id"] < b["id"]).where(hit).select(*ends)
+    # what any rule needs bounds the join, the distances behind it decide
+    may = (a["fold"] == b["fold"]) | inside | (a["key"] == "") | (b["key"] == "")
+    pairs = grid_join(keyed, keyed, 300, cell=800, by=by).where(a["id"] < b["id"]).where(may).select(*ends, "l", "r", both.alias("both"), exact.alias("exact"), alike.alias("alike"), inside.alias("inside"))
+    hit = "(exact AND d <= {0}) OR (inside AND d <= 300) OR ((exact OR alike) AND (lap >= {1} OR d <= 120)) OR (NOT both AND lap >= 0.5)".format(float(exact_distance), float(overlap))
+    near = measured(pairs, lap=lap, d=d).where(hit).select(*by, "a", "b")
     if "tag_box" not in rows.columns:
         return near
     tags = keyed.withColumn("symbol", F.col("box")).withColumn("box", F.col("tag_box"))

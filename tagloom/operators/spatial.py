@@ -36,6 +36,12 @@ def grid_join(left: DataFrame, right: DataFrame, radius: float, left_box: str =
     return met.where(near).select(*by, "l", "r")
 
 
+def measured(pairs: DataFrame, **values: Column) -> DataFrame:
+    """pairs with further columns, each computed once a pair. A filter on them stays behind the join, as they are a generator's output: moved into the join's
+    condition, an expression is repeated wherever it is used."""
+    return pairs.select("*", F.inline(F.array(F.struct(*[v.alias(k) for k, v in values.items()]))))
+
+
 def nearest(left: DataFrame, right: DataFrame, radius: float, distance, node: str = "id", order: str = "ord", inclusive: bool = False, by: list[str] = DK, **names) -> DataFrame:
     """(by, node, nearest struct of right, distance): the right row at the least distance under radius; the first in order of several."""
     pairs = grid_join(left, right, radius, by=by, **names).withColumn("d", distance(F.col("l"), F.col("r")))

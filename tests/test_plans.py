@@ -4,6 +4,8 @@ import re
 
 import pytest
 
+from tagloom.operators import dedup
+from tagloom.plans.fixtures import boxes
 from tagloom.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -20,3 +22,8 @@ def test_distances_are_not_in_join_conditions(spark, name):
     """A join's condition doesn't share subexpressions: with a distance in it the compiled method is too large for the JVM's compiler."""
     found = conditions(QUERIES[name](spark, SF))
     assert found and not any("SQRT" in c for c in found)
+
+
+def test_rules_of_duplicates_are_not_in_join_conditions(spark):
+    found = conditions(dedup.duplicate_pairs(boxes(spark, SF)))
+    assert found and not any("SQRT" in c for c in found)
