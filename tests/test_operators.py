@@ -232,3 +232,16 @@ def test_recall_bounds(spark):
     truth = spark.createDataFrame([("V-BV-1",), ("V-BV-12345",), ("ZZ",)], "tag string")
     found = spark.createDataFrame([("BV1", 1), ("V-BV-1", 2), ("VBV123", 3)], "tag string, ord int")
     assert {r.tag: r.hit for r in lookup.recall(truth, found).collect()} == {"V-BV-1": "V-BV-1", "V-BV-12345": "VBV123", "ZZ": None}
+
+
+def test_components_need_no_rounds_where_tasks_hold_them(spark, monkeypatch):
+    """Edges of a drawing come together, so a path of 3,000 nodes is one star before the first round; one larger than what a task holds still joins."""
+    path = [(d, k, k + 1) for d in (1, 2) for k in range(3000)]
+    df = spark.createDataFrame([*path, (3, 5, 5), (None, 7, 8)], "drawing_id int, a long, b long").repartition(7)
+    got = sorted(tuple(r) for r in graph.components(df, max_rounds=1).select("drawing_id", "node", "root").collect())
+    assert got == sorted((d, k, 0) for d in (1, 2) for k in range(3001))
+    names = spark.createDataFrame([(f"N{k}", f"N{k + 1}") for k in range(100, 300)], "a string, b string").repartition(5)
+    assert {tuple(r) for r in graph.components(names, []).select("node", "root").collect()} == {(f"N{k}", "N100") for k in range(100, 301)}
+    monkeypatch.setattr(graph, "_EDGES", 100)
+    got = sorted(tuple(r) for r in graph.components(df).select("drawing_id", "node", "root").collect())
+    assert got == sorted((d, k, 0) for d in (1, 2) for k in range(3001))
