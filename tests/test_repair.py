@@ -479,3 +479,17 @@ def test_traces_send_no_table_to_all(spark):
     for df in (found, of):
         assert df.count() > 0
         assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_groups_of_the_log_follow_each_other_in_a_task():
+    """A group may go on in the next batch, and the same lines in the next group are lines of their own."""
+    import pandas as pd
+
+    from tagloom.operators.repair import _in_order
+
+    one = [(0, 1, k, "gap", a, b, True, True, 1, 1) for k, (a, b) in enumerate([(1, 2), (3, 2), (1, 3)])]
+    two = [(0, 2, k, "gap", a, b, True, True, 1, 3) for k, (a, b) in enumerate([(1, 2), (3, 2)])]
+    log = pd.DataFrame(one + two, columns="drawing_id __group ord kind a b alive_a alive_b size_a size_b".split())
+    done = pd.concat(_in_order(iter([log[:2], log[2:4], log[4:]]), ["drawing_id", "__group"]))
+    got = [(x if y == "merged" else None, y) for x, y in zip(done.keep, done.result, strict=True)]
+    assert got == [(1, "merged"), (None, "separate"), (1, "merged"), (2, "merged"), (2, "merged")]
