@@ -245,3 +245,19 @@ def test_components_need_no_rounds_where_tasks_hold_them(spark, monkeypatch):
     monkeypatch.setattr(graph, "_EDGES", 100)
     got = sorted(tuple(r) for r in graph.components(df).select("drawing_id", "node", "root").collect())
     assert got == sorted((d, k, 0) for d in (1, 2) for k in range(3001))
+
+
+def test_propagation_reads_two_levels_a_round(spark, monkeypatch):
+    """However long the walk is, a round reads the edges and two levels; repeated edges don't count twice."""
+    read, staged = [], graph.staged
+
+    def watched(df, label="t"):
+        read.append(len({f.rsplit("/", 1)[0] for f in df.inputFiles()}))
+        return staged(df, label)
+
+    monkeypatch.setattr(graph, "staged", watched)
+    edges = spark.createDataFrame([(1, k, k + 1) for k in range(8)] + [(1, 1, 0)], "drawing_id int, a int, b int")
+    seeds = spark.createDataFrame([(1, 0, "B"), (1, 0, "A"), (1, 8, "C")], "drawing_id int, node int, value string")
+    got = {r.node: (r.value, r.hops) for r in graph.propagate(seeds, edges).collect()}
+    assert got == {k: ("A", k) for k in range(5)} | {k: ("C", 8 - k) for k in range(5, 9)}
+    assert max(read) <= 3
