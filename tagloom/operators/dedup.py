@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import geometry as g
 from tagloom.functions import text as t
-from tagloom.operators.graph import component_of, greedy_keep
+from tagloom.operators.graph import component_of, components, greedy_keep
 from tagloom.operators.spatial import grid_join, measured
-from tagloom.staging import staged
+from tagloom.staging import merged, staged
 
 DK = ["drawing_id"]
 
@@ -60,27 +60,40 @@ def same_tag_nearby(rows: DataFrame, distance: float, by: list[str] = DK) -> Dat
 def duplicate_pairs(rows: DataFrame, exact_distance: float = 60, overlap: float = 0.20, by: list[str] = DK) -> DataFrame:
     """(by, a, b): pairs that show one physical tag: the same key close by, a long key inside another within 300, a confusable key whose
     symbols or tags overlap or that lies within 120, or a blank tag whose symbol or tag overlaps by half. rows: (id, box, tag) and, if
-    there is one, tag_box (null: the symbol's box). Two passes of the grid: symbols up to 300 apart, and tags that touch."""
-    own = F.coalesce("tag_box", "box") if "tag_box" in rows.columns else F.col("box")
-    keyed = rows.withColumn("key", t.dedup_key(F.col("tag"))).withColumn("fold", t.fold_confusable(F.col("key"))).select(*by, "id", "box", "key", "fold", own.alias("tag_box"))
-    keyed = staged(keyed, "keyed")  # keys are made once a row, not once a cell
+    there is one, tag_box (null: the symbol's box). Each rule has a pass of the grid of its own, no wider than it reaches: confusable keys meet by equality
+    of what they are confused to, blank tags where symbols touch, long keys up to 300 apart, and tags that touch."""
+    return _pairs(_keyed(rows.select(*by, "id", "box", "tag", *(["tag_box"] if "tag_box" in rows.columns else []))), exact_distance, overlap, by)
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """rows, staged, with __key: keys are made once a row, not once a pass of the grid or a cell."""
+    return staged(rows.withColumn("__key", t.dedup_key(F.col("tag"))), "keyed")
+
+
+def _pairs(rows: DataFrame, exact_distance: float, overlap: float, by: list[str]) -> DataFrame:
+    keyed = rows.select(*by, "id", "box", F.col("__key").alias("key"), t.fold_confusable(F.col("__key")).alias("fold"), *([F.coalesce("tag_box", "box").alias("tag_box")] if "tag_box" in rows.columns else []))
     a, b = F.col("l"), F.col("r")
-    lap, d = F.greatest(g.iou(a["box"], b["box"]), g.iou(a["tag_box"], b["tag_box"])), g.center_distance(a["box"], b["box"])
-    both = (a["key"] != "") & (b["key"] != "")
-    exact, alike = both & (a["key"] == b["key"]), both & (a["fold"] == b["fold"])
+    lap, d = g.iou(a["box"], b["box"]), g.center_distance(a["box"], b["box"])
     inside = (F.length(a["key"]) >= 6) & (F.length(b["key"]) >= 6) & (a["key"].contains(b["key"]) | b["key"].contains(a["key"]))
     ends = [*by, a["id"].alias("a"), b["id"].alias("b")]
-    # what any rule needs bounds the join, the distances behind it decide
-    may = (a["fold"] == b["fold"]) | inside | (a["key"] == "") | (b["key"] == "")
-    pairs = grid_join(keyed, keyed, 300, cell=800, by=by).where(a["id"] < b["id"]).where(may).select(*ends, "l", "r", both.alias("both"), exact.alias("exact"), alike.alias("alike"), inside.alias("inside"))
-    hit = "(exact AND d <= {0}) OR (inside AND d <= 300) OR ((exact OR alike) AND (lap >= {1} OR d <= 120)) OR (NOT both AND lap >= 0.5)".format(float(exact_distance), float(overlap))
-    near = measured(pairs, lap=lap, d=d).where(hit).select(*by, "a", "b")
+    few = keyed.select(*by, "id", "box", "key")
+    # confusable keys; a pair that the long keys' pass finds is left to it
+    alike = keyed.where("key <> ''").select(*by, "fold", "id", "box", "key")
+    reach = max(exact_distance, 120, 0 if overlap > 0 else 300)
+    met = grid_join(alike, alike, reach, cell=800, by=[*by, "fold"]).where(a["id"] < b["id"]).select(*ends, "l", "r", (a["key"] == b["key"]).alias("exact"), inside.alias("inside"))
+    hit = "((exact AND d <= {0}) OR lap >= {1} OR d <= 120) AND NOT (inside AND d <= 300)".format(float(exact_distance), float(overlap))
+    one = measured(met, lap=lap, d=d).where(hit).select(*by, "a", "b")
+    long = few.where(F.length("key") >= 6)
+    met = grid_join(long, long, 300, cell=800, by=by).where(a["id"] < b["id"]).where(inside).select(*ends, "l", "r")
+    two = measured(met, d=d).where("d <= 300").select(*by, "a", "b")
+    met = grid_join(few.where("key = ''"), few, 0, by=by).where((a["id"] < b["id"]) | ((a["id"] > b["id"]) & (b["key"] != ""))).select(*by, F.least(a["id"], b["id"]).alias("a"), F.greatest(a["id"], b["id"]).alias("b"), "l", "r")
+    near = one.unionAll(two).unionAll(measured(met, lap=lap).where("lap >= 0.5").select(*by, "a", "b"))
     if "tag_box" not in rows.columns:
         return near
-    tags = keyed.withColumn("symbol", F.col("box")).withColumn("box", F.col("tag_box"))
-    # here box is the tag's; only overlap of tags can count for symbols farther apart
-    lap2 = g.iou(a["box"], b["box"])
-    touching = grid_join(tags, tags, 0, by=by).where(a["id"] < b["id"]).where(((exact | alike) & (lap2 >= overlap)) | (~both & (lap2 >= 0.5))).select(*ends)
+    tags = keyed.withColumn("box", F.col("tag_box"))
+    # here box is the tag's: overlap of tags counts however far apart the symbols are
+    both = (a["key"] != "") & (b["key"] != "")
+    touching = grid_join(tags, tags, 0, by=by).where(a["id"] < b["id"]).where((both & (a["fold"] == b["fold"]) & (lap >= overlap)) | (~both & (lap >= 0.5))).select(*ends)
     return near.unionAll(touching).distinct()
 
 
@@ -88,19 +101,26 @@ def _score():
     return F.when(F.col("in_registry"), 1.0).otherwise(0.0) + 0.4 * F.col("conf") + 0.3 * F.col("ocr") + 0.2 * F.col("assoc") + F.when(F.col("status") == "PASS", 0.1).otherwise(0.0)
 
 
-def resolve_duplicates(rows: DataFrame, by: list[str] = DK, **params) -> DataFrame:
+def resolve_duplicates(rows: DataFrame, by: list[str] = DK, exact_distance: float = 60, overlap: float = 0.20) -> DataFrame:
     """rows with root, duplicate_status, merged_into, merged_count and the cluster's box. The primary has the highest score
     (registry 1, 0.4 vision, 0.3 OCR, 0.2 association, 0.1 PASS); the smallest id of several."""
-    of = component_of(rows, duplicate_pairs(rows, by=by, **params), "id", by)
-    score = _score()
+    held = _keyed(rows)
+    rows, found = held.drop("__key"), components(_pairs(held, exact_distance, overlap, by), by).withColumnRenamed("node", "id")
+    rooted = staged(rows.join(merged(found), [*by, "id"], "left"), "rooted")
+    b = F.col("box")
+    corners = (("x1", F.min), ("y1", F.min), ("x2", F.max), ("y2", F.max))
+    # most rows are alone: only those of clusters are sorted
+    alone = rooted.where("root IS NULL").withColumn("root", F.col("id")).withColumn("duplicate_status", F.lit("PRIMARY")).withColumn("merged_into", F.lit(None).cast(rows.schema["id"].dataType)).withColumn("merged_count", F.lit(1).cast("long")).withColumn("merged_box", F.struct(*[b[c].alias(c) for c, _ in corners]))
+    of = rooted.where("root IS NOT NULL")
     w = Window.partitionBy(*by, "root")
     first = F.first("id").over(w.orderBy(F.desc("__s"), "id"))
-    out = of.withColumn("__s", F.round(score, 9)).withColumn("__p", first).withColumn("merged_count", F.count(F.lit(1)).over(w))
-    for c, f in (("x1", F.min), ("y1", F.min), ("x2", F.max), ("y2", F.max)):
-        out = out.withColumn(f"__{c}", f(F.col("box")[c]).over(w))
-    whole = F.struct(*[F.col(f"__{c}").alias(c) for c in ("x1", "y1", "x2", "y2")])
+    out = of.withColumn("__s", F.round(_score(), 9)).withColumn("__p", first).withColumn("merged_count", F.count(F.lit(1)).over(w))
+    for c, f in corners:
+        out = out.withColumn(f"__{c}", f(b[c]).over(w))
+    whole = F.struct(*[F.col(f"__{c}").alias(c) for c, _ in corners])
     primary = F.col("id") == F.col("__p")
-    return out.withColumn("duplicate_status", F.when(primary, "PRIMARY").otherwise("DISCARDED")).withColumn("merged_into", F.when(~primary, F.col("__p"))).withColumn("merged_box", whole).drop("__s", "__p", "__x1", "__y1", "__x2", "__y2")
+    out = out.withColumn("duplicate_status", F.when(primary, "PRIMARY").otherwise("DISCARDED")).withColumn("merged_into", F.when(~primary, F.col("__p"))).withColumn("merged_box", whole).drop("__s", "__p", "__x1", "__y1", "__x2", "__y2")
+    return alone.unionByName(out)
 
 
 def merged_primaries(resolved: DataFrame, by: list[str] = DK) -> DataFrame:
@@ -110,23 +130,27 @@ def merged_primaries(resolved: DataFrame, by: list[str] = DK) -> DataFrame:
     ones of others don't count), and then, in order of id, any longer tag that holds what it has so far, compared as duplicates' keys. Spellings are
     made distinct before they meet in one row."""
     primary, tag = F.col("duplicate_status") == "PRIMARY", F.coalesce("tag", F.lit(""))
-    rows = resolved.withColumn("__s", F.round(_score(), 9)).withColumn("__key", t.dedup_key(tag)).withColumn("__tag", tag)
-    ocr = F.coalesce("ocr", F.lit(0.0))
-    first = F.when(primary | (F.col("__tag") != ""), F.struct(ocr, F.when(primary, 1).otherwise(0), "__s", -F.col("id")))
-    lost = F.filter(F.array_sort(F.collect_list(F.when(~primary, F.struct((-F.col("__s")).alias("s"), "id")))), lambda x: x.isNotNull())
-    one = rows.groupBy(*by, "root").agg(F.max_by("__tag", first).alias("__best"), F.max(F.when(primary | (F.col("__tag") != ""), ocr)).alias("__ocr"), F.max(F.when(primary, F.col("id"))).alias("id"), F.max(F.when(primary, F.col("__tag"))).alias("__own"), F.max(F.when(primary, ocr)).alias("__own_ocr"), F.max(F.when(primary, F.col("in_registry"))).alias("__known"), F.first("merged_box").alias("box"), F.transform(lost, lambda x: x["id"]).alias("merged_from"))
-    spelt = rows.where("__tag <> ''").groupBy(*by, "root", "__tag", "__key").agg(F.min("id").alias("at")).groupBy(*by, "root").agg(F.array_sort(F.collect_list(F.struct("at", F.col("__tag").alias("tag"), F.col("__key").alias("key")))).alias("__spelt"))
-    out = one.join(spelt, [*by, "root"], "left")
+    ocr, known = F.coalesce("ocr", F.lit(0.0)), F.coalesce("in_registry", F.lit(False))
+    none = F.array().cast(f"array<{resolved.schema['id'].dataType.simpleString()}>")
+    alone = resolved.where("merged_count = 1").select(*by, "id", tag.alias("tag"), F.when(known, ocr).otherwise(F.round(ocr, 3)).alias("ocr"), none.alias("merged_from"), F.col("merged_box").alias("box"))
+    rows = resolved.where("merged_count > 1").withColumn("__s", F.round(_score(), 9)).withColumn("__tag", tag)
+    own = primary | (F.col("__tag") != "")
+    first = F.when(own, F.struct(ocr, F.when(primary, 1).otherwise(0), "__s", -F.col("id")))
+    each = rows.groupBy(*by, "root", "__tag").agg(F.max(first).alias("__first"), F.max(F.when(own, ocr)).alias("__ocr"), F.max(F.when(primary, F.col("id"))).alias("id"), F.max(F.when(primary, ocr)).alias("__own_ocr"), F.max(F.when(primary, F.col("in_registry"))).alias("__known"), F.first("merged_box").alias("box"), F.min("id").alias("at"), F.collect_list(F.when(~primary, F.struct((-F.col("__s")).alias("s"), "id"))).alias("lost"))
+    spelt = F.when(F.col("__tag") != "", F.struct("at", F.col("__tag").alias("tag"), t.dedup_key(F.col("__tag")).alias("key")))
+    lost = F.array_sort(F.flatten(F.collect_list("lost")))
+    out = each.groupBy(*by, "root").agg(F.max_by("__tag", "__first").alias("__best"), F.max("__ocr").alias("__ocr"), F.max(F.when(F.col("id").isNotNull(), F.col("__tag"))).alias("__own"), F.max("id").alias("id"), F.max("__own_ocr").alias("__own_ocr"), F.max("__known").alias("__known"), F.first("box").alias("box"), F.transform(lost, lambda x: x["id"]).alias("merged_from"), F.array_sort(F.collect_list(spelt)).alias("__spelt"))
     start = F.struct(F.col("__best").alias("tag"), t.dedup_key(F.col("__best")).alias("key"))
-    longer = F.aggregate(F.coalesce("__spelt", F.array().cast("array<struct<at:bigint,tag:string,key:string>>")), start, lambda z, x: F.when((F.length(x["key"]) > F.length(z["key"])) & F.contains(x["key"], z["key"]), F.struct(x["tag"].alias("tag"), x["key"].alias("key"))).otherwise(z))["tag"]
+    longer = F.aggregate("__spelt", start, lambda z, x: F.when((F.length(x["key"]) > F.length(z["key"])) & F.contains(x["key"], z["key"]), F.struct(x["tag"].alias("tag"), x["key"].alias("key"))).otherwise(z))["tag"]
     known = F.coalesce("__known", F.lit(False))
-    return out.select(*by, "id", F.when(known, F.col("__own")).otherwise(longer).alias("tag"), F.when(known, F.col("__own_ocr")).otherwise(F.round("__ocr", 3)).alias("ocr"), "merged_from", "box")
+    return alone.unionAll(out.select(*by, "id", F.when(known, F.col("__own")).otherwise(longer).alias("tag"), F.when(known, F.col("__own_ocr")).otherwise(F.round("__ocr", 3)).alias("ocr"), "merged_from", "box"))
 
 
 def duplicate_links(resolved: DataFrame, by: list[str] = DK) -> DataFrame:
     """(by, id, primary, box, primary_box): each discarded row with the primary that it belongs to."""
-    first = resolved.where("duplicate_status = 'PRIMARY'").select(*by, F.col("id").alias("merged_into"), F.col("box").alias("primary_box"))
-    return resolved.where("duplicate_status = 'DISCARDED'").join(first, [*by, "merged_into"]).select(*by, "id", F.col("merged_into").alias("primary"), "box", "primary_box")
+    own = Window.partitionBy(*by, "root")  # as in resolve_duplicates: one pass, and no further shuffle
+    first = F.max(F.when(F.col("duplicate_status") == "PRIMARY", F.struct("box"))).over(own)
+    return resolved.withColumn("__first", first).where("duplicate_status = 'DISCARDED' AND __first IS NOT NULL").select(*by, "id", F.col("merged_into").alias("primary"), "box", F.col("__first.box").alias("primary_box"))
 
 
 def collapse_entities(rows: DataFrame, distance: float = 1500, by: list[str] = DK) -> DataFrame:

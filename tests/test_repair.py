@@ -360,6 +360,21 @@ def test_merged_primaries_take_the_best_spelling(spark):
     assert {(r.drawing_id, r.id, r.primary) for r in links} == {(0, 1, 2), (0, 3, 2), (0, 4, 2), (1, 2, 1), (3, 2, 1)}
 
 
+def test_clusters_alone_are_shuffled_by_their_root(spark):
+    """Rows without a duplicate pass by the sort; what is made of a cluster is made in one pass over it, and an exact key meets as far as it is asked to."""
+    from tagloom.operators import dedup
+
+    box = "box struct<x1:int,y1:int,x2:int,y2:int>"
+    rows = [(0, i, "A-1", 0.5, 0.5, 0.5, "PASS", False, (x, 0, x + 50, 50)) for i, x in ((1, 0), (2, 400), (3, 5000))]
+    df = spark.createDataFrame(rows, f"drawing_id int, id int, tag string, conf double, ocr double, assoc double, status string, in_registry boolean, {box}")
+    assert {(r.a, r.b) for r in dedup.duplicate_pairs(df, exact_distance=450).collect()} == {(1, 2)}
+    of = dedup.resolve_duplicates(df, exact_distance=450)
+    assert {(r.id, r.root, r.duplicate_status, r.merged_into, r.merged_count) for r in of.collect()} == {(1, 1, "PRIMARY", None, 2), (2, 1, "DISCARDED", 1, 2), (3, 3, "PRIMARY", None, 1)}
+    for made in (dedup.duplicate_links(of), dedup.merged_primaries(of)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" in plan and "LeftOuter" not in plan
+
+
 def test_polygon_overlap_counts_the_raster(spark):
     from tagloom.functions import geometry as g
 
