@@ -27,3 +27,9 @@ def test_distances_are_not_in_join_conditions(spark, name):
 def test_rules_of_duplicates_are_not_in_join_conditions(spark):
     found = conditions(dedup.duplicate_pairs(boxes(spark, SF)))
     assert found and not any("SQRT" in c for c in found)
+
+
+def test_boxes_are_dealt_by_the_rows_of_their_table(spark, monkeypatch):
+    """6,000 rows at 1,000 a part: a task's rows don't grow with the table."""
+    monkeypatch.setattr("tagloom.plans.fixtures.ROWS", 1000)
+    assert boxes(spark, SF).rdd.getNumPartitions() == 6
