@@ -40,11 +40,13 @@ def tile_duplicates(rows: DataFrame, by: list[str] = DK) -> DataFrame:
 
     The built-in rules come first; only pairs of different keys that overlap enough, and whose lengths can be 0.92 alike, are compared text by text in Python."""
     keyed = rows.withColumn("key", t.dedup_key(F.col("tag")))
-    ranked = keyed.withColumn("__rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("conf"), "id")))
-    few = ranked.select(*by, "id", "box", "key", F.upper("tag").alias("tag"), "__rank")
+    few = keyed.select(*by, "id", "box", "key", F.upper("tag").alias("tag"), "conf")
     a, b = F.col("l"), F.col("r")
-    pairs = grid_join(few, few, 0, by=by).where(a["__rank"] < b["__rank"])
-    pairs = pairs.select(*by, a["id"].alias("hi"), b["id"].alias("lo"), g.iou(a["box"], b["box"]).alias("lap"), (a["key"] == b["key"]).alias("same"), a["tag"].alias("s"), b["tag"].alias("t")).where("lap > 0.15")
+    before = (a["conf"] > b["conf"]) | (a["conf"].isNotNull() & b["conf"].isNull()) | (a["conf"].eqNullSafe(b["conf"]) & (a["id"] < b["id"]))
+    pairs = grid_join(few, few, 0, by=by).where(before)
+    pairs = measured(pairs.select(*by, a["id"].alias("hi"), b["id"].alias("lo"), "l", "r"), lap=g.iou(a["box"], b["box"]), same=a["key"] == b["key"])
+    pairs = pairs.where("lap > 0.15 AND (same OR lap > 0.55)").select(*by, "hi", "lo", "lap", "same", a["tag"].alias("s"), b["tag"].alias("t"))
+    pairs = staged(pairs, "pairs")  # few, and both rules read them
     sure = pairs.where("same")
     short, long = F.least(F.length("s"), F.length("t")), F.greatest(F.length("s"), F.length("t"))
     maybe = pairs.where(F.coalesce(~F.col("same"), F.lit(True)) & (F.col("lap") > 0.55) & (2 * short >= 0.92 * (short + long)))

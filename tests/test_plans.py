@@ -33,3 +33,11 @@ def test_boxes_are_dealt_by_the_rows_of_their_table(spark, monkeypatch):
     """6,000 rows at 1,000 a part: a task's rows don't grow with the table."""
     monkeypatch.setattr("tagloom.plans.fixtures.ROWS", 1000)
     assert boxes(spark, SF).rdd.getNumPartitions() == 6
+
+
+def test_tile_duplicates_meet_once_and_unsorted(spark, monkeypatch):
+    """Both rules read the pairs that one join wrote; who comes first is told by the pair's own confidences, not by a drawing's sort."""
+    seen, real = {}, dedup.staged
+    monkeypatch.setattr(dedup, "staged", lambda df, label="t": (seen.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString()), real(df, label))[1])
+    assert dedup.tile_duplicates(boxes(spark, SF)).count() > 0
+    assert "Window" not in seen["pairs"]
